@@ -11,7 +11,8 @@ it is joined like any other table.  A group holding a third of all rows is
 spread over many blocks by the range partitioner, so no single task ever
 holds a whole group.
 
-``order_by`` must be a total order (add a unique key as the last column):
+``order_by`` lists ascending columns and must be a total order (add a unique
+key as the last column):
 with ties the relative position of tied rows is not defined.
 """
 
@@ -21,6 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.session import shuffle_partitions
 
@@ -39,11 +41,67 @@ def _names(xs) -> list[str]:
     return [x for x in xs if isinstance(x, str)]
 
 
+def _reverse(o):
+    """Descending counterpart of an ascending order column (nulls last)."""
+    return (F.col(o) if isinstance(o, str) else o).desc_nulls_last()
+
+
+def _numeric_key(df: DataFrame, o) -> Column | None:
+    """A double that is non-decreasing in the order of column ``o``, if any."""
+    if not isinstance(o, str) or o not in df.columns:
+        return None
+    t = df.schema[o].dataType
+    c = F.col(o)
+    if isinstance(t, T.NumericType):
+        k = c.cast("double")
+    elif isinstance(t, T.DateType):
+        k = F.unix_date(c).cast("double")
+    elif isinstance(t, T.TimestampType):
+        k = F.unix_micros(c).cast("double")
+    elif isinstance(t, T.TimestampNTZType):
+        k = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{o}`)").cast("double")
+    else:
+        return None
+    # ascending order puts nulls first and NaN last
+    return (F.when(c.isNull(), F.lit(float("-inf")))
+             .when(F.isnan(k), F.lit(float("inf"))).otherwise(k))
+
+
 def _blocks(df: DataFrame, order_by: list, partition_by: list,
             n_blocks: int | None) -> DataFrame:
+    """Add ``_blk``: blocks that are contiguous ranges of the row order.
+
+    Preferred: bucket the leading order column by approximate quantile bounds
+    (one pass over that column; the bound list has ``n_blocks - 1`` numbers).
+    The bucket is a deterministic, monotone function of the row, so the
+    window's own exchange is the only shuffle and Spark can reuse it for the
+    summary branch.  When the leading column is not numeric/temporal, or one
+    of its values is too frequent to split (duplicate bounds), rows are range
+    partitioned on the full key instead and the blocked frame is persisted so
+    both branches read the same blocks.
+    """
     n = n_blocks or shuffle_partitions(df.sparkSession)
+    key = _numeric_key(df, order_by[0]) if order_by else None
+    if key is not None and n > 1:
+        probe = df.select(key.alias("_k")).where(~F.col("_k").isin(float("-inf"), float("inf")))
+        bounds = probe.approxQuantile("_k", [i / n for i in range(1, n)], 1.0 / (20 * n))
+        if not bounds:
+            return df.withColumn("_blk", F.lit(0))
+        if len(set(bounds)) == len(bounds):
+            from pyspark.ml.feature import Bucketizer
+            splits = [float("-inf"), *bounds, float("inf")]
+            bz = Bucketizer(splits=splits, inputCol="_bk", outputCol="_blkd", handleInvalid="keep")
+            out = bz.transform(df.withColumn("_bk", key))
+            # non-nullable, so joins on it infer no not-null filter that could be
+            # pushed into one branch only (which would stop exchange reuse)
+            blk = F.coalesce(F.col("_blkd").cast("int"), F.lit(0))
+            return out.withColumn("_blk", blk).drop("_bk", "_blkd")
+    if n == 1:
+        return df.withColumn("_blk", F.lit(0))
+    from pyspark import StorageLevel
     return (df.repartitionByRange(n, *partition_by, *order_by)
-              .withColumn("_blk", F.spark_partition_id()))
+              .withColumn("_blk", F.coalesce(F.spark_partition_id(), F.lit(0)))
+              .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def _join_summary(rows: DataFrame, summary: DataFrame, partition_by: list[str]) -> DataFrame:
@@ -101,7 +159,11 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_b
     cols = list(cols)
     b = _blocks(df, O, P, n_blocks)
     w = Window.partitionBy(*P, "_blk").orderBy(*O)
-    wp, wn = w.rowsBetween(_UNB_P, _CUR), w.rowsBetween(_CUR, _UNB_F)
+    wp = w.rowsBetween(_UNB_P, _CUR)
+    # "next non-null" is a running last() over the reversed order: a growing
+    # frame evaluated in one pass (a frame ending at UNBOUNDED FOLLOWING is
+    # re-aggregated for every row).  Same partitioning, so only a re-sort.
+    wn = Window.partitionBy(*P, "_blk").orderBy(*[_reverse(o) for o in O]).rowsBetween(_UNB_P, _CUR)
     x = b.withColumn("_li", F.row_number().over(w) - 1)
     vals = {}
     for i, c in enumerate(cols):
@@ -114,8 +176,8 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_b
         anchor = F.when(v.isNotNull(), F.col("_li"))
         win[f"_pi{i}"] = F.last(anchor, True).over(wp)
         win[f"_pv{i}"] = F.last(v, True).over(wp)
-        win[f"_ni{i}"] = F.first(anchor, True).over(wn)
-        win[f"_nv{i}"] = F.first(v, True).over(wn)
+        win[f"_ni{i}"] = F.last(anchor, True).over(wn)
+        win[f"_nv{i}"] = F.last(v, True).over(wn)
     x = x.withColumns(win)
 
     # per block: row count, last anchor (from the block's last row), first

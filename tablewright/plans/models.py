@@ -1 +1,108 @@
-"""Model queries (registered here so importing the registry stays light)."""
+"""Model queries (O04, O05, O50, O52–O56, O03) and the three pipelines.
+
+No SQL engine can state a forest's output, so these register without an
+oracle; the driver checks their row counts and the tests check seeds,
+save/load equality and planted signals.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablewright.functions import scalar as S
+from tablewright.operators import encode, model
+from tablewright.operators.evaluate import rmse
+from tablewright.plans import pipelines as P
+from tablewright.plans import standins as T
+from tablewright.plans.queries import query
+from tablewright.session import checkpoint_dir
+from tablewright.sources import tables as io
+
+FOREST_ARGS = {"max_depth": 8, "seed": 1}
+
+
+def orders_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """Numeric feature table for the forest queries (train period only)."""
+    o = T.with_ym(T.table(spark, sf_dir, "orders"))
+    o = o.where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
+    o = S.split_yyyymm(o, "ym", drop=False)
+    o = o.withColumns({"new_flag": S.threshold_flag("cont_year", 1999),
+                       "urgent": S.in_set_flag("o_orderpriority", ["1-URGENT", "2-HIGH"])})
+    m = encode.label_fit(o, ["o_orderstatus", "o_orderpriority"])
+    o = encode.label_transform(o, m, ["o_orderstatus", "o_orderpriority"])
+    feats = ["o_custkey", "o_orderstatus", "o_orderpriority", "cont_year", "cont_month",
+             "new_flag", "urgent"]
+    return o.select("o_orderkey", "o_totalprice", *feats), feats
+
+
+@query("forest_holdout_rmse")
+def _forest_rmse(spark, d):
+    df, feats = orders_features(spark, d)
+    _, score = model.validate_then_refit(df, feats, "o_totalprice", "o_orderkey", 0.2, 2023,
+                                         trees_validate=5, trees_final=5, **FOREST_ARGS)
+    return score
+
+
+@query("forest_log_target_rmse")
+def _forest_log(spark, d):
+    df, feats = orders_features(spark, d)
+    _, score = model.validate_then_refit(df, feats, "o_totalprice", "o_orderkey", 0.2, 2023,
+                                         trees_validate=5, trees_final=5,
+                                         target_transform="log1p", **FOREST_ARGS)
+    return score
+
+
+@query("feature_importance")
+def _importance(spark, d):
+    df, feats = orders_features(spark, d)
+    m = model.fit_forest(df, feats, "o_totalprice", num_trees=10, **FOREST_ARGS)
+    return model.feature_importance(m, feats)
+
+
+@query("permutation_importance")
+def _permutation(spark, d):
+    df, feats = orders_features(spark, d)
+    from tablewright.operators.split import holdout_split
+    tr, va = holdout_split(df, 0.2, 2023, "o_orderkey")
+    m = model.fit_forest(tr, feats, "o_totalprice", num_trees=10, **FOREST_ARGS)
+    return model.permutation_importance(m, va, "o_totalprice", feats, 3, 42, key="o_orderkey")
+
+
+@query("save_load_predict")
+def _save_load(spark, d):
+    df, feats = orders_features(spark, d)
+    m = model.fit_forest(df, feats, "o_totalprice", num_trees=5, **FOREST_ARGS)
+    path = checkpoint_dir(spark).rstrip("/") + f"/models/{uuid.uuid4().hex}"
+    io.save_model(m, path)
+    back = io.load_model(path)
+    test = T.with_ym(T.table(spark, d, "orders")).where(~T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
+    test = S.split_yyyymm(test, "ym", drop=False).withColumns({
+        "new_flag": S.threshold_flag("cont_year", 1999),
+        "urgent": S.in_set_flag("o_orderpriority", ["1-URGENT", "2-HIGH"])})
+    mp = encode.label_fit(test, ["o_orderstatus", "o_orderpriority"])
+    test = encode.label_transform(test, mp, ["o_orderstatus", "o_orderpriority"])
+    return model.predict(back, test).select(
+        "o_orderkey", S.truncate_int("prediction").alias("target"))
+
+
+@query("pipeline_baseline")
+def _pipe_a(spark, d):
+    return P.orders_baseline(spark, d, trees=10, max_depth=8, permutation_repeats=0)["predictions"]
+
+
+@query("pipeline_compact")
+def _pipe_b(spark, d):
+    return P.orders_compact(spark, d, trees_validate=5, trees_final=10, max_depth=8)["predictions"]
+
+
+@query("pipeline_period")
+def _pipe_c(spark, d):
+    return P.orders_period(spark, d, trees=10, max_depth=8)["predictions"]
+
+
+@query("pipeline_period_rmse")
+def _pipe_c_rmse(spark, d):
+    return P.orders_period(spark, d, trees=10, max_depth=8)["rmse"]

@@ -1,0 +1,174 @@
+"""The reference's three end-to-end jobs as compositions of operators.
+
+A  baseline: clean → impute → IQR trim → features → label codes on the union
+   → holdout → forest → RMSE, importances → predict test.
+B  compact: address key → codes → rounding → year/month → season one-hot
+   (first level dropped) → district one-hot → new-build flag → fixed-bound
+   trim → log1p validation fit → refit on all train rows → predict test.
+C  period validation: one-hot from the training levels, test conformed to
+   the training columns → months held out for validation → fit → RMSE →
+   predict test.
+
+Column roles are parameters; ``orders_*`` helpers bind them to the testdata
+stand-in (orders before / from 2000-07-01, label ``o_totalprice``).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tablewright.functions import scalar as S
+from tablewright.operators import align, clean, encode, model, ordered, profile, split
+from tablewright.plans import standins as T
+
+
+@dataclass
+class Roles:
+    key: str                       # unique row key (row order for interpolation)
+    label: str
+    ym: str                        # integer YYYYMM column
+    categorical: Sequence[str] = ()
+    continuous: Sequence[str] = ()
+    sentinels: Mapping[str, Sequence] = field(default_factory=dict)
+    trim_col: str | None = None
+    flag: str = "is_test"
+
+
+def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: float = 0.9,
+               iqr_k: float = 1.5) -> tuple[DataFrame, list[str]]:
+    u = align.tag_union({0: train, 1: test}, r.flag)
+    u = clean.sentinels_to_null(u, r.sentinels)
+    keep = [r.key, r.label, r.flag, r.ym]
+    u = clean.drop_sparse_columns(u.select(*keep, *r.categorical, *r.continuous),
+                                  max_ratio=max_null_ratio)
+    cats = [c for c in r.categorical if c in u.columns]
+    conts = [c for c in r.continuous if c in u.columns]
+    u = clean.fill_constant(u, cats, "NULL")
+    if conts:
+        u = ordered.interpolate_linear(u, conts, [r.key])
+    if r.trim_col:
+        u = clean.trim_outliers_iqr(u, r.trim_col, iqr_k, f"{r.flag} = 0")
+    u = S.split_yyyymm(u, r.ym, "cont_year", "cont_month", drop=False)
+    u = u.withColumn("new_flag", S.threshold_flag("cont_year", 1999))
+    m = encode.label_fit(u, cats)
+    u = encode.label_transform(u, m, cats)
+    feats = [*cats, *conts, "cont_year", "cont_month", "new_flag"]
+    return u, feats
+
+
+def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed: int = 1,
+             holdout: float = 0.2, split_seed: int = 2023, max_depth: int = 10,
+             permutation_repeats: int = 3) -> dict[str, DataFrame]:
+    """Pipeline A.  Returns frames: predictions, rmse, importance, permutation."""
+    u, feats = _prepare_a(train, test, r)
+    u = u.persist(StorageLevel.MEMORY_AND_DISK)
+    tr, te = align.split_tagged(u, r.flag, r.label, test_label=0.0)
+    fit_part, valid = split.holdout_split(tr, holdout, split_seed, r.key)
+    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth)
+    scored_valid = model.predict(m, valid)
+    from tablewright.operators.evaluate import rmse
+    out = {
+        "rmse": rmse(scored_valid, r.label, "prediction"),
+        "importance": model.feature_importance(m, feats),
+        "predictions": model.predict(m, te).select(
+            r.key, F.col("prediction").cast("bigint").alias("target")),
+    }
+    if permutation_repeats:
+        out["permutation"] = model.permutation_importance(
+            m, valid, r.label, feats, permutation_repeats, 42, key=r.key)
+    return out
+
+
+def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
+            district: str, area: str | None, bound: float | None, trees_validate: int = 5,
+            trees_final: int = 50, seed: int = 1, split_seed: int = 2023,
+            max_depth: int = 10, log_target: bool = True) -> dict[str, DataFrame]:
+    """Pipeline B.  ``address`` columns form the label-coded key, ``district``
+    is one-hot encoded; ``area`` is rounded to 2 places and trimmed at ``bound``
+    (strict) on training rows."""
+    u = align.tag_union({0: train, 1: test}, r.flag)
+    u = u.withColumn("full_addr", S.concat_key(address, null_as=""))
+    m = encode.label_fit(u, ["full_addr"])
+    u = encode.label_transform(u, m, ["full_addr"], suffix="_encoded").drop("full_addr")
+    # text address parts are represented by the coded key from here on
+    u = u.drop(*[c for c in address if c != district and
+                 dict(u.dtypes).get(c) == "string"])
+    if area:
+        u = u.withColumn(area, S.round_half_even(area, 2))
+    u = S.split_yyyymm(u, r.ym, "cont_year", "cont_month", drop=True)
+    u = u.withColumn("season", S.season("cont_month"))
+    u = encode.one_hot(u, ["season"], values={"season": ["autumn", "spring", "summer", "winter"]},
+                       drop_first=True)
+    u = encode.one_hot(u, [district])
+    u = u.withColumn("new_flag", S.threshold_flag("cont_year", 1999))
+    if area and bound is not None:
+        u = clean.trim_outliers_bound(u, area, bound, f"{r.flag} = 0")
+    u = u.persist(StorageLevel.MEMORY_AND_DISK)
+    tr, te = align.split_tagged(u, r.flag, r.label)
+    feats = [c for c in tr.columns if c not in (r.key, r.label)]
+    tt = "log1p" if log_target else None
+    final, score = model.validate_then_refit(
+        tr, feats, r.label, r.key, 0.2, split_seed, trees_validate, trees_final,
+        seed=seed, max_depth=max_depth, target_transform=tt)
+    preds = model.predict(final, te).select(r.key, F.col("prediction").cast("bigint").alias("target"))
+    return {"rmse": score, "predictions": preds, "model": final, "features": feats}
+
+
+def period(train: DataFrame, test: DataFrame, r: Roles, onehot: Sequence[str],
+           valid_months: Sequence[int], trees: int = 50, seed: int = 1,
+           max_depth: int = 10) -> dict[str, DataFrame]:
+    """Pipeline C.  One-hot levels are read from train only; test is conformed
+    to train's columns (unseen levels dropped, missing ones zero)."""
+    lv = {c: encode.levels(train, c) for c in onehot}
+    tr = encode.one_hot(train, onehot, values=lv)
+    te = encode.one_hot(test, onehot, values=lv)
+    te = align.conform_to(te, [c for c in tr.columns if c != r.label], fill=0)
+    tr = S.split_yyyymm(tr, r.ym, "cont_year", "cont_month", drop=False)
+    te = S.split_yyyymm(te, r.ym, "cont_year", "cont_month", drop=False)
+    fit_part, valid = split.period_split(tr, r.ym, valid_months)
+    feats = [c for c in tr.columns if c not in (r.key, r.label, r.ym)]
+    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth)
+    from tablewright.operators.evaluate import rmse
+    return {"rmse": rmse(model.predict(m, valid), r.label, "prediction"),
+            "predictions": model.predict(m, te).select(
+                r.key, F.col("prediction").cast("bigint").alias("target"))}
+
+
+# ---- bindings to the testdata stand-in ------------------------------------
+
+ORDERS_ROLES = Roles(key="o_orderkey", label="o_totalprice", ym="ym",
+                     categorical=["o_orderstatus", "o_orderpriority"],
+                     continuous=["o_custkey"], sentinels={"o_orderpriority": [T.SENTINEL]},
+                     trim_col="o_totalprice")
+
+
+def orders_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = T.with_ym(T.table(spark, sf_dir, "orders"))
+    before = T.ts_before("o_orderdate", T.ORDERS_CUTOFF)
+    train = o.where(before).drop("o_orderdate")
+    test = o.where(~before).drop("o_orderdate", "o_totalprice")
+    return train, test
+
+
+def orders_baseline(spark, sf_dir, **kw):
+    tr, te = orders_split(spark, sf_dir)
+    return baseline(tr, te, ORDERS_ROLES, **kw)
+
+
+def orders_compact(spark, sf_dir, **kw):
+    tr, te = orders_split(spark, sf_dir)
+    return compact(tr, te, ORDERS_ROLES, address=["o_orderstatus", "o_custkey"],
+                   district="o_orderpriority", area=None, bound=None, **kw)
+
+
+def orders_period(spark, sf_dir, **kw):
+    tr, te = orders_split(spark, sf_dir)
+    tr = tr.select("o_orderkey", "o_totalprice", "ym", "o_custkey", "o_orderstatus", "o_orderpriority")
+    te = te.select("o_orderkey", "ym", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return period(tr, te, ORDERS_ROLES, ["o_orderstatus", "o_orderpriority"],
+                  [200001, 200002, 200003, 200004, 200005, 200006], **kw)
