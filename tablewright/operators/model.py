@@ -43,11 +43,13 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
     """
     feats = list(features)
     lab = label
-    train = df
+    # MLlib evaluates its input several times (metadata, split candidates,
+    # binning); keep the narrowed input once instead of recomputing its plan
+    train = df.select(*dict.fromkeys([*feats, label])).persist(StorageLevel.MEMORY_AND_DISK)
     stages = [VectorAssembler(inputCols=feats, outputCol=FEATURES)]
     if target_transform == "log1p":
         lab = "_label_t"
-        train = df.withColumn(lab, F.log1p(F.col(label).cast("double")))
+        train = train.withColumn(lab, F.log1p(F.col(label).cast("double")))
         stages.append(RandomForestRegressor(
             featuresCol=FEATURES, labelCol=lab, predictionCol="_pred_t", numTrees=num_trees,
             seed=seed, maxDepth=max_depth, maxBins=max_bins,
@@ -63,7 +65,10 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
             subsamplingRate=1.0, bootstrap=True, impurity="variance"))
     else:
         raise ValueError(f"unknown target_transform {target_transform!r}")
-    return Pipeline(stages=stages).fit(train)
+    try:
+        return Pipeline(stages=stages).fit(train)
+    finally:
+        train.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -121,52 +126,56 @@ def _affine(n: int, rng: random.Random) -> tuple[int, int]:
             return a, rng.randrange(n)
 
 
-def _perm_source(pid, a: int, b: int, n: int):
-    if a * n + b < 2 ** 62:
-        return F.pmod(pid * F.lit(a) + F.lit(b), F.lit(n))
-    d = "decimal(38,0)"
-    return F.pmod(pid.cast(d) * F.lit(a).cast(d) + F.lit(b).cast(d), F.lit(n).cast(d)).cast("bigint")
-
-
 def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
                            features: Sequence[str] | None = None, n_repeats: int = 3,
                            seed: int = 42, key: str | None = None) -> DataFrame:
     """Increase in MSE when one feature's values are permuted across rows.
 
-    For each feature and repeat a seeded permutation i → (a*i + b) mod n of the
-    dense row positions moves the feature's values between rows (a shuffle
-    join on the position); all permuted copies are scored in one pass and
-    reduced by one aggregate over (feature, repeat).  Returns
-    ``(feature, importance_mean, importance_std, baseline_mse)``; the std is
-    the population std over repeats.
+    Rows get dense positions 0..n-1 in ``key`` order.  For feature f and
+    repeat k a seeded permutation i → (a*i + b) mod n (gcd(a, n) = 1) says
+    which row lends its value of f to row i.  All feature × repeat copies are
+    built by one generator over the rows and get their borrowed values
+    through a single shuffle join on (source position, feature) against the
+    long-form feature table; everything is scored in one pass and reduced by
+    one aggregate.  Returns ``(feature, importance_mean, importance_std,
+    baseline_mse)``; std is the population std over repeats.
     """
     feats = list(features or feature_names(model))
-    # dense positions 0..n-1 in key order (key must be unique)
     base = with_row_id(df, [key or df.columns[0]], name="_pid")
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     n = base.count()
     rng = random.Random(seed)
-    copies = [base.withColumns({"_feature": F.lit(None).cast("string"), "_rep": F.lit(-1)})]
-    for f in feats:
-        for k in range(n_repeats):
-            a, b = _affine(n, rng)
-            src = base.select(F.col("_pid").alias("_src"), F.col(f).alias("_pv"))
-            moved = (base.withColumn("_src", _perm_source(F.col("_pid"), a, b, n))
-                         .join(src, "_src", "inner")
-                         .withColumn(f, F.col("_pv")).drop("_src", "_pv"))
-            copies.append(moved.withColumns({"_feature": F.lit(f), "_rep": F.lit(k)}))
-    allc = copies[0]
-    for c in copies[1:]:
-        allc = allc.unionByName(c)
-    scored = predict(model, allc)
-    mse = scored.groupBy("_feature", "_rep").agg(
+    plan = [(fi, k, *_affine(n, rng)) for fi in range(len(feats)) for k in range(n_repeats)]
+    wide = max(a for _, _, a, _ in plan) * n + n >= 2 ** 62
+
+    long_vals = base.select(F.col("_pid").alias("_src"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_fi"), F.col(f).cast("double").alias("_pv"))
+        for i, f in enumerate(feats)])))
+    copies = base.select("*", F.inline(F.array(*[
+        F.struct(F.lit(fi).alias("_fi"), F.lit(k).alias("_rep"),
+                 F.lit(a).cast("bigint").alias("_a"), F.lit(b).cast("bigint").alias("_b"))
+        for fi, k, a, b in plan])))
+    if wide:
+        d = "decimal(38,0)"
+        src = F.pmod(F.col("_pid").cast(d) * F.col("_a").cast(d) + F.col("_b").cast(d),
+                     F.lit(n).cast(d)).cast("bigint")
+    else:
+        src = F.pmod(F.col("_pid") * F.col("_a") + F.col("_b"), F.lit(n))
+    moved = copies.withColumn("_src", src).join(long_vals, ["_src", "_fi"], "inner")
+    moved = moved.withColumns({
+        f: F.when(F.col("_fi") == i, F.col("_pv")).otherwise(F.col(f).cast("double"))
+        for i, f in enumerate(feats)}).drop("_src", "_pv", "_a", "_b")
+    baseline = base.withColumns({"_fi": F.lit(-1), "_rep": F.lit(-1)}).withColumns(
+        {f: F.col(f).cast("double") for f in feats})
+    scored = predict(model, baseline.unionByName(moved))
+    mse = scored.groupBy("_fi", "_rep").agg(
         F.avg(squared_error(label, "prediction")).alias("_mse"))
-    b0 = mse.where(F.col("_rep") == -1).select(F.col("_mse").alias("baseline_mse"))
-    per = mse.where(F.col("_rep") >= 0)
+    b0 = mse.where(F.col("_fi") == -1).select(F.col("_mse").alias("baseline_mse"))
+    per = mse.where(F.col("_fi") >= 0)
     # b0 is one row
     out = per.withColumn("_k", F.lit(1)).join(F.broadcast(b0.withColumn("_k", F.lit(1))), "_k")
     out = out.withColumn("_imp", F.col("_mse") - F.col("baseline_mse"))
-    res = out.groupBy(F.col("_feature").alias("feature")).agg(
+    names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("_fi") + 1)
+    return out.groupBy(names.alias("feature")).agg(
         F.avg("_imp").alias("importance_mean"), F.stddev_pop("_imp").alias("importance_std"),
         F.first("baseline_mse").alias("baseline_mse"))
-    return res

@@ -67,6 +67,33 @@ def _numeric_key(df: DataFrame, o) -> Column | None:
              .when(F.isnan(k), F.lit(float("inf"))).otherwise(k))
 
 
+# Above this many blocks the bounds come from a sample instead of a quantile
+# sketch, whose size grows with the precision that many blocks need.
+SKETCH_MAX_BLOCKS = 2000
+SAMPLE_PER_BLOCK = 50
+
+
+def _bounds(probe: DataFrame, n: int) -> list[float]:
+    """``n - 1`` increasing cut points splitting column ``_k`` into n near-equal parts.
+
+    Up to SKETCH_MAX_BLOCKS blocks: an approximate-quantile sketch with rank
+    error 1/(20n).  Beyond: a seeded Bernoulli sample of about
+    SAMPLE_PER_BLOCK values per block (the size of the list collected is
+    bounded by that product, whatever the table size), sorted on the driver.
+    """
+    probs = [i / n for i in range(1, n)]
+    if n <= SKETCH_MAX_BLOCKS:
+        return probe.approxQuantile("_k", probs, 1.0 / (20 * n))
+    total = probe.count()
+    if total == 0:
+        return []
+    frac = min(1.0, SAMPLE_PER_BLOCK * n / total)
+    vals = sorted(r[0] for r in probe.sample(False, frac, seed=17).collect())
+    if not vals:
+        return []
+    return [vals[min(len(vals) - 1, int(p * len(vals)))] for p in probs]
+
+
 def _blocks(df: DataFrame, order_by: list, partition_by: list,
             n_blocks: int | None) -> DataFrame:
     """Add ``_blk``: blocks that are contiguous ranges of the row order.
@@ -84,7 +111,7 @@ def _blocks(df: DataFrame, order_by: list, partition_by: list,
     key = _numeric_key(df, order_by[0]) if order_by else None
     if key is not None and n > 1:
         probe = df.select(key.alias("_k")).where(~F.col("_k").isin(float("-inf"), float("inf")))
-        bounds = probe.approxQuantile("_k", [i / n for i in range(1, n)], 1.0 / (20 * n))
+        bounds = _bounds(probe, n)
         if not bounds:
             return df.withColumn("_blk", F.lit(0))
         if len(set(bounds)) == len(bounds):

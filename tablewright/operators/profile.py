@@ -201,3 +201,20 @@ def head(df: DataFrame, n: int, order_by) -> DataFrame:
     """First ``n`` rows in an explicit order (a distributed top-n)."""
     ob = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
     return df.orderBy(*ob).limit(n)
+
+
+def partition_check(df: DataFrame, c: str, groups: Mapping[str, Sequence]) -> DataFrame:
+    """Check that named value lists split a column's distinct values exactly.
+
+    One row: distinct non-null values in the column, how many fall in each
+    list, how many in several lists, and how many in none (all from one
+    aggregate over the distinct values).
+    """
+    names = list(groups)
+    d = df.select(c).where(F.col(c).isNotNull()).distinct()
+    member = {n: F.col(c).isin(list(groups[n])).cast("int") for n in names}
+    hits = sum(member.values()) if names else F.lit(0)
+    return d.agg(F.count(F.lit(1)).alias("n_distinct"),
+                 *[F.sum(m).cast("bigint").alias(f"n_{n}") for n, m in member.items()],
+                 F.count_if(hits > 1).alias("n_overlap"),
+                 F.count_if(hits == 0).alias("n_uncovered"))

@@ -517,6 +517,22 @@ def _in_set(spark, d):
     return c.select("c_custkey", S.in_set_flag("c_nationkey", _NATIONS7).alias("flag"))
 
 
+_NATIONS_B = [n for n in range(25) if n not in _NATIONS7]
+
+
+@query("in_set_partition_check", f"""
+WITH d AS (SELECT DISTINCT c_nationkey FROM customer WHERE c_nationkey IS NOT NULL),
+m AS (SELECT c_nationkey, CASE WHEN c_nationkey IN ({", ".join(map(str, _NATIONS7))}) THEN 1 ELSE 0 END AS a,
+             CASE WHEN c_nationkey IN ({", ".join(map(str, _NATIONS_B))}) THEN 1 ELSE 0 END AS b FROM d)
+SELECT count(*) AS n_distinct, CAST(sum(a) AS BIGINT) AS n_listed, CAST(sum(b) AS BIGINT) AS n_rest,
+       count(*) FILTER (WHERE a + b > 1) AS n_overlap, count(*) FILTER (WHERE a + b = 0) AS n_uncovered
+FROM m
+""")
+def _partition_check(spark, d):
+    c = T.table(spark, d, "customer")
+    return profile.partition_check(c, "c_nationkey", {"listed": _NATIONS7, "rest": _NATIONS_B})
+
+
 @query("threshold_flag", """
 SELECT o_orderkey, CASE WHEN year(o_orderdate) >= 1999 THEN 1 ELSE 0 END AS new_flag FROM orders
 """)

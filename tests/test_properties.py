@@ -94,3 +94,14 @@ def test_quantiles_match_numpy_weights(spark, vals, probs):
     got = list(ordered.quantiles(df, "x", probs).first())
     exp = np.quantile(np.array(vals), probs)
     assert np.allclose(got, exp, rtol=1e-12, atol=1e-9)
+
+
+def test_sampled_bounds_path(spark, monkeypatch):
+    from tablewright.operators import ordered as O
+    monkeypatch.setattr(O, "SKETCH_MAX_BLOCKS", 2)
+    df = spark.range(0, 3000).withColumn("v", F.when(F.col("id") % 4 == 0, None).otherwise(F.col("id") * 1.0))
+    out = O.interpolate_linear(df, ["v"], ["id"], n_blocks=6).toPandas().sort_values("id")
+    assert out["v"].iloc[0] != out["v"].iloc[0]  # leading null stays
+    assert (out["v"].iloc[1:].to_numpy() == out["id"].iloc[1:].to_numpy() * 1.0).all()
+    r = O.with_row_id(df, ["id"], n_blocks=6).toPandas().sort_values("id")
+    assert (r["row_id"].to_numpy() == r["id"].to_numpy()).all()
