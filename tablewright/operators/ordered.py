@@ -18,6 +18,7 @@ with ties the relative position of tied rows is not defined.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -110,11 +111,11 @@ def _blocks(df: DataFrame, order_by: list, partition_by: list,
     n = n_blocks or shuffle_partitions(df.sparkSession)
     key = _numeric_key(df, order_by[0]) if order_by else None
     if key is not None and n > 1:
-        probe = df.select(key.alias("_k")).where(~F.col("_k").isin(float("-inf"), float("inf")))
-        bounds = _bounds(probe, n)
-        if not bounds:
-            return df.withColumn("_blk", F.lit(0))
-        if len(set(bounds)) == len(bounds):
+        # nulls / NaN stay in the probe as -inf / +inf: if they are many, the
+        # bounds repeat and the full-key range partitioning below takes over
+        bounds = _bounds(df.select(key.alias("_k")), n)
+        finite = bool(bounds) and all(math.isfinite(b) for b in bounds)
+        if finite and len(set(bounds)) == len(bounds):
             from pyspark.ml.feature import Bucketizer
             splits = [float("-inf"), *bounds, float("inf")]
             bz = Bucketizer(splits=splits, inputCol="_bk", outputCol="_blkd", handleInvalid="keep")

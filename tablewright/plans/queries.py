@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from tablewright.functions import scalar as S
 from tablewright.operators import align, clean, distribution, encode, evaluate, ordered, profile, split
 from tablewright.plans import standins as T
+from tablewright.session import checkpoint_dir
+from tablewright.sources import tables as io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -839,3 +841,18 @@ def _density(spark, d):
     r = distribution.density(T.events_tagged(spark, d), "value", 200, 3.0, group="is_test")
     return r.select("is_test", "point", S.round_half_even("x", 6).alias("x"),
                     S.round_half_even("density", 12).alias("density"))
+
+
+# ==== sources and sinks (O01, O03) =========================================
+
+@query("csv_roundtrip", """
+SELECT CAST(trunc(o_totalprice) AS BIGINT) AS target FROM orders
+""")
+def _csv_roundtrip(spark, d):
+    """Write a prediction file (one truncated column, header, key order) to the
+    shared checkpoint folder and read it back as a CSV source with a schema."""
+    import uuid
+    o = T.table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("target"))
+    path = checkpoint_dir(spark).rstrip("/") + f"/predictions/{uuid.uuid4().hex}"
+    io.write_predictions(o, path, row_id="o_orderkey", c="target")
+    return io.read_table(spark, path, schema="target bigint", fmt="csv")

@@ -105,3 +105,19 @@ def test_sampled_bounds_path(spark, monkeypatch):
     assert (out["v"].iloc[1:].to_numpy() == out["id"].iloc[1:].to_numpy() * 1.0).all()
     r = O.with_row_id(df, ["id"], n_blocks=6).toPandas().sort_values("id")
     assert (r["row_id"].to_numpy() == r["id"].to_numpy()).all()
+
+
+def test_blocks_split_text_and_null_heavy_keys(spark):
+    from tablewright.operators import ordered as O
+    # text codes: the leading numeric sort key is null for every row
+    df = spark.createDataFrame([(f"v{i:04d}",) for i in range(500)], "c string")
+    m = encode.label_fit(df, ["c"], keep=False)
+    blocks = O._blocks(m.select("_ord", "value", "column"), ["_ord", "value"], ["column"], 5)
+    assert blocks.select("_blk").distinct().count() > 1
+    codes = sorted((r["value"], r["code"]) for r in m.collect())
+    assert [c for _, c in codes] == list(range(500))
+    # a key that is mostly null still splits (range fallback) and numbers correctly
+    d2 = spark.createDataFrame([(None if i % 10 else float(i), i) for i in range(400)], "k double, u bigint")
+    r = O.with_row_id(d2, ["k", "u"], n_blocks=4).toPandas()
+    r = r.sort_values(["k", "u"], na_position="first")
+    assert r["row_id"].tolist() == list(range(400))
