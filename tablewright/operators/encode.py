@@ -43,9 +43,45 @@ def _ranked(values: DataFrame, offset: DataFrame | None = None) -> DataFrame:
     return r.select("column", "value", F.col("code").cast("bigint"), "_ord")
 
 
-def label_fit(df: DataFrame, cols: Sequence[str], keep: bool = True) -> DataFrame:
-    """Fit label codes for ``cols`` on all rows of ``df``."""
-    m = _ranked(_distinct_values(df, cols))
+# Vocabularies up to this many values are ranked on the driver after one
+# bounded collect; larger ones are ranked by the distributed ordered plan.
+SMALL_VOCABULARY = 10_000
+_MAP_DDL = "column string, value string, code bigint, _ord double"
+
+
+def _sort_key(r):
+    # numeric columns by number, text by code point (UTF-8 byte order agrees)
+    return (r["column"], r["_ord"] is not None, r["_ord"] if r["_ord"] is not None else 0.0,
+            r["value"])
+
+
+def _small_ranked(values: DataFrame, limit: int, base: dict | None = None):
+    """Rank distinct values on the driver when there are at most ``limit``."""
+    rows = values.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
+    out, nxt = [], dict(base or {})
+    for r in sorted(rows, key=_sort_key):
+        c = r["column"]
+        code = nxt.get(c, 0)
+        nxt[c] = code + 1
+        out.append((c, r["value"], code, r["_ord"]))
+    return values.sparkSession.createDataFrame(out, _MAP_DDL)
+
+
+def label_fit(df: DataFrame, cols: Sequence[str], keep: bool = True,
+              small_limit: int = SMALL_VOCABULARY) -> DataFrame:
+    """Fit label codes for ``cols`` on all rows of ``df``.
+
+    Distinct values are found with one distributed aggregate.  Up to
+    ``small_limit`` of them are ranked on the driver; more are ranked by the
+    block-ordered plan and the mapping is checkpointed.
+    """
+    vals = _distinct_values(df, cols)
+    small = _small_ranked(vals, small_limit) if small_limit else None
+    if small is not None:
+        return small
+    m = _ranked(vals)
     return materialize(m) if keep else m
 
 
@@ -60,6 +96,12 @@ def label_extend(mapping: DataFrame, df: DataFrame, cols: Sequence[str] | None =
     new = _distinct_values(df, cols).join(mapping.select("column", "value"),
                                           ["column", "value"], "left_anti")
     base = mapping.groupBy("column").agg((F.max("code") + 1).alias("_base"))
+    base_rows = {r["column"]: r["_base"] for r in base.collect()}  # one row per column
+    small = _small_ranked(new, SMALL_VOCABULARY, base_rows)
+    if small is not None:
+        known = mapping.select("column", "value", "code", "_ord")
+        out = known.unionByName(small)
+        return materialize(out) if keep and mapping.count() > SMALL_VOCABULARY else out
     out = mapping.select("column", "value", "code", "_ord").unionByName(_ranked(new, base))
     return materialize(out) if keep else out
 

@@ -45,7 +45,13 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
     lab = label
     # MLlib evaluates its input several times (metadata, split candidates,
     # binning); keep the narrowed input once instead of recomputing its plan
-    train = df.select(*dict.fromkeys([*feats, label])).persist(StorageLevel.MEMORY_AND_DISK)
+    train = df.select(*dict.fromkeys([*feats, label]))
+    # tree levels aggregate per input partition: spread an input that has
+    # fewer partitions than the cluster has cores (large inputs are left alone)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < cores:
+        train = train.repartition(cores)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     stages = [VectorAssembler(inputCols=feats, outputCol=FEATURES)]
     if target_transform == "log1p":
         lab = "_label_t"

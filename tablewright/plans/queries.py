@@ -437,6 +437,18 @@ def _label_encode(spark, d):
     return encode.label_transform(p, m, ["p_brand", "p_type", "p_size"])
 
 
+@query("label_encode_distributed", """
+SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS BIGINT) AS o_custkey,
+       CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS BIGINT) AS o_orderpriority
+FROM orders
+""")
+def _label_encode_distributed(spark, d):
+    # the ranking plan for vocabularies too large to rank on the driver
+    o = T.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    m = encode.label_fit(o, ["o_custkey", "o_orderpriority"], small_limit=0)
+    return encode.label_transform(o, m, ["o_custkey", "o_orderpriority"])
+
+
 _YMTXT = f"CAST({YM} AS VARCHAR)"
 
 

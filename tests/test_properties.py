@@ -111,7 +111,7 @@ def test_blocks_split_text_and_null_heavy_keys(spark):
     from tablewright.operators import ordered as O
     # text codes: the leading numeric sort key is null for every row
     df = spark.createDataFrame([(f"v{i:04d}",) for i in range(500)], "c string")
-    m = encode.label_fit(df, ["c"], keep=False)
+    m = encode.label_fit(df, ["c"], keep=False, small_limit=0)
     blocks = O._blocks(m.select("_ord", "value", "column"), ["_ord", "value"], ["column"], 5)
     assert blocks.select("_blk").distinct().count() > 1
     codes = sorted((r["value"], r["code"]) for r in m.collect())

@@ -247,3 +247,17 @@ def test_density_integrates_to_one(spark):
     p = d["x"][77]
     direct = np.exp(-0.5 * ((p - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi))
     assert d["density"][77] == pytest.approx(direct, rel=1e-12)
+
+
+def test_label_fit_small_and_large_paths_agree(spark):
+    df = spark.createDataFrame([(f"k{i % 37}", i % 11, float(i % 5) / 2) for i in range(300)],
+                               "a string, b int, c double")
+    small = encode.label_fit(df, ["a", "b", "c"])
+    large = encode.label_fit(df, ["a", "b", "c"], small_limit=0)
+    key = lambda m: sorted((r["column"], r["value"], r["code"]) for r in m.collect())
+    assert key(small) == key(large)
+    test = spark.createDataFrame([("zz", 99, 7.5), ("k1", 1, 0.5), ("aa", -1, 9.0)], "a string, b int, c double")
+    e1 = key(encode.label_extend(small, test, ["a", "b", "c"]))
+    e2 = key(encode.label_extend(large, test, ["a", "b", "c"]))
+    assert e1 == e2
+    assert ("b", "-1", 11) in e1 and ("b", "99", 12) in e1 and ("a", "aa", 37) in e1
