@@ -1 +1 @@
-"""Plans: the reference's pipelines as compositions, and the driver queries."""
+"""Plans: the reference's end-to-end jobs as compositions, and the driver queries."""

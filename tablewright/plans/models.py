@@ -1,4 +1,4 @@
-"""Model queries (O04, O05, O50, O52–O56, O03) and the three pipelines.
+"""Model queries (O04, O05, O50, O52–O56, O03) and the reference's three end-to-end jobs.
 
 No SQL engine can state a forest's output, so these register without an
 oracle; the driver checks their row counts and the tests check seeds,
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import scalar as S
 from tablewright.operators import encode, model
 from tablewright.operators.evaluate import rmse
-from tablewright.plans import pipelines as P
+from tablewright.plans import jobs as P
 from tablewright.plans import standins as T
 from tablewright.plans.queries import query
 from tablewright.session import checkpoint_dir
@@ -88,21 +88,21 @@ def _save_load(spark, d):
         "o_orderkey", S.truncate_int("prediction").alias("target"))
 
 
-@query("pipeline_baseline")
+@query("baseline_job_predictions")
 def _pipe_a(spark, d):
     return P.orders_baseline(spark, d, trees=10, max_depth=8, permutation_repeats=0)["predictions"]
 
 
-@query("pipeline_compact")
+@query("compact_job_predictions")
 def _pipe_b(spark, d):
     return P.orders_compact(spark, d, trees_validate=5, trees_final=10, max_depth=8)["predictions"]
 
 
-@query("pipeline_period")
+@query("period_job_predictions")
 def _pipe_c(spark, d):
     return P.orders_period(spark, d, trees=10, max_depth=8)["predictions"]
 
 
-@query("pipeline_period_rmse")
+@query("period_job_rmse")
 def _pipe_c_rmse(spark, d):
     return P.orders_period(spark, d, trees=10, max_depth=8)["rmse"]
