@@ -111,7 +111,7 @@ def _only(only) -> Column:
 
 
 def iqr_bounds(df: DataFrame, c: str, k: float = 1.5, only=None,
-               method: str = "rank") -> tuple[float, float]:
+               method: str = "auto") -> tuple[float, float]:
     """(q1 - k*iqr, q3 + k*iqr) over the rows selected by ``only``."""
     src = df.where(_only(only)) if only is not None else df
     q1, q3 = quantile_values(src, c, [0.25, 0.75], method=method)
@@ -122,7 +122,7 @@ def iqr_bounds(df: DataFrame, c: str, k: float = 1.5, only=None,
 
 
 def trim_outliers_iqr(df: DataFrame, c: str, k: float = 1.5, only="is_test = 0",
-                      method: str = "rank") -> DataFrame:
+                      method: str = "auto") -> DataFrame:
     """Remove rows outside the inclusive IQR fences, among ``only`` rows only.
 
     Fences come from the ``only`` rows (training rows); other rows are kept

@@ -261,8 +261,13 @@ def _pname(p: float) -> str:
     return "p" + s.replace(".", "_")
 
 
+# `auto` uses Spark's exact `percentile` only when no group has more distinct
+# values than this (its final merge holds one map entry per distinct value).
+EXACT_MAP_MAX_DISTINCT = 1_000_000
+
+
 def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
-              method: str = "rank", names: Sequence[str] | None = None,
+              method: str = "auto", names: Sequence[str] | None = None,
               accuracy: int = 10000) -> DataFrame:
     """Quantiles with linear interpolation between order statistics.
 
@@ -278,12 +283,21 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
                       every distinct value of a group in one task, so use it only
                       for columns of bounded cardinality.
       ``approx``      ``percentile_approx`` (rank error about n/accuracy).
+      ``auto``        (default) one HyperLogLog pass measures the largest
+                      per-group distinct count; up to EXACT_MAP_MAX_DISTINCT
+                      (with a margin for the estimate) ``percentile`` is used,
+                      above it ``rank``.  Both are exact and give identical
+                      values.
     """
     G = _cols(group)
     names = list(names or [_pname(p) for p in probs])
     x = F.col(c) if isinstance(c, str) else c
     v = df.select(*G, x.cast("double").alias("_x")).where(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
+    if method == "auto":
+        mx = (v.groupBy(*G).agg(F.approx_count_distinct("_x", 0.02).alias("_d"))
+               .agg(F.max("_d")).first()[0])
+        method = "percentile" if (mx or 0) * 1.1 <= EXACT_MAP_MAX_DISTINCT else "rank"
     if method == "percentile":
         a = v.groupBy(*G).agg(F.percentile("_x", list(probs)).alias("_q"))
         return a.select(*G, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -314,7 +328,7 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
     return a.select(*G, *outs)
 
 
-def quantile_values(df: DataFrame, c, probs: Sequence[float], method: str = "rank") -> list[float]:
+def quantile_values(df: DataFrame, c, probs: Sequence[float], method: str = "auto") -> list[float]:
     """Ungrouped quantiles collected to the driver (one row, len(probs) values)."""
     row = quantiles(df, c, probs, None, method, names=[f"q{i}" for i in range(len(probs))]).collect()
     if not row:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordered import quantiles
+from tablewright.session import nullsafe_join
 
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -72,9 +73,12 @@ def column_kinds(df: DataFrame) -> DataFrame:
 
     Decided from the schema alone (no data is read).
     """
-    rows = [(f.name, "continuous" if isinstance(f.dataType, T.NumericType) else "categorical")
-            for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column string, kind string")
+    pairs = [F.struct(F.lit(f.name).alias("column"),
+                      F.lit("continuous" if isinstance(f.dataType, T.NumericType)
+                            else "categorical").alias("kind"))
+             for f in df.schema.fields]
+    # one literal row per column, built on the JVM side
+    return df.sparkSession.range(1).select(F.inline(F.array(*pairs)))
 
 
 def kind_lists(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -142,7 +146,7 @@ DEFAULT_PERCENTILES = (0.25, 0.5, 0.75)
 
 
 def describe(df: DataFrame, c: str, percentiles: Sequence[float] = DEFAULT_PERCENTILES,
-             as_int: bool = False, method: str = "rank", group=None) -> DataFrame:
+             as_int: bool = False, method: str = "auto", group=None) -> DataFrame:
     """count, mean, sample std, min, percentiles, max of one column.
 
     The moments come from one aggregate; percentiles from `quantiles`.  With
@@ -157,7 +161,7 @@ def describe(df: DataFrame, c: str, percentiles: Sequence[float] = DEFAULT_PERCE
     ps = list(percentiles)
     qn = [f"p{round(p * 100, 6):g}".replace(".", "_") for p in ps]
     q = quantiles(ok, c, ps, G, method=method, names=qn)
-    out = mom.join(q, G, "left") if G else _one_row_join(mom, q)
+    out = nullsafe_join(mom, q, G, "left") if G else _one_row_join(mom, q)
     stats = ["count", "mean", "std", "min", *qn, "max"]
     sel = [*G] + [F.col(s) for s in stats]
     out = out.select(*sel)

@@ -261,3 +261,18 @@ def test_label_fit_small_and_large_paths_agree(spark):
     e2 = key(encode.label_extend(large, test, ["a", "b", "c"]))
     assert e1 == e2
     assert ("b", "-1", 11) in e1 and ("b", "99", 12) in e1 and ("a", "aa", 37) in e1
+
+
+def test_quantile_methods_identical_on_data(spark):
+    from tests.conftest import SF_SMALL
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    probs = [0.1, 0.25, 0.5, 0.75, 0.9]
+    r = {m: ordered.quantiles(li, "l_extendedprice", probs, "l_returnflag", method=m)
+              .orderBy("l_returnflag").collect() for m in ("rank", "percentile", "auto")}
+    assert r["rank"] == r["percentile"] == r["auto"]
+
+
+def test_describe_grouped_null_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, x double")
+    out = {r["g"]: r for r in profile.describe(df, "x", [0.5], group="g").collect()}
+    assert out[None]["p50"] == 2.0 and out[None]["count"] == 2 and out["a"]["p50"] == 2.0
