@@ -24,18 +24,31 @@ from tablewright.sources import tables as io
 FOREST_ARGS = {"max_depth": 8, "seed": 1}
 
 
-def orders_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
-    """Numeric feature table for the forest queries (train period only)."""
+def _orders_derived(spark: SparkSession, sf_dir: str, train: bool) -> DataFrame:
     o = T.with_ym(T.table(spark, sf_dir, "orders"))
-    o = o.where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
+    before = T.ts_before("o_orderdate", T.ORDERS_CUTOFF)
+    o = o.where(before if train else ~before)
     o = S.split_yyyymm(o, "ym", drop=False)
-    o = o.withColumns({"new_flag": S.threshold_flag("cont_year", 1999),
-                       "urgent": S.in_set_flag("o_orderpriority", ["1-URGENT", "2-HIGH"])})
-    m = encode.label_fit(o, ["o_orderstatus", "o_orderpriority"])
-    o = encode.label_transform(o, m, ["o_orderstatus", "o_orderpriority"])
-    feats = ["o_custkey", "o_orderstatus", "o_orderpriority", "cont_year", "cont_month",
-             "new_flag", "urgent"]
-    return o.select("o_orderkey", "o_totalprice", *feats), feats
+    return o.withColumns({"new_flag": S.threshold_flag("cont_year", 1999),
+                          "urgent": S.in_set_flag("o_orderpriority", ["1-URGENT", "2-HIGH"])})
+
+
+FEATURES = ["o_custkey", "o_orderstatus", "o_orderpriority", "cont_year", "cont_month",
+            "new_flag", "urgent"]
+CODED = ["o_orderstatus", "o_orderpriority"]
+
+
+def orders_features(spark: SparkSession, sf_dir: str, with_mapping: bool = False):
+    """Numeric feature table for the forest queries (train period only).
+
+    Label codes are fitted on the training rows and extended with the test
+    rows' unseen values, so train and test codes come from one mapping.
+    """
+    tr = _orders_derived(spark, sf_dir, True)
+    m = encode.label_fit(tr, CODED)
+    m = encode.label_extend(m, _orders_derived(spark, sf_dir, False), CODED)
+    out = encode.label_transform(tr, m, CODED).select("o_orderkey", "o_totalprice", *FEATURES)
+    return (out, FEATURES, m) if with_mapping else (out, FEATURES)
 
 
 @query("forest_holdout_rmse")
@@ -73,17 +86,12 @@ def _permutation(spark, d):
 
 @query("save_load_predict")
 def _save_load(spark, d):
-    df, feats = orders_features(spark, d)
+    df, feats, mapping = orders_features(spark, d, with_mapping=True)
     m = model.fit_forest(df, feats, "o_totalprice", num_trees=5, **FOREST_ARGS)
     path = checkpoint_dir(spark).rstrip("/") + f"/models/{uuid.uuid4().hex}"
     io.save_model(m, path)
     back = io.load_model(path)
-    test = T.with_ym(T.table(spark, d, "orders")).where(~T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
-    test = S.split_yyyymm(test, "ym", drop=False).withColumns({
-        "new_flag": S.threshold_flag("cont_year", 1999),
-        "urgent": S.in_set_flag("o_orderpriority", ["1-URGENT", "2-HIGH"])})
-    mp = encode.label_fit(test, ["o_orderstatus", "o_orderpriority"])
-    test = encode.label_transform(test, mp, ["o_orderstatus", "o_orderpriority"])
+    test = encode.label_transform(_orders_derived(spark, d, False), mapping, CODED)
     return model.predict(back, test).select(
         "o_orderkey", S.truncate_int("prediction").alias("target"))
 
