@@ -4,12 +4,13 @@ evaluate, distribution."""
 from tablewright.operators.align import conform_to, same_width, split_tagged, tag_union
 from tablewright.operators.clean import (
     blank_to_null, bound_counts, cast_columns, drop, drop_sparse_columns, fill_constant,
-    iqr_bounds, project, rename, sentinels_to_null, trim_outliers_bound, trim_outliers_iqr,
-    trim_outliers_ratio, where, where_in,
+    iqr_bounds, project, rename, rows_missing, sentinels_to_null, trim_outliers_bound,
+    trim_outliers_iqr, trim_outliers_ratio, where, where_in,
 )
 from tablewright.operators.distribution import box_summary, density, histogram, sample_n
 from tablewright.operators.encode import (
     label_extend, label_fit, label_inverse, label_transform, levels, one_hot, one_hot_names,
+    one_hot_vector,
 )
 from tablewright.operators.evaluate import (
     compare_joined, compare_predictions, diff_tables, differing_rows, extremes_by, rmse,

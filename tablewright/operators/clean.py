@@ -18,7 +18,7 @@ __all__ = [
     "sentinels_to_null", "blank_to_null", "interpolate_linear", "fill_constant",
     "drop_sparse_columns", "cast_columns", "rename", "project", "drop", "where",
     "where_in", "trim_outliers_iqr", "iqr_bounds", "trim_outliers_bound",
-    "bound_counts", "trim_outliers_ratio",
+    "bound_counts", "trim_outliers_ratio", "rows_missing",
 ]
 
 
@@ -161,3 +161,13 @@ def trim_outliers_ratio(df: DataFrame, num: str, den: str, upper: float,
     """Keep ``only`` rows with num/den < upper (a zero or null den removes the row)."""
     inside = F.coalesce(ratio(num, den) < F.lit(upper), F.lit(False))
     return df.where(~_only(only) | inside)
+
+
+def rows_missing(df: DataFrame, c: str, keep: Sequence[str] | None = None) -> DataFrame:
+    """Work list of rows whose ``c`` is null (or NaN), projected to ``keep``."""
+    x = F.col(c)
+    miss = x.isNull()
+    if dict(df.dtypes).get(c) in ("double", "float"):
+        miss = miss | F.isnan(x)
+    out = df.where(miss)
+    return out.select(*keep) if keep else out

@@ -185,3 +185,34 @@ def one_hot(df: DataFrame, cols: Sequence[str], values: Mapping[str, Sequence] |
         rest = [x for x in df.columns if x not in cols]
         out = out.select(*rest, *new.keys())
     return out
+
+
+def one_hot_vector(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
+                   suffix: str = "_vec", drop_first: bool = False) -> DataFrame:
+    """One-hot as sparse vectors for model input (one column per category column).
+
+    Codes come from a label mapping (so train and test share positions); a
+    vector has one slot per fitted level, an unseen or null value gives the
+    all-zero vector, and ``drop_first`` removes the slot of code 0.  Many
+    levels cost one sparse vector instead of one column per level.
+    """
+    from pyspark.ml.feature import OneHotEncoder
+
+    coded = label_transform(df, mapping, cols, suffix="_code")
+    sizes = {r["column"]: r["n"] for r in
+             mapping.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = coded
+    for c in cols:
+        code = F.col(f"{c}_code")
+        n = sizes.get(c, 0)
+        # shift so the first level can be dropped, and send unseen/null to the
+        # extra slot that the encoder drops (dropLast)
+        idx = code - 1 if drop_first else code
+        width = n - 1 if drop_first else n
+        idx = F.when(code.isNull() | (idx < 0), F.lit(width)).otherwise(idx)
+        out = out.withColumn(f"_{c}_idx", idx.cast("double"))
+        enc = OneHotEncoder(inputCol=f"_{c}_idx", outputCol=c + suffix, dropLast=True,
+                            handleInvalid="error")
+        out = enc.fit(out.sparkSession.range(1).select(F.lit(float(width)).alias(f"_{c}_idx"))) \
+                 .transform(out).drop(f"_{c}_idx", f"{c}_code")
+    return out

@@ -612,8 +612,7 @@ def _ratio(spark, d):
 SELECT event_id, user_id FROM events WHERE event_type = 'error'
 """)
 def _missing(spark, d):
-    e = T.events_nulled(spark, d)
-    return e.where(F.col("value").isNull()).select("event_id", "user_id")
+    return clean.rows_missing(T.events_nulled(spark, d), "value", ["event_id", "user_id"])
 
 
 # ==== ordered operators (O02, O21) =========================================

@@ -276,3 +276,20 @@ def test_describe_grouped_null_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 2.0)], "g string, x double")
     out = {r["g"]: r for r in profile.describe(df, "x", [0.5], group="g").collect()}
     assert out[None]["p50"] == 2.0 and out[None]["count"] == 2 and out["a"]["p50"] == 2.0
+
+
+def test_one_hot_vector_matches_columns(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, "c"), (4, None)], "id int, s string")
+    m = encode.label_fit(df, ["s"])
+    test = spark.createDataFrame([(5, "a"), (6, "zz"), (7, "c")], "id int, s string")
+    for drop_first in (False, True):
+        v = encode.one_hot_vector(test, m, ["s"], drop_first=drop_first)
+        cols = encode.one_hot(test, ["s"], values={"s": ["a", "b", "c"]}, drop_first=drop_first)
+        got = {r["id"]: list(r["s_vec"].toArray()) for r in v.collect()}
+        exp = {r["id"]: [float(x) for x in r[1:]] for r in cols.collect()}
+        assert got == exp
+
+
+def test_rows_missing(spark):
+    df = spark.createDataFrame([(1, None), (2, float("nan")), (3, 1.0)], "id int, x double")
+    assert sorted(r[0] for r in clean.rows_missing(df, "x", ["id"]).collect()) == [1, 2]
