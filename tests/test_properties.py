@@ -121,3 +121,23 @@ def test_blocks_split_text_and_null_heavy_keys(spark):
     r = O.with_row_id(d2, ["k", "u"], n_blocks=4).toPandas()
     r = r.sort_values(["k", "u"], na_position="first")
     assert r["row_id"].tolist() == list(range(400))
+
+
+@pytest.mark.parametrize("name", ["interpolate_events", "interpolate_by_user", "row_id_orders",
+                                  "label_encode_distributed", "box_summary_events",
+                                  "describe_by_segment", "histogram_events", "trim_iqr_events",
+                                  "holdout", "sample_events"])
+def test_results_independent_of_shuffle_partitions(spark, name):
+    import __spark_entry__ as E
+    from tools.oracle_check import digest
+    q = E.queries()[name]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = set()
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            df = q(spark, SF_SMALL)
+            seen.add(digest(df.columns, [tuple(r) for r in df.collect()]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(seen) == 1
