@@ -224,7 +224,6 @@ def test_compare_predictions_null_semantics(spark):
 
 def test_histogram_and_box(spark):
     df = spark.createDataFrame([(float(x),) for x in [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 100]], "x double")
-    h = evaluate_hist = None  # noqa: F841
     from tablewright.operators import distribution as D
     h = D.histogram(df, "x", 4).orderBy("bin").collect()
     assert [r["count"] for r in h] == [11, 0, 0, 1]
