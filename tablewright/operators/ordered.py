@@ -261,9 +261,10 @@ def _pname(p: float) -> str:
     return "p" + s.replace(".", "_")
 
 
-# `auto` uses Spark's exact `percentile` only when no group has more distinct
-# values than this (its final merge holds one map entry per distinct value).
-EXACT_MAP_MAX_DISTINCT = 1_000_000
+# `auto` uses Spark's exact `percentile` only when the final merge of a group is
+# small: that one task receives one partial value map per input partition, so
+# its input is about (input partitions) x (distinct values of the group).
+EXACT_MAP_MAX_ENTRIES = 20_000_000
 
 
 def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
@@ -284,10 +285,10 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
                       for columns of bounded cardinality.
       ``approx``      ``percentile_approx`` (rank error about n/accuracy).
       ``auto``        (default) one HyperLogLog pass measures the largest
-                      per-group distinct count; up to EXACT_MAP_MAX_DISTINCT
-                      (with a margin for the estimate) ``percentile`` is used,
-                      above it ``rank``.  Both are exact and give identical
-                      values.
+                      per-group distinct count D; when (input partitions) x D
+                      stays under EXACT_MAP_MAX_ENTRIES (with a margin for the
+                      estimate) ``percentile`` is used, else ``rank``.  Both
+                      are exact and give identical values.
     """
     G = _cols(group)
     names = list(names or [_pname(p) for p in probs])
@@ -297,7 +298,8 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
     if method == "auto":
         mx = (v.groupBy(*G).agg(F.approx_count_distinct("_x", 0.02).alias("_d"))
                .agg(F.max("_d")).first()[0])
-        method = "percentile" if (mx or 0) * 1.1 <= EXACT_MAP_MAX_DISTINCT else "rank"
+        parts = v.rdd.getNumPartitions()
+        method = "percentile" if (mx or 0) * 1.1 * parts <= EXACT_MAP_MAX_ENTRIES else "rank"
     if method == "percentile":
         a = v.groupBy(*G).agg(F.percentile("_x", list(probs)).alias("_q"))
         return a.select(*G, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
