@@ -68,22 +68,26 @@ def _numeric_key(df: DataFrame, o) -> Column | None:
              .when(F.isnan(k), F.lit(float("inf"))).otherwise(k))
 
 
-# Above this many blocks the bounds come from a sample instead of a quantile
-# sketch, whose size grows with the precision that many blocks need.
+# Block bounds come from a quantile sketch only while it is cheap: the sketch
+# for b blocks holds about 20*b entries and one task merges one sketch per
+# input partition.  Otherwise they come from a bounded sample.
 SKETCH_MAX_BLOCKS = 2000
+SKETCH_MAX_MERGE = 20_000_000
 SAMPLE_PER_BLOCK = 50
 
 
 def _bounds(probe: DataFrame, n: int) -> list[float]:
     """``n - 1`` increasing cut points splitting column ``_k`` into n near-equal parts.
 
-    Up to SKETCH_MAX_BLOCKS blocks: an approximate-quantile sketch with rank
-    error 1/(20n).  Beyond: a seeded Bernoulli sample of about
-    SAMPLE_PER_BLOCK values per block (the size of the list collected is
-    bounded by that product, whatever the table size), sorted on the driver.
+    Small inputs: an approximate-quantile sketch with rank error 1/(20n)
+    (when n <= SKETCH_MAX_BLOCKS and partitions * 20n <= SKETCH_MAX_MERGE).
+    Otherwise: a count, then a seeded Bernoulli sample of about
+    SAMPLE_PER_BLOCK values per block sent straight from the tasks to the
+    driver (bounded by that product whatever the table size) and sorted there.
     """
     probs = [i / n for i in range(1, n)]
-    if n <= SKETCH_MAX_BLOCKS:
+    parts = probe.rdd.getNumPartitions()
+    if n <= SKETCH_MAX_BLOCKS and parts * 20 * n <= SKETCH_MAX_MERGE:
         return probe.approxQuantile("_k", probs, 1.0 / (20 * n))
     total = probe.count()
     if total == 0:
