@@ -141,3 +141,13 @@ def test_results_independent_of_shuffle_partitions(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert len(seen) == 1
+
+
+def test_sample_threshold_path_equals_direct(spark, monkeypatch):
+    from tablewright.operators import distribution as D
+    e = spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(6)
+    direct = sorted(r[0] for r in D.sample_n(e, 50, 42, "event_id").select("event_id").collect())
+    monkeypatch.setattr(D, "TOPN_DIRECT_MAX", 1)
+    thr = sorted(r[0] for r in D.sample_n(e, 50, 42, "event_id").select("event_id").collect())
+    assert direct == thr and len(thr) == 50
+    assert D.sample_n(e, 10 ** 6, 42, "event_id").count() == e.count()
