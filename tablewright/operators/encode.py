@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordered import with_row_id
-from tablewright.session import DEFAULT_BROADCAST_ROWS, materialize
+from tablewright.session import DEFAULT_BROADCAST_ROWS, join_bounded, materialize
 
 MAPPING_SCHEMA = "column string, value string, code bigint"
 
@@ -112,8 +112,8 @@ def _column_map(mapping: DataFrame, c: str) -> DataFrame:
 
 
 def _join(df: DataFrame, m: DataFrame, cond, max_rows: int) -> DataFrame:
-    n = m.count()
-    return df.join(F.broadcast(m) if n <= max_rows else m, cond, "left")
+    # m is a fitted (checkpointed or driver-built) mapping, so counting it is cheap
+    return join_bounded(df, m, cond, "left", max_rows)
 
 
 def label_transform(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
