@@ -136,18 +136,66 @@ def _blocks(df: DataFrame, order_by: list, partition_by: list,
               .persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def _join_summary(rows: DataFrame, summary: DataFrame, partition_by: list[str]) -> DataFrame:
+def _surrogate_default(t):
+    if isinstance(t, T.StringType):
+        return F.lit("")
+    if isinstance(t, T.BooleanType):
+        return F.lit(False)
+    if isinstance(t, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(0).cast(t) if isinstance(t, T.NumericType) else \
+            F.lit("1970-01-01").cast(t)
+    return None
+
+
+def _group_keys(df: DataFrame, partition_by: list[str]):
+    """Non-null stand-ins for nullable group keys: ``(isnull(g), coalesce(g, d))``.
+
+    Windows, the block summary and the join back all use these plain columns,
+    so the rows stay hash-partitioned on exactly the join keys and only the
+    small summary is moved for the join.  Returns None for key types without
+    a default (the null-safe join is used then).
+    """
+    cols, names = {}, []
+    for i, p in enumerate(partition_by):
+        d = _surrogate_default(df.schema[p].dataType)
+        if d is None:
+            return None
+        cols[f"_gn{i}"] = F.col(p).isNull()
+        cols[f"_gv{i}"] = F.coalesce(F.col(p), d)
+        names += [f"_gn{i}", f"_gv{i}"]
+    return cols, names
+
+
+def _keyed(df: DataFrame, partition_by: list):
+    """(frame with group stand-ins, keys for windows/joins, stand-in names, null-safe?)."""
+    names = _names(partition_by)
+    if not partition_by:
+        return df, [], [], False
+    if len(names) != len(partition_by):
+        raise ValueError("partition_by must be column names")
+    gk = _group_keys(df, names)
+    if gk is None:
+        return df, names, [], True
+    cols, keys = gk
+    return df.withColumns(cols), keys, keys, False
+
+
+def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str],
+                  nullsafe: bool = False) -> DataFrame:
     """Attach per-(group, block) summary columns to the rows.
 
-    Group keys are matched null-safe.  Without groups the summary has one row
-    per block, a bound fixed by ``n_blocks``, so it is broadcast.
+    Without groups the summary has one row per block, a bound fixed by
+    ``n_blocks``, so it is broadcast.  With group stand-in keys it is a plain
+    equi-join on (keys, block), which the rows' partitioning already satisfies.
     """
-    if not partition_by:
+    if not keys:
         return rows.join(F.broadcast(summary), "_blk", "inner")
-    ren = {p: f"_sk{i}" for i, p in enumerate(partition_by)}
+    if not nullsafe:
+        return rows.join(summary, [*keys, "_blk"], "inner")
+    ren = {p: f"_sk{i}" for i, p in enumerate(keys)}
     s = summary.withColumnsRenamed(ren)
     cond = [F.col("_blk") == F.col("_sblk")] + [
-        F.col(p).eqNullSafe(F.col(ren[p])) for p in partition_by]
+        F.col(p).eqNullSafe(F.col(ren[p])) for p in keys]
     s = s.withColumnRenamed("_blk", "_sblk")
     return rows.join(s, cond, "inner").drop("_sblk", *ren.values())
 
@@ -159,22 +207,20 @@ def with_row_id(df: DataFrame, order_by, partition_by=None, name: str = "row_id"
     ``group_size`` names an optional column holding the size of each row's group.
     """
     O, P = _cols(order_by), _cols(partition_by)
-    Pn = _names(P)
-    if len(Pn) != len(P):
-        raise ValueError("partition_by must be column names")
-    b = _blocks(df, O, P, n_blocks)
-    w = Window.partitionBy(*P, "_blk").orderBy(*O)
+    src, K, extra, nullsafe = _keyed(df, P)
+    b = _blocks(src, O, K, n_blocks)
+    w = Window.partitionBy(*K, "_blk").orderBy(*O)
     x = b.withColumn("_li", F.row_number().over(w) - 1)
-    summ = b.groupBy(*P, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
-    ws = Window.partitionBy(*P).orderBy("_blk")
+    summ = b.groupBy(*K, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
+    ws = Window.partitionBy(*K).orderBy("_blk")
     summ = summ.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(ws.rowsBetween(_UNB_P, -1)), F.lit(0)))
     if group_size:
-        summ = summ.withColumn(group_size, F.sum("_cnt").over(Window.partitionBy(*P)))
+        summ = summ.withColumn(group_size, F.sum("_cnt").over(Window.partitionBy(*K)))
     summ = summ.drop("_cnt")
-    out = _join_summary(x, summ, Pn)
+    out = _join_summary(x, summ, K, nullsafe)
     return out.withColumn(name, (F.col("_off") + F.col("_li")).cast("bigint")) \
-              .drop("_blk", "_li", "_off")
+              .drop("_blk", "_li", "_off", *extra)
 
 
 def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_by=None,
@@ -187,15 +233,15 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_b
     Non-null values are returned unchanged.
     """
     O, P = _cols(order_by), _cols(partition_by)
-    Pn = _names(P)
     cols = list(cols)
-    b = _blocks(df, O, P, n_blocks)
-    w = Window.partitionBy(*P, "_blk").orderBy(*O)
+    src, K, extra, nullsafe = _keyed(df, P)
+    b = _blocks(src, O, K, n_blocks)
+    w = Window.partitionBy(*K, "_blk").orderBy(*O)
     wp = w.rowsBetween(_UNB_P, _CUR)
     # "next non-null" is a running last() over the reversed order: a growing
     # frame evaluated in one pass (a frame ending at UNBOUNDED FOLLOWING is
     # re-aggregated for every row).  Same partitioning, so only a re-sort.
-    wn = Window.partitionBy(*P, "_blk").orderBy(*[_reverse(o) for o in O]).rowsBetween(_UNB_P, _CUR)
+    wn = Window.partitionBy(*K, "_blk").orderBy(*[_reverse(o) for o in O]).rowsBetween(_UNB_P, _CUR)
     x = b.withColumn("_li", F.row_number().over(w) - 1)
     vals = {}
     for i, c in enumerate(cols):
@@ -220,8 +266,8 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_b
                  F.max_by(f"_pv{i}", "_li").alias(f"_lpv{i}"),
                  F.min_by(f"_ni{i}", "_li").alias(f"_fni{i}"),
                  F.min_by(f"_nv{i}", "_li").alias(f"_fnv{i}")]
-    s = x.groupBy(*P, "_blk").agg(*aggs)
-    ws = Window.partitionBy(*P).orderBy("_blk")
+    s = x.groupBy(*K, "_blk").agg(*aggs)
+    ws = Window.partitionBy(*K).orderBy("_blk")
     s = s.withColumn("_off", F.coalesce(F.sum("_cnt").over(ws.rowsBetween(_UNB_P, -1)),
                                         F.lit(0)))
     glob = {}
@@ -237,9 +283,9 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_b
         carry[f"_cnp{i}"] = F.first(f"_fn{i}", True).over(after)
         carry[f"_cnv{i}"] = F.first(f"_fnv{i}", True).over(after)
     s = s.withColumns(carry).select(
-        *P, "_blk", "_off", *[f"_c{k}{i}" for i in range(len(cols)) for k in ("pp", "pv", "np", "nv")])
+        *K, "_blk", "_off", *[f"_c{k}{i}" for i in range(len(cols)) for k in ("pp", "pv", "np", "nv")])
 
-    y = _join_summary(x, s, Pn)
+    y = _join_summary(x, s, K, nullsafe)
     pos = (F.col("_off") + F.col("_li")).cast("double")
     out = {}
     for i, c in enumerate(cols):
