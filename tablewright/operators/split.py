@@ -16,17 +16,44 @@ from tablewright.operators.clean import where_in
 RESOLUTION = 1_000_000
 
 
-def holdout_mask(key, frac: float = 0.2, seed: int = 2023) -> Column:
-    """True for the rows that go to the holdout (about ``frac`` of them)."""
+# Fixed values of the universal hash family: the Mersenne prime 2^31 - 1.
+UNIVERSAL_PRIME = 2_147_483_647
+
+
+def universal_params(seed: int) -> tuple[int, int]:
+    """Seeded (a, b) with 1 <= a < p and 0 <= b < p."""
+    import random
+    rng = random.Random(int(seed))
+    return rng.randrange(1, UNIVERSAL_PRIME), rng.randrange(0, UNIVERSAL_PRIME)
+
+
+def universal_hash(key, seed: int) -> Column:
+    """((a * (k mod p)) + b) mod p for an integer key: exact 64-bit integer
+    arithmetic (a, k mod p < 2^31), so any SQL engine reproduces it."""
+    a, b = universal_params(seed)
+    p = F.lit(UNIVERSAL_PRIME).cast("bigint")
+    k = F.pmod(F.col(key) if isinstance(key, str) else key, p)
+    return F.pmod(k * F.lit(a).cast("bigint") + F.lit(b).cast("bigint"), p)
+
+
+def holdout_mask(key, frac: float = 0.2, seed: int = 2023, method: str = "xxhash64") -> Column:
+    """True for the rows that go to the holdout (about ``frac`` of them).
+
+    ``xxhash64`` works for any key columns; ``universal`` (one integer key)
+    is reproducible outside Spark.
+    """
+    if method == "universal":
+        u = F.pmod(universal_hash(key, seed), F.lit(RESOLUTION))
+        return u < F.lit(int(round(frac * RESOLUTION)))
     k = [key] if isinstance(key, (str, Column)) else list(key)
     u = F.pmod(F.xxhash64(*k, F.lit(int(seed))), F.lit(RESOLUTION))
     return u < F.lit(int(round(frac * RESOLUTION)))
 
 
 def holdout_split(df: DataFrame, frac: float = 0.2, seed: int = 2023,
-                  key="row_id") -> tuple[DataFrame, DataFrame]:
+                  key="row_id", method: str = "xxhash64") -> tuple[DataFrame, DataFrame]:
     """(train, holdout): seeded hash of ``key``; holdout size is about ``frac``."""
-    m = holdout_mask(key, frac, seed)
+    m = holdout_mask(key, frac, seed, method)
     return df.where(~m), df.where(m)
 
 

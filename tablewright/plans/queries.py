@@ -665,6 +665,34 @@ def _holdout(spark, d):
                     .cast("int").alias("is_holdout"))
 
 
+_A23, _B23 = split.universal_params(2023)
+_A42, _B42 = split.universal_params(42)
+
+
+def _uhash_sql(k: str, a: int, b: int) -> str:
+    p = split.UNIVERSAL_PRIME
+    return f"((((({k} % {p}) + {p}) % {p}) * {a} + {b}) % {p})"
+
+
+@query("holdout_universal", f"""
+SELECT o_orderkey, CAST(({_uhash_sql('o_orderkey', _A23, _B23)} % 1000000) < 200000 AS INTEGER) AS is_holdout
+FROM orders WHERE {TRAIN}
+""")
+def _holdout_universal(spark, d):
+    o = T.table(spark, d, "orders").where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
+    return o.select("o_orderkey", split.holdout_mask("o_orderkey", 0.2, 2023, "universal")
+                    .cast("int").alias("is_holdout"))
+
+
+@query("sample_events_universal", f"""
+SELECT event_id, value FROM events
+ORDER BY {_uhash_sql('event_id', _A42, _B42)}, event_id LIMIT 1000
+""")
+def _sample_universal(spark, d):
+    return distribution.sample_n(T.table(spark, d, "events"), 1000, seed=42, key="event_id",
+                                 method="universal").select("event_id", "value")
+
+
 _VALID_MONTHS = [200001, 200002, 200003, 200004, 200005, 200006]
 
 

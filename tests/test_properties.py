@@ -151,3 +151,15 @@ def test_sample_threshold_path_equals_direct(spark, monkeypatch):
     thr = sorted(r[0] for r in D.sample_n(e, 50, 42, "event_id").select("event_id").collect())
     assert direct == thr and len(thr) == 50
     assert D.sample_n(e, 10 ** 6, 42, "event_id").count() == e.count()
+
+
+def test_universal_holdout_and_sample(spark):
+    from tablewright.operators import distribution as D
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    a, b = split.holdout_split(o, 0.2, 2023, "o_orderkey", method="universal")
+    na, nb = a.count(), b.count()
+    assert na + nb == o.count() and 0.12 < nb / (na + nb) < 0.28
+    s1 = sorted(r[0] for r in D.sample_n(o, 40, 42, "o_orderkey", "universal").select("o_orderkey").collect())
+    s2 = sorted(r[0] for r in D.sample_n(o.repartition(5), 40, 42, "o_orderkey", "universal")
+                .select("o_orderkey").collect())
+    assert s1 == s2 and len(s1) == 40
