@@ -23,6 +23,7 @@ from tablewright.functions.scalar import squared_error
 from tablewright.operators.evaluate import rmse
 from tablewright.operators.ordered import with_row_id
 from tablewright.operators.split import holdout_split
+from tablewright.session import attach_row
 
 FEATURES = "_features"
 
@@ -177,8 +178,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
         F.avg(squared_error(label, "prediction")).alias("_mse"))
     b0 = mse.where(F.col("_fi") == -1).select(F.col("_mse").alias("baseline_mse"))
     per = mse.where(F.col("_fi") >= 0)
-    # b0 is one row
-    out = per.withColumn("_k", F.lit(1)).join(F.broadcast(b0.withColumn("_k", F.lit(1))), "_k")
+    out = attach_row(per, b0)  # b0 is the one baseline row
     out = out.withColumn("_imp", F.col("_mse") - F.col("baseline_mse"))
     names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("_fi") + 1)
     return out.groupBy(names.alias("feature")).agg(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordered import quantiles
-from tablewright.session import nullsafe_join
+from tablewright.session import attach_row, nullsafe_join
 
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -161,7 +161,7 @@ def describe(df: DataFrame, c: str, percentiles: Sequence[float] = DEFAULT_PERCE
     ps = list(percentiles)
     qn = [f"p{round(p * 100, 6):g}".replace(".", "_") for p in ps]
     q = quantiles(ok, c, ps, G, method=method, names=qn)
-    out = nullsafe_join(mom, q, G, "left") if G else _one_row_join(mom, q)
+    out = nullsafe_join(mom, q, G, "left") if G else attach_row(mom, q)
     stats = ["count", "mean", "std", "min", *qn, "max"]
     sel = [*G] + [F.col(s) for s in stats]
     out = out.select(*sel)
@@ -170,11 +170,6 @@ def describe(df: DataFrame, c: str, percentiles: Sequence[float] = DEFAULT_PERCE
     return out
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Combine two one-row frames side by side (keyed on a constant)."""
-    return a.withColumn("_k", F.lit(1)).join(F.broadcast(b.withColumn("_k", F.lit(1))), "_k").drop("_k")
-
-
 def compare_means(tables: Mapping[str, DataFrame], c: str | Mapping[str, str],
                   tag: str = "table") -> DataFrame:
     """Mean of a column in each of several tables, one row per table.

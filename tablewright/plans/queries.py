@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import scalar as S
 from tablewright.operators import align, clean, distribution, encode, evaluate, ordered, profile, split
 from tablewright.plans import standins as T
-from tablewright.session import checkpoint_dir
+from tablewright.session import attach_row, checkpoint_dir
 from tablewright.sources import tables as io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -721,7 +721,7 @@ def _mean_predicted(spark, d) -> DataFrame:
     train = o.where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
     test = o.where(~T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
     mu = train.agg(F.avg("o_totalprice").alias("pred"))  # one row
-    t = test.withColumn("_k", F.lit(1)).join(F.broadcast(mu.withColumn("_k", F.lit(1))), "_k")
+    t = attach_row(test, mu)
     return evaluate.with_error(t, "o_totalprice", "pred")
 
 

@@ -94,6 +94,19 @@ def join_bounded(left: DataFrame, right: DataFrame, on, how: str = "left",
     return left.join(right, on, how)
 
 
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame (an ungrouped aggregate) to every row.
+
+    The row becomes a scalar subquery: Spark computes it once before the
+    outer plan and inlines the value (``ReusedSubquery`` for each further
+    field), so there is no join and nothing grows with ``df``.  A second row
+    is an error, never a silent product.
+    """
+    cols = one_row.columns
+    s = one_row.select(F.struct(*[F.col(c) for c in cols]).alias("_row")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in cols])
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -110,13 +123,13 @@ def nullsafe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner",
     """Equi-join on same-named key columns where null matches null.
 
     The right side's keys are renamed first, so frames derived from the same
-    source can be joined without ambiguous references.
+    source can be joined without ambiguous references.  With no keys the
+    right side must be a single row (an ungrouped aggregate); its columns are
+    then attached by ``attach_row``, without any join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not keys:
-        r = right.withColumn("_one", F.lit(1))
-        r = F.broadcast(r) if broadcast_right else r
-        return left.withColumn("_one", F.lit(1)).join(r, "_one", how).drop("_one")
+        return attach_row(left, right)
     ren = {k: f"_rk{i}" for i, k in enumerate(keys)}
     r = right.withColumnsRenamed(ren)
     r = F.broadcast(r) if broadcast_right else r
