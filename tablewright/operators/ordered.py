@@ -316,6 +316,86 @@ def _pname(p: float) -> str:
 # its input is about (input partitions) x (distinct values of the group).
 EXACT_MAP_MAX_ENTRIES = 20_000_000
 
+# Largest number of (group, bucket) rows the `select` method broadcasts when
+# picking the rows of the buckets it must rank.
+SELECT_BROADCAST_ROWS = 200_000
+
+
+def _weights(lo_v: Column, hi_v: Column, h: Column) -> Column:
+    # weights form, as Spark's `percentile` and SQL engines compute it
+    return F.when(F.floor(h) == F.ceil(h), lo_v).otherwise(
+        (F.ceil(h) - h) * lo_v + (h - F.floor(h)) * hi_v)
+
+
+def _select_quantiles(v: DataFrame, G: list, probs: Sequence[float], names: Sequence[str],
+                      n_blocks: int | None = None) -> DataFrame | None:
+    """Exact quantiles by selection: rank only the buckets holding the answer.
+
+    1. Cut the value axis into about ``n_blocks`` buckets at approximate
+       quantile bounds (b - 1 numbers; repeated bounds are merged, so a value
+       holding a third of the rows is one bucket).
+    2. Count rows per (group, bucket): one partial aggregate.  A running sum
+       over the buckets gives each bucket's first position in its group, so
+       the buckets holding the order statistics ``floor/ceil((n-1)p)`` are
+       known: at most two per probability and group.
+    3. Only rows of those buckets are read on; they are reduced to
+       (value, count) per bucket (ties collapse map-side) and ranked by a
+       running sum of counts inside each bucket.
+
+    No step sorts the whole column and no task holds more than one bucket's
+    distinct values.  Returns None when group keys have no non-null stand-in
+    (the caller then uses the ``rank`` plan).
+    """
+    src, K, extra, nullsafe = _keyed(v, G)
+    if nullsafe:
+        return None
+    n = n_blocks or shuffle_partitions(v.sparkSession)
+    bounds = _bounds(v.select(F.col("_x").alias("_k")), max(n, 2)) if n > 1 else []
+    cuts = sorted({float(b) for b in bounds if b is not None and math.isfinite(b)})
+    if cuts:
+        from pyspark.ml.feature import Bucketizer
+        bz = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_x",
+                        outputCol="_bd", handleInvalid="keep")
+        vb = bz.transform(src).withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
+    else:
+        vb = src.withColumn("_b", F.lit(0))
+    cnt = vb.groupBy(*K, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    wg = Window.partitionBy(*K)
+    cnt = cnt.withColumns({
+        "_n": F.sum("_c").over(wg),
+        "_s": F.coalesce(F.sum("_c").over(wg.orderBy("_b").rowsBetween(_UNB_P, -1)), F.lit(0))})
+    n1 = (F.col("_n") - 1).cast("double")
+    need = F.lit(False)
+    for p in probs:
+        h = n1 * F.lit(float(p))
+        for t in (F.floor(h), F.ceil(h)):
+            need = need | ((F.col("_s") <= t) & (t < F.col("_s") + F.col("_c")))
+    need_rows = cnt.where(need).select(*K, "_b", "_s", "_n")
+    if K:
+        # at most 2 x len(probs) rows per group: cut lineage, then the count
+        # decides between a broadcast and a shuffle join
+        from tablewright.session import join_bounded, materialize
+        need_rows = materialize(need_rows)
+        picked = join_bounded(vb, need_rows, [*K, "_b"], "inner", SELECT_BROADCAST_ROWS)
+    else:
+        # at most 2 x len(probs) rows by construction
+        picked = vb.join(F.broadcast(need_rows), "_b", "inner")
+    G_names = _names(G)
+    d = picked.groupBy(*K, *G_names, "_b", "_s", "_n", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    wb = Window.partitionBy(*K, "_b").orderBy("_x").rowsBetween(_UNB_P, _CUR)
+    d = d.withColumn("_e", F.col("_s") + F.sum("_c").over(wb) - 1)   # last position of _x
+    first = F.col("_e") - F.col("_c") + 1
+    aggs = []
+    for i, p in enumerate(probs):
+        h = n1 * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        aggs += [F.max(F.when((first <= lo) & (lo <= F.col("_e")), F.col("_x"))).alias(f"_lo{i}"),
+                 F.max(F.when((first <= hi) & (hi <= F.col("_e")), F.col("_x"))).alias(f"_hi{i}"),
+                 F.max(h).alias(f"_h{i}")]
+    a = d.groupBy(*K, *G_names).agg(*aggs)
+    return a.select(*G_names, *[_weights(F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_h{i}")).alias(nm)
+                                for i, nm in enumerate(names)])
+
 
 def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
               method: str = "auto", names: Sequence[str] | None = None,
@@ -326,30 +406,30 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
     ``names`` is given).  Nulls and NaN are skipped.
 
     method:
-      ``rank``        exact; sorts the values in range blocks and picks the two
-                      order statistics around ``(n-1)*p``.  Memory per task is
-                      bounded whatever the number of distinct values, so this is
-                      the default.
+      ``select``      (what ``auto`` uses) exact; counts rows per value bucket,
+                      then ranks only the buckets that hold the wanted order
+                      statistics.  Two light passes, no full sort, memory per
+                      task bounded by one bucket's distinct values.
+      ``rank``        exact; sorts all values in range blocks and picks the two
+                      order statistics around ``(n-1)*p``.
       ``percentile``  Spark's exact ``percentile`` aggregate; its final merge keeps
                       every distinct value of a group in one task, so use it only
                       for columns of bounded cardinality.
       ``approx``      ``percentile_approx`` (rank error about n/accuracy).
-      ``auto``        (default) one HyperLogLog pass measures the largest
-                      per-group distinct count D; when (input partitions) x D
-                      stays under EXACT_MAP_MAX_ENTRIES (with a margin for the
-                      estimate) ``percentile`` is used, else ``rank``.  Both
-                      are exact and give identical values.
+      ``auto``        ``select``; ``rank`` for group keys of a type without a
+                      non-null stand-in.
+    All exact methods give identical values.
     """
     G = _cols(group)
     names = list(names or [_pname(p) for p in probs])
     x = F.col(c) if isinstance(c, str) else c
     v = df.select(*G, x.cast("double").alias("_x")).where(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
-    if method == "auto":
-        mx = (v.groupBy(*G).agg(F.approx_count_distinct("_x", 0.02).alias("_d"))
-               .agg(F.max("_d")).first()[0])
-        parts = v.rdd.getNumPartitions()
-        method = "percentile" if (mx or 0) * 1.1 * parts <= EXACT_MAP_MAX_ENTRIES else "rank"
+    if method in ("auto", "select"):
+        out = _select_quantiles(v, G, probs, names)
+        if out is not None:
+            return out
+        method = "rank"
     if method == "percentile":
         a = v.groupBy(*G).agg(F.percentile("_x", list(probs)).alias("_q"))
         return a.select(*G, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
@@ -370,14 +450,8 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
                  F.max(F.when(F.col("_pos") == hi, F.col("_x"))).alias(f"_hi{i}"),
                  F.max(h).alias(f"_h{i}")]
     a = r.where(keep).groupBy(*G).agg(*aggs)
-    outs = []
-    for i, n in enumerate(names):
-        lo_v, hi_v, h = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_h{i}")
-        # weights form, as Spark's `percentile` and SQL engines compute it
-        q = F.when(F.floor(h) == F.ceil(h), lo_v).otherwise(
-            (F.ceil(h) - h) * lo_v + (h - F.floor(h)) * hi_v)
-        outs.append(q.alias(n))
-    return a.select(*G, *outs)
+    return a.select(*G, *[_weights(F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_h{i}")).alias(n)
+                          for i, n in enumerate(names)])
 
 
 def quantile_values(df: DataFrame, c, probs: Sequence[float], method: str = "auto") -> list[float]:

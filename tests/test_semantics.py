@@ -74,7 +74,26 @@ def test_s6_quantiles_methods_agree(spark):
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
     a = ordered.quantiles(df, "x", probs, method="rank").first()
     b = ordered.quantiles(df, "x", probs, method="percentile").first()
-    assert list(a) == list(b)
+    c = ordered.quantiles(df, "x", probs, method="select").first()
+    assert list(a) == list(b) == list(c)
+
+
+def test_select_quantiles_hot_value_ties_and_groups(spark):
+    # one value holds a third of all rows, infinities at both ends, a null group
+    vals = [("a", 7.0)] * 300 + [("a", float(i)) for i in range(600)] + \
+           [("a", float("inf")), ("a", float("-inf"))] + \
+           [(None, float(i % 13)) for i in range(91)] + [("b", 1.5)]
+    df = spark.createDataFrame(vals, "g string, x double")
+    probs = [0.0, 0.01, 0.25, 1 / 3, 0.5, 0.75, 0.99, 1.0]
+    key = lambda r: (r["g"] is None, r["g"] or "")
+    ref = sorted(ordered.quantiles(df, "x", probs, "g", method="percentile").collect(), key=key)
+    for n_blocks in (1, 3, 40):
+        got = ordered._select_quantiles(
+            df.select("g", F.col("x").alias("_x")), ["g"], probs,
+            [f"q{i}" for i in range(len(probs))], n_blocks)
+        assert [list(r) for r in sorted(got.collect(), key=key)] == [list(r) for r in ref]
+    ung = ordered.quantiles(df, "x", probs, method="select").first()
+    assert list(ung) == list(ordered.quantiles(df, "x", probs, method="percentile").first())
 
 
 def test_s7_iqr_train_only_inclusive(spark):
@@ -267,8 +286,8 @@ def test_quantile_methods_identical_on_data(spark):
     li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     probs = [0.1, 0.25, 0.5, 0.75, 0.9]
     r = {m: ordered.quantiles(li, "l_extendedprice", probs, "l_returnflag", method=m)
-              .orderBy("l_returnflag").collect() for m in ("rank", "percentile", "auto")}
-    assert r["rank"] == r["percentile"] == r["auto"]
+              .orderBy("l_returnflag").collect() for m in ("rank", "percentile", "select", "auto")}
+    assert r["rank"] == r["percentile"] == r["select"] == r["auto"]
 
 
 def test_describe_grouped_null_group(spark):
