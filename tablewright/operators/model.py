@@ -180,7 +180,7 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
     per = mse.where(F.col("_fi") >= 0)
     out = attach_row(per, b0)  # b0 is the one baseline row
     out = out.withColumn("_imp", F.col("_mse") - F.col("baseline_mse"))
-    names = F.element_at(F.array(*[F.lit(f) for f in feats]), F.col("_fi") + 1)
+    names = F.get(F.array(*[F.lit(f) for f in feats]), F.col("_fi"))
     return out.groupBy(names.alias("feature")).agg(
         F.avg("_imp").alias("importance_mean"), F.stddev_pop("_imp").alias("importance_std"),
         F.first("baseline_mse").alias("baseline_mse"))
