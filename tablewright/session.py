@@ -46,9 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring it only when unset.
 
     Clusters name it in ``spark.checkpoint.dir``; that value always wins.  Only
-    when nothing is configured (a bare local session) a folder under the SQL
-    warehouse directory is used, which is shared storage wherever the
-    warehouse is.
+    when nothing is configured a folder under the SQL warehouse directory is
+    used: always for a local session (tests), on a cluster only when the
+    warehouse is not on a machine-local ``file:`` path.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -57,6 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         wh = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
+        if not sc.master.startswith("local") and (wh.startswith("file:") or wh.startswith("/")):
+            raise RuntimeError("spark.checkpoint.dir is not set and the warehouse folder is "
+                               f"machine-local ({wh}); name a shared checkpoint folder")
         conf = wh.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
