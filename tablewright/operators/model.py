@@ -139,12 +139,16 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
 
     Rows get dense positions 0..n-1 in ``key`` order.  For feature f and
     repeat k a seeded permutation i → (a*i + b) mod n (gcd(a, n) = 1) says
-    which row lends its value of f to row i.  All feature × repeat copies are
-    built by one generator over the rows and get their borrowed values
-    through a single shuffle join on (source position, feature) against the
-    long-form feature table; everything is scored in one pass and reduced by
-    one aggregate.  Returns ``(feature, importance_mean, importance_std,
-    baseline_mse)``; std is the population std over repeats.
+    which row lends its value of f to row i.  The permutation is inverted
+    (j → a⁻¹(j - b) mod n), so each row sends its own F x R values, as narrow
+    (destination, feature, repeat, value) records, to the rows that borrow
+    them.  One shuffle join on the destination position then meets each
+    full-width row once with its F x R borrowed values.  The wide rows
+    cross the network once, not F x R times, and every destination
+    receives exactly F x R records, so no key is hot.  All copies are scored in
+    one pass and reduced by one aggregate.  Returns ``(feature,
+    importance_mean, importance_std, baseline_mse)``; std is the population
+    std over repeats.
     """
     feats = list(features or feature_names(model))
     base = with_row_id(df, [key or df.columns[0]], name="_pid")
@@ -152,25 +156,28 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
     n = base.count()
     rng = random.Random(seed)
     plan = [(fi, k, *_affine(n, rng)) for fi in range(len(feats)) for k in range(n_repeats)]
-    wide = max(a for _, _, a, _ in plan) * n + n >= 2 ** 62
-
-    long_vals = base.select(F.col("_pid").alias("_src"), F.inline(F.array(*[
-        F.struct(F.lit(i).alias("_fi"), F.col(f).cast("double").alias("_pv"))
-        for i, f in enumerate(feats)])))
-    copies = base.select("*", F.inline(F.array(*[
-        F.struct(F.lit(fi).alias("_fi"), F.lit(k).alias("_rep"),
-                 F.lit(a).cast("bigint").alias("_a"), F.lit(b).cast("bigint").alias("_b"))
-        for fi, k, a, b in plan])))
-    if wide:
-        d = "decimal(38,0)"
-        src = F.pmod(F.col("_pid").cast(d) * F.col("_a").cast(d) + F.col("_b").cast(d),
-                     F.lit(n).cast(d)).cast("bigint")
-    else:
-        src = F.pmod(F.col("_pid") * F.col("_a") + F.col("_b"), F.lit(n))
-    moved = copies.withColumn("_src", src).join(long_vals, ["_src", "_fi"], "inner")
+    # inverse multipliers: row j lends to row a_inv * (j - b) mod n
+    inv = [(fi, k, pow(a, -1, n) if n > 0 else 0, b) for fi, k, a, b in plan]
+    wide = n * n >= 2 ** 62
+
+    def dest(a_inv: int, b: int):
+        j = F.col("_src")
+        if wide:
+            d = "decimal(38,0)"
+            return F.pmod(F.lit(a_inv).cast(d) * (j.cast(d) - F.lit(b).cast(d)),
+                          F.lit(n).cast(d)).cast("bigint")
+        return F.pmod(F.lit(a_inv).cast("bigint") * (j - F.lit(b).cast("bigint")), F.lit(n))
+
+    sends = base.select(F.col("_pid").alias("_src"),
+                        *[F.col(f).cast("double").alias(f"_v{i}") for i, f in enumerate(feats)])
+    sends = sends.select(F.inline(F.array(*[
+        F.struct(dest(a_inv, b).alias("_pid"), F.lit(fi).alias("_fi"), F.lit(k).alias("_rep"),
+                 F.col(f"_v{fi}").alias("_pv"))
+        for fi, k, a_inv, b in inv])))
+    moved = base.join(sends, "_pid", "inner")
     moved = moved.withColumns({
         f: F.when(F.col("_fi") == i, F.col("_pv")).otherwise(F.col(f).cast("double"))
-        for i, f in enumerate(feats)}).drop("_src", "_pv", "_a", "_b")
+        for i, f in enumerate(feats)}).drop("_pv")
     baseline = base.withColumns({"_fi": F.lit(-1), "_rep": F.lit(-1)}).withColumns(
         {f: F.col(f).cast("double") for f in feats})
     scored = predict(model, baseline.unionByName(moved))

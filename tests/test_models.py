@@ -53,6 +53,38 @@ def test_permutation_is_a_permutation(spark):
     for n in (1, 2, 7, 100, 1001):
         a, b = model._affine(n, random.Random(3))
         assert sorted((a * i + b) % n for i in range(n)) == list(range(n))
+        inv = pow(a, -1, n)  # the lender j sends to a^-1 (j - b) mod n
+        assert all((a * ((inv * (j - b)) % n) + b) % n == j for j in range(n))
+
+
+def test_permutation_importance_brute_force(spark, planted):
+    import random
+
+    import numpy as np
+    m = model.fit_forest(planted, FEATS, "label", num_trees=3, max_depth=4)
+    va = planted.orderBy("row_id").limit(60)  # small fixture for the brute force
+    got = {x["feature"]: x for x in
+           model.permutation_importance(m, va, "label", FEATS, 2, 7, key="row_id").collect()}
+    pdf = va.toPandas().sort_values("row_id").reset_index(drop=True)
+    n = len(pdf)
+
+    def mse(frame):
+        sdf = spark.createDataFrame(frame)
+        p = model.predict(m, sdf).select("label", "prediction").toPandas()
+        return float(((p["label"] - p["prediction"]) ** 2).mean())
+
+    base = mse(pdf)
+    rng = random.Random(7)
+    plan = [(f, model._affine(n, rng)) for f in FEATS for _ in range(2)]
+    imps = {f: [] for f in FEATS}
+    for f, (a, b) in plan:
+        q = pdf.copy()
+        q[f] = pdf[f].to_numpy()[[(a * i + b) % n for i in range(n)]]
+        imps[f].append(mse(q) - base)
+    for f in FEATS:
+        assert got[f]["baseline_mse"] == pytest.approx(base, rel=1e-9)
+        assert got[f]["importance_mean"] == pytest.approx(np.mean(imps[f]), rel=1e-9, abs=1e-9)
+        assert got[f]["importance_std"] == pytest.approx(np.std(imps[f]), rel=1e-6, abs=1e-9)
 
 
 def test_save_load_identical(spark, planted, scratch):
