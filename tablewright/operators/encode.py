@@ -55,6 +55,17 @@ def _sort_key(r):
             r["value"])
 
 
+def _with_sizes(m: DataFrame, sizes: dict) -> DataFrame:
+    # rows per column of a mapping built on the driver: codes are 0..size-1,
+    # so later steps know the size without running a count
+    m._tw_sizes = dict(sizes)
+    return m
+
+
+def _sizes(m: DataFrame) -> dict | None:
+    return getattr(m, "_tw_sizes", None)
+
+
 def _small_ranked(values: DataFrame, limit: int, base: dict | None = None):
     """Rank distinct values on the driver when there are at most ``limit``."""
     rows = values.limit(limit + 1).collect()
@@ -66,7 +77,7 @@ def _small_ranked(values: DataFrame, limit: int, base: dict | None = None):
         code = nxt.get(c, 0)
         nxt[c] = code + 1
         out.append((c, r["value"], code, r["_ord"]))
-    return values.sparkSession.createDataFrame(out, _MAP_DDL)
+    return _with_sizes(values.sparkSession.createDataFrame(out, _MAP_DDL), nxt)
 
 
 def label_fit(df: DataFrame, cols: Sequence[str], keep: bool = True,
@@ -92,15 +103,24 @@ def label_extend(mapping: DataFrame, df: DataFrame, cols: Sequence[str] | None =
     Each unseen value gets its own code, numbered after the fitted ones in
     sorted order (n_fitted, n_fitted + 1, ...), per column.
     """
-    cols = list(cols) if cols else [r[0] for r in mapping.select("column").distinct().collect()]
+    known_sizes = _sizes(mapping)
+    if not cols:
+        cols = list(known_sizes) if known_sizes is not None else \
+            [r[0] for r in mapping.select("column").distinct().collect()]
+    cols = list(cols)
     new = _distinct_values(df, cols).join(mapping.select("column", "value"),
                                           ["column", "value"], "left_anti")
     base = mapping.groupBy("column").agg((F.max("code") + 1).alias("_base"))
-    base_rows = {r["column"]: r["_base"] for r in base.collect()}  # one row per column
+    if known_sizes is not None:
+        base_rows = dict(known_sizes)  # dense codes: next code = size
+    else:
+        base_rows = {r["column"]: r["_base"] for r in base.collect()}  # one row per column
     small = _small_ranked(new, SMALL_VOCABULARY, base_rows)
     if small is not None:
         known = mapping.select("column", "value", "code", "_ord")
         out = known.unionByName(small)
+        if known_sizes is not None:
+            return _with_sizes(out, {**base_rows, **_sizes(small)})
         return materialize(out) if keep and mapping.count() > SMALL_VOCABULARY else out
     out = mapping.select("column", "value", "code", "_ord").unionByName(_ranked(new, base))
     return materialize(out) if keep else out
@@ -111,9 +131,10 @@ def _column_map(mapping: DataFrame, c: str) -> DataFrame:
         F.col("value").alias(f"_lv_{c}"), F.col("code").alias(f"_lc_{c}"))
 
 
-def _join(df: DataFrame, m: DataFrame, cond, max_rows: int) -> DataFrame:
-    # m is a fitted (checkpointed or driver-built) mapping, so counting it is cheap
-    return join_bounded(df, m, cond, "left", max_rows)
+def _join(df: DataFrame, m: DataFrame, cond, max_rows: int, rows: int | None = None) -> DataFrame:
+    # m is a fitted mapping: its size is known (driver-built) or counting it
+    # is cheap (checkpointed)
+    return join_bounded(df, m, cond, "left", max_rows, right_rows=rows)
 
 
 def label_transform(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
@@ -124,10 +145,11 @@ def label_transform(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
     Each column's mapping is broadcast when it has at most
     ``max_broadcast_rows`` entries, otherwise joined by shuffle.
     """
-    out = df
+    out, sizes = df, _sizes(mapping) or {}
     for c in cols:
         m = _column_map(mapping, c)
-        out = _join(out, m, F.col(c).cast("string") == F.col(f"_lv_{c}"), max_broadcast_rows)
+        out = _join(out, m, F.col(c).cast("string") == F.col(f"_lv_{c}"), max_broadcast_rows,
+                    sizes.get(c))
         target = c + suffix if suffix else c
         out = out.withColumn(target, F.col(f"_lc_{c}")).drop(f"_lv_{c}", f"_lc_{c}")
     return out
@@ -138,10 +160,11 @@ def label_inverse(df: DataFrame, mapping: DataFrame, cols: Sequence[str] | Mappi
     """Codes back to values.  ``cols`` maps code column → mapping column name
     (a list means the names are the same).  Values come back as text."""
     pairs = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
-    out = df
+    out, sizes = df, _sizes(mapping) or {}
     for code_col, src in pairs.items():
         m = _column_map(mapping, src)
-        out = _join(out, m, F.col(code_col) == F.col(f"_lc_{src}"), max_broadcast_rows)
+        out = _join(out, m, F.col(code_col) == F.col(f"_lc_{src}"), max_broadcast_rows,
+                    sizes.get(src))
         out = out.withColumn(code_col, F.col(f"_lv_{src}")).drop(f"_lv_{src}", f"_lc_{src}")
     return out
 
@@ -199,8 +222,8 @@ def one_hot_vector(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
     from pyspark.ml.feature import OneHotEncoder
 
     coded = label_transform(df, mapping, cols, suffix="_code")
-    sizes = {r["column"]: r["n"] for r in
-             mapping.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = _sizes(mapping) or {r["column"]: r["n"] for r in
+                                mapping.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = coded
     for c in cols:
         code = F.col(f"{c}_code")
