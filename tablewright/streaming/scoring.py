@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +29,9 @@ def score_stream(spark: SparkSession, model_path: str, source_dir: str, schema:
     scored = predict(model, src)
     pred = F.col("prediction").cast("bigint") if truncate_to_int else F.col("prediction")
     out = scored.select(*keep, pred.alias("target"))
-    ck = checkpoint or checkpoint_dir(spark).rstrip("/") + "/score_stream"
+    # one checkpoint per sink, so several scoring streams never share state
+    tag = hashlib.sha1(sink_dir.encode()).hexdigest()[:16]
+    ck = checkpoint or checkpoint_dir(spark).rstrip("/") + f"/score_stream/{tag}"
     w = out.writeStream.format("parquet").option("path", sink_dir) \
         .option("checkpointLocation", ck).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w
