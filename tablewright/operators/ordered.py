@@ -406,18 +406,22 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
     ``names`` is given).  Nulls and NaN are skipped.
 
     method:
-      ``select``      (what ``auto`` uses) exact; counts rows per value bucket,
-                      then ranks only the buckets that hold the wanted order
-                      statistics.  Two light passes, no full sort, memory per
-                      task bounded by one bucket's distinct values.
+      ``auto``        (default) one HyperLogLog pass measures the largest
+                      per-group distinct count D.  While (input partitions) x D
+                      stays under EXACT_MAP_MAX_ENTRIES (with a margin for the
+                      estimate) ``percentile`` is used: one aggregate, the
+                      fastest plan for small inputs.  Otherwise ``select``.
+      ``select``      exact; counts rows per value bucket, then ranks only the
+                      buckets that hold the wanted order statistics.  No full
+                      sort; memory per task bounded by one bucket's distinct
+                      values (``rank`` for group keys of a type without a
+                      non-null stand-in).
       ``rank``        exact; sorts all values in range blocks and picks the two
                       order statistics around ``(n-1)*p``.
       ``percentile``  Spark's exact ``percentile`` aggregate; its final merge keeps
                       every distinct value of a group in one task, so use it only
                       for columns of bounded cardinality.
       ``approx``      ``percentile_approx`` (rank error about n/accuracy).
-      ``auto``        ``select``; ``rank`` for group keys of a type without a
-                      non-null stand-in.
     All exact methods give identical values.
     """
     G = _cols(group)
@@ -425,7 +429,12 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
     x = F.col(c) if isinstance(c, str) else c
     v = df.select(*G, x.cast("double").alias("_x")).where(
         F.col("_x").isNotNull() & ~F.isnan("_x"))
-    if method in ("auto", "select"):
+    if method == "auto":
+        mx = (v.groupBy(*G).agg(F.approx_count_distinct("_x", 0.02).alias("_d"))
+               .agg(F.max("_d")).first()[0])
+        parts = v.rdd.getNumPartitions()
+        method = "percentile" if (mx or 0) * 1.1 * parts <= EXACT_MAP_MAX_ENTRIES else "select"
+    if method == "select":
         out = _select_quantiles(v, G, probs, names)
         if out is not None:
             return out

@@ -207,6 +207,18 @@ def _describe_group(spark, d):
                     *[r4(c).alias(c) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]])
 
 
+@query("quantiles_select", "SELECT l_returnflag, l_linestatus, "
+       + ", ".join(f"round_even(quantile_cont(l_extendedprice, {p}), 4) AS {n}"
+                   for p, n in zip(_DESCRIBE_P, _DESC_NAMES))
+       + " FROM lineitem GROUP BY 1, 2")
+def _quantiles_select(spark, d):
+    # the selection plan that `auto` picks for high-cardinality columns at scale
+    li = T.table(spark, d, "lineitem")
+    q = ordered.quantiles(li, "l_extendedprice", _DESCRIBE_P, ["l_returnflag", "l_linestatus"],
+                          method="select", names=_DESC_NAMES)
+    return q.select("l_returnflag", "l_linestatus", *[r4(c).alias(c) for c in _DESC_NAMES])
+
+
 @query("compare_means", """
 SELECT 'customer' AS "table", round_even(avg(c_acctbal), 4) AS mean, count(c_acctbal) AS count FROM customer
 UNION ALL

@@ -91,9 +91,10 @@ def test_interpolation_property_vs_pandas(spark, vals, nb):
 def test_quantiles_match_numpy_weights(spark, vals, probs):
     import numpy as np
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = list(ordered.quantiles(df, "x", probs).first())
     exp = np.quantile(np.array(vals), probs)
-    assert np.allclose(got, exp, rtol=1e-12, atol=1e-9)
+    for method in ("auto", "select"):
+        got = list(ordered.quantiles(df, "x", probs, method=method).first())
+        assert np.allclose(got, exp, rtol=1e-12, atol=1e-9)
 
 
 def test_sampled_bounds_path(spark, monkeypatch):
