@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators.ordered import quantiles
-from tablewright.session import attach_row, nullsafe_join
+from tablewright.session import (DEFAULT_BROADCAST_ROWS, attach_row, join_bounded,
+                                 materialize, nullsafe_join)
 
 _FLOATS = (T.FloatType, T.DoubleType)
 
@@ -123,16 +124,18 @@ def keep_by_frequency(df: DataFrame, c: str, min_count: int | None = None,
                       max_count: int | None = None) -> DataFrame:
     """Rows whose value of ``c`` occurs between min_count and max_count times.
 
-    Counts are one partial/final aggregate; the rows are selected with a
-    left-semi join on the (much smaller) qualifying values, which AQE turns
-    into a broadcast when the value list is small.
+    Counts are one partial/final aggregate.  The qualifying values are
+    checkpointed and counted.  Up to DEFAULT_BROADCAST_ROWS of them are
+    broadcast into a left-semi join, so the rows are never shuffled.  A longer
+    list is joined by shuffle, where AQE splits the partition of a hot value.
     """
     cnt = value_counts(df, c, sort=None)
     if min_count is not None:
         cnt = cnt.where(F.col("count") >= min_count)
     if max_count is not None:
         cnt = cnt.where(F.col("count") <= max_count)
-    return df.join(cnt.select(c), c, "left_semi")
+    keep = materialize(cnt.select(c))
+    return join_bounded(df, keep, c, "left_semi", DEFAULT_BROADCAST_ROWS)
 
 
 def ambiguous_keys(df: DataFrame, key: str, value: str, min_distinct: int = 2) -> DataFrame:
