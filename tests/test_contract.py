@@ -41,3 +41,28 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows) == digest(rel.columns, orows)
+
+
+@pytest.mark.parametrize("name", ["describe_price", "rmse_mean_predictor", "extremes_worst",
+                                  "box_summary_events", "keep_by_frequency", "quantiles_select"])
+def test_no_pairwise_join_in_plan(spark, name):
+    import contextlib
+    import io
+    df = E.queries()[name](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    plan = buf.getvalue()
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_attach_row_refuses_a_second_row(spark):
+    from pyspark.sql import functions as F
+
+    from tablewright.session import attach_row
+    df = spark.range(3)
+    one = df.agg(F.max("id").alias("mx"))
+    assert [r["mx"] for r in attach_row(df, one).collect()] == [2, 2, 2]
+    with pytest.raises(Exception, match="More than one row"):
+        attach_row(df, df.select(F.col("id").alias("mx"))).collect()
