@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tablewright.session import checkpoint_dir
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 
 
@@ -97,9 +97,20 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_HASH = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+_BYTE_HASH[_SPACE] = 0
+_LOWER_HASH = _BYTE_HASH[_LOWER]
 _BASE = U64(0xD1342543DE82EF95)
 
 
+def word_starts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Mask of the bytes at which a word ``[^\\x20\\x09-\\x0D]+`` of a text begins."""
+    word = ~_SPACE[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[off] = True
+    word[1:] &= _SPACE[data[:-1]] | first[1:-1]
+    return word
+
+
 def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True
                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` of every text.
@@ -111,17 +122,14 @@ def word_hashes(data: np.ndarray, off: np.ndarray, lower: bool = True
     if len(data) == 0:
         return np.zeros(0, U64), np.zeros(n + 1, np.int64), np.zeros(0, np.int64)
     word = ~_SPACE[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[off] = True
-    starts_here = word.copy()
-    starts_here[1:] &= ~word[:-1] | first[1:-1]
+    starts_here = word_starts(data, off)
     starts = np.flatnonzero(starts_here)
     if len(starts) == 0:
         return np.zeros(0, U64), np.zeros(n + 1, np.int64), starts
     run = np.cumsum(starts_here, dtype=np.int32) - 1
-    at = np.arange(len(data), dtype=np.int64) - starts[np.maximum(run, 0)]
-    at[~word] = 0
+    at = np.arange(len(data), dtype=np.int32) - starts.astype(np.int32)[np.maximum(run, 0)]
+    at *= word
     power = np.cumprod(np.full(int(at.max()) + 1, _BASE, U64))
-    value = _BYTE_HASH[_LOWER[data] if lower else data] * power[at]
-    value[~word] = 0
+    value = (_LOWER_HASH if lower else _BYTE_HASH)[data]
+    value *= power[at]
     return mix(np.add.reduceat(value, starts)), np.searchsorted(starts, off), starts

@@ -228,3 +228,20 @@ def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int,
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.coalesce("component_id", "doc_id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def one_per_component(documents: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """``documents`` with one row of each component; rows without an id all stay.
+
+    Of rows that share an id any one stays.
+    """
+    found = stage(near_duplicates(documents, id_col=id_col, **options).select(
+        F.col("doc_id").alias("_id"), "kept"), "kept")
+    ids = found.where("_id is not null")
+    out = F.col(f"`{id_col}`").cast("long") == F.col("_id")
+    rest = join_bounded(documents, stage(ids.where("not kept").select("_id").distinct(), "dropped"), out, "left_anti")
+    again = stage(ids.where("kept").groupBy("_id").count().where("count > 1").select("_id"), "repeated")
+    if not again.take(1):
+        return rest
+    return join_bounded(rest, again, out, "left_anti").unionByName(
+        join_bounded(rest, again, out, "left_semi").dropDuplicates([id_col]))
