@@ -15,12 +15,13 @@ A pair at the threshold misses every band with probability
 lies six standard deviations beyond the expected count at the threshold.
 
 Scale: documents with equal sets collapse into one class before any band row
-is made.  Then every bucket first offers only pairs with a leader (its
-smallest member), each member tries one leader, and verified links merge
-components.  Only members of a bucket that are still in different components
-are then paired, inside a join whose condition holds the sketch test, so that
-rows come out for plausible pairs alone.  No bucket is capped, and a bucket of
-any size is split by Spark's skewed-join handling.
+is made.  Then, for a few rounds, every bucket names two leaders, each member
+tries the one most like it by the sketches, and verified links merge
+components.  Buckets that still hold several components are then
+compared in full, member by member, inside tasks that hold two bounded blocks
+of one bucket at most: sketches first, then full sets, as matrix products.
+Out come only the links that join components, never the pairs, and no bucket
+is capped.
 
 Edge cases: null and empty texts have no shingle, are kept and linked with
 nothing; a null id is linked with nothing, its row is kept with a null
@@ -162,9 +163,131 @@ def sketch_distance(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(f"{a}s{k}").bitwiseXOR(F.col(f"{b}s{k}"))) for k in range(4)), F.lit(0))
 
 
+def _open(member: DataFrame, roots: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Members with their component, and the buckets that hold several components, with two leaders each."""
+    side = member.join(roots, "rep")
+    order = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "root")
+    buckets = (side.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                       F.array(F.min(order), F.max(order)).alias("leaders"))
+               .where("lo < hi").select("key", "leaders"))
+    return side, buckets
+
+
+def _merge(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``rep, root`` after the links (a, b) between representatives join their components."""
+    a = roots.select(F.col("rep").alias("a"), F.col("root").alias("ra"))
+    b = roots.select(F.col("rep").alias("b"), F.col("root").alias("rb"))
+    joined = connected_components(links.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+    return (roots.join(joined.withColumnRenamed("root", "to"), F.col("root") == F.col("node"), "left")
+            .select("rep", F.coalesce("to", "root").alias("root")))
+
+
+def _in_blocks(side: DataFrame, most_rows: int = 1024, most_shingles: int = 1 << 20) -> DataFrame:
+    """Rows (key, n, ...) sorted by ``key, lo, hi``: all pairs of a bucket's rows meet in some (lo, hi).
+
+    A bucket of bounded size is one block.  A larger one is cut into blocks by
+    hash and every two blocks meet in a task of their own, so no task ever
+    holds more than two blocks.
+    """
+    size = (side.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / most_rows), F.ceil(F.sum("n") / most_shingles))
+                                    .alias("blocks")))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    met = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                      lambda j: F.struct(F.least(j, own).alias("lo"), F.greatest(j, own).alias("hi")))
+    return (side.join(size, "key").withColumn("to", F.explode(met)).drop("blocks")
+            .withColumns({"lo": F.col("to.lo"), "hi": F.col("to.hi")}).drop("to")
+            .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "rep"))
+
+
+def _blocks(batches):
+    """Arrow tables of one (key, lo, hi) each, from batches in that order."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = t if held is None else pa.concat_tables([held, t])
+        at = np.stack([t.column(c).to_numpy() for c in ("key", "lo", "hi")], 1)
+        cut = np.flatnonzero((at[1:] != at[:-1]).any(1)) + 1
+        for s, e in zip(np.r_[0, cut[:-1]], cut):
+            yield t.slice(s, e - s).combine_chunks()
+        held = t.slice(cut[-1]) if len(cut) else t
+    if held is not None and held.num_rows:
+        yield held.combine_chunks()
+
+
+def _plausible(num: int, den: int, limit: int):
+    """Keeps the members that have a partner of another component within size and sketch bounds."""
+    def run(batches):
+        for t in _blocks(batches):
+            root, n = t.column("root").to_numpy(), t.column("n").to_numpy()
+            sketch = np.stack([t.column(f"s{k}").to_numpy() for k in range(4)], 1).view(U64)
+            good = np.zeros(len(n), bool)
+            for s in range(0, len(n), 256):
+                r = slice(s, s + 256)
+                ok = root[r, None] != root[None]
+                ok &= np.minimum(n[r, None], n[None]) * den >= np.maximum(n[r, None], n[None]) * num
+                if ok.any():
+                    ok &= sum(np.bitwise_count(sketch[r, None, k] ^ sketch[None, :, k]).astype(np.int16) for k in range(4)) <= limit
+                    good[r] |= ok.any(1)
+            if good.any():
+                yield t.select(["key", "rep"]).filter(pa.array(good)).combine_chunks().to_batches()[0]
+    return run
+
+
+def common_counts(sets: list[np.ndarray], rows: np.ndarray, columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of ``sets[i]``, i in ``rows``, with all sets.
+
+    Products of incidence matrices over ``columns`` shingles at a time; the
+    counts are exact, since they stay far below 2^24.
+    """
+    size = np.array([len(x) for x in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, word, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = times > 1
+    word, owner = (np.cumsum(several) - 1)[word[several[word]]], owner[several[word]]
+    order = np.argsort(word, kind="stable")
+    word, owner = word[order], owner[order]
+    out = np.zeros((len(rows), len(sets)), np.float32)
+    for s in range(0, int(several.sum()), columns):
+        lo, hi = np.searchsorted(word, [s, s + columns])
+        m = np.zeros((len(sets), columns), np.float32)
+        m[owner[lo:hi], word[lo:hi] - s] = 1
+        out += m[rows] @ m.T
+    return out.astype(np.int64)
+
+
+def _exact(num: int, den: int):
+    """Links (a, b) that join the components of each block: as few as do it, all checked on full sets."""
+    def run(batches):
+        for t in _blocks(batches):
+            rep, root, n = (t.column(c).to_numpy() for c in ("rep", "root", "n"))
+            values, times = np.unique(root, return_counts=True)
+            rows = np.flatnonzero(root != values[np.argmax(times)])
+            sets = [np.asarray(x) for x in t.column("shingles").to_numpy(zero_copy_only=False)]
+            parent = {r: r for r in values.tolist()}
+
+            def find(x):
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+            links = []
+            for s in range(0, len(rows), 256):
+                some = rows[s:s + 256]
+                both = common_counts(sets, some)
+                ok = (both * (num + den) >= (n[some, None] + n[None]) * num) & (root[some, None] != root[None])
+                for i, j in zip(*np.nonzero(ok)):
+                    x, y = find(int(root[some[i]])), find(int(root[j]))
+                    if x != y:
+                        parent[max(x, y)] = min(x, y)
+                        links.append((int(rep[some[i]]), int(rep[j])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], names=["a", "b"])
+    return run
+
+
 def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int, int] = (80, 100),
                     bands: int = 40, rows: int = 5, id_col: str = "doc_id",
-                    text_col: str = "text", seed: int = 11) -> DataFrame:
+                    text_col: str = "text", seed: int = 11, leader_rounds: int = 2) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``.
 
     Documents are linked when ``100 * |A ∩ B| >= 80 * |A ∪ B|`` (``threshold``
@@ -181,9 +304,8 @@ def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int,
                          *[f"r.{c}" for c in ("n", "s0", "s1", "s2", "s3", "keys")]), "classes")
 
     member = reps.select("rep", F.explode("keys").alias("key"))
-    bucket = (member.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("members"))
-              .where("members > 1").drop("members"))
-    member = stage(member.join(bucket, "key"), "buckets")
+    shared = member.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    member = stage(member.join(shared, "key"), "buckets")
 
     shape = reps.select("rep", "n", "s0", "s1", "s2", "s3").dropDuplicates(["rep"])
     limit = sketch_limit(bands * rows, num / den)
@@ -203,25 +325,30 @@ def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int,
                 .where(both * (num + den) >= (F.size("a") + F.size("b")) * num)
                 .select(F.col("rep").alias("a"), F.col("rep2").alias("b")))
 
-    # each member against one leader, the smallest that any of its buckets has
-    first = (member.groupBy("rep").agg(F.min("leader").alias("rep2")).where("rep <> rep2")
-             .join(shape, "rep").join(other, "rep2").where(close).select("rep", "rep2"))
-    root = stage(connected_components(verified(first)), "roots")
-
-    # what is left: members of one bucket whose components differ
-    side = (member.select("rep", "key").join(root, F.col("rep") == F.col("node"), "left")
-            .select("key", "rep", F.coalesce("root", "rep").alias("root")))
-    open_keys = (side.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo < hi").select("key"))
-    side = stage(side.join(open_keys, "key", "left_semi").join(shape, "rep"), "open")
-    right = side.select("key", F.col("rep").alias("rep2"), F.col("root").alias("root2"), F.col("n").alias("n2"),
-                        *[F.col(f"s{k}").alias(f"o_s{k}") for k in range(4)])
-    rest = side.join(right, (side["key"] == right["key"]) & (F.col("rep") < F.col("rep2"))
-                     & (F.col("root") != F.col("root2")) & close).select("rep", "rep2").distinct()
-    links = (verified(rest).unionByName(root.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    final = stage(connected_components(links), "components")
-
-    classes = (reps.select("set_id", "rep").join(final, F.col("rep") == F.col("node"), "left")
+    # rounds of stars: every member tries the likest of its buckets' leaders
+    roots = member.select("rep", F.col("rep").alias("root")).distinct()
+    for turn in range(leader_rounds):
+        side, buckets = _open(member, roots, turn)
+        tried = (side.join(buckets, "key").select("rep", "root", F.explode("leaders").alias("l"))
+                 .where("root <> l.root").select("rep", F.col("l.rep").alias("rep2")).distinct())
+        best = (tried.join(shape, "rep").join(other, "rep2").where(close)
+                .groupBy("rep").agg(F.min(F.struct(sketch_distance("", "o_").alias("d"), "rep2")).alias("b"))
+                .select("rep", "b.rep2"))
+        links = stage(verified(best), "stars")
+        if turn and not links.take(1):
+            break
+        roots = stage(_merge(roots, links), "roots")
+
+    # what is left: all members of one bucket whose components differ
+    side, buckets = _open(member, roots, leader_rounds)
+    side = side.join(buckets.select("key"), "key", "left_semi").join(shape, "rep")
+    plausible = stage(_in_blocks(side).mapInArrow(_plausible(num, den, limit), "key long, rep long"), "plausible")
+    side = (plausible.distinct().join(roots, "rep").join(sets, F.col("rep") == F.col("doc_id"))
+            .select("key", "rep", "root", F.size("shingles").cast("long").alias("n"), "shingles"))
+    rest = stage(_in_blocks(side).mapInArrow(_exact(num, den), "a long, b long"), "rest")
+    final = stage(_merge(roots, rest), "components")
+
+    classes = (reps.select("set_id", "rep").join(final.withColumnRenamed("rep", "node"), F.col("rep") == F.col("node"), "left")
                .select("set_id", F.coalesce("root", "rep").alias("component_id")))
     out = sig.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id"))
     return (out.join(classes, "set_id", "left")
