@@ -175,7 +175,10 @@ def _with_next(documents: DataFrame, bucket_bytes: int) -> DataFrame:
     cuts = documents.where("doc_id is not null").select(F.col("doc_id").cast("double").alias("at")).approxQuantile(
         "at", [i / count for i in range(1, count)], 0.25 / count) if size else []
     splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
-    docs = Bucketizer(splits=splits, inputCol="at", outputCol="bucket", handleInvalid="keep").transform(docs)
+    if len(splits) > 2:
+        docs = Bucketizer(splits=splits, inputCol="at", outputCol="bucket", handleInvalid="keep").transform(docs)
+    else:
+        docs = docs.withColumn("bucket", F.lit(0))
     docs = docs.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("bucket").cast("int"))).drop("at")
     # one row a bucket: its first, and the bucket that comes before in descending order
     heads = sorted((r["bucket"], r["h"]["doc_id"], r["h"]["th"]) for r in

@@ -114,7 +114,7 @@ def disclosures(documents: DataFrame, found: DataFrame, window: int = 80, suppor
     after = F.when(F.length(after) == window, F.regexp_replace(after, r"[\p{L}\p{N}]+\z", "")).otherwise(after)
     near = mentions.select("doc_id", "key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
                            F.concat_ws(" ", before, after).alias("near"))
-    near = near.withColumn("near", F.regexp_replace("near", f"{EMAIL}|{PHONE}|[0-9]++(?:[\\x20.-][0-9]++)*+", " "))
+    near = near.withColumn("near", F.regexp_replace("near", f"{EMAIL}|{PHONE}|{IP}|[0-9](?:[\\x20-]?[0-9]){{15,}}+", " "))
     each = near.select("doc_id", "key", "entity", F.explode(terms(F.col("near"))).alias("term")).distinct()
     # a text counts once for support, every document counts for the frequencies
     texts = (each.groupBy("entity", "term", "key").agg(F.count("*").alias("docs"))
