@@ -20,9 +20,24 @@ SUMMER_MONTHS = [6, 7, 8]
 # every other month is autumn
 
 
-def split_token(c, i: int, pattern: str = r"\s+") -> Column:
+# Fixed value: the characters that Python's str.split() and str.strip() take as white space.
+BLANK = "[\\t-\\r\\x1c-\\x20\\x85\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+
+
+def strip_blank(c) -> Column:
+    """Text without white space (of any script) at either end."""
+    return F.regexp_replace(_c(c), rf"\A{BLANK}+|{BLANK}+\z", "")
+
+
+def split_token(c, i: int, pattern: str = rf"{BLANK}+") -> Column:
     """Token ``i`` (0-based) of a whitespace-split text; null when absent."""
-    return F.get(F.split(F.trim(_c(c)), pattern), i)
+    s = strip_blank(c)
+    return F.when(s != "", F.get(F.split(s, pattern), i))
+
+
+def is_nan(c) -> Column:
+    """True for a floating NaN; false for null and for every other number."""
+    return F.coalesce(F.isnan(_c(c).cast("double")), F.lit(False))
 
 
 def yyyymm(ts) -> Column:
@@ -31,17 +46,6 @@ def yyyymm(ts) -> Column:
     return (F.year(t) * 100 + F.month(t)).cast("int")
 
 
-def year_of(yyyymm_col) -> Column:
-    """YYYYMM integer → year as int (text slice of the first four digits)."""
-    return F.substring(_c(yyyymm_col).cast("string"), 1, 4).cast("int")
-
-
-def month_of(yyyymm_col) -> Column:
-    """YYYYMM integer → month as int (text after the fourth digit)."""
-    s = _c(yyyymm_col).cast("string")
-    return F.substring(s, 5, 2).cast("int")
-
-
 def split_yyyymm(df: DataFrame, c: str, year: str = "cont_year",
                  month: str = "cont_month", as_text: bool = False,
                  drop: bool = True) -> DataFrame:
@@ -73,8 +77,8 @@ def in_set_flag(c, values: Iterable) -> Column:
 
 
 def threshold_flag(c, at_least) -> Column:
-    """1 when ``c >= at_least``, else 0; a null compares false → 0."""
-    return F.when(_c(c) >= F.lit(at_least), 1).otherwise(0).cast("int")
+    """1 when ``c >= at_least``, else 0; a null or NaN compares false → 0."""
+    return F.when((_c(c) >= F.lit(at_least)) & ~is_nan(c), 1).otherwise(0).cast("int")
 
 
 def concat_key(cols: Iterable, null_as: str | None = None, sep: str = "") -> Column:

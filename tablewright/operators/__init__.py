@@ -16,10 +16,10 @@ from tablewright.operators.evaluate import (
     compare_joined, compare_predictions, diff_tables, differing_rows, extremes_by, rmse,
     with_error,
 )
-from tablewright.operators.ordered import interpolate_linear, quantiles, with_row_id
+from tablewright.operators.ordered import interpolate_linear, quantiles, sorted_rank, with_row_id
 from tablewright.operators.profile import (
     ambiguous_keys, column_info, column_kinds, compare_means, count_where, describe,
-    distinct_size, head, keep_by_frequency, kind_lists, null_ratio, null_report, rare_values,
+    distinct_size, head, keep_by_frequency, null_ratio, null_report, rare_values,
     shape, value_counts,
 )
 from tablewright.operators.split import holdout_mask, holdout_split, period_split

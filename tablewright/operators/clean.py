@@ -10,7 +10,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalar import ratio
+from tablewright.functions.scalar import BLANK, is_nan, ratio
 from tablewright.operators.ordered import interpolate_linear, quantile_values
 from tablewright.operators.profile import null_report
 
@@ -30,9 +30,9 @@ def sentinels_to_null(df: DataFrame, sentinels: Mapping[str, Sequence]) -> DataF
 
 
 def blank_to_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Strings that are empty or whitespace only become null."""
+    """Strings that are empty or whitespace (of any script) only become null."""
     return df.withColumns({
-        c: F.when(F.col(c).rlike(r"^\s*$"), F.lit(None)).otherwise(F.col(c)) for c in cols})
+        c: F.when(F.col(c).rlike(rf"\A{BLANK}*\z"), F.lit(None)).otherwise(F.col(c)) for c in cols})
 
 
 def fill_constant(df: DataFrame, cols: Sequence[str], value) -> DataFrame:
@@ -144,9 +144,12 @@ def trim_outliers_bound(df: DataFrame, c: str, upper: float, only="is_test = 0")
 
 
 def bound_counts(df: DataFrame, c: str, upper: float, only="is_test = 0") -> DataFrame:
-    """Counts around a fixed bound: above (>), at-or-above (>=), for all and ``only`` rows."""
+    """Counts around a fixed bound: above (>), at-or-above (>=), for all and ``only`` rows.
+
+    A null or NaN is neither above nor below; the trim removes it from ``only`` rows.
+    """
     o = _only(only)
-    x = F.col(c)
+    x = F.when(~is_nan(c), F.col(c))
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(x > upper).alias("above_all"),

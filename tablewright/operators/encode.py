@@ -1,10 +1,10 @@
 """Category encoders.
 
 A label mapping is a DataFrame ``(column, value, code)``: codes are 0-based
-ranks of the distinct non-null values in sorted order (numeric columns sort
-numerically, text by code point).  Mappings are fitted with distributed
-distinct + ordered ranks and checkpointed, so applying them never refits and
-their size is known before any broadcast decision.
+ranks of the distinct non-null values in sorted order (as text by code point,
+or in the column's own order).  Mappings are fitted by one distributed
+distinct and sort at every size and checkpointed, so applying them never
+refits and measuring them before a broadcast is cheap.
 """
 
 from __future__ import annotations
@@ -13,117 +13,73 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tablewright.operators.ordered import with_row_id
+from tablewright.operators.ordered import sorted_rank
 from tablewright.session import DEFAULT_BROADCAST_ROWS, join_bounded, materialize
 
-MAPPING_SCHEMA = "column string, value string, code bigint"
-
 
 def _distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct (column, value, sort key) of several columns, one shuffle."""
-    structs = []
-    for c in cols:
-        numeric = isinstance(df.schema[c].dataType, T.NumericType)
-        structs.append(F.struct(
-            F.lit(c).alias("column"),
-            F.col(c).cast("string").alias("value"),
-            (F.col(c).cast("double") if numeric else F.lit(None).cast("double")).alias("_ord")))
+    """Distinct (column, value) of several columns, values as text, one shuffle."""
+    structs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols]
     return (df.select(F.inline(F.array(*structs)))
               .where(F.col("value").isNotNull())
               .distinct())
 
 
-def _ranked(values: DataFrame, offset: DataFrame | None = None) -> DataFrame:
-    r = with_row_id(values, ["_ord", "value"], ["column"], name="code")
-    if offset is not None:
-        r = r.join(F.broadcast(offset), "column", "left").withColumn(
-            "code", F.col("code") + F.coalesce(F.col("_base"), F.lit(0)))
-    return r.select("column", "value", F.col("code").cast("bigint"), "_ord")
-
-
-# Vocabularies up to this many values are ranked on the driver after one
-# bounded collect; larger ones are ranked by the distributed ordered plan.
-SMALL_VOCABULARY = 10_000
-_MAP_DDL = "column string, value string, code bigint, _ord double"
-
-
-def _sort_key(r):
-    # numeric columns by number, text by code point (UTF-8 byte order agrees)
-    return (r["column"], r["_ord"] is not None, r["_ord"] if r["_ord"] is not None else 0.0,
-            r["value"])
-
-
-def _with_sizes(m: DataFrame, sizes: dict) -> DataFrame:
-    # rows per column of a mapping built on the driver: codes are 0..size-1,
-    # so later steps know the size without running a count
-    m._tw_sizes = dict(sizes)
-    return m
+def _codes(values: DataFrame, order: Sequence, base: DataFrame | None = None) -> DataFrame:
+    """``column, value, code``: ranks of the values in ``order`` per column, after ``base`` if given.
 
-
-def _sizes(m: DataFrame) -> dict | None:
-    return getattr(m, "_tw_sizes", None)
-
-
-def _small_ranked(values: DataFrame, limit: int, base: dict | None = None):
-    """Rank distinct values on the driver when there are at most ``limit``."""
-    rows = values.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    out, nxt = [], dict(base or {})
-    for r in sorted(rows, key=_sort_key):
-        c = r["column"]
-        code = nxt.get(c, 0)
-        nxt[c] = code + 1
-        out.append((c, r["value"], code, r["_ord"]))
-    return _with_sizes(values.sparkSession.createDataFrame(out, _MAP_DDL), nxt)
+    One distributed sort whatever the vocabulary's size; the first rank of
+    each column (one row a column) turns table ranks into codes.
+    """
+    r = sorted_rank(values, ["column", *order], "_rank")
+    first = r.groupBy("column").agg(F.min("_rank").alias("_first"))
+    if base is not None:
+        first = first.join(base, "column", "left")
+    shift = F.coalesce(F.col("_base"), F.lit(0)) if base is not None else F.lit(0)
+    return (r.join(F.broadcast(first), "column")    # one row a column
+            .select("column", "value", (F.col("_rank") - F.col("_first") + shift).cast("bigint").alias("code")))
+
+
+def _coded(df: DataFrame, cols: Sequence[str], as_text: bool, known: DataFrame | None = None,
+           base: DataFrame | None = None) -> DataFrame:
+    if as_text:
+        vals = _distinct_values(df, cols)
+        if known is not None:
+            vals = vals.join(known, ["column", "value"], "left_anti")
+        return _codes(vals, ["value"], base)
+    out = None
+    for c in cols:                # each column in the order of its own type
+        vals = (df.select(F.lit(c).alias("column"), F.col(f"`{c}`").alias("_v")).where(F.col("_v").isNotNull())
+                .distinct().withColumn("value", F.col("_v").cast("string")))
+        if known is not None:
+            vals = vals.join(known, ["column", "value"], "left_anti")
+        part = _codes(vals, ["_v"], base)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-def label_fit(df: DataFrame, cols: Sequence[str], keep: bool = True,
-              small_limit: int = SMALL_VOCABULARY) -> DataFrame:
-    """Fit label codes for ``cols`` on all rows of ``df``.
+def label_fit(df: DataFrame, cols: Sequence[str], as_text: bool = True) -> DataFrame:
+    """Fit label codes for ``cols`` on all rows of ``df``; the mapping is checkpointed.
 
-    Distinct values are found with one distributed aggregate.  Up to
-    ``small_limit`` of them are ranked on the driver; more are ranked by the
-    block-ordered plan and the mapping is checkpointed.
+    Codes rank the values as text, by code point; with ``as_text=False`` each
+    column ranks in the order of its own type (numbers by size, NaN last).
     """
-    vals = _distinct_values(df, cols)
-    small = _small_ranked(vals, small_limit) if small_limit else None
-    if small is not None:
-        return small
-    m = _ranked(vals)
-    return materialize(m) if keep else m
+    return materialize(_coded(df, list(cols), as_text))
 
 
 def label_extend(mapping: DataFrame, df: DataFrame, cols: Sequence[str] | None = None,
-                 keep: bool = True) -> DataFrame:
+                 as_text: bool = True) -> DataFrame:
     """Append codes for values of ``df`` absent from ``mapping``.
 
     Each unseen value gets its own code, numbered after the fitted ones in
     sorted order (n_fitted, n_fitted + 1, ...), per column.
     """
-    known_sizes = _sizes(mapping)
+    base = materialize(mapping.groupBy("column").agg((F.max("code") + 1).alias("_base")))
     if not cols:
-        cols = list(known_sizes) if known_sizes is not None else \
-            [r[0] for r in mapping.select("column").distinct().collect()]
-    cols = list(cols)
-    new = _distinct_values(df, cols).join(mapping.select("column", "value"),
-                                          ["column", "value"], "left_anti")
-    base = mapping.groupBy("column").agg((F.max("code") + 1).alias("_base"))
-    if known_sizes is not None:
-        base_rows = dict(known_sizes)  # dense codes: next code = size
-    else:
-        base_rows = {r["column"]: r["_base"] for r in base.collect()}  # one row per column
-    small = _small_ranked(new, SMALL_VOCABULARY, base_rows)
-    if small is not None:
-        known = mapping.select("column", "value", "code", "_ord")
-        out = known.unionByName(small)
-        if known_sizes is not None:
-            return _with_sizes(out, {**base_rows, **_sizes(small)})
-        return materialize(out) if keep and mapping.count() > SMALL_VOCABULARY else out
-    out = mapping.select("column", "value", "code", "_ord").unionByName(_ranked(new, base))
-    return materialize(out) if keep else out
+        cols = [r[0] for r in base.select("column").collect()]      # one row a column
+    new = _coded(df, list(cols), as_text, mapping.select("column", "value"), base)
+    return materialize(mapping.select("column", "value", "code").unionByName(new))
 
 
 def _column_map(mapping: DataFrame, c: str) -> DataFrame:
@@ -131,12 +87,6 @@ def _column_map(mapping: DataFrame, c: str) -> DataFrame:
         F.col("value").alias(f"_lv_{c}"), F.col("code").alias(f"_lc_{c}"))
 
 
-def _join(df: DataFrame, m: DataFrame, cond, max_rows: int, rows: int | None = None) -> DataFrame:
-    # m is a fitted mapping: its size is known (driver-built) or counting it
-    # is cheap (checkpointed)
-    return join_bounded(df, m, cond, "left", max_rows, right_rows=rows)
-
-
 def label_transform(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
                     suffix: str | None = None,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -145,13 +95,12 @@ def label_transform(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
     Each column's mapping is broadcast when it has at most
     ``max_broadcast_rows`` entries, otherwise joined by shuffle.
     """
-    out, sizes = df, _sizes(mapping) or {}
+    out = df
     for c in cols:
-        m = _column_map(mapping, c)
-        out = _join(out, m, F.col(c).cast("string") == F.col(f"_lv_{c}"), max_broadcast_rows,
-                    sizes.get(c))
+        m = _column_map(mapping, c)     # checkpointed, so measuring it is cheap
+        out = join_bounded(out, m, F.col(f"`{c}`").cast("string") == F.col(f"`_lv_{c}`"), "left", max_broadcast_rows)
         target = c + suffix if suffix else c
-        out = out.withColumn(target, F.col(f"_lc_{c}")).drop(f"_lv_{c}", f"_lc_{c}")
+        out = out.withColumn(target, F.col(f"`_lc_{c}`")).drop(f"_lv_{c}", f"_lc_{c}")
     return out
 
 
@@ -160,21 +109,21 @@ def label_inverse(df: DataFrame, mapping: DataFrame, cols: Sequence[str] | Mappi
     """Codes back to values.  ``cols`` maps code column → mapping column name
     (a list means the names are the same).  Values come back as text."""
     pairs = dict(cols) if isinstance(cols, Mapping) else {c: c for c in cols}
-    out, sizes = df, _sizes(mapping) or {}
+    out = df
     for code_col, src in pairs.items():
         m = _column_map(mapping, src)
-        out = _join(out, m, F.col(code_col) == F.col(f"_lc_{src}"), max_broadcast_rows,
-                    sizes.get(src))
-        out = out.withColumn(code_col, F.col(f"_lv_{src}")).drop(f"_lv_{src}", f"_lc_{src}")
+        out = join_bounded(out, m, F.col(f"`{code_col}`") == F.col(f"`_lc_{src}`"), "left", max_broadcast_rows)
+        out = out.withColumn(code_col, F.col(f"`_lv_{src}`")).drop(f"_lv_{src}", f"_lc_{src}")
     return out
 
 
 def levels(df: DataFrame, c: str, max_levels: int = 1000) -> list:
     """Sorted distinct non-null values of a column, refusing more than ``max_levels``."""
-    rows = (df.select(c).where(F.col(c).isNotNull()).distinct()
-              .orderBy(c).limit(max_levels + 1).collect())
+    x = F.col(f"`{c}`")
+    rows = (df.select(x).where(x.isNotNull()).distinct()
+              .orderBy(x).limit(max_levels + 1).collect())
     if len(rows) > max_levels:
-        raise ValueError(f"{c} has more than {max_levels} levels; use label codes instead")
+        raise ValueError(f"{c} has more than {max_levels} levels; use one_hot_vector or label codes")
     return [r[0] for r in rows]
 
 
@@ -202,11 +151,11 @@ def one_hot(df: DataFrame, cols: Sequence[str], values: Mapping[str, Sequence] |
         lv = sorted(lv)
         use = lv[1:] if drop_first else lv
         for v in use:
-            new[f"{c}{sep}{v}"] = F.coalesce(F.col(c) == F.lit(v), F.lit(False)).cast("int")
+            new[f"{c}{sep}{v}"] = F.coalesce(F.col(f"`{c}`") == F.lit(v), F.lit(False)).cast("int")
     out = df.withColumns(new)
     if not keep_original:
         rest = [x for x in df.columns if x not in cols]
-        out = out.select(*rest, *new.keys())
+        out = out.select(*[f"`{x}`" for x in [*rest, *new]])
     return out
 
 
@@ -222,8 +171,8 @@ def one_hot_vector(df: DataFrame, mapping: DataFrame, cols: Sequence[str],
     from pyspark.ml.feature import OneHotEncoder
 
     coded = label_transform(df, mapping, cols, suffix="_code")
-    sizes = _sizes(mapping) or {r["column"]: r["n"] for r in
-                                mapping.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r["column"]: r["n"] for r in
+             mapping.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}    # one row a column
     out = coded
     for c in cols:
         code = F.col(f"{c}_code")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.scalar import squared_error
+from tablewright.functions.scalar import is_nan, squared_error
 
 
 def rmse(df: DataFrame, label: str, pred: str, group=None) -> DataFrame:
@@ -22,10 +22,14 @@ def with_error(df: DataFrame, label: str, pred: str, name: str = "error") -> Dat
 
 
 def extremes_by(df: DataFrame, c: str, n: int, key, largest: bool = True) -> DataFrame:
-    """Top/bottom ``n`` rows by ``c``, ties broken by ``key`` (a distributed top-n)."""
+    """Top/bottom ``n`` rows by ``c``, ties broken by ``key`` (a distributed top-n).
+
+    Null and NaN come last either way.
+    """
     k = [key] if isinstance(key, str) else list(key)
+    nan = [is_nan(c).asc()] if dict(df.dtypes).get(c) in ("double", "float") else []
     first = F.col(c).desc_nulls_last() if largest else F.col(c).asc_nulls_last()
-    return df.orderBy(first, *[F.col(x).asc() for x in k]).limit(n)
+    return df.orderBy(*nan, first, *[F.col(x).asc() for x in k]).limit(n)
 
 
 def _sides(a: DataFrame, b: DataFrame, key: str, c: str, ca: str | None, cb: str | None):
@@ -36,12 +40,17 @@ def _sides(a: DataFrame, b: DataFrame, key: str, c: str, ca: str | None, cb: str
 def compare_joined(a: DataFrame, b: DataFrame, key: str, c: str = "target",
                    ca: str | None = None, cb: str | None = None) -> DataFrame:
     """Full outer join of two result tables on ``key`` with a status per row:
-    'equal', 'different' (null never equals null), 'only_a', 'only_b'."""
+    'equal', 'different' (null and NaN equal nothing), 'only_a', 'only_b'.
+    ``key`` must be unique and non-null on both sides.
+    """
     sa, sb = _sides(a, b, key, c, ca, cb)
     j = sa.join(sb, key, "full_outer")
     ina, inb = F.coalesce("_in_a", F.lit(False)), F.coalesce("_in_b", F.lit(False))
+    same = F.col("a") == F.col("b")
+    if dict(j.dtypes)["a"] in ("double", "float"):
+        same = same & ~F.isnan("a")
     status = (F.when(ina & ~inb, "only_a").when(inb & ~ina, "only_b")
-               .when(F.coalesce(F.col("a") == F.col("b"), F.lit(False)), "equal")
+               .when(F.coalesce(same, F.lit(False)), "equal")
                .otherwise("different"))
     return j.select(key, "a", "b", status.alias("status"))
 

@@ -8,8 +8,6 @@ across partitions, so the training set is never gathered in one place.
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -23,7 +21,7 @@ from tablewright.functions.scalar import squared_error
 from tablewright.operators.evaluate import rmse
 from tablewright.operators.ordered import with_row_id
 from tablewright.operators.split import holdout_split
-from tablewright.session import attach_row
+from tablewright.session import attach_row, materialize
 
 FEATURES = "_features"
 
@@ -32,7 +30,8 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
                seed: int = 1, max_depth: int = 10, max_bins: int = 32,
                feature_subset: str = "all", min_instances: int = 1,
                target_transform: str | None = None,
-               prediction_col: str = "prediction") -> PipelineModel:
+               prediction_col: str = "prediction", num_partitions: int = 16,
+               key: str | Sequence[str] | None = None) -> PipelineModel:
     """Fit assembler + random forest (squared error) on ``df``.
 
     ``feature_subset='all'`` considers every feature at each split and each
@@ -41,17 +40,20 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
     splits.  ``target_transform='log1p'`` fits on log1p(label) and the
     pipeline's last stage turns predictions back with expm1, so the saved
     model always predicts on the original scale.
+
+    MLlib draws its bootstrap samples partition by partition.  The input is
+    therefore hash-partitioned into ``num_partitions`` on ``key`` (all used
+    columns when None) and sorted inside each partition, so the same rows give
+    the same forest on any machine; raise the number for large inputs.
     """
     feats = list(features)
     lab = label
     # MLlib evaluates its input several times (metadata, split candidates,
     # binning); keep the narrowed input once instead of recomputing its plan
-    train = df.select(*dict.fromkeys([*feats, label]))
-    # tree levels aggregate per input partition: spread an input that has
-    # fewer partitions than the cluster has cores (large inputs are left alone)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() < cores:
-        train = train.repartition(cores)
+    keys = [key] if isinstance(key, str) else list(key or [*feats, label])
+    train = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*feats, label, *keys])])
+    by = [F.col(f"`{c}`") for c in dict.fromkeys(keys)]
+    train = train.repartition(num_partitions, *by).sortWithinPartitions(*by)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     stages = [VectorAssembler(inputCols=feats, outputCol=FEATURES)]
     if target_transform == "log1p":
@@ -104,6 +106,7 @@ def validate_then_refit(df: DataFrame, features: Sequence[str], label: str, key:
     ``target_transform`` governs both fits.
     """
     train, valid = holdout_split(df, frac, split_seed, key)
+    forest_args = {"key": key, **forest_args}
     m = fit_forest(train, features, label, num_trees=trees_validate, **forest_args)
     score = rmse(predict(m, valid), label, "prediction")
     final = fit_forest(df, features, label, num_trees=trees_final, **forest_args)
@@ -121,23 +124,29 @@ def feature_importance(model: PipelineModel, names: Sequence[str] | None = None)
         F.col("importance").desc(), F.col("feature"))
 
 
-def _affine(n: int, rng: random.Random) -> tuple[int, int]:
+# Primes, of which the first that does not divide the row count multiplies.
+PRIMES = (1_000_000_007, 998_244_353, 1_000_000_009, 754_974_721)
+
+
+def _affine(n: int, turn: int, seed: int) -> tuple[int, int]:
     """Multiplier ``a`` coprime with ``n`` and offset ``b``: i → (a*i + b) mod n
-    is a permutation of 0..n-1."""
-    if n <= 2:
-        return 1, rng.randrange(n) if n else 0
-    while True:
-        a = rng.randrange(max(2, n // 3), max(3, (2 * n) // 3))
-        if math.gcd(a, n) == 1:
-            return a, rng.randrange(n)
+    is a permutation of 0..n-1.
+
+    The permutation depends on n, the seed and the turn (feature and repeat)
+    in a way that SQL can state: ``a`` is the turn's power of a prime.
+    """
+    if n == 0:
+        return 1, 0
+    p = next(p for p in PRIMES if n % p)
+    return pow(p, turn + 1, n), (seed * (turn + 1) * 7919) % n
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
                            features: Sequence[str] | None = None, n_repeats: int = 3,
-                           seed: int = 42, key: str | None = None) -> DataFrame:
+                           seed: int = 42, *, key: str) -> DataFrame:
     """Increase in MSE when one feature's values are permuted across rows.
 
-    Rows get dense positions 0..n-1 in ``key`` order.  For feature f and
+    Rows get dense positions 0..n-1 in the order of ``key``, a unique column.  For feature f and
     repeat k a seeded permutation i → (a*i + b) mod n (gcd(a, n) = 1) says
     which row lends its value of f to row i.  The permutation is inverted
     (j → a⁻¹(j - b) mod n), so each row sends its own F x R values, as narrow
@@ -151,11 +160,10 @@ def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
     std over repeats.
     """
     feats = list(features or feature_names(model))
-    base = with_row_id(df, [key or df.columns[0]], name="_pid")
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    # checkpointed: read by the lenders, the borrowers and the baseline
+    base = materialize(with_row_id(df, [key], name="_pid"))
     n = base.count()
-    rng = random.Random(seed)
-    plan = [(fi, k, *_affine(n, rng)) for fi in range(len(feats)) for k in range(n_repeats)]
+    plan = [(fi, k, *_affine(n, fi * n_repeats + k, seed)) for fi in range(len(feats)) for k in range(n_repeats)]
     # inverse multipliers: row j lends to row a_inv * (j - b) mod n
     inv = [(fi, k, pow(a, -1, n) if n > 0 else 0, b) for fi, k, a, b in plan]
     wide = n * n >= 2 ** 62

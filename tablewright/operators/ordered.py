@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.session import shuffle_partitions
+from tablewright.session import materialize, shuffle_partitions
 
 _UNB_P, _UNB_F, _CUR = Window.unboundedPreceding, Window.unboundedFollowing, Window.currentRow
 
@@ -68,26 +68,22 @@ def _numeric_key(df: DataFrame, o) -> Column | None:
              .when(F.isnan(k), F.lit(float("inf"))).otherwise(k))
 
 
-# Block bounds come from a quantile sketch only while it is cheap: the sketch
-# for b blocks holds about 20*b entries and one task merges one sketch per
-# input partition.  Otherwise they come from a bounded sample.
+# Block bounds come from a quantile sketch only while it is small (about 20
+# entries a block).  Otherwise they come from a bounded sample.
 SKETCH_MAX_BLOCKS = 2000
-SKETCH_MAX_MERGE = 20_000_000
 SAMPLE_PER_BLOCK = 50
 
 
 def _bounds(probe: DataFrame, n: int) -> list[float]:
     """``n - 1`` increasing cut points splitting column ``_k`` into n near-equal parts.
 
-    Small inputs: an approximate-quantile sketch with rank error 1/(20n)
-    (when n <= SKETCH_MAX_BLOCKS and partitions * 20n <= SKETCH_MAX_MERGE).
-    Otherwise: a count, then a seeded Bernoulli sample of about
+    Up to SKETCH_MAX_BLOCKS parts: an approximate-quantile sketch with rank
+    error 1/(20n), merged in a tree.  More parts: a count, then a seeded Bernoulli sample of about
     SAMPLE_PER_BLOCK values per block sent straight from the tasks to the
     driver (bounded by that product whatever the table size) and sorted there.
     """
     probs = [i / n for i in range(1, n)]
-    parts = probe.rdd.getNumPartitions()
-    if n <= SKETCH_MAX_BLOCKS and parts * 20 * n <= SKETCH_MAX_MERGE:
+    if n <= SKETCH_MAX_BLOCKS:
         return probe.approxQuantile("_k", probs, 1.0 / (20 * n))
     total = probe.count()
     if total == 0:
@@ -200,6 +196,24 @@ def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str],
     return rows.join(s, cond, "inner").drop("_sblk", *ren.values())
 
 
+def sorted_rank(df: DataFrame, order_by, name: str = "rank") -> DataFrame:
+    """``df`` with the dense 0-based rank of each row in the order of the whole key, checkpointed.
+
+    One distributed sort: Spark's range partitioner samples the full key.
+    Rows number themselves inside their partition; the partition sizes (one
+    number a partition) come to the driver and become offsets.
+    """
+    out = materialize(df.sort(*_cols(order_by)).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_at", 33)
+    sizes = {r["p"]: r["c"] for r in out.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect()}
+    offsets, total = [], 0
+    for p in range(max(sizes, default=-1) + 1):
+        offsets.append(total)
+        total += sizes.get(p, 0)
+    start = F.get(F.array(*[F.lit(o).cast("bigint") for o in offsets] or [F.lit(0).cast("bigint")]), part.cast("int"))
+    return out.withColumn(name, start + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at")
+
+
 def with_row_id(df: DataFrame, order_by, partition_by=None, name: str = "row_id",
                 n_blocks: int | None = None, group_size: str | None = None) -> DataFrame:
     """Add a dense 0-based position in ``order_by`` order (per group if given).
@@ -311,10 +325,9 @@ def _pname(p: float) -> str:
     return "p" + s.replace(".", "_")
 
 
-# `auto` uses Spark's exact `percentile` only when the final merge of a group is
-# small: that one task receives one partial value map per input partition, so
-# its input is about (input partitions) x (distinct values of the group).
-EXACT_MAP_MAX_ENTRIES = 20_000_000
+# `auto` uses Spark's exact `percentile` only up to this many distinct values of
+# a group: one task merges the value maps of a group.
+EXACT_MAP_MAX_ENTRIES = 200_000
 
 # Largest number of (group, bucket) rows the `select` method broadcasts when
 # picking the rows of the buckets it must rank.
@@ -374,7 +387,7 @@ def _select_quantiles(v: DataFrame, G: list, probs: Sequence[float], names: Sequ
     if K:
         # at most 2 x len(probs) rows per group: cut lineage, then the count
         # decides between a broadcast and a shuffle join
-        from tablewright.session import join_bounded, materialize
+        from tablewright.session import join_bounded
         need_rows = materialize(need_rows)
         picked = join_bounded(vb, need_rows, [*K, "_b"], "inner", SELECT_BROADCAST_ROWS)
     else:
@@ -407,8 +420,8 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
 
     method:
       ``auto``        (default) one HyperLogLog pass measures the largest
-                      per-group distinct count D.  While (input partitions) x D
-                      stays under EXACT_MAP_MAX_ENTRIES (with a margin for the
+                      per-group distinct count D.  While D stays under
+                      EXACT_MAP_MAX_ENTRIES (with a margin for the
                       estimate) ``percentile`` is used: one aggregate, the
                       fastest plan for small inputs.  Otherwise ``select``.
       ``select``      exact; counts rows per value bucket, then ranks only the
@@ -432,8 +445,7 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
     if method == "auto":
         mx = (v.groupBy(*G).agg(F.approx_count_distinct("_x", 0.02).alias("_d"))
                .agg(F.max("_d")).first()[0])
-        parts = v.rdd.getNumPartitions()
-        method = "percentile" if (mx or 0) * 1.1 * parts <= EXACT_MAP_MAX_ENTRIES else "select"
+        method = "percentile" if (mx or 0) * 1.1 <= EXACT_MAP_MAX_ENTRIES else "select"
     if method == "select":
         out = _select_quantiles(v, G, probs, names)
         if out is not None:

@@ -82,20 +82,14 @@ def column_kinds(df: DataFrame) -> DataFrame:
     return df.sparkSession.range(1).select(F.inline(F.array(*pairs)))
 
 
-def kind_lists(df: DataFrame) -> tuple[list[str], list[str]]:
-    """(continuous columns, categorical columns) as Python lists."""
-    num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    return num, [c for c in df.columns if c not in num]
-
-
 def value_counts(df: DataFrame, c: str, sort: str = "count", dropna: bool = True,
                  name: str = "count") -> DataFrame:
-    """Frequency table of one column (nulls skipped unless ``dropna=False``).
+    """Frequency table of one column (nulls and NaN skipped unless ``dropna=False``).
 
     Partial counts are combined map-side, so a value holding a third of the
     rows costs no more than any other.
     """
-    src = df.where(F.col(c).isNotNull()) if dropna else df
+    src = df.where(~_is_null(df, c)) if dropna else df
     out = src.groupBy(c).agg(F.count(F.lit(1)).alias(name))
     if sort == "count":
         return out.orderBy(F.col(name).desc(), F.col(c).asc())
@@ -105,11 +99,13 @@ def value_counts(df: DataFrame, c: str, sort: str = "count", dropna: bool = True
 
 
 def distinct_size(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """Number of distinct values per column, a null counting as one value."""
+    """Number of distinct values per column; null and NaN together count as one value."""
     aggs = []
     for i, c in enumerate(cols):
-        d = F.approx_count_distinct(c) if approx else F.count_distinct(c)
-        aggs.append((d + F.max(F.col(c).isNull().cast("int"))).alias(f"_d{i}"))
+        miss = _is_null(df, c)
+        x = F.when(~miss, F.col(c))
+        d = F.approx_count_distinct(x) if approx else F.count_distinct(x)
+        aggs.append((d + F.coalesce(F.max(miss.cast("int")), F.lit(0))).alias(f"_d{i}"))
     one = df.agg(*aggs)
     pairs = [(c, [F.col(f"_d{i}").cast("bigint")]) for i, c in enumerate(cols)]
     return one.select(_stack(pairs, ["column", "n_distinct"]))
@@ -183,7 +179,8 @@ def compare_means(tables: Mapping[str, DataFrame], c: str | Mapping[str, str],
     parts = []
     for name, df in tables.items():
         cn = c[name] if isinstance(c, Mapping) else c
-        parts.append(df.select(F.lit(name).alias(tag), F.col(cn).cast("double").alias("_x")))
+        x = F.col(cn).cast("double")
+        parts.append(df.select(F.lit(name).alias(tag), F.when(~F.isnan(x), x).alias("_x")))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)

@@ -36,12 +36,25 @@ def universal_hash(key, seed: int) -> Column:
     return F.pmod(k * F.lit(a).cast("bigint") + F.lit(b).cast("bigint"), p)
 
 
-def holdout_mask(key, frac: float = 0.2, seed: int = 2023, method: str = "xxhash64") -> Column:
+def mixing_hash(key, seed: int) -> Column:
+    """60 bits of MD5 over ``seed:key[:key...]``: any SQL engine reproduces it, any key mixes well.
+
+    A null key column is spelled as the empty text.
+    """
+    k = [key] if isinstance(key, (str, Column)) else list(key)
+    parts = [F.coalesce((F.col(x) if isinstance(x, str) else x).cast("string"), F.lit("")) for x in k]
+    text = F.concat(F.lit(f"{int(seed)}"), *[F.concat(F.lit(":"), p) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
+
+
+def holdout_mask(key, frac: float = 0.2, seed: int = 2023, method: str = "md5") -> Column:
     """True for the rows that go to the holdout (about ``frac`` of them).
 
-    ``xxhash64`` works for any key columns; ``universal`` (one integer key)
-    is reproducible outside Spark.
+    ``md5`` and ``xxhash64`` work for any key columns; ``md5`` and
+    ``universal`` (one integer key) are reproducible outside Spark.
     """
+    if method == "md5":
+        return F.pmod(mixing_hash(key, seed), F.lit(RESOLUTION)) < F.lit(int(round(frac * RESOLUTION)))
     if method == "universal":
         u = F.pmod(universal_hash(key, seed), F.lit(RESOLUTION))
         return u < F.lit(int(round(frac * RESOLUTION)))
@@ -51,7 +64,7 @@ def holdout_mask(key, frac: float = 0.2, seed: int = 2023, method: str = "xxhash
 
 
 def holdout_split(df: DataFrame, frac: float = 0.2, seed: int = 2023,
-                  key="row_id", method: str = "xxhash64") -> tuple[DataFrame, DataFrame]:
+                  key="row_id", method: str = "md5") -> tuple[DataFrame, DataFrame]:
     """(train, holdout): seeded hash of ``key``; holdout size is about ``frac``."""
     m = holdout_mask(key, frac, seed, method)
     return df.where(~m), df.where(m)

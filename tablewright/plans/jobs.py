@@ -18,13 +18,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import scalar as S
 from tablewright.operators import align, clean, encode, model, ordered, profile, split
 from tablewright.plans import standins as T
+from tablewright.session import materialize
 
 
 @dataclass
@@ -37,6 +37,7 @@ class Roles:
     sentinels: Mapping[str, Sequence] = field(default_factory=dict)
     trim_col: str | None = None
     flag: str = "is_test"
+    new_from: int = 1999           # first year that counts as new
 
 
 def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: float = 0.9,
@@ -54,7 +55,7 @@ def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: floa
     if r.trim_col:
         u = clean.trim_outliers_iqr(u, r.trim_col, iqr_k, f"{r.flag} = 0")
     u = S.split_yyyymm(u, r.ym, "cont_year", "cont_month", drop=False)
-    u = u.withColumn("new_flag", S.threshold_flag("cont_year", 1999))
+    u = u.withColumn("new_flag", S.threshold_flag("cont_year", r.new_from))
     m = encode.label_fit(u, cats)
     u = encode.label_transform(u, m, cats)
     feats = [*cats, *conts, "cont_year", "cont_month", "new_flag"]
@@ -66,10 +67,10 @@ def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed
              permutation_repeats: int = 3) -> dict[str, DataFrame]:
     """Pipeline A.  Returns frames: predictions, rmse, importance, permutation."""
     u, feats = _prepare_a(train, test, r)
-    u = u.persist(StorageLevel.MEMORY_AND_DISK)
+    u = materialize(u)      # read by the fit, the scoring and the importances
     tr, te = align.split_tagged(u, r.flag, r.label, test_label=0.0)
     fit_part, valid = split.holdout_split(tr, holdout, split_seed, r.key)
-    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth)
+    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth, key=r.key)
     scored_valid = model.predict(m, valid)
     from tablewright.operators.evaluate import rmse
     out = {
@@ -105,10 +106,10 @@ def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
     u = encode.one_hot(u, ["season"], values={"season": ["autumn", "spring", "summer", "winter"]},
                        drop_first=True)
     u = encode.one_hot(u, [district])
-    u = u.withColumn("new_flag", S.threshold_flag("cont_year", 1999))
+    u = u.withColumn("new_flag", S.threshold_flag("cont_year", r.new_from))
     if area and bound is not None:
         u = clean.trim_outliers_bound(u, area, bound, f"{r.flag} = 0")
-    u = u.persist(StorageLevel.MEMORY_AND_DISK)
+    u = materialize(u)      # read by the fit, the scoring and the importances
     tr, te = align.split_tagged(u, r.flag, r.label)
     feats = [c for c in tr.columns if c not in (r.key, r.label)]
     tt = "log1p" if log_target else None
@@ -132,7 +133,7 @@ def period(train: DataFrame, test: DataFrame, r: Roles, onehot: Sequence[str],
     te = S.split_yyyymm(te, r.ym, "cont_year", "cont_month", drop=False)
     fit_part, valid = split.period_split(tr, r.ym, valid_months)
     feats = [c for c in tr.columns if c not in (r.key, r.label, r.ym)]
-    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth)
+    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth, key=r.key)
     from tablewright.operators.evaluate import rmse
     return {"rmse": rmse(model.predict(m, valid), r.label, "prediction"),
             "predictions": model.predict(m, te).select(

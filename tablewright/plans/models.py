@@ -1,8 +1,9 @@
 """Model queries (O04, O05, O50, O52–O56, O03) and the reference's three end-to-end jobs.
 
-No SQL engine can state a forest's output, so these register without an
-oracle; the driver checks their row counts and the tests check seeds,
-save/load equality and planted signals.
+In general no SQL engine can state a forest's output, so most register without
+an oracle.  The ``exact_*`` queries have one: their label is a function of one
+coded column, so every tree ends in pure leaves and predictions, errors and
+importances follow from the table.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from tablewright.operators import encode, model
 from tablewright.operators.evaluate import rmse
 from tablewright.plans import jobs as P
 from tablewright.plans import standins as T
-from tablewright.plans.queries import query
-from tablewright.session import checkpoint_dir
+from tablewright.plans.queries import TRAIN, _md5_sql, query
+from tablewright.session import attach_row, checkpoint_dir
 from tablewright.sources import tables as io
 
 FOREST_ARGS = {"max_depth": 8, "seed": 1}
@@ -114,3 +115,87 @@ def _pipe_c(spark, d):
 @query("period_job_rmse")
 def _pipe_c_rmse(spark, d):
     return P.orders_period(spark, d, trees=10, max_depth=8)["rmse"]
+
+
+# ==== forests whose output SQL can state =====================================
+
+EXACT = ["priority", "month"]
+_CODE = "CAST(substr(o_orderpriority, 1, 1) AS INTEGER)"
+_EXACT_SQL = f"SELECT o_orderkey, {_CODE} AS priority, CAST({_CODE} * 100 AS DOUBLE) AS label FROM orders WHERE {TRAIN}"
+
+
+def _exact(spark: SparkSession, sf_dir: str, train: bool = True) -> DataFrame:
+    """Orders with the label ``100 * priority``; the month has nothing to do with it."""
+    o = T.table(spark, sf_dir, "orders")
+    before = T.ts_before("o_orderdate", T.ORDERS_CUTOFF)
+    code = F.substring("o_orderpriority", 1, 1).cast("int")
+    return o.where(before if train else ~before).select(
+        "o_orderkey", code.alias("priority"), F.month("o_orderdate").alias("month"), (code * 100.0).alias("label"))
+
+
+def _exact_forest(df: DataFrame):
+    return model.fit_forest(df, EXACT, "label", num_trees=20, max_depth=30, seed=1, key="o_orderkey")
+
+
+def _rounded(c: str):
+    return S.round_half_even(c, 6).alias(c)
+
+
+@query("exact_predictions", f"SELECT o_orderkey, CAST({_CODE} * 100 AS DOUBLE) AS prediction FROM orders WHERE NOT ({TRAIN})")
+def _exact_predictions(spark, d):
+    """A forest fitted on train predicts test."""
+    m = _exact_forest(_exact(spark, d))
+    return model.predict(m, _exact(spark, d, False)).select("o_orderkey", _rounded("prediction"))
+
+
+@query("exact_validation", f"""
+SELECT CAST(0 AS DOUBLE) AS rmse, count(*) AS n, (SELECT count(*) FROM ({_EXACT_SQL})) AS n_refit, CAST(0 AS DOUBLE) AS refit_rmse
+FROM ({_EXACT_SQL}) WHERE ({_md5_sql(2023, 'o_orderkey')} % 1000000) < 200000
+""")
+def _exact_validation(spark, d):
+    """Holdout error, then the model refitted on all rows."""
+    df = _exact(spark, d)
+    final, score = model.validate_then_refit(df, EXACT, "label", "o_orderkey", trees_validate=5, trees_final=20, max_depth=30, seed=1)
+    again = rmse(model.predict(final, df), "label", "prediction")
+    return attach_row(score.select(_rounded("rmse"), "n"), again.select(
+        F.col("n").alias("n_refit"), S.round_half_even("rmse", 6).alias("refit_rmse")))
+
+
+@query("exact_saved_model", f"SELECT o_orderkey, CAST({_CODE} * 100 AS DOUBLE) AS prediction FROM orders WHERE NOT ({TRAIN})")
+def _exact_saved(spark, d):
+    """The forest is saved, loaded and predicts the same."""
+    path = checkpoint_dir(spark).rstrip("/") + f"/models/{uuid.uuid4().hex}"
+    io.save_model(_exact_forest(_exact(spark, d)), path)
+    return model.predict(io.load_model(path), _exact(spark, d, False)).select("o_orderkey", _rounded("prediction"))
+
+
+@query("exact_importance", "SELECT 'priority' AS feature, CAST(1 AS DOUBLE) AS importance UNION ALL SELECT 'month', 0")
+def _exact_importance(spark, d):
+    """All impurity is removed by the one column that makes the label."""
+    return model.feature_importance(_exact_forest(_exact(spark, d)), EXACT).select("feature", _rounded("importance"))
+
+
+def _permutation_sql(repeats: int, seed: int) -> str:
+    p = "CASE " + " ".join(f"WHEN n % {p} <> 0 THEN {p}" for p in model.PRIMES) + " END"
+    rows = []
+    for k in range(repeats):
+        a = "p % n"
+        for _ in range(k):
+            a = f"(({a}) * (p % n)) % n"
+        rows.append(f"""SELECT {k} AS k, avg(power(v.label - r.label, 2)) AS d FROM r JOIN n ON true
+                        JOIN r v ON v.i = ((({a}) * r.i) + ({seed * (k + 1) * 7919} % n)) % n""")
+    return f"""
+    WITH r AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS i, label FROM ({_EXACT_SQL})),
+    n AS (SELECT n, {p} AS p FROM (SELECT count(*) AS n FROM r)),
+    e AS ({" UNION ALL ".join(rows)})
+    SELECT 'priority' AS feature, round_even(avg(d), 4) AS importance_mean, round_even(stddev_pop(d), 4) AS importance_std FROM e
+    UNION ALL SELECT 'month', 0.0, 0.0"""
+
+
+@query("exact_permutation", _permutation_sql(2, 42))
+def _exact_permutation(spark, d):
+    """Permuting the priority costs the squared label distance to the row it came from."""
+    df = _exact(spark, d)
+    out = model.permutation_importance(_exact_forest(df), df, "label", EXACT, 2, 42, key="o_orderkey")
+    return out.select("feature", S.round_half_even("importance_mean", 4).alias("importance_mean"),
+                      S.round_half_even("importance_std", 4).alias("importance_std"))

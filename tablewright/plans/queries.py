@@ -440,7 +440,7 @@ def _conform(spark, d):
 SELECT p_partkey,
        CAST(dense_rank() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS p_brand,
        CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS BIGINT) AS p_type,
-       CAST(dense_rank() OVER (ORDER BY p_size) - 1 AS BIGINT) AS p_size
+       CAST(dense_rank() OVER (ORDER BY CAST(p_size AS VARCHAR)) - 1 AS BIGINT) AS p_size
 FROM part
 """)
 def _label_encode(spark, d):
@@ -455,9 +455,9 @@ SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_custkey) - 1 AS BIGINT) AS
 FROM orders
 """)
 def _label_encode_distributed(spark, d):
-    # the ranking plan for vocabularies too large to rank on the driver
+    # a large vocabulary, each column ranked in the order of its own type
     o = T.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    m = encode.label_fit(o, ["o_custkey", "o_orderpriority"], small_limit=0)
+    m = encode.label_fit(o, ["o_custkey", "o_orderpriority"], as_text=False)
     return encode.label_transform(o, m, ["o_custkey", "o_orderpriority"])
 
 
@@ -670,7 +670,14 @@ def _interp_user(spark, d):
 
 # ==== splits (O50, O51) ====================================================
 
-@query("holdout")
+def _md5_sql(seed: int, key: str) -> str:
+    return f"('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 15))::BIGINT"
+
+
+@query("holdout", f"""
+SELECT o_orderkey, CAST(({_md5_sql(2023, 'o_orderkey')} % 1000000) < 200000 AS INTEGER) AS is_holdout
+FROM orders WHERE {TRAIN}
+""")
 def _holdout(spark, d):
     o = T.table(spark, d, "orders").where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
     return o.select("o_orderkey", split.holdout_mask("o_orderkey", 0.2, 2023)
@@ -868,7 +875,9 @@ def _box(spark, d):
                     "whisker_low", "whisker_high", "n_outliers", "n")
 
 
-@query("sample_events")
+@query("sample_events", f"""
+SELECT event_id, value FROM events ORDER BY {_md5_sql(42, 'event_id')}, event_id LIMIT 1000
+""")
 def _sample(spark, d):
     return distribution.sample_n(T.table(spark, d, "events"), 1000, seed=42,
                                  key="event_id").select("event_id", "value")
@@ -894,6 +903,53 @@ def _density(spark, d):
                     S.round_half_even("density", 12).alias("density"))
 
 
+# ==== missing values that are NaN (S11, S13): clicks lose their value =======
+
+def _nan_events(spark, d) -> DataFrame:
+    e = T.table(spark, d, "events")
+    return e.withColumn("value", F.when(F.col("event_type") == "click", F.lit(float("nan"))).otherwise(F.col("value")))
+
+
+_NAN_EV = "SELECT event_id, event_type, CASE WHEN event_type <> 'click' THEN value END AS value FROM events"
+
+
+@query("nan_threshold_flag", f"""
+SELECT event_id, CASE WHEN value >= 50 THEN 1 ELSE 0 END AS flag FROM ({_NAN_EV})
+""")
+def _nan_flag(spark, d):
+    return _nan_events(spark, d).select("event_id", S.threshold_flag("value", 50).alias("flag"))
+
+
+@query("nan_distinct_and_counts", f"""
+SELECT CAST(count(DISTINCT value) + max(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_distinct,
+       (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(value) AS n FROM ({_NAN_EV}) GROUP BY value)) AS counted,
+       round_even(avg(value), 6) AS mean, count(value) AS n_mean FROM ({_NAN_EV})
+""")
+def _nan_counts(spark, d):
+    e = _nan_events(spark, d)
+    one = profile.distinct_size(e, ["value"]).select("n_distinct")
+    cnt = profile.value_counts(e, "value", sort=None).agg(F.sum("count").alias("counted"))
+    mean = profile.compare_means({"e": e}, "value").select(S.round_half_even("mean", 6).alias("mean"),
+                                                           F.col("count").alias("n_mean"))
+    return attach_row(attach_row(one, cnt), mean)
+
+
+@query("nan_extremes", f"""
+SELECT event_id, value FROM ({_NAN_EV}) WHERE value IS NOT NULL ORDER BY value DESC, event_id LIMIT 50
+""")
+def _nan_extremes(spark, d):
+    return evaluate.extremes_by(_nan_events(spark, d), "value", 50, "event_id").select("event_id", "value")
+
+
+@query("nan_compare", f"""
+SELECT count(value) AS equal, count(*) - count(value) AS different,
+       CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b FROM ({_NAN_EV})
+""")
+def _nan_compare(spark, d):
+    e = _nan_events(spark, d).select("event_id", "value")
+    return evaluate.compare_predictions(e, e, "event_id", "value")
+
+
 # ==== sources and sinks (O01, O03) =========================================
 
 @query("csv_roundtrip", """
@@ -907,3 +963,19 @@ def _csv_roundtrip(spark, d):
     path = checkpoint_dir(spark).rstrip("/") + f"/predictions/{uuid.uuid4().hex}"
     io.write_predictions(o, path, row_id="o_orderkey", c="target")
     return io.read_table(spark, path, schema="target bigint", fmt="csv")
+
+
+@query("csv_quotes_roundtrip", """
+SELECT o_orderkey, '"' || o_orderpriority || '", "said" ' || chr(10) || o_orderstatus AS note,
+       CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS price FROM orders
+""")
+def _csv_quotes(spark, d):
+    """Write text with quotes, commas and line feeds, and a pandas null word; read it back as pandas would."""
+    import uuid
+    o = T.table(spark, d, "orders")
+    o = o.select("o_orderkey", F.concat(F.lit('"'), "o_orderpriority", F.lit('", "said" \n'), "o_orderstatus").alias("note"),
+                 F.when(F.col("o_orderstatus") == "F", "NaN").otherwise(F.col("o_totalprice").cast("string")).alias("price"))
+    path = checkpoint_dir(spark).rstrip("/") + f"/text/{uuid.uuid4().hex}"
+    o.write.option("header", "true").option("escape", '"').csv(path)
+    return io.read_table(spark, path, "o_orderkey bigint, note string, price double", fmt="csv", multiline=True,
+                         null_words=io.PANDAS_NULLS)

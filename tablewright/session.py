@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest number of rows a side may have to be broadcast by `join_bounded`.
+# Largest number of rows, and of bytes, a side may have to be broadcast by `join_bounded`.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 def get_session(master: str | None = None, app: str = "tablewright",
@@ -83,20 +82,34 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def join_bounded(left: DataFrame, right: DataFrame, on, how: str = "left",
                  max_rows: int = DEFAULT_BROADCAST_ROWS,
                  right_rows: int | None = None) -> DataFrame:
-    """Join with ``right`` broadcast only if its row count is at most ``max_rows``.
+    """Join with ``right`` broadcast only if its rows and bytes are within bounds.
 
-    ``right_rows`` may be passed when the caller already knows the count
-    (for example a bound that holds by construction); otherwise the right
-    side is counted, so it should be a materialized or cheap frame.  Above
-    the bound the join is left to the planner (shuffle join, or AQE's own
-    runtime broadcast decision).
+    ``right_rows`` may be passed when the caller already knows the count of a
+    side of fixed-width columns (for example a bound that holds by
+    construction); otherwise the right side is measured, so it should be a
+    materialized or cheap frame.  Above either bound the join is left to the
+    planner (shuffle join, or AQE's own runtime broadcast decision).
     """
-    n = right.count() if right_rows is None else right_rows
-    if n <= max_rows:
+    fixed, wide = _row_width(right)
+    if right_rows is not None and not wide:
+        n, size = right_rows, right_rows * fixed
+    else:
+        n, extra = right.agg(F.count(F.lit(1)), F.sum(sum(wide, F.lit(0))) if wide else F.lit(0)).first()
+        size = n * fixed + (extra or 0)
+    if n <= max_rows and size <= DEFAULT_BROADCAST_BYTES:
         return left.join(F.broadcast(right), on, how)
     return left.join(right, on, how)
 
 
+def _row_width(df: DataFrame) -> tuple[int, list[Column]]:
+    """Bytes of the fixed part of a row, and the sizes of its variable columns."""
+    kinds = dict(df.dtypes)
+    wide = [c for c, k in kinds.items() if k in ("string", "binary") or k.startswith(("array", "struct", "map"))]
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`") if kinds[c] in ("string", "binary")
+                                       else F.col(f"`{c}`").cast("string")), F.lit(0)) for c in wide]
+    return 16 + 8 * len(kinds), sizes
+
+
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row frame (an ungrouped aggregate) to every row.
 
@@ -114,13 +127,6 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def nullsafe_join(left: DataFrame, right: DataFrame, keys, how: str = "inner",
                   broadcast_right: bool = False) -> DataFrame:
     """Equi-join on same-named key columns where null matches null.

@@ -1,8 +1,8 @@
 """Sources and sinks: tables in, predictions and models out."""
 
 from tablewright.sources.tables import (
-    TESTDATA_TABLES, load_model, load_tables, read_table, save_model, write_predictions,
+    PANDAS_NULLS, load_model, read_table, save_model, write_predictions,
 )
 
-__all__ = ["TESTDATA_TABLES", "load_model", "load_tables", "read_table", "save_model",
+__all__ = ["PANDAS_NULLS", "load_model", "read_table", "save_model",
            "write_predictions"]

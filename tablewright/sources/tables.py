@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TESTDATA_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                   "events", "documents", "embeddings", "pages", "benchmark", "labels",
-                   "conversations")
+# The words that pandas reads as missing by default.
+PANDAS_NULLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
 def _nan_to_null(df: DataFrame) -> DataFrame:
@@ -23,19 +23,32 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str | None = None, header: bool = True, nan_to_null: bool = False,
-               columns: Sequence[str] | None = None) -> DataFrame:
+               columns: Sequence[str] | None = None, multiline: bool = False,
+               null_words: Sequence[str] = ()) -> DataFrame:
     """Read a CSV (header row) or Parquet table.
 
     CSV types come from ``schema`` when given; otherwise they are inferred,
     which costs an extra pass over the file and should be avoided at scale.
     ``columns`` renames the columns in order (e.g. native headers to
-    identifiers).  ``nan_to_null`` turns floating NaN into SQL null.
+    identifiers).  ``nan_to_null`` turns floating NaN into SQL null.  In CSV a
+    doubled quote inside quotes is a quote; ``multiline`` allows line feeds
+    inside quotes (such a file is not split, so use it only where needed);
+    ``null_words`` (see PANDAS_NULLS) are read as null in every column.
     """
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     if fmt == "csv":
-        r = spark.read.option("header", str(header).lower())
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
-        df = r.csv(path)
+        r = (spark.read.option("header", str(header).lower()).option("quote", '"').option("escape", '"')
+             .option("multiLine", str(multiline).lower()))
+        if null_words:
+            if schema is None:
+                raise ValueError("null_words needs a schema")
+            want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+            text = r.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in want])).csv(path)
+            df = text.select(*[F.when(~F.col(f"`{f.name}`").isin(list(null_words)), F.col(f"`{f.name}`"))
+                               .try_cast(f.dataType).alias(f.name) for f in want])
+        else:
+            r = r.schema(schema) if schema is not None else r.option("inferSchema", "true")
+            df = r.csv(path)
     else:
         r = spark.read
         if schema is not None:
@@ -46,11 +59,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return _nan_to_null(df) if nan_to_null else df
 
 
-def load_tables(spark: SparkSession, sf_dir: str,
-                names: Sequence[str] = TESTDATA_TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
-
-
 def write_predictions(df: DataFrame, path: str, row_id: str = "row_id", c: str = "target",
                       fmt: str = "csv", mode: str = "overwrite") -> None:
     """Write one integer column (truncated toward zero), header, in ``row_id`` order.

