@@ -5,11 +5,11 @@ A window without ``partitionBy`` runs in a single task.  Instead the rows are
 range-partitioned on ``(partition_by, order_by)`` into blocks, each block is
 handled by an ordinary partitioned window, and a small per-block summary
 (row count, first and last non-null anchor) carries positions and values
-across block borders.  The summary has one row per (group, block): with no
-``partition_by`` it is at most ``n_blocks`` rows and is broadcast; with groups
-it is joined like any other table.  A group holding a third of all rows is
-spread over many blocks by the range partitioner, so no single task ever
-holds a whole group.
+across block borders.  With no ``partition_by`` the summary is at most
+``n_blocks`` rows and is broadcast.  With groups only those above
+``heavy_rows`` rows are cut into blocks, and only they have summary rows: a
+group holding a third of all rows is spread over many tasks, all others are
+one plain window each.
 
 ``order_by`` lists ascending columns and must be a total order (add a unique
 key as the last column):
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.session import materialize, shuffle_partitions
+from tablewright.session import join_bounded, materialize, shuffle_partitions
 
 _UNB_P, _UNB_F, _CUR = Window.unboundedPreceding, Window.unboundedFollowing, Window.currentRow
 
@@ -105,8 +105,8 @@ def _blocks(df: DataFrame, order_by: list, partition_by: list,
     window's own exchange is the only shuffle and Spark can reuse it for the
     summary branch.  When the leading column is not numeric/temporal, or one
     of its values is too frequent to split (duplicate bounds), rows are range
-    partitioned on the full key instead and the blocked frame is persisted so
-    both branches read the same blocks.
+    partitioned on the full key instead and the blocked frame is checkpointed
+    in the shared folder, so that both branches read the same blocks.
     """
     n = n_blocks or shuffle_partitions(df.sparkSession)
     key = _numeric_key(df, order_by[0]) if order_by else None
@@ -126,10 +126,33 @@ def _blocks(df: DataFrame, order_by: list, partition_by: list,
             return out.withColumn("_blk", blk).drop("_bk", "_blkd")
     if n == 1:
         return df.withColumn("_blk", F.lit(0))
-    from pyspark import StorageLevel
-    return (df.repartitionByRange(n, *partition_by, *order_by)
-              .withColumn("_blk", F.coalesce(F.spark_partition_id(), F.lit(0)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    return materialize(df.repartitionByRange(n, *partition_by, *order_by)
+                       .withColumn("_blk", F.coalesce(F.spark_partition_id(), F.lit(0))))
+
+
+# Groups of at most this many rows are handled whole by one task.
+HEAVY_GROUP_ROWS = 1_000_000
+
+
+def _group_blocks(df: DataFrame, order_by: list, K: list[str], n_blocks: int | None,
+                  heavy_rows: int | None, nullsafe: bool) -> tuple[DataFrame, bool]:
+    """``(frame with _blk and _heavy, whether any group is heavy)``.
+
+    One partial aggregate finds the groups above ``heavy_rows``.  Only their
+    rows get blocks; every other group is block 0 and needs no summary.
+    """
+    if not K:
+        return _blocks(df, order_by, [], n_blocks).withColumn("_heavy", F.lit(True)), True
+    limit = HEAVY_GROUP_ROWS if heavy_rows is None else heavy_rows
+    heavy = materialize(df.groupBy(*K).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit).drop("_n"))
+    if not heavy.take(1):
+        return df.withColumns({"_blk": F.lit(0), "_heavy": F.lit(False)}), False
+    ren = {k: f"_hk{i}" for i, k in enumerate(K)}
+    cond = [F.col(k).eqNullSafe(F.col(r)) if nullsafe else F.col(k) == F.col(r) for k, r in ren.items()]
+    b = _blocks(df, order_by, K, n_blocks)
+    b = join_bounded(b, heavy.withColumnsRenamed(ren).withColumn("_heavy", F.lit(True)), cond, "left").drop(*ren.values())
+    b = b.withColumn("_heavy", F.coalesce("_heavy", F.lit(False)))
+    return b.withColumn("_blk", F.when(F.col("_heavy"), F.col("_blk")).otherwise(F.lit(0))), True
 
 
 def _surrogate_default(t):
@@ -181,19 +204,20 @@ def _join_summary(rows: DataFrame, summary: DataFrame, keys: list[str],
     """Attach per-(group, block) summary columns to the rows.
 
     Without groups the summary has one row per block, a bound fixed by
-    ``n_blocks``, so it is broadcast.  With group stand-in keys it is a plain
-    equi-join on (keys, block), which the rows' partitioning already satisfies.
+    ``n_blocks``, so it is broadcast.  With groups it has rows for heavy
+    groups alone (other rows get nulls) and is joined on (keys, block), which
+    the rows' partitioning already satisfies.
     """
     if not keys:
         return rows.join(F.broadcast(summary), "_blk", "inner")
     if not nullsafe:
-        return rows.join(summary, [*keys, "_blk"], "inner")
+        return rows.join(summary, [*keys, "_blk"], "left")
     ren = {p: f"_sk{i}" for i, p in enumerate(keys)}
     s = summary.withColumnsRenamed(ren)
     cond = [F.col("_blk") == F.col("_sblk")] + [
         F.col(p).eqNullSafe(F.col(ren[p])) for p in keys]
     s = s.withColumnRenamed("_blk", "_sblk")
-    return rows.join(s, cond, "inner").drop("_sblk", *ren.values())
+    return rows.join(s, cond, "left").drop("_sblk", *ren.values())
 
 
 def sorted_rank(df: DataFrame, order_by, name: str = "rank") -> DataFrame:
@@ -215,41 +239,52 @@ def sorted_rank(df: DataFrame, order_by, name: str = "rank") -> DataFrame:
 
 
 def with_row_id(df: DataFrame, order_by, partition_by=None, name: str = "row_id",
-                n_blocks: int | None = None, group_size: str | None = None) -> DataFrame:
+                n_blocks: int | None = None, group_size: str | None = None,
+                heavy_rows: int | None = None) -> DataFrame:
     """Add a dense 0-based position in ``order_by`` order (per group if given).
 
-    ``group_size`` names an optional column holding the size of each row's group.
+    ``group_size`` names an optional column holding the size of each row's
+    group.  Groups above ``heavy_rows`` rows are cut into blocks.
     """
     O, P = _cols(order_by), _cols(partition_by)
     src, K, extra, nullsafe = _keyed(df, P)
-    b = _blocks(src, O, K, n_blocks)
+    b, heavy = _group_blocks(src, O, K, n_blocks, heavy_rows, nullsafe)
     w = Window.partitionBy(*K, "_blk").orderBy(*O)
     x = b.withColumn("_li", F.row_number().over(w) - 1)
-    summ = b.groupBy(*K, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
+    if group_size:
+        x = x.withColumn("_gsz", F.count(F.lit(1)).over(Window.partitionBy(*K, "_blk")))
+    if not heavy:
+        out = x.withColumn(name, F.col("_li").cast("bigint"))
+        out = out.withColumn(group_size, F.col("_gsz")) if group_size else out
+        return out.drop("_blk", "_heavy", "_li", "_gsz", *extra)
+    summ = b.where("_heavy").groupBy(*K, "_blk").agg(F.count(F.lit(1)).alias("_cnt"))
     ws = Window.partitionBy(*K).orderBy("_blk")
     summ = summ.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(ws.rowsBetween(_UNB_P, -1)), F.lit(0)))
     if group_size:
-        summ = summ.withColumn(group_size, F.sum("_cnt").over(Window.partitionBy(*K)))
+        summ = summ.withColumn("_gall", F.sum("_cnt").over(Window.partitionBy(*K)))
     summ = summ.drop("_cnt")
     out = _join_summary(x, summ, K, nullsafe)
-    return out.withColumn(name, (F.col("_off") + F.col("_li")).cast("bigint")) \
-              .drop("_blk", "_li", "_off", *extra)
+    if group_size:
+        out = out.withColumn(group_size, F.coalesce("_gall", "_gsz"))
+    return out.withColumn(name, (F.coalesce("_off", F.lit(0)) + F.col("_li")).cast("bigint")) \
+              .drop("_blk", "_heavy", "_li", "_off", "_gsz", "_gall", *extra)
 
 
 def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_by=None,
-                       n_blocks: int | None = None) -> DataFrame:
+                       n_blocks: int | None = None, heavy_rows: int | None = None) -> DataFrame:
     """Linear interpolation of nulls along a row order, positions equally spaced.
 
     Interior gaps are filled on the straight line between the neighbouring
     non-null values; nulls after the last value repeat it; nulls before the
     first value stay null.  NaN counts as null.  Filled columns become double.
-    Non-null values are returned unchanged.
+    Non-null values are returned unchanged.  Groups above ``heavy_rows`` rows
+    are cut into blocks; the others are filled by one window each.
     """
     O, P = _cols(order_by), _cols(partition_by)
     cols = list(cols)
     src, K, extra, nullsafe = _keyed(df, P)
-    b = _blocks(src, O, K, n_blocks)
+    b, heavy = _group_blocks(src, O, K, n_blocks, heavy_rows, nullsafe)
     w = Window.partitionBy(*K, "_blk").orderBy(*O)
     wp = w.rowsBetween(_UNB_P, _CUR)
     # "next non-null" is a running last() over the reversed order: a growing
@@ -280,7 +315,7 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_b
                  F.max_by(f"_pv{i}", "_li").alias(f"_lpv{i}"),
                  F.min_by(f"_ni{i}", "_li").alias(f"_fni{i}"),
                  F.min_by(f"_nv{i}", "_li").alias(f"_fnv{i}")]
-    s = x.groupBy(*K, "_blk").agg(*aggs)
+    s = x.where("_heavy").groupBy(*K, "_blk").agg(*aggs)
     ws = Window.partitionBy(*K).orderBy("_blk")
     s = s.withColumn("_off", F.coalesce(F.sum("_cnt").over(ws.rowsBetween(_UNB_P, -1)),
                                         F.lit(0)))
@@ -299,7 +334,11 @@ def interpolate_linear(df: DataFrame, cols: Sequence[str], order_by, partition_b
     s = s.withColumns(carry).select(
         *K, "_blk", "_off", *[f"_c{k}{i}" for i in range(len(cols)) for k in ("pp", "pv", "np", "nv")])
 
-    y = _join_summary(x, s, K, nullsafe)
+    if heavy:
+        y = _join_summary(x, s, K, nullsafe).withColumn("_off", F.coalesce("_off", F.lit(0)))
+    else:
+        none = F.lit(None).cast("double")
+        y = x.withColumns({"_off": F.lit(0), **{f"_c{k}{i}": none for i in range(len(cols)) for k in ("pp", "pv", "np", "nv")}})
     pos = (F.col("_off") + F.col("_li")).cast("double")
     out = {}
     for i, c in enumerate(cols):
@@ -387,7 +426,6 @@ def _select_quantiles(v: DataFrame, G: list, probs: Sequence[float], names: Sequ
     if K:
         # at most 2 x len(probs) rows per group: cut lineage, then the count
         # decides between a broadcast and a shuffle join
-        from tablewright.session import join_bounded
         need_rows = materialize(need_rows)
         picked = join_bounded(vb, need_rows, [*K, "_b"], "inner", SELECT_BROADCAST_ROWS)
     else:

@@ -122,6 +122,26 @@ def test_blocks_split_text_and_null_heavy_keys(spark):
     assert r["row_id"].tolist() == list(range(400))
 
 
+def test_heavy_groups_only_are_cut(spark, monkeypatch):
+    """Groups above the row bound are cut into blocks, and results do not change."""
+    from tablewright.operators import ordered as O
+    df = (spark.range(3000).withColumn("g", F.when(F.col("id") % 3 == 0, None).otherwise((F.col("id") % 100).cast("string")))
+          .withColumn("v", F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") * 1.0)))
+    key = lambda d, c: sorted((r["id"], r[c]) for r in d.collect() if r[c] is not None)
+    for heavy in (50, 10 ** 6):
+        seen = []
+        real = O._join_summary
+        monkeypatch.setattr(O, "_join_summary", lambda rows, s, *a: (seen.append(s.count()), real(rows, s, *a))[1])
+        fill = O.interpolate_linear(df, ["v"], ["id"], ["g"], n_blocks=8, heavy_rows=heavy)
+        num = O.with_row_id(df, ["id"], ["g"], n_blocks=8, heavy_rows=heavy, group_size="n")
+        if heavy == 50:
+            a = key(fill, "v"), key(num, "row_id"), key(num, "n")
+            assert seen and max(seen) <= 8      # one heavy group, 8 blocks
+        else:
+            assert (key(fill, "v"), key(num, "row_id"), key(num, "n")) == a and not seen
+        monkeypatch.undo()
+
+
 @pytest.mark.parametrize("name", ["interpolate_events", "interpolate_by_user", "row_id_orders",
                                   "label_encode_distributed", "box_summary_events",
                                   "describe_by_segment", "histogram_events", "trim_iqr_events",
