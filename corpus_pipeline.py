@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import decontaminate, mixing, near_dedup, quality, sharding
-from tablewright.llm.common import stage
+from tablewright.llm.common import packed, stage, unpacked
 from tablewright.session import join_bounded
 
 SHARD_BYTES = 1 << 20
@@ -35,10 +35,11 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item; those without an id are judged by their text's hash."""
-    keyed = docs.withColumn("_leak_key", F.xxhash64("doc_id", "text"))
-    found = decontaminate.leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_leak_key")
-    hit = stage(found.select(F.col("doc_id").alias("_leak_key")).distinct(), "leaking")
-    return join_bounded(keyed, hit, "_leak_key", "left_anti").select(*docs.columns)
+    key = F.xxhash64("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.leaks(docs.select(key.alias("key"), "text"), items, id_col="key")
+    hit = stage(found.select(F.col("doc_id").alias("key")).distinct(), "leaking")
+    return unpacked(join_bounded(packed(docs, key=key), hit, "key", "left_anti"), docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

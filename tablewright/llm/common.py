@@ -50,6 +50,16 @@ def narrow(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
 
 
+def packed(df: DataFrame, **keys) -> DataFrame:
+    """``row`` (all columns of ``df`` as one struct) beside key columns, for joins that must not clash."""
+    return df.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in keys.items()])
+
+
+def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns of ``like`` out of ``row``."""
+    return df.select(*[F.col("row").getField(c).alias(c) for c in like.columns])
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes in each.

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 
 from .common import chunks, narrow, stage
 
+ERROR_RATE = 0.08
 SCHEMA = "item_id long, distance int, budget int, start long, end long"
 
 
@@ -152,7 +153,7 @@ def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int,
         yield block
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, error_rate: float = 0.05,
+def leaks(documents: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE,
           block_chars: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, distance, budget, start, end``: a row per document and item it leaks."""
     spark = documents.sparkSession

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from tablewright.session import join_bounded
 
-from .common import chunks, narrow, stage, text_bytes, word_starts
+from .common import chunks, narrow, packed, stage, text_bytes, unpacked, word_starts
 
 SNAP = 1e-9
 
@@ -147,6 +147,13 @@ def landing(p: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
         if miss[side, who] >= abs(short):
             break
         p[taken[who]], p[out[near[side, who]]] = 0.0, 1.0
+    short = float((size * start).sum() - (size * p).sum())
+    if abs(short) > 0.005 * (size * start).sum():       # a source of few documents
+        few = free[:12]
+        change = (np.arange(1 << len(few))[:, None] >> np.arange(len(few))) & 1
+        tokens = change @ (size[few] * (1 - 2 * p[few]))
+        best = np.lexsort((change.sum(1), np.abs(short - tokens)))[0]
+        p[few] = np.where(change[best] == 1, 1 - p[few], p[few])
     return p
 
 
@@ -201,10 +208,9 @@ def take_copies(documents: DataFrame, mixed: DataFrame, id_col: str = "doc_id",
     """
     per = stage(mixed.groupBy("row_key").agg(F.ceil(F.sum("copies") / F.count("*")).cast("int").alias("copies"))
                 .where("copies > 0"), "copies")
-    rows = documents.select(F.struct("*").alias("row"), F.xxhash64(
-        F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("row_key"))
+    rows = packed(documents, row_key=F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
     taken = join_bounded(rows, per, "row_key", "inner").select("row", F.explode(F.sequence(F.lit(1), "copies")))
-    return taken.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
+    return unpacked(taken, documents)
 
 
 def _attach(units: DataFrame, per_source: DataFrame) -> DataFrame:

@@ -39,7 +39,8 @@ from pyspark.sql import functions as F
 
 from tablewright.session import join_bounded
 
-from .common import U64, chunks, mix, narrow, stage, text_bytes, word_hashes
+from .common import (U64, chunks, mix, narrow, packed, stage, text_bytes, unpacked,
+                     word_hashes)
 from .graph import connected_components
 
 SKETCH_BITS = 256
@@ -362,13 +363,12 @@ def one_per_component(documents: DataFrame, id_col: str = "doc_id", **options) -
 
     Of rows that share an id any one stays.
     """
-    found = stage(near_duplicates(documents, id_col=id_col, **options).select(
-        F.col("doc_id").alias("_id"), "kept"), "kept")
-    ids = found.where("_id is not null")
-    out = F.col(f"`{id_col}`").cast("long") == F.col("_id")
-    rest = join_bounded(documents, stage(ids.where("not kept").select("_id").distinct(), "dropped"), out, "left_anti")
-    again = stage(ids.where("kept").groupBy("_id").count().where("count > 1").select("_id"), "repeated")
-    if not again.take(1):
-        return rest
-    return join_bounded(rest, again, out, "left_anti").unionByName(
-        join_bounded(rest, again, out, "left_semi").dropDuplicates([id_col]))
+    ids = stage(near_duplicates(documents, id_col=id_col, **options).where("doc_id is not null")
+                .select("doc_id", "kept"), "kept")
+    rows = packed(documents, doc_id=F.col(f"`{id_col}`").cast("long"))
+    rest = join_bounded(rows, stage(ids.where("not kept").select("doc_id").distinct(), "dropped"), "doc_id", "left_anti")
+    again = stage(ids.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if again.take(1):
+        rest = join_bounded(rest, again, "doc_id", "left_anti").unionByName(
+            join_bounded(rest, again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return unpacked(rest, documents)

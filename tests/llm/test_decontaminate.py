@@ -52,7 +52,7 @@ def test_leaks_equal_brute_force(spark):
     for i, t in rows:
         for j, b in items:
             b, x = dc.normalise(b), dc.normalise(t)
-            if b and (d := semi_global(b, x)) <= int(0.05 * len(b)):
+            if b and (d := semi_global(b, x)) <= int(dc.ERROR_RATE * len(b)):
                 want[i, j] = d
     assert len(want) > 10 and set(want.values()) > {0, 1}
     for block in (1 << 20, 150):

@@ -49,7 +49,7 @@ def test_stages_equal_plain_versions(spark):
 
     clean = cp.stage(cp.decontamination_stage(spark, one, SF_SMALL), "t")
     items = [dc.normalise(r["text"]) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
-    leak = {r["doc_id"] for r in one.collect() for b in items if dc.myers(b, dc.normalise(r["text"]), int(0.05 * len(b)))}
+    leak = {r["doc_id"] for r in one.collect() for b in items if dc.myers(b, dc.normalise(r["text"]), int(dc.ERROR_RATE * len(b)))}
     assert leak and {r["doc_id"] for r in clean.collect()} == {r["doc_id"] for r in one.collect()} - leak
 
     mixed = cp.stage(cp.mix_stage(spark, clean, SF_SMALL), "t")
@@ -58,8 +58,11 @@ def test_stages_equal_plain_versions(spark):
     taken, size = collections.Counter(), {i: (len(t.split()), s) for i, t, s in rows}
     for r in mixed.collect():
         taken[r["source"]] += len(r["text"].split())
-    assert all(abs(taken[s] - want[s]) <= max(60, 0.05 * want[s]) for s in want)
-    assert max(collections.Counter(r["doc_id"] for r in mixed.collect()).values()) <= 2 and set(size)
+    most = {s: max(n for n, t in size.values() if t == s) for s in want}
+    # whole documents only: a source of a handful of documents may miss by half a document
+    assert all(abs(taken[s] - want[s]) <= max(most[s] / 2, 0.02 * want[s]) for s in want), (taken, want, most)
+    assert sum(abs(taken[s] - want[s]) for s in want) < 0.03 * sum(want.values())
+    assert max(collections.Counter(r["doc_id"] for r in mixed.collect()).values()) <= 2
 
     last = cp.shard_stage(spark, mixed, SF_SMALL).collect()
     total = collections.Counter()
