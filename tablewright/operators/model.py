@@ -27,7 +27,7 @@ FEATURES = "_features"
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
-               seed: int = 1, max_depth: int = 10, max_bins: int = 32,
+               seed: int = 1, max_depth: int = 30, max_bins: int = 32,
                feature_subset: str = "all", min_instances: int = 1,
                target_transform: str | None = None,
                prediction_col: str = "prediction", num_partitions: int = 16,

@@ -63,7 +63,7 @@ def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: floa
 
 
 def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed: int = 1,
-             holdout: float = 0.2, split_seed: int = 2023, max_depth: int = 10,
+             holdout: float = 0.2, split_seed: int = 2023, max_depth: int = 30,
              permutation_repeats: int = 3) -> dict[str, DataFrame]:
     """Pipeline A.  Returns frames: predictions, rmse, importance, permutation."""
     u, feats = _prepare_a(train, test, r)
@@ -88,7 +88,7 @@ def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed
 def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
             district: str, area: str | None, bound: float | None, trees_validate: int = 5,
             trees_final: int = 50, seed: int = 1, split_seed: int = 2023,
-            max_depth: int = 10, log_target: bool = True) -> dict[str, DataFrame]:
+            max_depth: int = 30, log_target: bool = True) -> dict[str, DataFrame]:
     """Pipeline B.  ``address`` columns form the label-coded key, ``district``
     is one-hot encoded; ``area`` is rounded to 2 places and trimmed at ``bound``
     (strict) on training rows."""
@@ -122,7 +122,7 @@ def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
 
 def period(train: DataFrame, test: DataFrame, r: Roles, onehot: Sequence[str],
            valid_months: Sequence[int], trees: int = 50, seed: int = 1,
-           max_depth: int = 10) -> dict[str, DataFrame]:
+           max_depth: int = 30) -> dict[str, DataFrame]:
     """Pipeline C.  One-hot levels are read from train only; test is conformed
     to train's columns (unseen levels dropped, missing ones zero)."""
     lv = {c: encode.levels(train, c) for c in onehot}
@@ -144,12 +144,16 @@ def period(train: DataFrame, test: DataFrame, r: Roles, onehot: Sequence[str],
 
 ORDERS_ROLES = Roles(key="o_orderkey", label="o_totalprice", ym="ym",
                      categorical=["o_orderstatus", "o_orderpriority"],
-                     continuous=["o_custkey"], sentinels={"o_orderpriority": [T.SENTINEL]},
-                     trim_col="o_totalprice")
+                     continuous=["area"], sentinels={"o_orderpriority": [T.SENTINEL]},
+                     trim_col="area")
+AREA_BOUND = 250.0      # about the top twentieth of the areas
 
 
-def orders_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    o = T.with_ym(T.table(spark, sf_dir, "orders"))
+def orders_split(spark: SparkSession, sf_dir: str, gaps: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Train and test orders with area and place; with ``gaps`` every tenth area is missing."""
+    o = T.orders_placed(spark, sf_dir)
+    if gaps:
+        o = o.withColumn("area", F.when(F.col("o_orderkey") % 10 != 3, F.col("area")))
     before = T.ts_before("o_orderdate", T.ORDERS_CUTOFF)
     train = o.where(before).drop("o_orderdate")
     test = o.where(~before).drop("o_orderdate", "o_totalprice")
@@ -157,19 +161,23 @@ def orders_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def orders_baseline(spark, sf_dir, **kw):
-    tr, te = orders_split(spark, sf_dir)
+    tr, te = orders_split(spark, sf_dir, gaps=True)
     return baseline(tr, te, ORDERS_ROLES, **kw)
 
 
 def orders_compact(spark, sf_dir, **kw):
-    tr, te = orders_split(spark, sf_dir)
+    tr, te = (d.withColumn("district", S.split_token("place", 1)).drop("place", "o_orderpriority")
+              for d in orders_split(spark, sf_dir))
     return compact(tr, te, ORDERS_ROLES, address=["o_orderstatus", "o_custkey"],
-                   district="o_orderpriority", area=None, bound=None, **kw)
+                   district="district", area="area", bound=AREA_BOUND, **kw)
 
 
 def orders_period(spark, sf_dir, **kw):
-    tr, te = orders_split(spark, sf_dir)
-    tr = tr.select("o_orderkey", "o_totalprice", "ym", "o_custkey", "o_orderstatus", "o_orderpriority")
-    te = te.select("o_orderkey", "ym", "o_custkey", "o_orderstatus", "o_orderpriority")
-    return period(tr, te, ORDERS_ROLES, ["o_orderstatus", "o_orderpriority"],
+    def shaped(d):
+        d = d.withColumns({"status": S.split_token("place", 0), "district": S.split_token("place", 1),
+                           "area": S.round_half_even("area", 2)})
+        return d.select("o_orderkey", *[c for c in ("o_totalprice",) if c in d.columns], "ym", "o_custkey",
+                        "area", "status", "district")
+    tr, te = (shaped(d) for d in orders_split(spark, sf_dir))
+    return period(tr, te, ORDERS_ROLES, ["status", "district"],
                   [200001, 200002, 200003, 200004, 200005, 200006], **kw)

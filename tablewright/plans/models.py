@@ -102,6 +102,17 @@ def _pipe_a(spark, d):
     return P.orders_baseline(spark, d, trees=10, max_depth=8, permutation_repeats=0)["predictions"]
 
 
+@query("baseline_job_outputs")
+def _pipe_a_outputs(spark, d):
+    """Error, impurity importance and permutation importance of the baseline job, as (output, name, value)."""
+    out = P.orders_baseline(spark, d, trees=10, max_depth=8, permutation_repeats=2)
+    rows = out["rmse"].select(F.lit("rmse").alias("output"), F.lit("holdout").alias("name"), F.col("rmse").alias("value"))
+    rows = rows.unionByName(out["importance"].select(F.lit("impurity").alias("output"), F.col("feature").alias("name"),
+                                                     F.col("importance").alias("value")))
+    return rows.unionByName(out["permutation"].select(F.lit("permutation").alias("output"), F.col("feature").alias("name"),
+                                                      F.col("importance_mean").alias("value")))
+
+
 @query("compact_job_predictions")
 def _pipe_b(spark, d):
     return P.orders_compact(spark, d, trees_validate=5, trees_final=10, max_depth=8)["predictions"]

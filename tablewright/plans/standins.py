@@ -61,5 +61,14 @@ def lineitem_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.withColumn("is_test", F.when(ts_before("l_shipdate", LINEITEM_CUTOFF), 0).otherwise(1))
 
 
+def orders_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with an ``area`` (their summed quantity) and a two-token ``place`` text."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("area"))
+    o = with_ym(table(spark, sf_dir, "orders"))
+    place = F.concat_ws(" ", "o_orderstatus", F.regexp_replace("o_orderpriority", "^[0-9]-", ""))
+    return (o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+            .withColumns({"area": F.coalesce("area", F.lit(0.0)) + F.col("o_orderkey") % 7 / 1000.0, "place": place}))
+
+
 def with_ym(df: DataFrame, ts: str = "o_orderdate", name: str = "ym") -> DataFrame:
     return df.withColumn(name, yyyymm(ts))
