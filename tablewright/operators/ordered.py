@@ -448,6 +448,11 @@ def _select_quantiles(v: DataFrame, G: list, probs: Sequence[float], names: Sequ
                                 for i, nm in enumerate(names)])
 
 
+def quantile_method(distinct: int | None) -> str:
+    """What ``auto`` means for a column with this estimated largest distinct count."""
+    return "percentile" if (distinct or 0) * 1.1 <= EXACT_MAP_MAX_ENTRIES else "select"
+
+
 def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
               method: str = "auto", names: Sequence[str] | None = None,
               accuracy: int = 10000) -> DataFrame:
@@ -483,7 +488,7 @@ def quantiles(df: DataFrame, c, probs: Sequence[float], group=None,
     if method == "auto":
         mx = (v.groupBy(*G).agg(F.approx_count_distinct("_x", 0.02).alias("_d"))
                .agg(F.max("_d")).first()[0])
-        method = "percentile" if (mx or 0) * 1.1 <= EXACT_MAP_MAX_ENTRIES else "select"
+        method = quantile_method(mx)
     if method == "select":
         out = _select_quantiles(v, G, probs, names)
         if out is not None:

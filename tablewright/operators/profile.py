@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators.ordered import quantiles
+from tablewright.operators.ordered import quantile_method, quantiles
 from tablewright.session import (DEFAULT_BROADCAST_ROWS, attach_row, join_bounded,
                                  materialize, nullsafe_join)
 
@@ -156,7 +156,11 @@ def describe(df: DataFrame, c: str, percentiles: Sequence[float] = DEFAULT_PERCE
     ok = df.where(F.col(c).isNotNull() & ~F.isnan(x))
     mom = ok.groupBy(*G).agg(F.count(F.lit(1)).alias("count"), F.avg(x).alias("mean"),
                              F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                             F.max(x).alias("max"))
+                             F.max(x).alias("max"), F.approx_count_distinct(x, 0.02).alias("_d"))
+    if method == "auto":
+        # the same pass tells how many distinct values the quantiles would gather
+        mom = materialize(mom)      # one row a group
+        method = quantile_method(mom.agg(F.max("_d")).first()[0])
     ps = list(percentiles)
     qn = [f"p{round(p * 100, 6):g}".replace(".", "_") for p in ps]
     q = quantiles(ok, c, ps, G, method=method, names=qn)

@@ -115,11 +115,15 @@ def _null_ratio(spark, d):
 @query("column_kinds_orders", """
 SELECT column_name AS column,
        CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT', 'SMALLINT', 'TINYINT')
-                 OR column_type LIKE 'DECIMAL%' THEN 'continuous' ELSE 'categorical' END AS kind
-FROM (DESCRIBE orders)
+                 OR column_type LIKE 'DECIMAL%' THEN 'continuous' ELSE 'categorical' END AS kind, non_null
+FROM (DESCRIBE orders) JOIN (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS c, count({c}) AS non_null FROM orders" for c in (
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")) + """)
+ON c = column_name
 """)
 def _kinds(spark, d):
-    return profile.column_kinds(T.table(spark, d, "orders"))
+    o = T.table(spark, d, "orders")
+    return profile.column_kinds(o).join(profile.column_info(o).select("column", "non_null"), "column")
 
 
 @query("value_counts_priority", f"""
