@@ -19,7 +19,7 @@ from tablewright.operators.evaluate import rmse
 from tablewright.plans import jobs as P
 from tablewright.plans import standins as T
 from tablewright.plans.queries import TRAIN, _md5_sql, query
-from tablewright.session import attach_row, checkpoint_dir
+from tablewright.session import attach_row, checkpoint_dir, delete_at_exit
 from tablewright.sources import tables as io
 
 FOREST_ARGS = {"max_depth": 8, "seed": 1}
@@ -96,6 +96,7 @@ def _save_load(spark, d):
     m = model.fit_forest(df, feats, "o_totalprice", num_trees=5, **FOREST_ARGS)
     path = checkpoint_dir(spark).rstrip("/") + f"/models/{uuid.uuid4().hex}"
     io.save_model(m, path)
+    delete_at_exit(spark, path)
     back = io.load_model(path)
     test = encode.label_transform(_orders_derived(spark, d, False), mapping, CODED)
     return model.predict(back, test).select(
@@ -182,6 +183,7 @@ def _exact_saved(spark, d):
     """The forest is saved, loaded and predicts the same."""
     path = checkpoint_dir(spark).rstrip("/") + f"/models/{uuid.uuid4().hex}"
     io.save_model(_exact_forest(_exact(spark, d)), path)
+    delete_at_exit(spark, path)
     return model.predict(io.load_model(path), _exact(spark, d, False)).select("o_orderkey", _rounded("prediction"))
 
 

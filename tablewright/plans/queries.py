@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import scalar as S
 from tablewright.operators import align, clean, distribution, encode, evaluate, ordered, profile, split
 from tablewright.plans import standins as T
-from tablewright.session import attach_row, checkpoint_dir
+from tablewright.session import attach_row, checkpoint_dir, delete_at_exit
 from tablewright.sources import tables as io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -966,6 +966,7 @@ def _csv_roundtrip(spark, d):
     o = T.table(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("target"))
     path = checkpoint_dir(spark).rstrip("/") + f"/predictions/{uuid.uuid4().hex}"
     io.write_predictions(o, path, row_id="o_orderkey", c="target")
+    delete_at_exit(spark, path)
     return io.read_table(spark, path, schema="target bigint", fmt="csv")
 
 
@@ -981,5 +982,6 @@ def _csv_quotes(spark, d):
                  F.when(F.col("o_orderstatus") == "F", "NaN").otherwise(F.col("o_totalprice").cast("string")).alias("price"))
     path = checkpoint_dir(spark).rstrip("/") + f"/text/{uuid.uuid4().hex}"
     o.write.option("header", "true").option("escape", '"').csv(path)
+    delete_at_exit(spark, path)
     return io.read_table(spark, path, "o_orderkey bigint, note string, price double", fmt="csv", multiline=True,
                          null_words=io.PANDAS_NULLS)

@@ -64,6 +64,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have an existing working folder deleted when the session's JVM ends."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and return a frame reading it.
 

@@ -162,6 +162,14 @@ def test_results_independent_of_shuffle_partitions(spark, name):
     assert len(seen) == 1
 
 
+@pytest.mark.parametrize("name", ["forest_holdout_rmse", "label_extend", "interpolate_by_user", "quantiles_select"])
+def test_nothing_stays_persisted(spark, name):
+    import __spark_entry__ as E
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    E.queries()[name](spark, SF_SMALL).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_sample_threshold_path_equals_direct(spark, monkeypatch):
     from tablewright.operators import distribution as D
     e = spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(6)
