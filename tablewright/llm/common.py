@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.session import checkpoint_dir
+from tablewright.session import checkpoint_dir, delete_at_exit
 
 CHUNK_BYTES = 1 << 20
 U64 = np.uint64
@@ -29,9 +29,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
+    """Write ``df`` as Parquet to the shared folder and read it back; it goes when the session ends."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     df.write.parquet(path)
+    delete_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tw_path = path
     return out

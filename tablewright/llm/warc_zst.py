@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.session import join_bounded
+from tablewright.session import delete_at_exit, join_bounded
 
 from .common import narrow, scratch, stage
 
@@ -193,6 +193,11 @@ def read_archives(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
-    """Write ``pages`` to a new folder of the shared folder and read the archives back."""
-    spark = pages.sparkSession
-    return read_archives(spark, write_archives(pages, scratch(spark, "warc"), **options))
+    """Write ``pages`` to a new folder of the shared folder and read the archives back.
+
+    The folder goes when the session ends.
+    """
+    spark, folder = pages.sparkSession, scratch(pages.sparkSession, "warc")
+    manifest = write_archives(pages, folder, **options)
+    delete_at_exit(spark, folder)
+    return read_archives(spark, manifest)
