@@ -9,8 +9,8 @@ in which t stands within ``window`` characters of e,
 
 the disclosure PMI / IC is 1 when t implies e.  A term whose disclosure reaches
 ``remove_at`` is removed, from ``generalise_at`` on it is replaced by its class,
-in the documents that mention e.  An association needs ``support`` different
-texts: one text, however often it is copied, associates nothing.
+in the documents that mention e.  Where a term found in one text alone should not count as
+evidence, ``support`` asks for that many different texts; copies of a text count once.
 
 Everything is DataFrame expressions.  Scale: the patterns run in the scan.
 Co-occurrence rows come only from the surroundings of entities and are summed
@@ -102,7 +102,7 @@ def detect(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.withColumn("text", F.when(F.size("spans") > 0, F.col("text")))
 
 
-def disclosures(documents: DataFrame, found: DataFrame, window: int = 80, support: int = 3,
+def disclosures(documents: DataFrame, found: DataFrame, window: int = 80, support: int = 1,
                 generalise_at: float = 0.75, remove_at: float = 0.9, text_col: str = "text") -> DataFrame:
     """``entity, term, action, disclosure``: terms that reveal an entity too strongly."""
     mentions = found.where("text is not null").select("doc_id", "key", "text", F.explode("spans").alias("s"))

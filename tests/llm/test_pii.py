@@ -43,9 +43,13 @@ def test_base_spans_equal_plain_scan(found):
     assert len(got) == len(rows)
     want = sorted((repr(i), hashlib.sha256(s.encode()).hexdigest(), s) for i, t in rows
                   for s in [",".join(f"{k}:{a}:{b}" for k, a, b in plain(t))])
-    assert sorted((repr(r["doc_id"]), r["base_sha256"], r["spans"]) for r in got) == want
+    base = lambda r: ",".join(s for s in r["spans"].split(",") if not s.startswith("term:"))
+    assert sorted((repr(r["doc_id"]), r["base_sha256"], base(r)) for r in got) == want
+    assert all(r["spans"].startswith(base(r)) for r in got)     # terms follow the base spans
     for r in got:
         kinds = [s.split(":")[0] for s in r["spans"].split(",") if s]
+        starts = [int(s.split(":")[1]) for s in r["spans"].split(",") if s.startswith("term:")]
+        assert starts == sorted(starts)
         assert [r[f"n_{k}"] for k in pii.KINDS] == [kinds.count(k) for k in pii.KINDS]
 
 
@@ -61,10 +65,10 @@ def corpus():
 def test_revealing_terms_are_disclosed(spark):
     df = documents(spark, corpus())
     found = pii.detect(df)
-    got = {(r["entity"], r["term"]): r["action"] for r in pii.disclosures(df, found).collect()}
+    got = {(r["entity"], r["term"]): r["action"] for r in pii.disclosures(df, found, support=3).collect()}
     assert got[("email:eve@corp.org", "zeppelin")] == "remove" and got[("email:eve@corp.org", "777")] == "remove"
     assert not any(t in ("contact", "today", "text", "unicorn") or "bob" in e for e, t in got)
-    out = {r["doc_id"]: r for r in pii.sanitise(df).collect()}
+    out = {r["doc_id"]: r for r in pii.sanitise(df, support=3).collect()}
     clean = out[0]["clean_text"]
     assert "Zeppelin" not in clean and "777" not in clean and "[EMAIL]" in clean and "contact" in clean
     assert out[100]["clean_text"] is None and out[400]["clean_text"] == "once only Unicorn and [EMAIL]"
@@ -78,7 +82,7 @@ def test_disclosure_values_equal_brute_force(spark):
     df = documents(spark, rows)
     n = len(rows)
     terms = {i: {w for w in re.split(r"[\W_]+", t.lower()) if len(w) >= 3} for i, t in rows}
-    for r in pii.disclosures(df, pii.detect(df), window=10_000, generalise_at=0.0).collect():
+    for r in pii.disclosures(df, pii.detect(df), window=10_000, support=3, generalise_at=0.0).collect():
         e = r["entity"].split(":", 1)[1]
         with_e = [i for i, t in rows if e in t.lower()]
         c = sum(r["term"] in {w for w in re.split(r"[\W_]+", re.sub(r"\S+@[\w.]+", " ", t.lower())) if len(w) >= 3}
@@ -88,8 +92,14 @@ def test_disclosure_values_equal_brute_force(spark):
         assert abs(r["disclosure"] - want) < 1e-9, r
 
 
+def test_one_text_is_evidence_by_default(spark):
+    got = {(r["entity"], r["term"]): r["action"] for r in pii.disclosures(documents(spark, corpus()), pii.detect(documents(spark, corpus()))).collect()}
+    assert got[("email:bob@corp.org", "unicorn")] == "remove" and got[("email:eve@corp.org", "zeppelin")] == "remove"
+    assert not any(t in ("contact", "today") for _, t in got)
+
+
 def test_generalised_terms(spark):
-    out = {r["doc_id"]: r for r in pii.sanitise(documents(spark, corpus()), remove_at=9.0).collect()}
+    out = {r["doc_id"]: r for r in pii.sanitise(documents(spark, corpus()), remove_at=9.0, support=3).collect()}
     assert "[WORD]" in out[0]["clean_text"] and "[NUMBER]" in out[0]["clean_text"]
 
 
