@@ -158,7 +158,7 @@ def landing(p: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def mix(documents: DataFrame, weights=(5, 2, 1), budget: float = 1.5, most: float = 2.0, seed: int = 7,
-        block_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
+        block_rows: int = 4_000, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
     """``doc_id, row_key, source, size, source_size, target, copies, taken`` for every row.
 
