@@ -1,9 +1,11 @@
 """License scans by sentence-rule recognition.
 
-A text is cut into sentences, each sentence normalised (lower case, runs of
-other characters than letters, digits, full stops inside numbers as one space),
-and looked up among known license sentences.  What is left of a document is a
-short sequence of sentence identifiers.  License rules are tried in order: a
+A text is normalised (lower case, runs of other characters than letters, digits,
+full stops inside numbers as one space) and cut at line feeds and sentence marks.
+A known license sentence is found where it begins and ends at a cut; cuts inside
+it count as spaces, so hard-wrapped lines and inner marks ("free software: you
+can") do not hide it, but it never reaches over a blank line.  What is left of a
+document is a short sequence of sentence identifiers.  License rules are tried in order: a
 rule is a sequence of identifiers that must follow one another, and what it
 matches is used up, so a longer license is recognised before the shorter ones
 that share its sentences.  Known license sentences that no rule used are
@@ -18,6 +20,7 @@ documents give repeated rows; an empty table gives no row.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -68,22 +71,87 @@ RULES = [
     ("LicenseRef-All-Rights-Reserved", ["ALL-RIGHTS"]),
 ]
 
-# A sentence ends at a line feed, or at a mark before white space or the end.
+# Further sentences of the published notices, as they stand there.
+_GPL = "it under the terms of the {} as published by the Free Software Foundation"
+_AS_IS = ('THIS SOFTWARE IS PROVIDED BY {} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE '
+          "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.")
+_MAY = "This {0} is free software{1} you can redistribute it and/or modify "
+PUBLISHED = [
+    ("APACHE2-BY", 'Licensed under the Apache License, Version 2.0 (the "License");'),
+    ("MIT-PERM", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+                 'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+                 "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+                 "to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("MIT-NOTICE", "The above copyright notice and this permission notice (including the next paragraph) shall be included in all "
+                   "copies or substantial portions of the Software."),
+    *[("BSD-AS-IS", _AS_IS.format(who)) for who in (
+        "THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "THE COPYRIGHT HOLDER AND CONTRIBUTORS", "THE REGENTS AND CONTRIBUTORS",
+        "THE AUTHOR AND CONTRIBUTORS", "THE AUTHOR", "THE AUTHORS")],
+    ("GPL-REDIST", _MAY.format("program", ":") + _GPL.format("GNU General Public License")
+     + ", either version 3 of the License, or (at your option) any later version."),
+    ("GPL3-REDIST-ONLY", _MAY.format("program", ":") + _GPL.format("GNU General Public License") + ", version 3."),
+    ("GPL2-REDIST", _MAY.format("program", ";") + _GPL.format("GNU General Public License")
+     + "; either version 2 of the License, or (at your option) any later version."),
+    ("GPL2-REDIST-ONLY", _MAY.format("program", ";") + _GPL.format("GNU General Public License") + "; version 2 of the License."),
+    ("GPL2-REDIST-ONLY", _MAY.format("program", ";") + "it under the terms of the GNU General Public License version 2 as "
+     "published by the Free Software Foundation."),
+    ("LGPL2-REDIST", _MAY.format("library", ";") + _GPL.format("GNU Lesser General Public License")
+     + "; either version 2.1 of the License, or (at your option) any later version."),
+    *[("LGPL3-REDIST", _MAY.format(what, ":") + _GPL.format("GNU Lesser General Public License")
+       + ", either version 3 of the License, or (at your option) any later version.") for what in ("program", "library")],
+    ("AGPL3-REDIST", _MAY.format("program", ":") + _GPL.format("GNU Affero General Public License")
+     + ", either version 3 of the License, or (at your option) any later version."),
+    ("GPL-HOPE", "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"),
+    ("ISC-PERM", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                 "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC-PERM", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+                 "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("MPL2-FORM", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+]
+
+# Their rules, tried before ``RULES``.
+PUBLISHED_RULES = [
+    ("BSD", ["ALL-RIGHTS", "BSD-REDIST", "BSD-AS-IS"]),
+    *[(name, [i, *hope]) for hope in (["GPL-HOPE"], []) for name, i in (
+        ("GPL-3.0-only", "GPL3-REDIST-ONLY"), ("GPL-2.0-or-later", "GPL2-REDIST"), ("GPL-2.0-only", "GPL2-REDIST-ONLY"),
+        ("LGPL-2.1-or-later", "LGPL2-REDIST"), ("LGPL-3.0-or-later", "LGPL3-REDIST"), ("AGPL-3.0-or-later", "AGPL3-REDIST"))],
+    ("ISC", ["ISC-PERM"]),
+    ("MPL-2.0", ["MPL2-FORM"]),
+]
+
+# In ``oracle``, a sentence ends at a line feed, or at a mark before white space or the end.
 SENTENCE_END = r"\n+|[.!?;:]+[ \t\r]+|[.!?;:]+\z"
 OTHER = r"[^a-z0-9.]+|\.(\z|[^0-9])"
-HINT = r"(?i)licen|copyright|permission|redistribut|warrant|rights reserved|cc0|cc by"
+HINT = r"(?i)licen|copyright|permission|redistribut|warrant|rights\s+reserved|cc0|cc\s+by"
+
+# In ``scan`` a cut is a line feed, or a mark before white space or the end; each becomes one line feed.
+CUT = r"(?<![.!?;:])[.!?;:]*+\n|(?<![.!?;:])[.!?;:]++(?: |\z)"
+NOT_WORD = r"[^a-z0-9.\n]++|\.(?![0-9])"
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, empty ones included."""
-    return F.transform(F.split(F.lower(text), SENTENCE_END),
-                       lambda s: F.trim(F.regexp_replace(s, OTHER, " ")))
+def _words(sentence: str) -> str:
+    """A known sentence in normal form."""
+    return " ".join(re.sub(NOT_WORD, " ", sentence.lower()).split())
+
+
+KNOWN = {_words(s): i for i, s in [*((i, s) for i, s in SENTENCES.items()), *PUBLISHED]}
+# longer sentences first; a cut inside a sentence counts as a space, a blank line is two cuts
+FIND = r"(?<=\n)(?:" + "|".join("[ \\n]".join(map(re.escape, s.split())) for s in sorted(KNOWN, key=lambda s: (-len(s), s))) + r")(?=\n)"
+
+
+def normal(text: Column) -> Column:
+    """Words with one space between them, a line feed for each cut, and one at either end."""
+    t = F.replace(F.regexp_replace(F.lower(text), r"[ \t\r]++", " "), F.lit(" \n"), F.lit("\n"))
+    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, CUT, "\n"), NOT_WORD, " "), " ++", " ")
+    t = F.concat(F.lit("\n"), t, F.lit("\n"))
+    return F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known license sentences of a text, in order."""
-    known = F.create_map(*[F.lit(x) for i, s in SENTENCES.items() for x in (s, i)])
-    found = F.filter(F.transform(sentences(text), lambda s: known[s]), lambda i: i.isNotNull())
+    known = F.create_map(*[F.lit(x) for s, i in KNOWN.items() for x in (s, i)])
+    found = F.transform(F.regexp_extract_all(normal(text), F.lit(FIND), F.lit(0)),
+                        lambda s: known[F.replace(s, F.lit("\n"), F.lit(" "))])
     return F.when(F.rlike(F.coalesce(text, F.lit("")), F.lit(HINT)), found).otherwise(
         F.array().cast("array<string>"))
 
@@ -95,16 +163,17 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     none; ``sentence_ids`` the recognised sequence; ``unmatched`` how many of
     it no rule used.
     """
+    rules = [*PUBLISHED_RULES, *RULES]
     docs = documents.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     docs = docs.select("doc_id", sentence_ids(F.col("text")).alias("ids"))
     # the sequence as text, each identifier between commas; a used stretch becomes its license's number
     left = F.concat(F.lit(","), F.array_join("ids", ",,"), F.lit(","))
-    for n, (_, rule) in enumerate(RULES):
+    for n, (_, rule) in enumerate(rules):
         left = F.replace(left, F.lit("," + ",,".join(rule) + ","), F.lit(f"<{n}>"))
     docs = docs.withColumn("left", left)
     names = F.array_distinct(F.array_compact(F.array(*[
-        F.when(reduce(lambda a, b: a | b, [F.contains("left", F.lit(f"<{n}>")) for n, r in enumerate(RULES) if r[0] == name]),
-               F.lit(name)) for name in sorted({r[0] for r in RULES})])))
+        F.when(reduce(lambda a, b: a | b, [F.contains("left", F.lit(f"<{n}>")) for n, r in enumerate(rules) if r[0] == name]),
+               F.lit(name)) for name in sorted({r[0] for r in rules})])))
     rest = F.regexp_replace(F.col("left"), r"<[0-9]+>", "")
     return docs.select("doc_id", F.array_join(names, " AND ").alias("licenses"),
                        F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ",").alias("sentence_ids"),
@@ -112,7 +181,7 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def oracle() -> str:
-    """DuckDB SQL for ``scan`` over the table ``documents``."""
+    """DuckDB SQL for ``scan`` over the table ``documents``, where every license sentence is one line."""
     table = ", ".join(f"('{i}', '{s}')" for i, s in SENTENCES.items())
     left = "',' || array_to_string(ids, ',,') || ','"
     for n, (_, rule) in enumerate(RULES):

@@ -78,3 +78,82 @@ def test_licenses_odd_rows_and_empty(spark):
     got = licenses.scan(documents(spark, odd_rows())).collect()
     assert len(got) == len(odd_rows()) and {(r["licenses"], r["n_sentences"]) for r in got} == {("", 0)}
     assert licenses.scan(documents(spark, [])).collect() == []
+
+
+APACHE = """Copyright 2020 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """MIT License
+
+Copyright (c) 2020 The Authors
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD = """Copyright (c) 2020, The Authors
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+GPL2 = GPL.replace("software: you", "software; you").replace("Foundation, either version 3", "Foundation; either version 2")
+
+
+def test_published_notices_wrapped_and_unwrapped(spark):
+    ways = [lambda t: t, lambda t: re.sub(r"(?<!\n)\n(?!\n)", " ", t), lambda t: t.replace("\n", "\r\n"),
+            lambda t: "/*\n" + re.sub(r"(?m)^", " * ", t) + "\n */\nint main();", lambda t: re.sub(r"(?m)^", "# ", t),
+            lambda t: "A table row | with no mark\n" + t + "\n| another row"]
+    want = {"Apache-2.0": APACHE, "MIT": MIT, "BSD": BSD, "GPL-3.0-or-later": GPL, "GPL-2.0-or-later": GPL2}
+    rows = [(100 * k + n, way(text)) for k, text in enumerate(want.values()) for n, way in enumerate(ways)]
+    got = {r["doc_id"]: (r["licenses"], r["unmatched"]) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got == {100 * k + n: (name, 0) for k, name in enumerate(want) for n in range(len(ways))}
+
+
+def test_sentences_begin_and_end_at_cuts(spark):
+    rows = [(1, "It is not released under the MIT License."), (2, "Released under the MIT License or none."),
+            (3, "Released under\n\nthe MIT License."), (4, "Released under\nthe MIT License."),
+            (5, "a line with no mark\nReleased under the MIT License\nanother line"), (6, "CC0 of old:\nreleased under CC0 1.0")]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got == {1: "", 2: "", 3: "", 4: "MIT", 5: "MIT", 6: "CC0-1.0"}
