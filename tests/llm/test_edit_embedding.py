@@ -105,3 +105,39 @@ def test_near_classes(spark):
     got = {r["doc_id"]: r["class_id"] for r in ee.near_classes(documents(spark, rows)).collect()}
     assert got == {**{i: i - i % 10 for i, _ in rows[:20]}, 100: 100, 101: 100}
     assert ee.near_classes(documents(spark, [])).collect() == []
+
+
+def edited(text, rate, rng):
+    """A text after ``rate`` random edits a character: substitutions, insertions and deletions."""
+    t = list(text)
+    for _ in range(int(rate * len(t))):
+        at = rng.randrange(len(t))
+        t[at:at + 1] = rng.choice([["#"], [t[at], "#"], []])
+    return "".join(t)
+
+
+def test_candidates_at_the_full_rate():
+    rng = random.Random(11)
+    for size in (4, 12, 30, 60, 300):
+        base = [" ".join(words(1000 * size + i, size)) for i in range(60)]
+        other = [edited(t, 0.1, rng) for t in base]
+        prints = [ee.fingerprints(WALKER, x) for x in (base, other)]
+        met = [bool(set(ee.candidate_keys(a, p)) & set(ee.candidate_keys(b, q))) for a, b, p, q in zip(base, other, *prints)]
+        assert sum(met) >= 59, (size, sum(met))
+        pairs = ee.Pairs(base[:20] + other[:20], 0.1)
+        for i in range(20):
+            for j in range(20, 40):
+                a, b = pairs.texts[i], pairs.texts[j]
+                assert pairs.near(i, j) == (ee.edit_distance(a, b) <= 0.1 * max(len(a), len(b)))
+
+
+def test_links_beside_an_unlike_smallest_member(spark):
+    rng, rows, want = random.Random(5), [], {}
+    for g in range(6):
+        head, tail = " ".join(words(g, 300)), " ".join(words(100 + g, 150))
+        b, c = head + tail, head + edited(tail, 0.2, rng)
+        assert ee.edit_distance(b, c) <= 0.1 * max(len(b), len(c))
+        rows += [(10 * g, head + " ".join(words(200 + g, 150))), (10 * g + 1, b), (10 * g + 2, c)]
+        want |= {10 * g: 10 * g, 10 * g + 1: 10 * g + 1, 10 * g + 2: 10 * g + 1}
+    got = {r["doc_id"]: r["class_id"] for r in ee.near_classes(documents(spark, rows)).collect()}
+    assert got == want
