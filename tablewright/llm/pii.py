@@ -3,7 +3,7 @@
 Four patterns find the protected entities: email, ip, card, phone.  The corpus
 then tells which words give an entity e away even when e itself is masked.
 With N documents, n(e) that mention e, n(t) that hold the term t and c(e, t)
-in which t stands within ``window`` characters of e,
+that mention e and hold t outside of any entity,
 
     PMI(e, t) = log2(N c(e, t) / (n(e) n(t)))        IC(e) = log2(N / n(e))
 
@@ -11,12 +11,14 @@ the disclosure PMI / IC is 1 when t implies e.  A term whose disclosure reaches
 ``remove_at`` is removed, from ``generalise_at`` on it is replaced by its class,
 in the documents that mention e.  Where a term found in one text alone should not count as
 evidence, ``support`` asks for that many different texts; copies of a text count once.
+With ``window``, c(e, t) counts only terms within that many characters of e.
 
 Everything is DataFrame expressions.  Scale: the patterns run in the scan.
-Co-occurrence rows come only from the surroundings of entities and are summed
-map-side; n(t) is one aggregate over the corpus, restricted to the terms that
-have support; documents meet disclosed terms by joins on (e, t), so an entity
-or term that half of the corpus has is split like any hot join key.
+Equal texts are one row with a count, entities that the same texts mention are
+one class, and a term meets a class only if its n(t) is low enough for the wanted
+disclosure at any c (n(t) <= N^(1-g) n(e)^g), so common words never form pairs;
+n(t) is one aggregate over the corpus.  Terms of one or two characters must be rare
+enough for a disclosure of ``SHORT_AT`` even where ``generalise_at`` is lower.
 
 Edge cases: null and empty texts have no span; a null id is carried through;
 rows that repeat get equal results; an empty table gives no row; digit runs and
@@ -29,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.session import attach_row, join_bounded
+from tablewright.session import join_bounded
 
 from .common import stage
 
@@ -43,6 +45,8 @@ PATTERNS = dict(zip(KINDS, (EMAIL, IP, CARD, PHONE)))
 HINTS = dict(zip(KINDS, (r"@", r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", r"[0-9](?:[\x20-]?[0-9]){15}", r"\+[0-9]")))
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 NOT_TERM = r"[^\p{L}\p{N}]+"
+ENTITY = f"{EMAIL}|{PHONE}|{IP}|(?=[0-9](?:[\\x20-]?[0-9]){{15}}){CARD}"
+SHORT_AT = 0.75
 
 
 def positions(text: Column, matches: Column, pieces: Column, kind: str) -> Column:
@@ -89,8 +93,8 @@ def base_spans(text: Column, kind: str) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Distinct lower-case runs of letters and digits, of three characters at least."""
-    return F.filter(F.array_distinct(F.split(F.lower(text), NOT_TERM)), lambda t: F.length(t) >= 3)
+    """Distinct lower-case runs of letters and digits."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), NOT_TERM)), lambda t: t != "")
 
 
 def detect(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,36 +106,93 @@ def detect(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.withColumn("text", F.when(F.size("spans") > 0, F.col("text")))
 
 
-def disclosures(documents: DataFrame, found: DataFrame, window: int = 80, support: int = 1,
-                generalise_at: float = 0.75, remove_at: float = 0.9, text_col: str = "text") -> DataFrame:
-    """``entity, term, action, disclosure``: terms that reveal an entity too strongly."""
-    mentions = found.where("text is not null").select("doc_id", "key", "text", F.explode("spans").alias("s"))
+def _entity(s: Column) -> Column:
+    return F.concat_ws(":", s["kind"], F.lower(s["value"]))
+
+
+def _windows(texts: DataFrame, classes: DataFrame, window: int) -> DataFrame:
+    """``key, copies, x1, x2, n_e, term``: terms within ``window`` characters of an entity."""
+    mentions = texts.select("key", "copies", "text", F.explode("spans").alias("s"))
     begin = F.greatest(F.col("s.start") - window, F.lit(0))
     before = F.substring("text", begin + 1, F.col("s.start") - begin)
     after = F.substring("text", F.col("s.end") + 1, F.lit(window))
     # words cut by the window's edge are left out; other entities in it are no terms
     before = F.when(begin > 0, F.regexp_replace(before, r"\A[\p{L}\p{N}]+", "")).otherwise(before)
     after = F.when(F.length(after) == window, F.regexp_replace(after, r"[\p{L}\p{N}]+\z", "")).otherwise(after)
-    near = mentions.select("doc_id", "key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"),
-                           F.concat_ws(" ", before, after).alias("near"))
-    near = near.withColumn("near", F.regexp_replace("near", f"{EMAIL}|{PHONE}|{IP}|[0-9](?:[\\x20-]?[0-9]){{15,}}+", " "))
-    each = near.select("doc_id", "key", "entity", F.explode(terms(F.col("near"))).alias("term")).distinct()
-    # a text counts once for support, every document counts for the frequencies
-    texts = (each.groupBy("entity", "term", "key").agg(F.count("*").alias("docs"))
-             .groupBy("entity", "term").agg(F.sum("docs").alias("c"), F.count("*").alias("texts"))
-             .where(F.col("texts") >= support))
-    pairs = stage(texts.drop("texts"), "pairs")
-    n_e = (mentions.select("doc_id", "key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
-           .distinct().groupBy("entity").agg(F.count("*").alias("n_e")))
-    wanted = stage(pairs.select("term").distinct(), "terms")
+    near = F.regexp_replace(F.concat_ws(" ", before, after), ENTITY, " ")
+    each = mentions.select("key", "copies", _entity(F.col("s")).alias("entity"), F.explode(terms(near)).alias("term")).distinct()
+    return each.join(classes, "entity").drop("entity")
+
+
+def _evidence(documents: DataFrame, found: DataFrame, window: int | None = None, support: int = 1,
+              generalise_at: float = 0.75, remove_at: float = 0.9, text_col: str = "text"
+              ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Distinct texts with entities, entities and texts with their classes (x1, x2), and the terms that reveal a class.
+
+    Entities of one class are mentioned by the same texts, so all counts of theirs are equal.
+    """
+    texts = stage(found.where("text is not null").groupBy("key").agg(
+        F.count("*").alias("copies"), F.first("text").alias("text"), F.first("spans").alias("spans")), "texts")
+    mentions = texts.select("key", "copies", F.explode(F.array_distinct(F.transform("spans", _entity))).alias("entity"))
+    # with windows, the same texts need not hold the same terms beside two entities
+    mark = F.col("key") if window is None else F.col("entity")
+    per = F.bit_xor if window is None else F.min
+    classes = stage(mentions.groupBy("entity").agg(
+        F.sum("copies").alias("n_e"), *[per(F.xxhash64(mark, F.lit(i))).alias(f"x{i}") for i in (1, 2)]), "entities")
+    held = stage(mentions.select("key", "entity").join(classes, "entity").select("key", "x1", "x2", "n_e").distinct(), "held")
+
+    n = float(documents.count())
+    most = classes.agg(F.max("n_e")).first()[0] or 0
+
+    def bound(n_e: Column, at: float) -> Column:
+        return F.pow(F.lit(n), F.lit(1 - at)) * F.pow(n_e.cast("double"), F.lit(at)) * (1 + 1e-9)
+    if window is None:
+        near = texts.select("key", "copies", F.explode(terms(F.regexp_replace("text", ENTITY, " "))).alias("term"))
+    else:
+        near = stage(_windows(texts, classes, window), "near")
+    wanted = stage(near.select("term").distinct(), "terms")
     words = documents.select(F.explode(terms(F.col(f"`{text_col}`"))).alias("term"))
-    n_t = join_bounded(words, wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    size = documents.agg(F.count("*").cast("double").alias("n"))
-    out = attach_row(pairs.join(n_e, "entity").join(n_t, "term"), size)
-    ic = F.log2(F.col("n") / F.col("n_e"))
-    out = out.withColumn("disclosure", F.when(ic > 0, F.log2(F.col("n") * F.col("c") / (F.col("n_e") * F.col("n_t"))) / ic))
-    return out.where(F.col("disclosure") >= generalise_at).select(
-        "entity", "term", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise").alias("action"), "disclosure")
+    n_t = stage(join_bounded(words.groupBy("term").agg(F.count("*").alias("n_t")), wanted, "term", "left_semi"), "counts")
+    # a term above this bound reveals none of the classes; the most common ones are few and go before the join
+    low = F.col("n_t") <= bound(F.lit(most), generalise_at)
+    common = n_t.where(~low & (F.col("n_t") > n / 100)).select("term")
+    near = join_bounded(near, common, "term", "left_anti").join(n_t.where(low), "term")
+    if window is None:
+        near = near.join(held, "key")
+    short = (F.length("term") >= 3) | (F.col("n_t") <= bound(F.col("n_e"), max(generalise_at, SHORT_AT)))
+    pairs = (near.where((F.col("n_t") <= bound(F.col("n_e"), generalise_at)) & short)
+             .groupBy("x1", "x2", "n_e", "term", "n_t").agg(F.sum("copies").alias("c"), F.count("*").alias("texts"))
+             .where(F.col("texts") >= support))
+    ic = F.log2(F.lit(n) / F.col("n_e"))
+    pairs = pairs.withColumn("disclosure", F.when(ic > 0, F.log2(F.lit(n) * F.col("c") / (F.col("n_e") * F.col("n_t"))) / ic))
+    risky = pairs.where(F.col("disclosure") >= generalise_at).select(
+        "x1", "x2", "term", F.when(F.col("disclosure") >= remove_at, "remove").otherwise("generalise").alias("action"), "disclosure")
+    return texts, classes, held, stage(risky, "risky")
+
+
+def disclosures(documents: DataFrame, found: DataFrame, window: int | None = None, support: int = 1,
+                generalise_at: float = 0.75, remove_at: float = 0.9, text_col: str = "text") -> DataFrame:
+    """``entity, term, action, disclosure``: terms that reveal an entity too strongly."""
+    _, classes, _, risky = _evidence(documents, found, window, support, generalise_at, remove_at, text_col)
+    return classes.join(risky, ["x1", "x2"]).select("entity", "term", "action", "disclosure")
+
+
+def _named(texts: DataFrame, held: DataFrame, risky: DataFrame) -> DataFrame:
+    """``_key, named, general``: a pattern of the terms to mask in a text, and those that are only generalised.
+
+    The pattern branches on the first and the second character, so that a word is not tried against every term.
+    """
+    own = texts.select("key", F.explode(terms(F.col("text"))).alias("term"))
+    own = join_bounded(own, stage(risky.select("term").distinct(), "terms"), "term", "left_semi")
+    named = (own.join(held, "key").join(risky, ["x1", "x2", "term"]).groupBy("key", "term").agg(F.max("action").alias("action")))
+    branch = lambda c: F.concat(F.lit("(?:"), F.array_join(F.sort_array(F.collect_list(c)), "|"), F.lit(")"))
+    named = (named.groupBy("key", F.substring("term", 1, 1).alias("a"), F.substring("term", 2, 1).alias("b"))
+             .agg(branch(F.expr("substring(term, 3)")).alias("p"),
+                  F.collect_list(F.when(F.col("action") == "generalise", F.col("term"))).alias("g"))
+             .groupBy("key", "a").agg(branch(F.concat("b", "p")).alias("p"), F.flatten(F.collect_list("g")).alias("g"))
+             .groupBy(F.col("key").alias("_key"))
+             .agg(branch(F.concat("a", "p")).alias("named"), F.flatten(F.collect_list("g")).alias("general")))
+    return stage(named, "named")
 
 
 def sanitise(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -143,25 +204,13 @@ def sanitise(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     [WORD] or [NUMBER]; it is null for documents without any span.
     """
     found = stage(detect(documents, id_col, text_col), "detected")
-    risky = stage(disclosures(documents, found, text_col=text_col, **options), "disclosures")
-    marked = found.where("text is not null")
-    mentions = marked.select("doc_id", "key", F.explode("spans").alias("s")).select(
-        "doc_id", "key", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity")).distinct()
-    own = marked.select("doc_id", "key", F.explode(terms(F.col("text"))).alias("term")).distinct()
-    own = join_bounded(own, stage(risky.select("term").distinct(), "terms"), "term", "left_semi")
-    named = (own.join(mentions.withColumnRenamed("doc_id", "_id").withColumnRenamed("key", "_key"),
-                      (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-             .join(risky, ["entity", "term"]).groupBy("doc_id", "key", "term").agg(F.max("action").alias("action"))
-             .groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-             .agg(F.collect_set(F.struct("term", "action")).alias("named")))
-    named = stage(named, "named")
-    out = join_bounded(found, named, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-
-    word = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(F.transform("named", lambda x: x["term"]), "|"),
-                    F.lit(r")(?![\p{L}\p{N}])"))
+    texts, _, held, risky = _evidence(documents, found, text_col=text_col, **options)
+    out = join_bounded(found, _named(texts, held, risky), F.col("key") == F.col("_key"), "left")
+
+    word = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])"), F.col("named"), F.lit(r"(?![\p{L}\p{N}])"))
     raw = positions(F.col("text"), F.regexp_extract_all("text", word, F.lit(0)), F.split("text", word, -1), "term")
     free = F.filter(raw, lambda t: ~F.exists("spans", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    out = out.select("doc_id", "text", "named", F.col("spans").alias("base"),
+    out = out.select("doc_id", "text", "general", F.col("spans").alias("base"),
                      F.when(F.col("named").isNotNull(), free).otherwise(F.array().cast(SPAN)).alias("disclosed"))
     return out.withColumn("clean_text", _masked()).select("doc_id", "base", "disclosed", "clean_text")
 
@@ -170,11 +219,10 @@ def _masked() -> Column:
     """The text with spans replaced, left to right; a base span inside another is swallowed by it."""
     spans = F.array_sort(F.concat("base", "disclosed"), lambda a, b: F.when(
         a["start"] != b["start"], a["start"] - b["start"]).otherwise(b["end"] - a["end"]))
-    actions = F.map_from_entries(F.coalesce("named", F.array().cast("array<struct<term:string,action:string>>")))
 
     def mask(s: Column) -> Column:
         general = F.when(F.rlike(s["value"], F.lit(r"\A\p{N}+\z")), "[NUMBER]").otherwise("[WORD]")
-        term = F.when(F.element_at(actions, F.lower(s["value"])) == "remove", "").otherwise(general)
+        term = F.when(F.array_contains("general", F.lower(s["value"])), general).otherwise("")
         return F.when(s["kind"] == "term", term).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
     text = F.col("text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

@@ -112,3 +112,51 @@ def test_odd_rows_and_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.sanitise(documents(spark, corpus()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def far_corpus():
+    """A name 300 characters away from an address, and a house mark of two characters."""
+    gap = " ".join(["the usual words of any text"] * 12)
+    rows = [(i, f"ann@corp.org {gap} number {i} Zeppelin, house Q9, of it") for i in range(4)]
+    rows += [(10 + i, f"p{i}@corp.org {gap} of it number {i}") for i in range(30)]
+    return rows + [(100 + i, f"{gap} it is of number {i}") for i in range(200)]
+
+
+def test_terms_anywhere_and_of_any_length_are_disclosed(spark):
+    df = documents(spark, far_corpus())
+    got = {(r["entity"], r["term"]): (r["action"], r["disclosure"]) for r in pii.disclosures(df, pii.detect(df)).collect()}
+    assert got["email:ann@corp.org", "zeppelin"] == ("remove", 1.0) and got["email:ann@corp.org", "q9"] == ("remove", 1.0)
+    assert not any(t in ("of", "it", "the", "usual", "number") for _, t in got)
+    clean = {r["doc_id"]: r["clean_text"] for r in pii.sanitise(df, support=2).collect()}
+    assert all("Zeppelin" not in clean[i] and "Q9" not in clean[i] and "usual words of any" in clean[i] for i in range(4))
+
+
+def test_repeated_rows_count_alike(spark):
+    rows = [(1, "kim@corp.org of Quux")] * 3 + [(None, "kim@corp.org of Quux")] * 2 + [(9 + i, f"plain words {i}") for i in range(60)]
+    df = documents(spark, rows)
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(df, pii.detect(df)).collect()}
+    assert abs(got["email:kim@corp.org", "quux"] - 1) < 1e-9
+    assert len([r for r in pii.sanitise(df).collect() if r["clean_text"] == "[EMAIL]  "]) == 5
+
+
+def test_common_entity_with_many_terms_equals_brute_force(spark):
+    import math
+    import random
+    rng = random.Random(4)
+    rows = [(i, " ".join([f"t{rng.randrange(60)}" for _ in range(12)] + [f"m{e}@x.org" for e in range(6) if rng.random() < 0.3]))
+            for i in range(150)]
+    df, n = documents(spark, rows), len(rows)
+    words = {i: {w for w in t.split() if "@" not in w} for i, t in rows}
+    full = {i: {w for w in re.split(r"[\W_]+", t) if w} for i, t in rows}
+    want = {}
+    for e in range(6):
+        having = [i for i, t in rows if f"m{e}@" in t]
+        for term in set().union(*(words[i] for i in having)):
+            c, n_t = sum(term in words[i] for i in having), sum(term in full[i] for i in full)
+            d = math.log2(n * c / (len(having) * n_t)) / math.log2(n / len(having))
+            if d >= 0.1:
+                want[f"email:m{e}@x.org", term] = d
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(df, pii.detect(df), generalise_at=0.1).collect()}
+    short = {k for k in want if len(k[1]) < 3}
+    assert {k: v for k, v in want.items() if k not in short}.keys() <= got.keys() <= want.keys()
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
