@@ -9,10 +9,10 @@ over its bag, and the weighted sum of the h is scored by a logistic unit.
 Only document labels are used; which passages matter is learned.
 
 Scale: scoring maps over Arrow batches in place, with a model of a few
-thousand numbers.  Training uses at most ``max_documents`` labelled documents,
-taken by hash, and at most ``max_passages`` evenly spaced passages of each,
-so the driver's share is bounded; these two are the documented bounds of the
-fit.  The sampled ids are broadcast to the scan of the texts.
+thousand numbers.  Training uses at most ``max_documents`` labelled documents
+(different rows of id and text), taken by hash, with all their passages; that
+is the documented bound of the fit.  The sampled ids and the hashes of their
+texts are broadcast to the scan of the texts.
 
 Edge cases: null and empty texts are a bag of one empty passage and get a
 score; a null id is scored and counts as not held out; several labels of one
@@ -159,31 +159,36 @@ def fit(x: np.ndarray, poff: np.ndarray, y: np.ndarray, seed: int = 5, hidden: i
     return model
 
 
-def train(documents: DataFrame, labels: DataFrame, max_documents: int = 6000, max_passages: int = 48,
+def train(documents: DataFrame, labels: DataFrame, max_documents: int = 6000,
           label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
           seed: int = 5) -> AttentionModel | float:
     """Fit on a bounded, hashed sample of the labelled documents that are not held out.
 
+    Rows of one id and text count once.  Where an id has several texts, each id
+    has one of them in the sample before any has a second.
     Returns the share of label 1 (smoothed) if there is no choice to learn.
     """
     docs = narrow(documents, {"doc_id": id_col, "text": text_col})
     marks = (narrow(labels, {"doc_id": id_col, "y": label_col}).where(F.col("y").isin(0, 1) & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.round(F.avg("y")).cast("int").alias("y"), F.xxhash64("doc_id", F.lit(seed)).alias("k")))
-    chosen = [(r["doc_id"], r["y"]) for r in marks.orderBy("k", "doc_id").limit(max_documents).collect()]
-    spark = documents.sparkSession
-    sample = spark.createDataFrame(chosen, marks.select("doc_id", "y").schema)
-    bags = docs.join(F.broadcast(sample), "doc_id")
+    ids = [(r["doc_id"], r["y"]) for r in marks.orderBy("k", "doc_id").limit(max_documents).collect()]
+    spark, kind = documents.sparkSession, dict(docs.dtypes)["doc_id"]
+    docs = docs.withColumn("th", F.xxhash64("text"))
+    texts = docs.select("doc_id", "th").join(
+        F.broadcast(spark.createDataFrame(ids, marks.select("doc_id", "y").schema)), "doc_id").distinct()
+    first = texts.groupBy("doc_id").agg(F.min("th").alias("first"))
+    chosen = (texts.join(first, "doc_id").orderBy(F.col("th") != F.col("first"), F.xxhash64("doc_id", "th", F.lit(seed)), "doc_id", "th")
+              .select("doc_id", "y", "th").limit(max_documents).collect())
+    sample = spark.createDataFrame([tuple(r) for r in chosen], texts.select("doc_id", "y", "th").schema)
+    bags = (docs.join(F.broadcast(sample), ["doc_id", "th"]).groupBy("doc_id", "th", "y").agg(F.first("text").alias("text"))
+            .select("doc_id", "y", "text"))
 
     def run(batches):
         for b in chunks(batches):
             x, poff = passages(*text_bytes(b.column("text")))
-            rows = []
-            for s, e in zip(poff, poff[1:]):
-                at = s + np.unique(np.linspace(0, e - s - 1, min(e - s, max_passages)).astype(np.int64))
-                rows.append(x[at].astype(np.float16).tobytes())
+            rows = [x[s:e].astype(np.float16).tobytes() for s, e in zip(poff, poff[1:])]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(rows, pa.binary())],
                                              names=["doc_id", "y", "x"])
-    kind = dict(docs.dtypes)["doc_id"]
     got = bags.mapInArrow(run, f"doc_id {kind}, y int, x binary").toArrow()
     order = pc.sort_indices(got, sort_keys=[("doc_id", "ascending"), ("x", "ascending")])
     got = got.take(order)

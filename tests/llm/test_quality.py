@@ -96,3 +96,38 @@ def test_odd_rows_empty_and_no_choice(spark):
 def test_repeated_and_conflicting_labels(spark):
     docs, marks = tables(spark, 60)
     assert isinstance(q.train(docs, marks.unionByName(marks)), q.AttentionModel)
+
+
+def bags_of_fit(monkeypatch):
+    """Where ``fit`` is called, the passage counts of its bags and their labels."""
+    seen = []
+    fit = q.fit
+
+    def spy(x, poff, y, seed):
+        seen.append((np.diff(poff).tolist(), y.tolist()))
+        return fit(x[:poff[4]], poff[:5], np.array([0.0, 1, 0, 1]), seed, epochs=1)
+    monkeypatch.setattr(q, "fit", spy)
+    return seen
+
+
+def seen_ids(n):
+    """Ids whose labels are read."""
+    return [i for i in range(10 * n) if zlib.crc32(str(i).encode()) % 5][:n]
+
+
+def test_fit_reads_every_passage_of_long_texts(spark, monkeypatch):
+    seen, ids = bags_of_fit(monkeypatch), seen_ids(8)
+    long = " ".join(words(3, 60 * q.PASSAGE_WORDS))
+    df = documents(spark, [(i, long + f" {i}") for i in ids])
+    q.train(df, spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int"))
+    assert seen[0][0] == [61] * 8
+
+
+def test_fit_is_bounded_by_rows(spark, monkeypatch):
+    seen, ids = bags_of_fit(monkeypatch), seen_ids(10)
+    rows = [(i, f"text of {i}") for i in ids] + [(ids[0], f"another text {k}") for k in range(200)] + [(ids[1], f"text of {ids[1]}")] * 50
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    q.train(documents(spark, rows), labels, max_documents=12)
+    assert len(seen[0][1]) == 12 and sum(seen[0][1]) == 5      # every id, two more texts of the first
+    q.train(documents(spark, rows), labels)
+    assert len(seen[1][1]) == 210
