@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (decontaminate, edit_embedding, licenses, mixing, pii, quality, sharding, url_filter,
+from . import (decontaminate, edit_embedding, lexical, licenses, mixing, pii, quality, sharding, url_filter,
                warc_zst)
 from .near_dedup import near_duplicates
 
@@ -95,6 +95,12 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read(spark, sf_dir, "documents"), corpus_pipeline.SHARD_BYTES)
 
 
+@query("op13_lexical_search", lexical.oracle())
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
