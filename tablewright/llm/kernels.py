@@ -53,16 +53,15 @@ class Lookup:
     """Position of 64-bit hashes in a sorted table, -1 where absent.
 
     Hashes are spread evenly, so their leading bits say where to look; a few
-    probes follow.
+    probes follow, fewer with ``spare`` more bits.
     """
 
-    def __init__(self, keys: np.ndarray):
+    def __init__(self, keys: np.ndarray, spare: int = 0):
         self.keys = keys.astype(U64)                    # sorted, distinct
-        bits = max(1, len(keys).bit_length())
+        bits = max(1, len(keys).bit_length() + spare)
         self.shift = U64(64 - bits)
         heads = (self.keys >> self.shift).astype(np.int64)
         self.start = np.searchsorted(heads, np.arange((1 << bits) + 1)).astype(np.int32)
-        self.probes = int(np.diff(self.start).max()) if len(keys) else 0
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), -1, np.int32)

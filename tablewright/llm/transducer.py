@@ -13,12 +13,17 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from .kernels import Lookup
+
+SPREAD = np.uint64(0x9E3779B97F4A7C15)      # odd: distinct arcs keep distinct products
+
 
 class Transducer:
     """Arcs sorted by (state, byte) in arrays: where they lead and what they output."""
 
     def __init__(self, keys: np.ndarray, targets: np.ndarray, outputs: np.ndarray, final: np.ndarray, root: int):
         self.keys, self.targets, self.outputs, self.final, self.root = keys, targets, outputs, final, root
+        self._spread = None
 
     @classmethod
     def build(cls, terms: Iterable[bytes]) -> Transducer:
@@ -75,24 +80,33 @@ class Transducer:
             at += parts[-1].nbytes
         return cls(*parts, root)
 
+    def _table(self) -> tuple[Lookup, np.ndarray]:
+        """Arcs by their spread keys, and where these stand among the sorted ones."""
+        if self._spread is None:
+            spread = self.keys.astype(np.uint64) * SPREAD
+            order = np.argsort(spread)
+            self._spread = Lookup(spread[order], 2), order
+        return self._spread
+
     def ordinals(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Ordinals of the byte runs ``data[start:end]``, -1 for those that are no term; all walk in step."""
         out = np.full(len(starts), -1, np.int64)
         if not len(self.keys):
             return out
+        table, arcs = self._table()
         lanes = np.flatnonzero(ends > starts)
         at, stop = starts[lanes], ends[lanes]
         state, total = np.full(len(lanes), self.root, np.int64), np.zeros(len(lanes), np.int64)
         while len(lanes):
-            key = state << 8 | data[at]
-            arc = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            on = self.keys[arc] == key
-            lanes, at, stop, arc, total = lanes[on], at[on] + 1, stop[on], arc[on], total[on]
-            state, total = self.targets[arc].astype(np.int64), total + self.outputs[arc]
+            arc = table.find((state << 8 | data[at]).astype(np.uint64) * SPREAD)
+            there = arcs[arc]                                   # of a lane without an arc: any, it ends here
+            state, total = self.targets[there], total + self.outputs[there]
+            at = at + 1
             done = at == stop
-            hit = done & self.final[state]
+            hit = np.flatnonzero(done & (arc >= 0) & self.final[state])
             out[lanes[hit]] = total[hit]
-            lanes, at, stop, state, total = lanes[~done], at[~done], stop[~done], state[~done], total[~done]
+            on = np.flatnonzero(~done & (arc >= 0))
+            lanes, at, stop, state, total = lanes[on], at[on], stop[on], state[on].astype(np.int64), total[on]
         return out
 
     def terms(self) -> Iterator[bytes]:
