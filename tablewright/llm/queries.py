@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (decontaminate, divergence, edit_embedding, lexical, licenses, mixing, pii, quality, sharding, url_filter,
+from . import (class_lm, decontaminate, divergence, edit_embedding, lexical, licenses, mixing, pii, quality, sharding, url_filter,
                warc_zst)
 from .near_dedup import near_duplicates
 
@@ -95,6 +95,12 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(read(spark, sf_dir, "documents"), corpus_pipeline.SHARD_BYTES)
 
 
+@query("op11_class_lm")
+def op11_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-bigram and unigram log probabilities of every document."""
+    return class_lm.score_held_out(read(spark, sf_dir, "documents"))
+
+
 @query("op12_divergence_audit", divergence.oracle())
 def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How sources differ in pairs, and in which terms they exceed their language."""
