@@ -45,7 +45,7 @@ from .transducer import Transducer
 BLOCK_TERMS = 1 << 16
 BROADCAST_BYTES = 64 << 20
 SALTS = 8
-CELLS = 1 << 20
+CELLS = 1 << 16
 SCALE = 1_000_000_000
 GROUP_SHIFT = np.int64(40)      # a tally key: group of the task << 40 | ordinal in the block of the language
 
