@@ -25,7 +25,8 @@ is capped.
 
 Edge cases: null and empty texts have no shingle, are kept and linked with
 nothing; a null id is linked with nothing, its row is kept with a null
-component; rows that share an id are one document.
+component; rows that share an id are one document, so that links of
+any of its texts count for it (``one_per_component`` judges texts, not ids).
 """
 
 from __future__ import annotations
@@ -116,9 +117,9 @@ def sketch_limit(samples: int, threshold: float, bits: int = SKETCH_BITS, sigmas
 
 def signatures(docs: DataFrame, words: int = 2, bands: int = 40, rows: int = 5,
                seed: int = 11) -> DataFrame:
-    """``doc_id, n, set_id, s0..s3, keys``: one row per document of (doc_id, text).
+    """``doc_id, th, n, set_id, s0..s3, keys``: one row per document of (doc_id, th, text).
 
-    ``set_id`` is a 128-bit digest of the shingle set, ``s0..s3`` the odd
+    ``th`` is passed on; ``set_id`` is a 128-bit digest of the shingle set, ``s0..s3`` the odd
     sketch and ``keys`` the band keys; they are null for an empty set.
     """
     def run(batches):
@@ -141,22 +142,22 @@ def signatures(docs: DataFrame, words: int = 2, bands: int = 40, rows: int = 5,
             ids = pa.array([x.tobytes() for x in digest], pa.binary())
             lists = pa.ListArray.from_arrays(np.arange(0, key.size + 1, bands, dtype=np.int32), key.ravel())
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(size), ids.take(idx),
+                [b.column("doc_id"), b.column("th"), pa.array(size), ids.take(idx),
                  *[pa.array(np.ascontiguousarray(sketch[:, k])).take(idx) for k in range(4)],
                  lists.take(idx)],
-                names=["doc_id", "n", "set_id", "s0", "s1", "s2", "s3", "keys"])
-    return docs.mapInArrow(run, "doc_id long, n long, set_id binary, s0 long, s1 long, s2 long, "
+                names=["doc_id", "th", "n", "set_id", "s0", "s1", "s2", "s3", "keys"])
+    return docs.mapInArrow(run, "doc_id long, th long, n long, set_id binary, s0 long, s1 long, s2 long, "
                                 "s3 long, keys array<long>")
 
 
-def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, shingles``: the full sets as arrays of 64-bit hashes."""
+def full_sets(texts: DataFrame, words: int) -> DataFrame:
+    """``rep, shingles`` of (rep, text): the full sets as arrays of 64-bit hashes."""
     def run(batches):
         for b in chunks(batches):
             sets, off = shingle_sets(*text_bytes(b.column("text")), words)
             lists = pa.ListArray.from_arrays(off.astype(np.int32), sets.view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), lists], names=["doc_id", "shingles"])
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
+            yield pa.RecordBatch.from_arrays([b.column("rep"), lists], names=["rep", "shingles"])
+    return texts.mapInArrow(run, "rep long, shingles array<long>")
 
 
 def sketch_distance(a: str, b: str) -> Column:
@@ -286,41 +287,40 @@ def _exact(num: int, den: int):
     return run
 
 
-def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int, int] = (80, 100),
-                    bands: int = 40, rows: int = 5, id_col: str = "doc_id",
-                    text_col: str = "text", seed: int = 11, leader_rounds: int = 2) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``.
+def _linked_classes(docs: DataFrame, words: int, threshold: tuple[int, int], bands: int, rows: int,
+                    seed: int, leader_rounds: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows, classes of equal sets, and the component of each class over links between sets.
 
-    Documents are linked when ``100 * |A ∩ B| >= 80 * |A ∪ B|`` (``threshold``
-    as a fraction of integers).  ``component_id`` is the smallest id reachable
-    over links, ``kept`` marks the row that has it.
+    ``docs`` has ``doc_id, th, text`` (``th``: hash of the text).  A class is numbered by ``rep`` and knows
+    its smallest row (``doc_id, th``); ``rep, root`` covers the classes that share a band with another one.
+    Ids say nothing here: rows that share one may be of several classes.
     """
     num, den = threshold
-    docs = narrow(documents, {"doc_id": id_col, "text": text_col}).withColumn("doc_id", F.col("doc_id").cast("long"))
     sig = stage(signatures(docs, words, bands, rows, seed), "signatures")
     real = sig.where("set_id is not null and doc_id is not null")
+    shape_of = ("n", "s0", "s1", "s2", "s3")
     reps = stage(real.groupBy("set_id")
-                 .agg(F.min(F.struct("doc_id", "n", "s0", "s1", "s2", "s3", "keys")).alias("r"))
-                 .select("set_id", F.col("r.doc_id").alias("rep"),
-                         *[f"r.{c}" for c in ("n", "s0", "s1", "s2", "s3", "keys")]), "classes")
+                 .agg(F.min(F.struct("doc_id", "th", *shape_of, "keys")).alias("r"))
+                 .select(F.monotonically_increasing_id().alias("rep"), "set_id",
+                         *[f"r.{c}" for c in ("doc_id", "th", *shape_of, "keys")]), "classes")
 
     member = reps.select("rep", F.explode("keys").alias("key"))
     shared = member.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
     member = stage(member.join(shared, "key"), "buckets")
 
-    shape = reps.select("rep", "n", "s0", "s1", "s2", "s3").dropDuplicates(["rep"])
+    shape = reps.select("rep", *shape_of)
     limit = sketch_limit(bands * rows, num / den)
     close = (F.least("n", "n2") * den >= F.greatest("n", "n2") * num) & (sketch_distance("", "o_") <= limit)
     other = shape.select(F.col("rep").alias("rep2"), F.col("n").alias("n2"),
                          *[F.col(f"s{k}").alias(f"o_s{k}") for k in range(4)])
 
-    wanted = member.select(F.col("rep").alias("doc_id")).distinct()
-    sets = stage(full_sets(join_bounded(docs, stage(wanted, "wanted"), "doc_id", "left_semi"), words), "sets")
+    wanted = stage(reps.join(member.select("rep").distinct(), "rep", "left_semi").select("rep", "doc_id", "th"), "wanted")
+    sets = stage(full_sets(_class_texts(docs, sig, wanted), words), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs (rep, rep2) of plausible sketches whose full sets are similar enough."""
-        a = sets.select(F.col("doc_id").alias("rep"), F.col("shingles").alias("a"))
-        b = sets.select(F.col("doc_id").alias("rep2"), F.col("shingles").alias("b"))
+        a = sets.select("rep", F.col("shingles").alias("a"))
+        b = sets.select(F.col("rep").alias("rep2"), F.col("shingles").alias("b"))
         both = F.size(F.array_intersect("a", "b"))
         return (pairs.join(a, "rep").join(b, "rep2")
                 .where(both * (num + den) >= (F.size("a") + F.size("b")) * num)
@@ -344,13 +344,56 @@ def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int,
     side, buckets = _open(member, roots, leader_rounds)
     side = side.join(buckets.select("key"), "key", "left_semi").join(shape, "rep")
     plausible = stage(_in_blocks(side).mapInArrow(_plausible(num, den, limit), "key long, rep long"), "plausible")
-    side = (plausible.distinct().join(roots, "rep").join(sets, F.col("rep") == F.col("doc_id"))
+    side = (plausible.distinct().join(roots, "rep").join(sets, "rep")
             .select("key", "rep", "root", F.size("shingles").cast("long").alias("n"), "shingles"))
     rest = stage(_in_blocks(side).mapInArrow(_exact(num, den), "a long, b long"), "rest")
-    final = stage(_merge(roots, rest), "components")
+    return sig, reps, stage(_merge(roots, rest), "components")
+
+
+def _class_texts(docs: DataFrame, sig: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rep, text``: one text of every wanted class, that of its smallest row."""
+    rows = join_bounded(docs, wanted, ["doc_id", "th"], "inner").select("rep", "text")
+    often = stage(join_bounded(sig.select("doc_id", "th"), wanted, ["doc_id", "th"], "inner")
+                  .groupBy("rep").agg(F.count("*").alias("times")).where("times > 1").select("rep"), "repeated")
+    if not often.take(1):
+        return rows
+    return (join_bounded(rows, often, "rep", "left_anti")
+            .unionByName(join_bounded(rows, often, "rep", "left_semi").dropDuplicates(["rep"])))
+
+
+def _same_id_links(sig: DataFrame, reps: DataFrame) -> DataFrame:
+    """Links (a, b) that join all classes of each id that has rows of several."""
+    real = sig.where("set_id is not null and doc_id is not null").select("doc_id", "set_id")
+    several = (real.groupBy("doc_id").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"))
+               .where("lo <> hi").select("doc_id", "lo"))
+    pairs = real.join(several, "doc_id").where("set_id <> lo").select("set_id", "lo").distinct()
+    a, b = (reps.select(F.col("set_id").alias(c), F.col("rep").alias(n)) for c, n in (("lo", "a"), ("set_id", "b")))
+    return stage(pairs.join(a, "lo").join(b, "set_id").select("a", "b"), "same-id")
+
 
-    classes = (reps.select("set_id", "rep").join(final.withColumnRenamed("rep", "node"), F.col("rep") == F.col("node"), "left")
-               .select("set_id", F.coalesce("root", "rep").alias("component_id")))
+def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return (narrow(documents, {"doc_id": id_col, "text": text_col})
+            .withColumns({"doc_id": F.col("doc_id").cast("long"), "th": F.xxhash64("text")}).select("doc_id", "th", "text"))
+
+
+def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int, int] = (80, 100),
+                    bands: int = 40, rows: int = 5, id_col: str = "doc_id",
+                    text_col: str = "text", seed: int = 11, leader_rounds: int = 2) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``documents``.
+
+    Documents are linked when ``100 * |A ∩ B| >= 80 * |A ∪ B|`` (``threshold``
+    as a fraction of integers).  ``component_id`` is the smallest id reachable
+    over links, ``kept`` marks the row that has it.  All rows of one id are one
+    document: it is linked with whatever one of its texts is linked with.
+    """
+    sig, reps, roots = _linked_classes(_keyed(documents, id_col, text_col), words, threshold, bands, rows, seed, leader_rounds)
+    same = _same_id_links(sig, reps)
+    if same.take(1):
+        roots = reps.select("rep").join(roots, "rep", "left").select("rep", F.coalesce("root", "rep").alias("root"))
+        roots = stage(_merge(roots, same), "documents")
+    first = roots.join(reps.select("rep", "doc_id"), "rep").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    classes = (reps.select("set_id", "rep", "doc_id").join(roots, "rep", "left").join(first, "root", "left")
+               .select("set_id", F.coalesce("component_id", "doc_id").alias("component_id")))
     out = sig.select("doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("set_id")).alias("set_id"))
     return (out.join(classes, "set_id", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
@@ -358,17 +401,26 @@ def near_duplicates(documents: DataFrame, words: int = 5, threshold: tuple[int,
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def one_per_component(documents: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``documents`` with one row of each component; rows without an id all stay.
+def one_per_component(documents: DataFrame, words: int = 5, threshold: tuple[int, int] = (80, 100),
+                      bands: int = 40, rows: int = 5, id_col: str = "doc_id", text_col: str = "text",
+                      seed: int = 11, leader_rounds: int = 2) -> DataFrame:
+    """``documents`` with one row of each group of linked texts, that of the smallest id.
 
-    Of rows that share an id any one stays.
+    A row goes only because its text is linked with, or equal to, that of the
+    row that stays: unlike texts that share an id all stay, as do rows
+    without an id and rows without a word.
     """
-    ids = stage(near_duplicates(documents, id_col=id_col, **options).where("doc_id is not null")
-                .select("doc_id", "kept"), "kept")
-    rows = packed(documents, doc_id=F.col(f"`{id_col}`").cast("long"))
-    rest = join_bounded(rows, stage(ids.where("not kept").select("doc_id").distinct(), "dropped"), "doc_id", "left_anti")
-    again = stage(ids.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    sig, reps, roots = _linked_classes(_keyed(documents, id_col, text_col), words, threshold, bands, rows, seed, leader_rounds)
+    classes = reps.select("set_id", "rep", "doc_id", "th").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    best = classes.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("best"))
+    classes = classes.join(best, "root").select("set_id", "best")
+    judged = stage(sig.where("set_id is not null and doc_id is not null").select("doc_id", "th", "set_id").join(classes, "set_id")
+                   .select("doc_id", "th", (F.struct("doc_id", "th") == F.col("best")).alias("stays")), "judged")
+    key = ["doc_id", "th"]
+    rows_ = packed(documents, doc_id=F.col(f"`{id_col}`").cast("long"), th=F.xxhash64(F.col(f"`{text_col}`")))
+    rest = join_bounded(rows_, stage(judged.where("not stays").select(*key).distinct(), "dropped"), key, "left_anti")
+    again = stage(judged.where("stays").groupBy(*key).agg(F.count("*").alias("times")).where("times > 1").select(*key), "repeated")
     if again.take(1):
-        rest = join_bounded(rest, again, "doc_id", "left_anti").unionByName(
-            join_bounded(rest, again, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+        rest = join_bounded(rest, again, key, "left_anti").unionByName(
+            join_bounded(rest, again, key, "left_semi").dropDuplicates(key))
     return unpacked(rest, documents)

@@ -135,3 +135,65 @@ def test_connected_components(spark):
         x, y = find(a), find(b)
         root[max(x, y)] = min(x, y)
     assert got == {x: find(x) for x in root if any(x in e and e[0] != e[1] for e in edges)}
+
+
+def brute_rows(rows, k, by_id):
+    """Component of every row: rows are linked by their sets and, with ``by_id``, by their ids."""
+    sets = [shingles(t, k) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and (100 * len(a & b) >= 80 * len(a | b) or by_id and rows[i][0] == rows[j][0]):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return sets, [find(i) for i in range(len(rows))]
+
+
+def shared_ids():
+    """Twenty families of near copies whose rows share ids at random, with unlike, equal and empty texts."""
+    out = []
+    for seed in range(20):
+        rng = random.Random(seed)
+        texts = near_copies(seed, 12, edits=6) + [" ".join(words(100 + seed, 30)), "", None] + near_copies(500 + seed, 4)
+        texts += texts[:3]
+        out += [(100 * seed + rng.randrange(12), t) for t in texts]
+    return out
+
+
+def test_rows_that_share_an_id_lose_no_link(spark):
+    rows = shared_ids()
+    for turn in range(2):           # the same in every run
+        got = nd.near_duplicates(documents(spark, rows).repartition(3 + turn), words=2).collect()
+        sets, roots = brute_rows(rows, 2, True)
+        first = {}
+        for (i, _), r in zip(rows, roots):
+            first[r] = min(first.get(r, i), i)
+        want = sorted((i, len(s), first[r] if s else i) for (i, _), s, r in zip(rows, sets, roots))
+        assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
+    # the same texts and links as small cases
+    a, b = words(900, 60), words(901, 60)
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(b + ["more"])), (3, " ".join(a + ["more"])), (1, "")]
+    got = {(r["doc_id"], r["component_id"]) for r in nd.near_duplicates(documents(spark, rows), words=2).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
+    left = nd.one_per_component(documents(spark, rows), words=2).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == sorted([rows[0], rows[1], rows[4]])
+
+
+def test_one_per_component_keeps_unlike_texts_of_one_id(spark):
+    rows = shared_ids()
+    left = [(r["doc_id"], r["text"]) for r in nd.one_per_component(documents(spark, rows), words=2).collect()]
+    sets, roots = brute_rows(rows, 2, False)
+    assert sum(not shingles(t, 2) for _, t in left) == sum(not s for s in sets)
+    of = {x: r for x, r, s in zip(rows, roots, sets) if s}
+    groups = {}
+    for x, r in of.items():
+        groups.setdefault(r, []).append(x)
+    kept = [x for x in left if x in of]
+    assert sorted(of[x] for x in kept) == sorted(groups)            # one row of each group of linked texts
+    assert all(x[0] == min(i for i, _ in groups[of[x]]) for x in kept)
