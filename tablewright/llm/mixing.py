@@ -16,14 +16,14 @@ units are the landing problem: they are rounded, and single exchanges with
 other documents of that block bring the token total back to its target.
 
 Scale: only (id, source, size) rows move.  A source of any size is cut into
-blocks of about ``block_rows`` by a hash of id and text; leftovers shrink by a factor of
+blocks of about ``block_rows`` by a hash of id, text and ordinal among equal rows; leftovers shrink by a factor of
 ``block_rows / 2`` a level.  Per-source tables are joined below a counted
 broadcast bound, else by shuffle.  Order and random draws depend on seed,
 source and block only, so reruns agree.
 
 Edge cases: null or empty text has size 0; a source without words has target
 0 and nothing is taken; null sources are one source, the last; repeated rows
-are separate units; an empty table gives no row.
+are separate units, told apart by an ordinal, however many there are; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.session import join_bounded
@@ -42,13 +42,14 @@ from tablewright.session import join_bounded
 from .common import chunks, narrow, packed, stage, text_bytes, unpacked, word_starts
 
 SNAP = 1e-9
+SALTS = 256             # parts in which rows that repeat exactly are numbered
 
 
 def word_sizes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source") -> DataFrame:
-    """``doc_id, source, k, size``: number of words of each whole text; ``k`` hashes id and text."""
+    """``doc_id, source, k, size``: number of words of each whole text; ``k`` hashes id, text and source."""
     docs = (narrow(documents, {"doc_id": id_col, "source": source_col, "text": text_col})
-            .withColumn("k", F.xxhash64("doc_id", "text")))
+            .withColumn("k", F.xxhash64("doc_id", "text", "source")))
 
     def run(batches):
         for b in chunks(batches):
@@ -65,13 +66,12 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), budget: float = 1.5, mos
     """``source, n, source_size, target``: one row per source."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     per = stage(per.sort(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id()), "sources")
-    # rank = rows of earlier partitions + position in this one; one row a partition comes to the driver
-    part = F.shiftrightunsigned("at", 33)
-    start, before = {}, 0
-    for p, c in sorted((r["p"], r["c"]) for r in per.groupBy(part.alias("p")).agg(F.count("*").alias("c")).collect()):
-        start[p], before = before, before + c
-    first = reduce(lambda e, i: e.when(part == i[0], F.lit(i[1])), start.items(), F.when(part < 0, F.lit(0)))
-    rank = first + F.col("at").bitwiseAND((1 << 33) - 1)
+    # rank = rows of earlier partitions + position in this one; the running sum is over one row a partition
+    per = per.withColumn("part", F.shiftrightunsigned("at", 33))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = per.groupBy("part").agg(F.count("*").alias("c")).select("part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("first"))
+    per = join_bounded(per, stage(starts, "starts"), "part", "inner")
+    rank = F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)
     per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
                                                 (rank % len(weights) + 1).cast("int")))
     total = budget * (per.agg(F.sum("source_size")).first()[0] or 0)
@@ -157,20 +157,41 @@ def landing(p: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
     return p
 
 
+def numbered(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """``rows`` with ``ordinal``: 0, 1, ... among the rows of one ``row_key``; ``several`` has the keys of more than one row.
+
+    Rows of a key are dealt to ``SALTS`` parts, numbered there, and shifted by the sizes of the parts before.
+    """
+    if not several.take(1):
+        return rows.withColumn("ordinal", F.lit(0).cast("long"))
+    once = join_bounded(rows, several, "row_key", "left_anti").withColumn("ordinal", F.lit(0).cast("long"))
+    many = join_bounded(rows, several, "row_key", "left_semi").withColumn("_at", F.monotonically_increasing_id())
+    many = many.withColumn("_salt", F.pmod(F.xxhash64("_at"), F.lit(SALTS)))
+    many = stage(many.withColumn("_local", F.row_number().over(Window.partitionBy("row_key", "_salt").orderBy("_at"))), "repeated")
+    before = Window.partitionBy("row_key").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (many.groupBy("row_key", "_salt").agg(F.count("*").alias("_n"))
+             .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    many = join_bounded(many, stage(parts, "parts"), ["row_key", "_salt"], "inner")
+    return once.unionByName(many.withColumn("ordinal", F.col("_first") + F.col("_local") - 1).select(*once.columns))
+
+
 def mix(documents: DataFrame, weights=(5, 2, 1), budget: float = 1.5, most: float = 2.0, seed: int = 7,
         block_rows: int = 4_000, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:
-    """``doc_id, row_key, source, size, source_size, target, copies, taken`` for every row.
+    """``doc_id, row_key, ordinal, source, size, source_size, target, copies, taken`` for every row.
 
-    ``row_key`` hashes id and text; ``take_copies`` uses it.
+    ``row_key`` hashes id, text and source; ``ordinal`` counts the rows that share it, which are
+    equal and therefore interchangeable.  ``take_copies`` uses both.
     """
-    sizes = stage(word_sizes(documents, id_col, text_col, source_col), "sizes")
+    sizes = stage(word_sizes(documents, id_col, text_col, source_col).withColumnRenamed("k", "row_key"), "sizes")
+    several = sizes.groupBy("row_key").agg(F.count("*").alias("n")).where("n > 1").select("row_key")
+    sizes = numbered(sizes, stage(several, "several"))
     targets = stage(source_targets(sizes, weights, budget, most), "targets")
     t = targets.select(F.col("source").alias("_source"), "n", "source_size", "target")
     units = _attach(sizes, t)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    units = (units.withColumn("whole", F.floor(ratio + SNAP))
-             .withColumn("p", F.greatest(F.lit(0.0), ratio - F.col("whole"))).withColumn("row_key", F.col("k")).withColumn("k", F.xxhash64("k", F.lit(seed))))
+    units = (units.withColumn("whole", F.floor(ratio + SNAP)).withColumn("p", F.greatest(F.lit(0.0), ratio - F.col("whole")))
+             .withColumn("k", F.xxhash64("row_key", "ordinal", F.lit(seed))))
     parts, level = [], 0
     while True:
         units = units.withColumn("blocks", F.ceil(F.col("n") / block_rows)).drop("n")
@@ -196,21 +217,18 @@ def mix(documents: DataFrame, weights=(5, 2, 1), budget: float = 1.5, most: floa
         units, level = _attach(left, counts), level + 1
     out = reduce(DataFrame.unionByName, parts)
     copies = (F.col("whole") + F.col("p").cast("long")).alias("copies")
-    return (out.select("doc_id", "row_key", "source", "size", "source_size", "target", copies)
+    return (out.select("doc_id", "row_key", "ordinal", "source", "size", "source_size", "target", copies)
             .withColumn("taken", F.col("size") * F.col("copies")))
 
 
 def take_copies(documents: DataFrame, mixed: DataFrame, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """The rows of ``documents`` as often as ``mixed`` takes them, with their own columns.
-
-    Rows that repeat exactly each take the mean of their copies, rounded up.
-    """
-    per = stage(mixed.groupBy("row_key").agg(F.ceil(F.sum("copies") / F.count("*")).cast("int").alias("copies"))
-                .where("copies > 0"), "copies")
-    rows = packed(documents, row_key=F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
-    taken = join_bounded(rows, per, "row_key", "inner").select("row", F.explode(F.sequence(F.lit(1), "copies")))
-    return unpacked(taken, documents)
+                text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``documents`` as often as ``mixed`` takes them, with their own columns."""
+    per = stage(mixed.select("row_key", "ordinal", F.col("copies").cast("int").alias("copies")), "copies")
+    rows = packed(documents, row_key=F.xxhash64(*[F.col(f"`{c}`") for c in (id_col, text_col, source_col)]))
+    rows = numbered(rows, stage(per.where("ordinal > 0").select("row_key").distinct(), "several"))
+    taken = join_bounded(rows, per.where("copies > 0"), ["row_key", "ordinal"], "inner")
+    return unpacked(taken.select("row", F.explode(F.sequence(F.lit(1), "copies"))), documents)
 
 
 def _attach(units: DataFrame, per_source: DataFrame) -> DataFrame:

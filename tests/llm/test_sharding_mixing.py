@@ -115,3 +115,31 @@ def test_mix_odd_rows_and_empty(spark):
     mixed = mixing.mix(documents(spark, odd_rows()))
     assert mixing.take_copies(documents(spark, odd_rows()), mixed).columns == documents(spark, []).columns
     assert mixing.mix(documents(spark, [])).collect() == []
+
+
+def test_rows_that_repeat_exactly_reach_the_target(spark):
+    """1,000 and 300 equal rows, some equal in all but the source: every source comes within 1 % of its target."""
+    rows = [(1, "four words of text", "a")] * 1000 + [(1, "four words of text", "b")] * 300
+    rows += [(10 + i, " ".join(words(i, 5 + i % 40)), "b") for i in range(400)]
+    df = documents(spark, rows).repartition(7)
+    mixed = mixing.mix(df, block_rows=128)
+    got, (want, _) = mixed.collect(), targets(rows)
+    assert len(got) == len(rows)
+    ordinals = sorted(r["ordinal"] for r in got if r["doc_id"] == 1 and r["source"] == "a")
+    assert ordinals == list(range(1000))
+    taken, out = collections.Counter(), collections.Counter()
+    for r in got:
+        taken[r["source"]] += r["taken"]
+    for r in mixing.take_copies(df, mixed).collect():
+        out[r["source"]] += len(tokens(r["text"]))
+    for s in want:
+        assert taken[s] == out[s] and abs(out[s] - want[s]) <= 0.01 * want[s], (s, taken[s], out[s], want[s])
+    again = mixing.mix(documents(spark, rows).repartition(3), block_rows=128).collect()
+    assert as_set(got, ["doc_id", "source", "taken"]) == as_set(again, ["doc_id", "source", "taken"])
+
+
+def test_hot_equal_rows_are_numbered_in_many_parts(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 3 = 0, 7L, id) AS row_key")
+    several = rows.groupBy("row_key").count().where("count > 1").select("row_key")
+    got = mixing.numbered(rows, several).where("row_key = 7").select("ordinal").collect()
+    assert sorted(r["ordinal"] for r in got) == list(range(6668))
