@@ -9,9 +9,13 @@ that mention e and hold t outside of any entity,
 
 the disclosure PMI / IC is 1 when t implies e.  A term whose disclosure reaches
 ``remove_at`` is removed, from ``generalise_at`` on it is replaced by its class,
-in the documents that mention e.  Where a term found in one text alone should not count as
-evidence, ``support`` asks for that many different texts; copies of a text count once.
-With ``window``, c(e, t) counts only terms within that many characters of e.
+in the documents that mention e.
+
+A share is evidence only if chance cannot well explain it.  A pair must be met in
+``support`` different texts (copies of a text count once), and against the
+m = n(e) n(t) / N meetings that chance gives, c different texts must satisfy
+c ln(c / m) - (c - m) >= ln(N / doubt): by Chernoff's bound fewer than
+``doubt`` terms an entity reach that by chance among N.  With ``window``, c(e, t) counts only terms within that many characters of e.
 
 Everything is DataFrame expressions.  Scale: the patterns run in the scan.
 Equal texts are one row with a count, entities that the same texts mention are
@@ -28,10 +32,12 @@ backtrack or recurse.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.session import join_bounded
+from tablewright.session import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, join_bounded
 
 from .common import stage
 
@@ -124,7 +130,7 @@ def _windows(texts: DataFrame, classes: DataFrame, window: int) -> DataFrame:
     return each.join(classes, "entity").drop("entity")
 
 
-def _evidence(documents: DataFrame, found: DataFrame, window: int | None = None, support: int = 1,
+def _evidence(documents: DataFrame, found: DataFrame, window: int | None = None, support: int = 2, doubt: float = 0.05,
               generalise_at: float = 0.75, remove_at: float = 0.9, text_col: str = "text"
               ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Distinct texts with entities, entities and texts with their classes (x1, x2), and the terms that reveal a class.
@@ -138,7 +144,8 @@ def _evidence(documents: DataFrame, found: DataFrame, window: int | None = None,
     mark = F.col("key") if window is None else F.col("entity")
     per = F.bit_xor if window is None else F.min
     classes = stage(mentions.groupBy("entity").agg(
-        F.sum("copies").alias("n_e"), *[per(F.xxhash64(mark, F.lit(i))).alias(f"x{i}") for i in (1, 2)]), "entities")
+        F.sum("copies").alias("n_e"), F.count("*").alias("texts"), *[per(F.xxhash64(mark, F.lit(i))).alias(f"x{i}") for i in (1, 2)])
+        .where(F.col("texts") >= support).drop("texts"), "entities")
     held = stage(mentions.select("key", "entity").join(classes, "entity").select("key", "x1", "x2", "n_e").distinct(), "held")
 
     n = float(documents.count())
@@ -147,12 +154,17 @@ def _evidence(documents: DataFrame, found: DataFrame, window: int | None = None,
     def bound(n_e: Column, at: float) -> Column:
         return F.pow(F.lit(n), F.lit(1 - at)) * F.pow(n_e.cast("double"), F.lit(at)) * (1 + 1e-9)
     if window is None:
-        near = texts.select("key", "copies", F.explode(terms(F.regexp_replace("text", ENTITY, " "))).alias("term"))
+        told = texts.join(held.select("key").distinct(), "key", "left_semi")
+        near = told.select("key", "copies", F.explode(terms(F.regexp_replace("text", ENTITY, " "))).alias("term"))
     else:
         near = stage(_windows(texts, classes, window), "near")
     wanted = stage(near.select("term").distinct(), "terms")
     words = documents.select(F.explode(terms(F.col(f"`{text_col}`"))).alias("term"))
-    n_t = stage(join_bounded(words.groupBy("term").agg(F.count("*").alias("n_t")), wanted, "term", "left_semi"), "counts")
+    size, length = wanted.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0))).first()
+    if size <= DEFAULT_BROADCAST_ROWS and 24 * size + length <= DEFAULT_BROADCAST_BYTES:
+        words, wanted = words.join(F.broadcast(wanted), "term", "left_semi"), None     # before the shuffle
+    n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
+    n_t = stage(n_t if wanted is None else n_t.join(wanted, "term", "left_semi"), "counts")
     # a term above this bound reveals none of the classes; the most common ones are few and go before the join
     low = F.col("n_t") <= bound(F.lit(most), generalise_at)
     common = n_t.where(~low & (F.col("n_t") > n / 100)).select("term")
@@ -163,6 +175,9 @@ def _evidence(documents: DataFrame, found: DataFrame, window: int | None = None,
     pairs = (near.where((F.col("n_t") <= bound(F.col("n_e"), generalise_at)) & short)
              .groupBy("x1", "x2", "n_e", "term", "n_t").agg(F.sum("copies").alias("c"), F.count("*").alias("texts"))
              .where(F.col("texts") >= support))
+    chance = F.col("n_e") * F.col("n_t") / F.lit(n)
+    surprise = F.col("texts") * F.log(F.col("texts") / chance) - (F.col("texts") - chance)
+    pairs = pairs.where((F.col("texts") > chance) & (surprise >= math.log(max(n, 1.0) / doubt))) if doubt < math.inf else pairs
     ic = F.log2(F.lit(n) / F.col("n_e"))
     pairs = pairs.withColumn("disclosure", F.when(ic > 0, F.log2(F.lit(n) * F.col("c") / (F.col("n_e") * F.col("n_t"))) / ic))
     risky = pairs.where(F.col("disclosure") >= generalise_at).select(
@@ -170,10 +185,10 @@ def _evidence(documents: DataFrame, found: DataFrame, window: int | None = None,
     return texts, classes, held, stage(risky, "risky")
 
 
-def disclosures(documents: DataFrame, found: DataFrame, window: int | None = None, support: int = 1,
+def disclosures(documents: DataFrame, found: DataFrame, window: int | None = None, support: int = 2, doubt: float = 0.05,
                 generalise_at: float = 0.75, remove_at: float = 0.9, text_col: str = "text") -> DataFrame:
     """``entity, term, action, disclosure``: terms that reveal an entity too strongly."""
-    _, classes, _, risky = _evidence(documents, found, window, support, generalise_at, remove_at, text_col)
+    _, classes, _, risky = _evidence(documents, found, window, support, doubt, generalise_at, remove_at, text_col)
     return classes.join(risky, ["x1", "x2"]).select("entity", "term", "action", "disclosure")
 
 

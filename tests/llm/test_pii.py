@@ -1,9 +1,12 @@
 import hashlib
+import math
+import random
 import re
 
 import pytest
 
 from tablewright.llm import pii
+from tests.conftest import SF_ORACLE
 
 from .data import documents, odd_rows
 
@@ -77,12 +80,11 @@ def test_revealing_terms_are_disclosed(spark):
 
 
 def test_disclosure_values_equal_brute_force(spark):
-    import math
     rows = corpus()
     df = documents(spark, rows)
     n = len(rows)
     terms = {i: {w for w in re.split(r"[\W_]+", t.lower()) if len(w) >= 3} for i, t in rows}
-    for r in pii.disclosures(df, pii.detect(df), window=10_000, support=3, generalise_at=0.0).collect():
+    for r in pii.disclosures(df, pii.detect(df), window=10_000, support=3, generalise_at=0.0, doubt=math.inf).collect():
         e = r["entity"].split(":", 1)[1]
         with_e = [i for i, t in rows if e in t.lower()]
         c = sum(r["term"] in {w for w in re.split(r"[\W_]+", re.sub(r"\S+@[\w.]+", " ", t.lower())) if len(w) >= 3}
@@ -92,10 +94,62 @@ def test_disclosure_values_equal_brute_force(spark):
         assert abs(r["disclosure"] - want) < 1e-9, r
 
 
-def test_one_text_is_evidence_by_default(spark):
-    got = {(r["entity"], r["term"]): r["action"] for r in pii.disclosures(documents(spark, corpus()), pii.detect(documents(spark, corpus()))).collect()}
-    assert got[("email:bob@corp.org", "unicorn")] == "remove" and got[("email:eve@corp.org", "zeppelin")] == "remove"
+def test_one_text_is_no_evidence_by_default(spark):
+    df = documents(spark, corpus())
+    got = {(r["entity"], r["term"]): r["action"] for r in pii.disclosures(df, pii.detect(df)).collect()}
+    assert got[("email:eve@corp.org", "zeppelin")] == "remove" and not any("bob" in e for e, _ in got)
     assert not any(t in ("contact", "today") for _, t in got)
+    got = {(r["entity"], r["term"]): r["action"] for r in pii.disclosures(df, pii.detect(df), support=1, doubt=math.inf).collect()}
+    assert got[("email:bob@corp.org", "unicorn")] == "remove"
+    alone = documents(spark, [(1, "mail bob@x.org about Zebra Quine at noon"), *[(9 + i, f"plain words {i}") for i in range(200)]])
+    assert {r["clean_text"] for r in pii.sanitise(alone).collect()} == {None, "mail [EMAIL] about Zebra Quine at noon"}
+
+
+def test_chance_is_no_evidence(spark):
+    """Entities in a tenth of all texts, random rare words: what meets is chance, and little of it is disclosed."""
+    rng = random.Random(8)
+    rows = [(i, " ".join([f"w{rng.randrange(6000)}" for _ in range(30)] + [f"m{e}@x.org" for e in range(5) if rng.random() < 0.1]))
+            for i in range(400)]
+    df = documents(spark, rows)
+    assert pii.disclosures(df, pii.detect(df), doubt=math.inf).count() > 20
+    assert pii.disclosures(df, pii.detect(df)).count() <= 1
+    for e, name in ((0, "Zeppelin"), (3, "Quine")):         # planted: beside one entity and nowhere else
+        rows = [(i, f"{name} {t}" if f"m{e}@" in t else t) for i, t in rows]
+    df = documents(spark, rows)
+    got = {(r["entity"], r["term"]) for r in pii.disclosures(df, pii.detect(df)).collect()}
+    assert {("email:m0@x.org", "zeppelin"), ("email:m3@x.org", "quine")} <= got
+
+
+def test_few_words_of_the_tables_are_disclosed(spark):
+    """At most one word in a hundred of the documents that hold an entity: nothing there is planted beside them."""
+    docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    shown = pii.sanitise(docs).where("size(base) > 0").select("doc_id", "disclosed").join(docs, "doc_id").collect()
+    assert len(shown) > 20
+    assert sum(len(r["disclosed"]) for r in shown) <= 0.01 * sum(len(r["text"].split()) for r in shown)
+
+
+def test_every_kind_of_planted_entity_is_found(spark):
+    """Recall by kind over values set between words, quotes and punctuation."""
+    rng = random.Random(6)
+    value = {"email": lambda i: f"user{i}.x@mail-{i}.example.org", "ip": lambda i: f"{i % 256}.{i * 7 % 256}.0.{i * 3 % 256}",
+             "phone": lambda i: f"+{1 + i % 9} ({100 + i}) 555-{1000 + i}"}
+
+    def card(i):
+        head = [4, *(int(c) for c in f"{i:014d}")]
+        last = next(d for d in range(10) if luhn("".join(map(str, [*head, d]))))
+        s = "".join(map(str, [*head, last]))
+        return rng.choice([s, " ".join(s[k:k + 4] for k in (0, 4, 8, 12)), "-".join(s[k:k + 4] for k in (0, 4, 8, 12))])
+    value["card"] = card
+    rows, kinds = [], {}
+    for i in range(200):
+        kind = pii.KINDS[i % 4]
+        before, after = rng.choice([("see ", " now"), ("(", ")"), ("\"", "\""), ("\n", ",\n"), ("é ", "; x")])
+        rows.append((i, f"text number{before}{value[kind](i)}{after} and more"))
+        kinds[i] = kind
+    got = {r["doc_id"]: r for r in pii.digest_columns(pii.detect(documents(spark, rows)).withColumnRenamed("spans", "base")
+                                                      .selectExpr("*", "slice(base, 1, 0) AS disclosed")).collect()}
+    for kind in pii.KINDS:
+        assert all(got[i][f"n_{kind}"] == 1 for i in kinds if kinds[i] == kind), kind
 
 
 def test_generalised_terms(spark):
@@ -134,14 +188,12 @@ def test_terms_anywhere_and_of_any_length_are_disclosed(spark):
 def test_repeated_rows_count_alike(spark):
     rows = [(1, "kim@corp.org of Quux")] * 3 + [(None, "kim@corp.org of Quux")] * 2 + [(9 + i, f"plain words {i}") for i in range(60)]
     df = documents(spark, rows)
-    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(df, pii.detect(df)).collect()}
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(df, pii.detect(df), support=1, doubt=math.inf).collect()}
     assert abs(got["email:kim@corp.org", "quux"] - 1) < 1e-9
-    assert len([r for r in pii.sanitise(df).collect() if r["clean_text"] == "[EMAIL]  "]) == 5
+    assert len([r for r in pii.sanitise(df, support=1, doubt=math.inf).collect() if r["clean_text"] == "[EMAIL]  "]) == 5
 
 
 def test_common_entity_with_many_terms_equals_brute_force(spark):
-    import math
-    import random
     rng = random.Random(4)
     rows = [(i, " ".join([f"t{rng.randrange(60)}" for _ in range(12)] + [f"m{e}@x.org" for e in range(6) if rng.random() < 0.3]))
             for i in range(150)]
@@ -156,7 +208,7 @@ def test_common_entity_with_many_terms_equals_brute_force(spark):
             d = math.log2(n * c / (len(having) * n_t)) / math.log2(n / len(having))
             if d >= 0.1:
                 want[f"email:m{e}@x.org", term] = d
-    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(df, pii.detect(df), generalise_at=0.1).collect()}
+    got = {(r["entity"], r["term"]): r["disclosure"] for r in pii.disclosures(df, pii.detect(df), support=1, doubt=math.inf, generalise_at=0.1).collect()}
     short = {k for k in want if len(k[1]) < 3}
     assert {k: v for k, v in want.items() if k not in short}.keys() <= got.keys() <= want.keys()
     assert all(abs(got[k] - want[k]) < 1e-9 for k in got)
