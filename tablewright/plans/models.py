@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import scalar as S
-from tablewright.operators import encode, model
+from tablewright.operators import deep_forest, encode, model
 from tablewright.operators.evaluate import rmse
 from tablewright.plans import jobs as P
 from tablewright.plans import standins as T
@@ -217,3 +217,43 @@ def _exact_permutation(spark, d):
     out = model.permutation_importance(_exact_forest(df), df, "label", EXACT, 2, 42, key="o_orderkey")
     return out.select("feature", S.round_half_even("importance_mean", 4).alias("importance_mean"),
                       S.round_half_even("importance_std", 4).alias("importance_std"))
+
+
+# ==== trees of unlimited depth with exact splits =============================
+
+VECTOR = ["priority", "month", "clerk"]
+_VECTOR_SQL = f"""SELECT o_orderkey, {_CODE} AS priority, month(o_orderdate) AS month, o_custkey % 97 AS clerk, o_totalprice
+                  FROM orders WHERE {TRAIN}"""
+TASK_ROWS = 2_000       # so that nodes above the bound occur in the test tables too
+
+
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = T.table(spark, sf_dir, "orders").where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
+    return o.select("o_orderkey", F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"), F.month("o_orderdate").alias("month"),
+                    (F.col("o_custkey") % 97).alias("clerk"), "o_totalprice")
+
+
+@query("deep_tree_means", f"""
+SELECT o_orderkey, round_even(avg(o_totalprice) OVER (PARTITION BY priority, month, clerk), 6) AS prediction FROM ({_VECTOR_SQL})
+""")
+def _deep_means(spark, d):
+    """O52 without a depth limit: a tree grown to its leaves predicts the mean of each distinct feature vector."""
+    df = _vectors(spark, d)
+    tree = deep_forest.fit_deep_forest(df, VECTOR, "o_totalprice", "o_orderkey", num_trees=1, bootstrap=False, max_rows=TASK_ROWS)
+    return tree.predict(df).select("o_orderkey", S.round_half_even("prediction", 6).alias("prediction"))
+
+
+@query("deep_tree_nearest", f"""
+WITH t AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DOUBLE) AS y FROM orders WHERE {TRAIN}),
+s AS (SELECT o_orderkey FROM orders WHERE NOT ({TRAIN})),
+near AS (SELECT o_orderkey, (SELECT max(k) FROM t WHERE k <= o_orderkey) AS lo, (SELECT min(k) FROM t WHERE k > o_orderkey) AS hi FROM s)
+SELECT o_orderkey, t.y AS prediction FROM near
+JOIN t ON t.k = CASE WHEN lo IS NULL THEN hi WHEN hi IS NULL OR o_orderkey <= (lo + hi) / 2.0 THEN lo ELSE hi END
+""")
+def _deep_nearest(spark, d):
+    """O52 and O54 with exact thresholds: on one column, a whole tree predicts the label of the nearest fitted value."""
+    o = T.table(spark, d, "orders")
+    before = T.ts_before("o_orderdate", T.ORDERS_CUTOFF)
+    tree = deep_forest.fit_deep_forest(o.where(before), ["o_orderkey"], "o_totalprice", "o_orderkey", num_trees=1, bootstrap=False,
+                                       max_rows=TASK_ROWS)
+    return tree.predict(o.where(~before)).select("o_orderkey", "prediction")

@@ -75,9 +75,13 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Used for small fitted artefacts (encoder mappings, offsets) that several
     later plans read: it cuts lineage, so a lost executor never re-runs the
-    fit, and makes the row count known before deciding on a broadcast.
+    fit, and makes the row count known before deciding on a broadcast.  The
+    files go when the session ends.
     """
-    checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    # the folder that Spark made for this session's checkpoints alone
+    delete_at_exit(spark, spark.sparkContext.getCheckpointDir())
     return df.checkpoint(eager=True)
 
 
