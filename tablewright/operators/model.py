@@ -1,6 +1,8 @@
 """Random-forest regression, importances and validation.
 
-Models are MLlib pipelines (assembler → forest → optional inverse label
+Two kinds of forest: ``deep_forest.fit_deep_forest`` grows whole trees with
+exact splits, as the reference does, and is what the jobs use; ``fit_forest``
+is MLlib's, binned and at most 30 deep.  MLlib's models are pipelines (assembler → forest → optional inverse label
 transform), so saving and loading keep the whole scoring path.  Tree growth
 is MLlib's own distributed algorithm: histograms per node are aggregated
 across partitions, so the training set is never gathered in one place.
@@ -18,19 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import squared_error
+from tablewright.operators.deep_forest import DeepForest, fit_deep_forest
 from tablewright.operators.evaluate import rmse
 from tablewright.operators.ordered import with_row_id
 from tablewright.operators.split import holdout_split
 from tablewright.session import attach_row, materialize
 
 FEATURES = "_features"
+PARTITION_ROWS = 250_000
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
                seed: int = 1, max_depth: int = 30, max_bins: int = 32,
                feature_subset: str = "all", min_instances: int = 1,
                target_transform: str | None = None,
-               prediction_col: str = "prediction", num_partitions: int = 16,
+               prediction_col: str = "prediction", num_partitions: int | None = None,
                key: str | Sequence[str] | None = None) -> PipelineModel:
     """Fit assembler + random forest (squared error) on ``df``.
 
@@ -44,7 +48,8 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
     MLlib draws its bootstrap samples partition by partition.  The input is
     therefore hash-partitioned into ``num_partitions`` on ``key`` (all used
     columns when None) and sorted inside each partition, so the same rows give
-    the same forest on any machine; raise the number for large inputs.
+    the same forest on any machine.  The number follows from the rows alone:
+    one for each ``PARTITION_ROWS``, 16 at least.
     """
     feats = list(features)
     lab = label
@@ -53,6 +58,8 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
     keys = [key] if isinstance(key, str) else list(key or [*feats, label])
     train = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*feats, label, *keys])])
     by = [F.col(f"`{c}`") for c in dict.fromkeys(keys)]
+    if num_partitions is None:
+        num_partitions = max(16, -(-df.count() // PARTITION_ROWS))
     train = train.repartition(num_partitions, *by).sortWithinPartitions(*by)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     stages = [VectorAssembler(inputCols=feats, outputCol=FEATURES)]
@@ -80,8 +87,10 @@ def fit_forest(df: DataFrame, features: Sequence[str], label: str, num_trees: in
         train.unpersist()
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | DeepForest, df: DataFrame) -> DataFrame:
     """Score ``df``; drops the assembled vector and helper columns."""
+    if isinstance(model, DeepForest):
+        return model.predict(df)
     out = model.transform(df)
     return out.drop(FEATURES, "_pred_t", "_label_t")
 
@@ -93,33 +102,36 @@ def forest_stage(model: PipelineModel) -> RandomForestRegressionModel:
     raise ValueError("no forest in pipeline")
 
 
-def feature_names(model: PipelineModel) -> list[str]:
+def feature_names(model: PipelineModel | DeepForest) -> list[str]:
+    if isinstance(model, DeepForest):
+        return model.features
     return list(model.stages[0].getInputCols())
 
 
 def validate_then_refit(df: DataFrame, features: Sequence[str], label: str, key: str,
                         frac: float = 0.2, split_seed: int = 2023, trees_validate: int = 5,
-                        trees_final: int = 50, **forest_args):
+                        trees_final: int = 50, fit=fit_deep_forest, **forest_args):
     """Fit on a seeded holdout split, report RMSE, then refit on all rows.
 
     Returns ``(final_model, holdout_rmse_frame)``.  The same
-    ``target_transform`` governs both fits.
+    ``target_transform`` governs both fits; ``fit`` is ``fit_deep_forest`` or ``fit_forest``.
     """
     train, valid = holdout_split(df, frac, split_seed, key)
     forest_args = {"key": key, **forest_args}
-    m = fit_forest(train, features, label, num_trees=trees_validate, **forest_args)
+    m = fit(train, features, label, num_trees=trees_validate, **forest_args)
     score = rmse(predict(m, valid), label, "prediction")
-    final = fit_forest(df, features, label, num_trees=trees_final, **forest_args)
+    final = fit(df, features, label, num_trees=trees_final, **forest_args)
     return final, score
 
 
-def feature_importance(model: PipelineModel, names: Sequence[str] | None = None) -> DataFrame:
+def feature_importance(model: PipelineModel | DeepForest, names: Sequence[str] | None = None) -> DataFrame:
     """Impurity importance per feature, largest first (one row per feature)."""
-    rf = forest_stage(model)
-    names = list(names or feature_names(model))
-    imp = rf.featureImportances.toArray().tolist()
     s = SparkSession.getActiveSession()
-    rows = [(n, float(v)) for n, v in zip(names, imp)]
+    if isinstance(model, DeepForest):
+        rows = model.importances()
+    else:
+        imp = forest_stage(model).featureImportances.toArray().tolist()
+        rows = [(n, float(v)) for n, v in zip(list(names or feature_names(model)), imp)]
     return s.createDataFrame(rows, "feature string, importance double").orderBy(
         F.col("importance").desc(), F.col("feature"))
 
@@ -141,7 +153,7 @@ def _affine(n: int, turn: int, seed: int) -> tuple[int, int]:
     return pow(p, turn + 1, n), (seed * (turn + 1) * 7919) % n
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, label: str,
+def permutation_importance(model: PipelineModel | DeepForest, df: DataFrame, label: str,
                            features: Sequence[str] | None = None, n_repeats: int = 3,
                            seed: int = 42, *, key: str) -> DataFrame:
     """Increase in MSE when one feature's values are permuted across rows.

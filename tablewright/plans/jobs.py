@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import scalar as S
 from tablewright.operators import align, clean, encode, model, ordered, profile, split
+from tablewright.operators.deep_forest import fit_deep_forest
 from tablewright.plans import standins as T
 from tablewright.session import materialize
 
@@ -45,8 +46,9 @@ def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: floa
     u = align.tag_union({0: train, 1: test}, r.flag)
     u = clean.sentinels_to_null(u, r.sentinels)
     keep = [r.key, r.label, r.flag, r.ym]
-    u = clean.drop_sparse_columns(u.select(*keep, *r.categorical, *r.continuous),
-                                  max_ratio=max_null_ratio)
+    # written once: counted, bounded, trimmed and encoded from here
+    u = materialize(u.select(*keep, *r.categorical, *r.continuous))
+    u = clean.drop_sparse_columns(u, max_ratio=max_null_ratio)
     cats = [c for c in r.categorical if c in u.columns]
     conts = [c for c in r.continuous if c in u.columns]
     u = clean.fill_constant(u, cats, "NULL")
@@ -63,14 +65,14 @@ def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: floa
 
 
 def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed: int = 1,
-             holdout: float = 0.2, split_seed: int = 2023, max_depth: int = 30,
+             holdout: float = 0.2, split_seed: int = 2023, max_depth: int | None = None,
              permutation_repeats: int = 3) -> dict[str, DataFrame]:
     """Pipeline A.  Returns frames: predictions, rmse, importance, permutation."""
     u, feats = _prepare_a(train, test, r)
     u = materialize(u)      # read by the fit, the scoring and the importances
     tr, te = align.split_tagged(u, r.flag, r.label, test_label=0.0)
     fit_part, valid = split.holdout_split(tr, holdout, split_seed, r.key)
-    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth, key=r.key)
+    m = fit_deep_forest(fit_part, feats, r.label, r.key, num_trees=trees, seed=seed, max_depth=max_depth)
     scored_valid = model.predict(m, valid)
     from tablewright.operators.evaluate import rmse
     out = {
@@ -88,11 +90,11 @@ def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed
 def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
             district: str, area: str | None, bound: float | None, trees_validate: int = 5,
             trees_final: int = 50, seed: int = 1, split_seed: int = 2023,
-            max_depth: int = 30, log_target: bool = True) -> dict[str, DataFrame]:
+            max_depth: int | None = None, log_target: bool = True) -> dict[str, DataFrame]:
     """Pipeline B.  ``address`` columns form the label-coded key, ``district``
     is one-hot encoded; ``area`` is rounded to 2 places and trimmed at ``bound``
     (strict) on training rows."""
-    u = align.tag_union({0: train, 1: test}, r.flag)
+    u = materialize(align.tag_union({0: train, 1: test}, r.flag))
     u = u.withColumn("full_addr", S.concat_key(address, null_as=""))
     m = encode.label_fit(u, ["full_addr"])
     u = encode.label_transform(u, m, ["full_addr"], suffix="_encoded").drop("full_addr")
@@ -122,9 +124,10 @@ def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
 
 def period(train: DataFrame, test: DataFrame, r: Roles, onehot: Sequence[str],
            valid_months: Sequence[int], trees: int = 50, seed: int = 1,
-           max_depth: int = 30) -> dict[str, DataFrame]:
+           max_depth: int | None = None) -> dict[str, DataFrame]:
     """Pipeline C.  One-hot levels are read from train only; test is conformed
     to train's columns (unseen levels dropped, missing ones zero)."""
+    train, test = materialize(train), materialize(test)
     lv = {c: encode.levels(train, c) for c in onehot}
     tr = encode.one_hot(train, onehot, values=lv)
     te = encode.one_hot(test, onehot, values=lv)
@@ -133,7 +136,7 @@ def period(train: DataFrame, test: DataFrame, r: Roles, onehot: Sequence[str],
     te = S.split_yyyymm(te, r.ym, "cont_year", "cont_month", drop=False)
     fit_part, valid = split.period_split(tr, r.ym, valid_months)
     feats = [c for c in tr.columns if c not in (r.key, r.label, r.ym)]
-    m = model.fit_forest(fit_part, feats, r.label, num_trees=trees, seed=seed, max_depth=max_depth, key=r.key)
+    m = fit_deep_forest(fit_part, feats, r.label, r.key, num_trees=trees, seed=seed, max_depth=max_depth)
     from tablewright.operators.evaluate import rmse
     return {"rmse": rmse(model.predict(m, valid), r.label, "prediction"),
             "predictions": model.predict(m, te).select(

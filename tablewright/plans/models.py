@@ -22,7 +22,6 @@ from tablewright.plans.queries import TRAIN, _md5_sql, query
 from tablewright.session import attach_row, checkpoint_dir, delete_at_exit
 from tablewright.sources import tables as io
 
-FOREST_ARGS = {"max_depth": 8, "seed": 1}
 
 
 def _orders_derived(spark: SparkSession, sf_dir: str, train: bool) -> DataFrame:
@@ -61,7 +60,7 @@ def _refit_rmse(final, df: DataFrame) -> DataFrame:
 def _forest_rmse(spark, d):
     df, feats = orders_features(spark, d)
     final, score = model.validate_then_refit(df, feats, "o_totalprice", "o_orderkey", 0.2, 2023,
-                                             trees_validate=5, trees_final=5, **FOREST_ARGS)
+                                             seed=1)
     return attach_row(score, _refit_rmse(final, df))
 
 
@@ -69,15 +68,14 @@ def _forest_rmse(spark, d):
 def _forest_log(spark, d):
     df, feats = orders_features(spark, d)
     final, score = model.validate_then_refit(df, feats, "o_totalprice", "o_orderkey", 0.2, 2023,
-                                             trees_validate=5, trees_final=5,
-                                             target_transform="log1p", **FOREST_ARGS)
+                                             target_transform="log1p", seed=1)
     return attach_row(score, _refit_rmse(final, df))
 
 
 @query("feature_importance")
 def _importance(spark, d):
     df, feats = orders_features(spark, d)
-    m = model.fit_forest(df, feats, "o_totalprice", num_trees=10, **FOREST_ARGS)
+    m = deep_forest.fit_deep_forest(df, feats, "o_totalprice", "o_orderkey")
     return model.feature_importance(m, feats)
 
 
@@ -86,18 +84,18 @@ def _permutation(spark, d):
     df, feats = orders_features(spark, d)
     from tablewright.operators.split import holdout_split
     tr, va = holdout_split(df, 0.2, 2023, "o_orderkey")
-    m = model.fit_forest(tr, feats, "o_totalprice", num_trees=10, **FOREST_ARGS)
+    m = deep_forest.fit_deep_forest(tr, feats, "o_totalprice", "o_orderkey")
     return model.permutation_importance(m, va, "o_totalprice", feats, 3, 42, key="o_orderkey")
 
 
 @query("save_load_predict")
 def _save_load(spark, d):
     df, feats, mapping = orders_features(spark, d, with_mapping=True)
-    m = model.fit_forest(df, feats, "o_totalprice", num_trees=5, **FOREST_ARGS)
+    m = deep_forest.fit_deep_forest(df, feats, "o_totalprice", "o_orderkey", num_trees=50)
     path = checkpoint_dir(spark).rstrip("/") + f"/models/{uuid.uuid4().hex}"
-    io.save_model(m, path)
+    m.save(path)
     delete_at_exit(spark, path)
-    back = io.load_model(path)
+    back = deep_forest.DeepForest.load(spark, path)
     test = encode.label_transform(_orders_derived(spark, d, False), mapping, CODED)
     return model.predict(back, test).select(
         "o_orderkey", S.truncate_int("prediction").alias("target"))
@@ -105,13 +103,13 @@ def _save_load(spark, d):
 
 @query("baseline_job_predictions")
 def _pipe_a(spark, d):
-    return P.orders_baseline(spark, d, trees=10, max_depth=8, permutation_repeats=0)["predictions"]
+    return P.orders_baseline(spark, d, permutation_repeats=0)["predictions"]
 
 
 @query("baseline_job_outputs")
 def _pipe_a_outputs(spark, d):
     """Error, impurity importance and permutation importance of the baseline job, as (output, name, value)."""
-    out = P.orders_baseline(spark, d, trees=10, max_depth=8, permutation_repeats=2)
+    out = P.orders_baseline(spark, d)
     rows = out["rmse"].select(F.lit("rmse").alias("output"), F.lit("holdout").alias("name"), F.col("rmse").alias("value"))
     rows = rows.unionByName(out["importance"].select(F.lit("impurity").alias("output"), F.col("feature").alias("name"),
                                                      F.col("importance").alias("value")))
@@ -121,17 +119,17 @@ def _pipe_a_outputs(spark, d):
 
 @query("compact_job_predictions")
 def _pipe_b(spark, d):
-    return P.orders_compact(spark, d, trees_validate=5, trees_final=10, max_depth=8)["predictions"]
+    return P.orders_compact(spark, d)["predictions"]
 
 
 @query("period_job_predictions")
 def _pipe_c(spark, d):
-    return P.orders_period(spark, d, trees=10, max_depth=8)["predictions"]
+    return P.orders_period(spark, d)["predictions"]
 
 
 @query("period_job_rmse")
 def _pipe_c_rmse(spark, d):
-    return P.orders_period(spark, d, trees=10, max_depth=8)["rmse"]
+    return P.orders_period(spark, d)["rmse"]
 
 
 # ==== forests whose output SQL can state =====================================
@@ -172,7 +170,7 @@ FROM ({_EXACT_SQL}) WHERE ({_md5_sql(2023, 'o_orderkey')} % 1000000) < 200000
 def _exact_validation(spark, d):
     """Holdout error, then the model refitted on all rows."""
     df = _exact(spark, d)
-    final, score = model.validate_then_refit(df, EXACT, "label", "o_orderkey", trees_validate=5, trees_final=20, max_depth=30, seed=1)
+    final, score = model.validate_then_refit(df, EXACT, "label", "o_orderkey", trees_validate=5, trees_final=20, seed=1, max_depth=30, fit=model.fit_forest)
     again = rmse(model.predict(final, df), "label", "prediction")
     return attach_row(score.select(_rounded("rmse"), "n"), again.select(
         F.col("n").alias("n_refit"), S.round_half_even("rmse", 6).alias("refit_rmse")))

@@ -114,6 +114,26 @@ def test_log_target_roundtrip(spark, planted, scratch):
 
 def test_validate_then_refit(spark, planted):
     final, score = model.validate_then_refit(planted, FEATS, "label", "row_id",
-                                             trees_validate=3, trees_final=6, max_depth=6)
+                                             trees_validate=3, trees_final=6, max_depth=6, fit=model.fit_forest)
     assert score.first()["n"] > 200
     assert model.forest_stage(final).getNumTrees == 6
+
+
+def test_validate_then_refit_with_whole_trees(spark, planted):
+    final, score = model.validate_then_refit(planted, FEATS, "label", "row_id", trees_validate=3, trees_final=6, seed=1)
+    assert len(final.tops) == 6 and score.first()["n"] > 200
+    top = model.feature_importance(final).first()
+    other = model.feature_importance(model.fit_forest(planted, FEATS, "label", num_trees=6)).first()
+    assert top["feature"] == other["feature"]
+
+
+@pytest.mark.parametrize("target", [None, "log1p"])
+def test_whole_trees_do_not_depend_on_partitions(spark, planted, target):
+    from tablewright.operators.deep_forest import fit_deep_forest
+    sums = set()
+    for n in (4, 16, 64):
+        m = fit_deep_forest(planted.repartition(n), FEATS, "label", "row_id", num_trees=4, max_rows=300, target_transform=target)
+        rows = model.predict(m, planted).orderBy("row_id").collect()
+        sums.add(tuple(r["prediction"] for r in rows))
+        assert sum(abs(r["prediction"] - r["label"]) for r in rows) / len(rows) < 1.0
+    assert len(sums) == 1
