@@ -116,7 +116,7 @@ def validate_then_refit(df: DataFrame, features: Sequence[str], label: str, key:
     Returns ``(final_model, holdout_rmse_frame)``.  The same
     ``target_transform`` governs both fits; ``fit`` is ``fit_deep_forest`` or ``fit_forest``.
     """
-    train, valid = holdout_split(df, frac, split_seed, key)
+    train, valid = holdout_split(df, frac, split_seed, key, exact=True)
     forest_args = {"key": key, **forest_args}
     m = fit(train, features, label, num_trees=trees_validate, **forest_args)
     score = rmse(predict(m, valid), label, "prediction")

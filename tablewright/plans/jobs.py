@@ -71,7 +71,7 @@ def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed
     u, feats = _prepare_a(train, test, r)
     u = materialize(u)      # read by the fit, the scoring and the importances
     tr, te = align.split_tagged(u, r.flag, r.label, test_label=0.0)
-    fit_part, valid = split.holdout_split(tr, holdout, split_seed, r.key)
+    fit_part, valid = split.holdout_split(tr, holdout, split_seed, r.key, exact=True)
     m = fit_deep_forest(fit_part, feats, r.label, r.key, num_trees=trees, seed=seed, max_depth=max_depth)
     scored_valid = model.predict(m, valid)
     from tablewright.operators.evaluate import rmse

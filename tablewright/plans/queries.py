@@ -8,6 +8,7 @@ behaviour is covered by the repository tests.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -412,6 +413,18 @@ def _tag_union(spark, d):
     return T.orders_tagged(spark, d)
 
 
+@query("tag_union_mixed", f"""
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, 0 AS is_test FROM orders WHERE {TRAIN}
+UNION ALL SELECT o_orderkey, 'C' || o_custkey, 1 FROM orders WHERE NOT ({TRAIN})
+""")
+def _tag_union_mixed(spark, d):
+    """O33 with a column that is a number in train and text in test."""
+    o = T.table(spark, d, "orders")
+    before = T.ts_before("o_orderdate", T.ORDERS_CUTOFF)
+    return align.tag_union({0: o.where(before).select("o_orderkey", "o_custkey"),
+                            1: o.where(~before).select("o_orderkey", F.concat(F.lit("C"), "o_custkey").alias("o_custkey"))})
+
+
 @query("split_tagged", f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, CAST(0 AS DOUBLE) AS o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE NOT ({TRAIN})
@@ -697,6 +710,16 @@ def _uhash_sql(k: str, a: int, b: int) -> str:
     return f"((((({k} % {p}) + {p}) % {p}) * {a} + {b}) % {p})"
 
 
+@query("holdout_exact", f"""
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY {_md5_sql(2023, 'o_orderkey')}, o_orderkey) <= ceil(0.2 * count(*) OVER ()) AS INTEGER) AS is_holdout
+FROM orders WHERE {TRAIN}
+""")
+def _holdout_exact(spark, d):
+    """O50 with exactly a fifth of the rows, rounded up."""
+    o = T.table(spark, d, "orders").where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
+    return o.select("o_orderkey", split.exact_mask(o, "o_orderkey", 0.2, 2023).cast("int").alias("is_holdout"))
+
+
 @query("holdout_universal", f"""
 SELECT o_orderkey, CAST(({_uhash_sql('o_orderkey', _A23, _B23)} % 1000000) < 200000 AS INTEGER) AS is_holdout
 FROM orders WHERE {TRAIN}
@@ -812,6 +835,59 @@ def _cmp(spark, d):
     return evaluate.compare_predictions(a, b, "o_orderkey", "target")
 
 
+def _folder(spark, name: str) -> str:
+    """A new working folder that goes when the session ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+    delete_at_exit(spark, path)
+    return path
+
+
+@query("compare_by_position", """
+WITH a AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id, CAST(trunc(o_totalprice) AS BIGINT) AS target FROM orders),
+b AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id, CAST(trunc(o_totalprice) AS BIGINT) + CAST(month(o_orderdate) = 1 AS INTEGER) AS target
+      FROM orders WHERE o_orderkey % 1000 <> 500),
+j AS (SELECT a.row_id AS ra, b.row_id AS rb, a.target = b.target AS same FROM a FULL OUTER JOIN b ON a.row_id = b.row_id)
+SELECT count(*) FILTER (WHERE same) AS equal, count(*) FILTER (WHERE NOT same) AS different,
+       count(*) FILTER (WHERE rb IS NULL) AS only_a, count(*) FILTER (WHERE ra IS NULL) AS only_b FROM j
+""")
+def _compare_position(spark, d):
+    """Two prediction files without any key, matched by the position of their rows."""
+    o = T.table(spark, d, "orders")
+    second = o.where("o_orderkey % 1000 <> 500").withColumn("o_totalprice", F.col("o_totalprice").cast("bigint") + (F.month("o_orderdate") == 1).cast("int"))
+    read = []
+    for df in (o, second):
+        path = _folder(spark, "predictions")
+        io.write_predictions(df, path, "o_orderkey", "o_totalprice")
+        read.append(io.read_table(spark, path, schema="target bigint", fmt="csv", row_id=True))
+    return evaluate.compare_predictions(*read, "row_id", "target")
+
+
+@query("file_row_ids", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS line FROM orders")
+def _file_rows(spark, d):
+    """Rows of several Parquet files numbered by their place in the files."""
+    path = _folder(spark, "sorted")
+    T.table(spark, d, "orders").repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey").write.mode("overwrite").parquet(path)
+    return io.read_table(spark, path, fmt="parquet", row_id="line").select("o_orderkey", "line")
+
+
+@query("inferred_types", """
+SELECT o_orderkey, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_custkey END AS o_custkey, o_orderstatus,
+       CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderkey % 2 = 0 AS even,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'about ' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS mixed FROM orders
+""")
+def _inferred(spark, d):
+    """Types of a text file with null words, inferred in one pass."""
+    o, path = T.table(spark, d, "orders"), _folder(spark, "text")
+    key = F.col("o_custkey").cast("string")
+    o.select("o_orderkey", F.when(F.col("o_orderpriority") != T.SENTINEL, key).otherwise("N/A").alias("o_custkey"), "o_orderstatus", "o_totalprice",
+             F.when(F.col("o_orderkey") % 2 == 0, "True").otherwise("False").alias("even"),
+             F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("about "), key)).otherwise(key).alias("mixed"),
+             ).write.mode("overwrite").option("header", "true").csv(path)
+    return io.read_table(spark, path, fmt="csv", null_words=io.PANDAS_NULLS)
+
+
 @query("differing_rows", _CMP_SQL + "SELECT o_orderkey, a, b, status FROM j WHERE status <> 'equal'")
 def _diff_rows(spark, d):
     a, b = _pred_ab(spark, d)
