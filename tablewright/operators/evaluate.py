@@ -76,3 +76,60 @@ def diff_tables(a: DataFrame, b: DataFrame, key: str, cols: Sequence[str],
     sb = b.select(key, *[F.col(x).alias(f"_b_{x}") for x in cols])
     j = sa.join(sb, key, "inner")
     return j.select(key, *[(F.col(f"_a_{x}") - F.col(f"_b_{x}")).alias(x + suffix) for x in cols])
+
+
+DIGIT_BITS, LEVELS = 12, 3
+
+
+def content_difference(a: DataFrame, b: DataFrame, key, cols: Sequence[str], digit_bits: int = DIGIT_BITS, levels: int = LEVELS) -> DataFrame:
+    """Rows (key and ``cols``) that one table holds more often than the other: ``key..., cols..., in_a, in_b``.
+
+    Both tables are multisets here: a repeated row counts as often as it
+    stands there, null equals null, NaN equals NaN, and a changed row shows up once with
+    its old and once with its new values.
+
+    Rows are dealt to buckets by the hash of their key.  Each table is reduced
+    to order-free checksums per bucket (rows, and both halves of the row
+    hashes summed), so only 2^digit_bits rows a table move; where checksums
+    differ the next digit of the hash is compared, ``levels`` times.  Only rows
+    of the buckets that differ at last are shuffled and compared in full, so
+    that what moves follows the differences, not the tables.  Different
+    content escapes with a probability of about 2^-64 a bucket.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    names = [*keys, *cols]
+    sides = []
+    for df in (a, b):
+        kinds = dict(df.dtypes)
+        plain = df.select(*[F.col(f"`{c}`") for c in names])
+        # equal values hash alike: no negative zero, NaN in one form
+        same = [F.when(F.isnan(f"`{c}`"), F.lit("NaN")).otherwise((F.col(f"`{c}`") + 0.0).cast("string")) if kinds[c] in ("double", "float")
+                else F.col(f"`{c}`").cast("string") for c in names]
+        none = [F.concat_ws(",", *[s.isNull().cast("int").cast("string") for s in same])]
+        sides.append(plain.withColumns({"_k": F.xxhash64(*same[:len(keys)]), "_h": F.xxhash64(*same, *none)}))
+    marks: list[int] | None = None
+    for level in range(1, levels + 1):
+        width = digit_bits * level
+        mark = F.shiftrightunsigned("_k", 64 - width)
+        half = lambda h: [F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("lo"), F.sum(F.shiftrightunsigned(h, 32)).alias("hi")]
+        sums = []
+        for df in sides:
+            held = df if marks is None else df.where(F.shiftrightunsigned("_k", 64 - width + digit_bits).isin(marks))
+            sums.append(held.groupBy(mark.alias("m")).agg(F.count("*").alias("n"), *half(F.col("_h"))))
+        x, y = sums[0], sums[1].withColumnsRenamed({"n": "n2", "lo": "lo2", "hi": "hi2"})
+        differ = x.join(y, "m", "full_outer").where(
+            ~(F.col("n").eqNullSafe(F.col("n2")) & F.col("lo").eqNullSafe(F.col("lo2")) & F.col("hi").eqNullSafe(F.col("hi2"))))
+        # a bounded number of marks: beyond a digit's worth the tables differ widely, and deeper levels would not pay
+        found = [r["m"] for r in differ.select("m").limit((1 << digit_bits) + 1).collect()]
+        if len(found) > 1 << digit_bits:
+            break
+        marks, last = found, width
+        if not found:
+            break
+    out = []
+    for side, df in zip("ab", sides):
+        if marks is not None:
+            df = df.where(F.shiftrightunsigned("_k", 64 - last).isin(marks))
+        out.append(df.select(*names, F.lit(int(side == "a")).alias("_a"), F.lit(int(side == "b")).alias("_b")))
+    both = out[0].unionByName(out[1]).groupBy(*[F.col(f"`{c}`") for c in names]).agg(F.sum("_a").alias("in_a"), F.sum("_b").alias("in_b"))
+    return both.where("in_a <> in_b")

@@ -4,13 +4,14 @@ row per column or per value, never the data itself."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablewright.operators.ordered import quantile_method, quantiles
-from tablewright.session import (DEFAULT_BROADCAST_ROWS, attach_row, join_bounded,
+from tablewright.operators.ordered import _weights, quantile_method, quantiles
+from tablewright.session import (DEFAULT_BROADCAST_ROWS, attach_row, fits_broadcast, join_bounded,
                                  materialize, nullsafe_join)
 
 _FLOATS = (T.FloatType, T.DoubleType)
@@ -173,6 +174,73 @@ def describe(df: DataFrame, c: str, percentiles: Sequence[float] = DEFAULT_PERCE
     return out
 
 
+SKETCH_BUCKETS = 64
+
+
+def describe_columns(df: DataFrame, cols: Sequence[str], percentiles: Sequence[float] = DEFAULT_PERCENTILES,
+                     group=None, method: str = "auto", buckets: int = SKETCH_BUCKETS) -> DataFrame:
+    """``describe`` of several columns, one row per group and column (``column``), in a fixed number of scans.
+
+    Every row is read as one narrow (group, column, value) record a column.
+    The first scan takes moments and a mergeable quantile sketch of every
+    column and group in one aggregate.  Where no column has more distinct
+    values than ``percentile`` may gather, one more scan ends it.  Else the
+    sketches cut each column and group into about ``buckets`` buckets; the second scan
+    counts them, which tells the buckets that hold the wanted order statistics,
+    and the third ranks only these, ties collapsed.  Nulls and NaN are
+    skipped; a column without any value has no row.
+    """
+    G = [group] if isinstance(group, str) else list(group or [])
+    cols, ps = list(cols), list(percentiles)
+    qn = [f"p{round(p * 100, 6):g}".replace(".", "_") for p in ps]
+    long = df.select(*G, F.inline(F.array(*[F.struct(F.lit(i).alias("_col"), F.col(f"`{c}`").cast("double").alias("_x"))
+                                            for i, c in enumerate(cols)]))).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    K, x = [*G, "_col"], F.col("_x")
+    cuts = [i / buckets for i in range(1, buckets)]
+    mom = materialize(long.groupBy(*K).agg(
+        F.count(F.lit(1)).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
+        F.array_distinct(F.percentile_approx(x, cuts, 20 * buckets)).alias("_cuts"), F.approx_count_distinct(x, 0.02).alias("_d")))
+    if method == "auto":
+        method = quantile_method(mom.agg(F.max("_d")).first()[0])
+    if method == "percentile":
+        q = long.groupBy(*K).agg(F.percentile(x, ps).alias("_q")).select(*K, *[F.col("_q")[i].alias(n) for i, n in enumerate(qn)])
+    elif method == "select":
+        q = _select_columns(long, K, mom.select(*K, "count", "_cuts"), ps, qn)
+    else:
+        raise ValueError(f"unknown method {method!r}")
+    out = nullsafe_join(mom, q, K, "left")
+    return out.select(*G, F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_col") + 1).alias("column"),
+                      "count", "mean", "std", "min", *qn, "max")
+
+
+def _select_columns(long: DataFrame, K: list[str], shape: DataFrame, probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Exact quantiles per key: ``shape`` has ``count`` and the bucket bounds ``_cuts`` of each key."""
+    small = fits_broadcast(shape)
+    bucket = F.size(F.filter("_cuts", lambda b: b < F.col("_x")))
+    counted = (nullsafe_join(long, shape.select(*K, "_cuts"), K, "inner", broadcast_right=small)
+               .groupBy(*K, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*K).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counted = nullsafe_join(counted.withColumn("_s", F.coalesce(F.sum("_c").over(w), F.lit(0))), shape.select(*K, "count"), K, "inner")
+    n1 = (F.col("count") - 1).cast("double")
+    wanted = [t for p in probs for t in (F.floor(n1 * F.lit(float(p))), F.ceil(n1 * F.lit(float(p))))]
+    need = reduce(lambda a, t: a | ((F.col("_s") <= t) & (t < F.col("_s") + F.col("_c"))), wanted, F.lit(False))
+    # the bounds and the wanted buckets (two a probability at most) of each key in one row
+    picked = counted.where(need).groupBy(*K).agg(F.map_from_entries(F.collect_list(F.struct("_b", "_s"))).alias("_need"))
+    picked = materialize(nullsafe_join(picked, shape, K, "inner"))
+    rows = (nullsafe_join(long, picked, K, "inner", broadcast_right=fits_broadcast(picked))
+            .select(*K, "_x", "count", bucket.alias("_b"), "_need").withColumn("_s", F.element_at("_need", F.col("_b"))).where("_s is not null"))
+    d = rows.groupBy(*K, "count", "_b", "_s", "_x").agg(F.count(F.lit(1)).alias("_c"))
+    run = Window.partitionBy(*K, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_e", F.col("_s") + F.sum("_c").over(run) - 1)
+    first, aggs = F.col("_e") - F.col("_c") + 1, []
+    for i, p in enumerate(probs):
+        h = n1 * F.lit(float(p))
+        aggs += [F.max(F.when((first <= t) & (t <= F.col("_e")), F.col("_x"))).alias(f"_{n}{i}") for n, t in (("lo", F.floor(h)), ("hi", F.ceil(h)))]
+        aggs.append(F.max(h).alias(f"_h{i}"))
+    got = d.groupBy(*K).agg(*aggs)
+    return got.select(*K, *[_weights(F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_h{i}")).alias(n) for i, n in enumerate(names)])
+
+
 def compare_means(tables: Mapping[str, DataFrame], c: str | Mapping[str, str],
                   tag: str = "table") -> DataFrame:
     """Mean of a column in each of several tables, one row per table.

@@ -200,6 +200,21 @@ def _describe_int(spark, d):
     return profile.describe(T.table(spark, d, "lineitem"), "l_extendedprice", as_int=True)
 
 
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("describe_columns", " UNION ALL ".join(f"""
+SELECT l_returnflag, '{c}' AS "column", count(*) AS count, round_even(avg({c}), 6) AS mean, round_even(stddev_samp({c}), 6) AS std,
+       CAST(min({c}) AS DOUBLE) AS min, round_even(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25,
+       round_even(quantile_cont(CAST({c} AS DOUBLE), 0.9), 6) AS p90, CAST(max({c}) AS DOUBLE) AS max
+FROM lineitem GROUP BY l_returnflag""" for c in _MEASURES))
+def _describe_columns(spark, d):
+    """O15 of several columns and groups at once, quantiles by selection."""
+    r = profile.describe_columns(T.table(spark, d, "lineitem"), _MEASURES, [0.25, 0.9], group="l_returnflag", method="select")
+    six = lambda c: S.round_half_even(c, 6).alias(c)
+    return r.select("l_returnflag", "column", "count", six("mean"), six("std"), "min", six("p25"), six("p90"), "max")
+
+
 @query("describe_by_segment", "SELECT c_mktsegment, count(*) AS count, "
        "round_even(avg(c_acctbal), 4) AS mean, round_even(stddev_samp(c_acctbal), 4) AS std, "
        "round_even(min(c_acctbal), 4) AS min, "
@@ -888,6 +903,27 @@ def _inferred(spark, d):
     return io.read_table(spark, path, fmt="csv", null_words=io.PANDAS_NULLS)
 
 
+_CHANGED = "CASE WHEN o_orderkey % 700 = 3 THEN o_totalprice + 1 ELSE o_totalprice END"
+
+
+@query("content_difference", f"""
+WITH a AS (SELECT o_orderkey, o_orderpriority, CAST(o_totalprice AS DOUBLE) AS price FROM orders WHERE o_orderkey % 900 <> 5),
+b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 1100 <> 7 THEN o_orderpriority END AS o_orderpriority, CAST({_CHANGED} AS DOUBLE) AS price FROM orders
+      UNION ALL SELECT o_orderkey, o_orderpriority, CAST(o_totalprice AS DOUBLE) FROM orders WHERE o_orderkey % 1500 = 1)
+SELECT o_orderkey, o_orderpriority, price, CAST(sum(x) AS BIGINT) AS in_a, CAST(sum(y) AS BIGINT) AS in_b
+FROM (SELECT *, 1 AS x, 0 AS y FROM a UNION ALL SELECT *, 0, 1 FROM b) GROUP BY ALL HAVING sum(x) <> sum(y)
+""")
+def _content(spark, d):
+    """O60 and O61 by checksums: rows left out, changed, nulled and repeated in a second table."""
+    o = T.table(spark, d, "orders").withColumn("price", F.col("o_totalprice").cast("double"))
+    cols = ["o_orderkey", "o_orderpriority", "price"]
+    k = F.col("o_orderkey")
+    b = o.select(k, F.when(k % 1100 != 7, F.col("o_orderpriority")).alias("o_orderpriority"),
+                 F.when(k % 700 == 3, F.col("price") + 1).otherwise(F.col("price")).alias("price"))
+    b = b.unionByName(o.where(k % 1500 == 1).select(*cols))
+    return evaluate.content_difference(o.where(k % 900 != 5).select(*cols), b, "o_orderkey", cols[1:])
+
+
 @query("differing_rows", _CMP_SQL + "SELECT o_orderkey, a, b, status FROM j WHERE status <> 'equal'")
 def _diff_rows(spark, d):
     a, b = _pred_ab(spark, d)

@@ -100,17 +100,22 @@ def join_bounded(left: DataFrame, right: DataFrame, on, how: str = "left",
     materialized or cheap frame.  Above either bound the join is left to the
     planner (shuffle join, or AQE's own runtime broadcast decision).
     """
-    fixed, wide = _row_width(right)
-    if right_rows is not None and not wide:
-        n, size = right_rows, right_rows * fixed
-    else:
-        n, extra = right.agg(F.count(F.lit(1)), F.sum(sum(wide, F.lit(0))) if wide else F.lit(0)).first()
-        size = n * fixed + (extra or 0)
-    if n <= max_rows and size <= DEFAULT_BROADCAST_BYTES:
+    if fits_broadcast(right, max_rows, right_rows):
         return left.join(F.broadcast(right), on, how)
     return left.join(right, on, how)
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, rows: int | None = None) -> bool:
+    """Whether ``df`` is small enough, in rows and in bytes, to be broadcast; it is measured unless ``rows`` tell."""
+    fixed, wide = _row_width(df)
+    if rows is not None and not wide:
+        n, size = rows, rows * fixed
+    else:
+        n, extra = df.agg(F.count(F.lit(1)), F.sum(sum(wide, F.lit(0))) if wide else F.lit(0)).first()
+        size = n * fixed + (extra or 0)
+    return n <= max_rows and size <= DEFAULT_BROADCAST_BYTES
+
+
 def _row_width(df: DataFrame) -> tuple[int, list[Column]]:
     """Bytes of the fixed part of a row, and the sizes of its variable columns."""
     kinds = dict(df.dtypes)
