@@ -10,11 +10,13 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.functions import scalar as S
 from tablewright.operators import deep_forest, encode, model
+from tablewright.operators import preparation as P2
 from tablewright.operators.evaluate import rmse
 from tablewright.plans import jobs as P
 from tablewright.plans import standins as T
@@ -240,6 +242,27 @@ def _deep_means(spark, d):
     return tree.predict(df).select("o_orderkey", S.round_half_even("prediction", 6).alias("prediction"))
 
 
+_RAW_SQL = f"""SELECT o_orderkey, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS kind, o_orderstatus AS status,
+               o_custkey % 97 AS clerk, o_totalprice FROM orders WHERE {TRAIN}"""
+
+
+@query("saved_preparation", f"""
+SELECT o_orderkey, round_even(avg(o_totalprice) OVER (PARTITION BY kind, status, clerk), 6) AS prediction FROM ({_RAW_SQL})
+""")
+def _saved_preparation(spark, d):
+    """One saved object prepares raw rows and predicts them."""
+    o = T.table(spark, d, "orders").where(T.ts_before("o_orderdate", T.ORDERS_CUTOFF))
+    raw = o.select("o_orderkey", F.when(F.col("o_orderpriority") != T.SENTINEL, F.col("o_orderpriority")).alias("kind"),
+                   F.col("o_orderstatus").alias("status"), (F.col("o_custkey") % 97).alias("clerk"))
+    label = o.select("o_orderkey", "o_totalprice")
+    fitted = Pipeline(stages=[P2.FillText(["kind"]), P2.LabelCodes(["kind"]), P2.OneHotLevels(["status"]), P2.Conform(["o_totalprice"]),
+                              P2.WholeTrees("o_totalprice", "o_orderkey", num_trees=1, bootstrap=False)]).fit(raw.join(label, "o_orderkey"))
+    path = checkpoint_dir(spark).rstrip("/") + f"/models/{uuid.uuid4().hex}"
+    fitted.write().save(path)
+    delete_at_exit(spark, path)
+    return PipelineModel.load(path).transform(raw).select("o_orderkey", S.round_half_even("prediction", 6).alias("prediction"))
+
+
 @query("deep_tree_nearest", f"""
 WITH t AS (SELECT o_orderkey AS k, CAST(o_totalprice AS DOUBLE) AS y FROM orders WHERE {TRAIN}),
 s AS (SELECT o_orderkey FROM orders WHERE NOT ({TRAIN})),

@@ -18,6 +18,7 @@ from tablewright.functions import scalar as S
 from tablewright.operators import align, clean, distribution, encode, evaluate, ordered, profile, split
 from tablewright.plans import standins as T
 from tablewright.session import attach_row, checkpoint_dir, delete_at_exit
+from tablewright.sources import ordered_sink
 from tablewright.sources import tables as io
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -879,6 +880,16 @@ def _compare_position(spark, d):
     return evaluate.compare_predictions(*read, "row_id", "target")
 
 
+@query("ordered_sink", """
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_id, CAST(trunc(o_totalprice) AS BIGINT) AS target FROM orders
+""")
+def _ordered_sink(spark, d):
+    """A prediction file published as a whole, read back in row order."""
+    path = _folder(spark, "ordered")
+    ordered_sink.write_ordered(T.table(spark, d, "orders"), path, "o_orderkey", "o_totalprice")
+    return ordered_sink.read_ordered(spark, path, "target bigint")
+
+
 @query("file_row_ids", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS line FROM orders")
 def _file_rows(spark, d):
     """Rows of several Parquet files numbered by their place in the files."""
