@@ -127,6 +127,12 @@ def levels(df: DataFrame, c: str, max_levels: int = 1000) -> list:
     return [r[0] for r in rows]
 
 
+def too_many_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> list[str]:
+    """The columns with more than ``max_levels`` distinct values, all counted in one pass over the distinct values."""
+    counts = _distinct_values(df, cols).groupBy("column").agg(F.count("*").alias("n"))
+    return [r["column"] for r in counts.where(F.col("n") > max_levels).collect()]       # one row a column
+
+
 def one_hot_names(c: str, values: Sequence, drop_first: bool = False, sep: str = "_") -> list[str]:
     vals = list(values)[1:] if drop_first else list(values)
     return [f"{c}{sep}{v}" for v in vals]

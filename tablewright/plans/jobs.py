@@ -41,6 +41,11 @@ class Roles:
     new_from: int = 1999           # first year that counts as new
 
 
+def _engine(vectors: Sequence[str], max_depth: int | None) -> dict:
+    """Whole trees on plain columns; MLlib's forest where features are sparse vectors (30 deep at most)."""
+    return {"fit": model.fit_forest, "max_depth": min(max_depth or 30, 30)} if vectors else {"fit": fit_deep_forest, "max_depth": max_depth}
+
+
 def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: float = 0.9,
                iqr_k: float = 1.5) -> tuple[DataFrame, list[str]]:
     u = align.tag_union({0: train, 1: test}, r.flag)
@@ -90,7 +95,7 @@ def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed
 def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
             district: str, area: str | None, bound: float | None, trees_validate: int = 5,
             trees_final: int = 50, seed: int = 1, split_seed: int = 2023,
-            max_depth: int | None = None, log_target: bool = True) -> dict[str, DataFrame]:
+            max_depth: int | None = None, log_target: bool = True, max_levels: int = 1000) -> dict[str, DataFrame]:
     """Pipeline B.  ``address`` columns form the label-coded key, ``district``
     is one-hot encoded; ``area`` is rounded to 2 places and trimmed at ``bound``
     (strict) on training rows."""
@@ -107,7 +112,9 @@ def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
     u = u.withColumn("season", S.season("cont_month"))
     u = encode.one_hot(u, ["season"], values={"season": ["autumn", "spring", "summer", "winter"]},
                        drop_first=True)
-    u = encode.one_hot(u, [district])
+    # a place column with very many levels becomes one sparse vector instead of a column a level
+    vectors = encode.too_many_levels(u, [district], max_levels)
+    u = encode.one_hot_vector(u, encode.label_fit(u, vectors), vectors).drop(district) if vectors else encode.one_hot(u, [district])
     u = u.withColumn("new_flag", S.threshold_flag("cont_year", r.new_from))
     if area and bound is not None:
         u = clean.trim_outliers_bound(u, area, bound, f"{r.flag} = 0")
@@ -117,26 +124,31 @@ def compact(train: DataFrame, test: DataFrame, r: Roles, address: Sequence[str],
     tt = "log1p" if log_target else None
     final, score = model.validate_then_refit(
         tr, feats, r.label, r.key, 0.2, split_seed, trees_validate, trees_final,
-        seed=seed, max_depth=max_depth, target_transform=tt)
+        seed=seed, target_transform=tt, **_engine(vectors, max_depth))
     preds = model.predict(final, te).select(r.key, F.col("prediction").cast("bigint").alias("target"))
     return {"rmse": score, "predictions": preds, "model": final, "features": feats}
 
 
 def period(train: DataFrame, test: DataFrame, r: Roles, onehot: Sequence[str],
            valid_months: Sequence[int], trees: int = 50, seed: int = 1,
-           max_depth: int | None = None) -> dict[str, DataFrame]:
+           max_depth: int | None = None, max_levels: int = 1000) -> dict[str, DataFrame]:
     """Pipeline C.  One-hot levels are read from train only; test is conformed
     to train's columns (unseen levels dropped, missing ones zero)."""
     train, test = materialize(train), materialize(test)
-    lv = {c: encode.levels(train, c) for c in onehot}
-    tr = encode.one_hot(train, onehot, values=lv)
-    te = encode.one_hot(test, onehot, values=lv)
+    vectors = encode.too_many_levels(train, onehot, max_levels)
+    if vectors:             # very many levels: one sparse vector a column; levels that train lacks are zeros there too
+        m = encode.label_fit(train, vectors)
+        train, test = (encode.one_hot_vector(t, m, vectors).drop(*vectors) for t in (train, test))
+    lv = {c: encode.levels(train, c) for c in onehot if c not in vectors}
+    tr = encode.one_hot(train, list(lv), values=lv)
+    te = encode.one_hot(test, list(lv), values=lv)
     te = align.conform_to(te, [c for c in tr.columns if c != r.label], fill=0)
     tr = S.split_yyyymm(tr, r.ym, "cont_year", "cont_month", drop=False)
     te = S.split_yyyymm(te, r.ym, "cont_year", "cont_month", drop=False)
     fit_part, valid = split.period_split(tr, r.ym, valid_months)
     feats = [c for c in tr.columns if c not in (r.key, r.label, r.ym)]
-    m = fit_deep_forest(fit_part, feats, r.label, r.key, num_trees=trees, seed=seed, max_depth=max_depth)
+    engine = _engine(vectors, max_depth)
+    m = engine.pop("fit")(fit_part, feats, r.label, key=r.key, num_trees=trees, seed=seed, **engine)
     from tablewright.operators.evaluate import rmse
     return {"rmse": rmse(model.predict(m, valid), r.label, "prediction"),
             "predictions": model.predict(m, te).select(

@@ -33,3 +33,12 @@ def test_forest_queries_rows(spark):
     q = E.queries()
     assert q["forest_holdout_rmse"](spark, SF_SMALL).count() == 1
     assert q["feature_importance"](spark, SF_SMALL).count() == 7
+
+
+def test_columns_of_very_many_levels_become_vectors(spark):
+    """Above ``max_levels`` the jobs go on with sparse vectors; below, with a column a level."""
+    many = jobs.orders_period(spark, SF_SMALL, trees=3, max_depth=5, max_levels=4)
+    assert many["rmse"].first()["rmse"] > 0 and many["predictions"].where("target is null").count() == 0
+    out = jobs.orders_compact(spark, SF_SMALL, trees_validate=2, trees_final=3, max_depth=5, max_levels=4)
+    assert "district_vec" in out["features"] and out["rmse"].first()["rmse"] > 0
+    assert "district_vec" not in jobs.orders_compact(spark, SF_SMALL, trees_validate=1, trees_final=1, max_depth=2)["features"]
