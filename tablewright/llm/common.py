@@ -14,12 +14,13 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.session import checkpoint_dir, delete_at_exit
+from tablewright.session import checkpoint_dir, delete_at_exit, join_bounded
 
 CHUNK_BYTES = 1 << 20
+SALTS = 256             # parts in which rows of one key are numbered
 U64 = np.uint64
 
 
@@ -31,8 +32,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back; it goes when the session ends."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    delete_at_exit(spark, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    delete_at_exit(spark, path)         # known before the write, so a failed one goes too
+    df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._tw_path = path
     return out
@@ -61,6 +64,24 @@ def unpacked(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col("row").getField(c).alias(c) for c in like.columns])
 
 
+def numbered(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """``rows`` with ``ordinal``: 0, 1, ... among the rows of one ``row_key``; ``several`` has the keys of more than one row.
+
+    Rows of a key are dealt to ``SALTS`` parts, numbered there, and shifted by the sizes of the parts before.
+    """
+    if not several.take(1):
+        return rows.withColumn("ordinal", F.lit(0).cast("long"))
+    once = join_bounded(rows, several, "row_key", "left_anti").withColumn("ordinal", F.lit(0).cast("long"))
+    many = join_bounded(rows, several, "row_key", "left_semi").withColumn("_at", F.monotonically_increasing_id())
+    many = many.withColumn("_salt", F.pmod(F.xxhash64("_at"), F.lit(SALTS)))
+    many = stage(many.withColumn("_local", F.row_number().over(Window.partitionBy("row_key", "_salt").orderBy("_at"))), "repeated")
+    before = Window.partitionBy("row_key").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (many.groupBy("row_key", "_salt").agg(F.count("*").alias("_n"))
+             .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
+    many = join_bounded(many, stage(parts, "parts"), ["row_key", "_salt"], "inner")
+    return once.unionByName(many.withColumn("ordinal", F.col("_first") + F.col("_local") - 1).select(*once.columns))
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str = "text",
            limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes in each.

@@ -39,10 +39,9 @@ from pyspark.sql import functions as F
 
 from tablewright.session import join_bounded
 
-from .common import chunks, narrow, packed, stage, text_bytes, unpacked, word_starts
+from .common import chunks, narrow, numbered, packed, stage, text_bytes, unpacked, word_starts
 
 SNAP = 1e-9
-SALTS = 256             # parts in which rows that repeat exactly are numbered
 
 
 def word_sizes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -157,24 +156,6 @@ def landing(p: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
     return p
 
 
-def numbered(rows: DataFrame, several: DataFrame) -> DataFrame:
-    """``rows`` with ``ordinal``: 0, 1, ... among the rows of one ``row_key``; ``several`` has the keys of more than one row.
-
-    Rows of a key are dealt to ``SALTS`` parts, numbered there, and shifted by the sizes of the parts before.
-    """
-    if not several.take(1):
-        return rows.withColumn("ordinal", F.lit(0).cast("long"))
-    once = join_bounded(rows, several, "row_key", "left_anti").withColumn("ordinal", F.lit(0).cast("long"))
-    many = join_bounded(rows, several, "row_key", "left_semi").withColumn("_at", F.monotonically_increasing_id())
-    many = many.withColumn("_salt", F.pmod(F.xxhash64("_at"), F.lit(SALTS)))
-    many = stage(many.withColumn("_local", F.row_number().over(Window.partitionBy("row_key", "_salt").orderBy("_at"))), "repeated")
-    before = Window.partitionBy("row_key").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (many.groupBy("row_key", "_salt").agg(F.count("*").alias("_n"))
-             .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
-    many = join_bounded(many, stage(parts, "parts"), ["row_key", "_salt"], "inner")
-    return once.unionByName(many.withColumn("ordinal", F.col("_first") + F.col("_local") - 1).select(*once.columns))
-
-
 def mix(documents: DataFrame, weights=(5, 2, 1), budget: float = 1.5, most: float = 2.0, seed: int = 7,
         block_rows: int = 4_000, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source") -> DataFrame:

@@ -19,8 +19,8 @@ again writes archives of new names; those that count are the ones listed in
 the manifest, which Spark commits.
 
 Edge cases: null html is an empty payload; a null page id is never referred to
-and gets a record id from its payload and URL; of rows that share the smallest id one is the
-response; an empty table writes no archive.
+and gets a record id from its payload and URL; of rows that share the smallest id the first by
+URL is the response, of equal rows one; an empty table writes no archive.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tablewright.session import delete_at_exit, join_bounded
 
-from .common import narrow, scratch, stage
+from .common import narrow, numbered, scratch, stage
 
 SKIPPABLE = 0x184D2A5D
 LEVEL = 3
@@ -118,16 +118,21 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = 16 << 20,
     rows = narrow(pages, {"page_id": id_col, "url": url_col, "html": html_col}).select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.unhex(F.sha1(F.col("html").cast("binary"))))
+    url = F.coalesce("url", F.lit("")).alias("url")
     firsts = (rows.where((F.octet_length("html") >= min_revisit_bytes) & F.col("page_id").isNotNull())
-              .groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n"),
-                                  F.min(F.struct("page_id", F.coalesce("url", F.lit("")))).alias("key"))
-              .where("n > 1").select(F.col("sha").alias("_sha"), "first", F.col("key.col2").alias("first_url")))
+              .groupBy("sha", "page_id", url).agg(F.count("*").alias("times"))
+              .groupBy("sha").agg(F.sum("times").alias("n"), F.min(F.struct("page_id", "url", "times")).alias("key"))
+              .where("n > 1").select(F.col("sha").alias("_sha"), F.col("key.page_id").alias("first"), F.col("key.url").alias("first_url"),
+                                     F.col("key.times").alias("times")))
     firsts = stage(firsts, "equal-payloads")
     rows = join_bounded(rows, firsts, rows["sha"] == F.col("_sha"), "left")
-    # identical rows of the smallest id: the first of them is the response
+    # equal rows of the smallest id: an ordinal says which one is the response
     own = (F.col("page_id") == F.col("first")) & (F.coalesce("url", F.lit("")) == F.col("first_url"))
+    rows = rows.withColumn("row_key", F.when(own & (F.col("times") > 1), F.xxhash64("sha", "page_id")))
+    rows = rows.select("page_id", "url", "html", "first", "row_key", F.coalesce(own, F.lit(False)).alias("own"))
+    rows = numbered(rows, firsts.where("times > 1").select(F.xxhash64("_sha", "first").alias("row_key")))
     rows = rows.select("page_id", "url", "html", F.when(
-        F.col("page_id").isNotNull() & F.col("first").isNotNull() & ~own, F.col("first")).alias("refers_to"))
+        F.col("page_id").isNotNull() & F.col("first").isNotNull() & ~(F.col("own") & (F.col("ordinal") == 0)), F.col("first")).alias("refers_to"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _place(folder)

@@ -43,7 +43,7 @@ def test_repeated_rows_null_ids_empty(spark):
     rows = [(5, "b", "same"), (5, "a", "same"), (5, "a", "same"), (7, "c", "same"), (None, "d", "same"), (None, None, None)]
     got = w.round_trip(pages(spark, rows)).collect()
     found = sorted(((r["page_id"] or 0, r["url"] or "", r["record_type"], r["refers_to"] or 0) for r in got))
-    assert found == [(0, "", "response", 0), (0, "d", "response", 0), (5, "a", "response", 0), (5, "a", "response", 0),
+    assert found == [(0, "", "response", 0), (0, "d", "response", 0), (5, "a", "response", 0), (5, "a", "revisit", 5),
                      (5, "b", "revisit", 5), (7, "c", "revisit", 5)]
     assert w.round_trip(pages(spark, [])).collect() == []
 
