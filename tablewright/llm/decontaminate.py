@@ -18,7 +18,7 @@ over the documents, staged one by one.
 
 Edge cases: null or empty documents leak nothing, null or empty items match
 nothing; items too short to afford an error are matched exactly; a null id is
-carried through; repeated documents give repeated rows; identical items with
+carried through, and ids of items and documents may be of any type; repeated documents give repeated rows; identical items with
 one id count once.
 """
 
@@ -31,11 +31,12 @@ from functools import reduce
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import chunks, narrow, stage
 
 ERROR_RATE = 0.08
-SCHEMA = "item_id long, distance int, budget int, start long, end long"
+SCHEMA = "distance int, budget int, start long, end long"
 
 
 def normalise(text: str | None) -> str:
@@ -138,7 +139,7 @@ class Matcher:
                 yield item, d, k, end - myers(t[::-1], back, d)[1], end
 
 
-def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, block_chars: int) -> Iterator[list[tuple]]:
     block, size = [], 0
     for r in benchmark.distinct().toLocalIterator():
         t = normalise(r["text"])
@@ -158,7 +159,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
     """``doc_id, item_id, distance, budget, start, end``: a row per document and item it leaks."""
     spark = documents.sparkSession
     docs = narrow(documents, {"doc_id": id_col, "text": text_col})
-    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, {SCHEMA}"
+    items = narrow(benchmark, {"item_id": "item_id", "text": "text"})
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, item_id {dict(items.dtypes)['item_id']}, {SCHEMA}"
+    item_kind = to_arrow_type(items.schema["item_id"].dataType)
 
     def matches(block: list[tuple[int, str]]) -> DataFrame:
         shared = spark.sparkContext.broadcast(block)
@@ -172,13 +175,13 @@ def leaks(documents: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
                     continue
                 at, *cols = zip(*rows)
                 ids = b.column("doc_id").take(pa.array(at, pa.int64()))
-                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+                kinds = (item_kind, pa.int32(), pa.int32(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, k) for c, k in zip(cols, kinds))],
                                                  names=["doc_id", "item_id", "distance", "budget", "start", "end"])
         return docs.mapInArrow(run, schema)
 
     found: list[DataFrame] = []
-    blocks = _blocks(narrow(benchmark, {"item_id": "item_id", "text": "text"}), block_chars)
+    blocks = _blocks(items, block_chars)
     block = next(blocks, [])
     while True:
         following = next(blocks, None)

@@ -69,3 +69,15 @@ def test_odd_rows_and_empty(spark):
     assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == [(6, 2), (7, 2), (None, 1)]
     assert dc.leaks(documents(spark, []), bench).collect() == []
     assert dc.leaks(documents(spark, odd_rows()), bench.limit(0)).collect() == []
+
+
+def test_ids_of_any_type(spark):
+    bench = spark.createDataFrame([("first", "A null  id with some words"), (None, "equal text of two rows")], "item_id string, text string")
+    docs = documents(spark, odd_rows()).withColumn("doc_id", spark_text("doc_id"))
+    got = dc.leaks(docs, bench).collect()
+    assert sorted(((r["doc_id"], r["item_id"]) for r in got), key=str) == [("6", None), ("7", None), (None, "first")]
+
+
+def spark_text(c):
+    from pyspark.sql import functions as F
+    return F.col(c).cast("string")
