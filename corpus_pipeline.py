@@ -5,6 +5,14 @@ classifier rejects go; of each group of near duplicates (five-word shingles,
 similarity 0.8) one stays; documents that leak a benchmark item go; sources
 are mixed to their target weights, which drops some documents and repeats
 others; the rest is dealt into byte-limited shards.
+
+Edge cases, for every stage: an empty table gives an empty table; columns beside
+those of ``documents`` stay, whatever their names.  A null or empty text is
+judged by the classifier like any other, is near no text, leaks nothing, has
+size 0 in the mix and no bytes in its shard.  Rows without an id are kept
+apart: deduplication leaves them, the others judge them by their text.  Equal
+rows are one document to deduplication and separate units to the mix; unlike
+texts that share an id all stay.
 """
 
 from __future__ import annotations
