@@ -301,8 +301,12 @@ def _linked_classes(docs: DataFrame, words: int, threshold: tuple[int, int], ban
     shape_of = ("n", "s0", "s1", "s2", "s3")
     reps = stage(real.groupBy("set_id")
                  .agg(F.min(F.struct("doc_id", "th", *shape_of, "keys")).alias("r"))
-                 .select(F.monotonically_increasing_id().alias("rep"), "set_id",
+                 .select(F.monotonically_increasing_id().alias("at"), "set_id",
                          *[f"r.{c}" for c in ("doc_id", "th", *shape_of, "keys")]), "classes")
+    # the smallest id numbers a class, as neighbours in id are often alike and then pack well;
+    # where ids have rows of several classes, a number of its own does
+    several = reps.groupBy("doc_id").agg(F.count("*").alias("classes")).where("classes > 1").take(1)
+    reps = reps.withColumn("rep", F.col("at") if several else F.col("doc_id")).drop("at")
 
     member = reps.select("rep", F.explode("keys").alias("key"))
     shared = member.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
