@@ -240,7 +240,8 @@ def recount(texts: DataFrame, blocks: DataFrame, broadcast_bytes: int = BROADCAS
     """``lang, source, ord, n``: occurrences of every kept term in every source."""
     size = blocks.agg(F.coalesce(F.sum(F.octet_length("fst")), F.lit(0))).first()[0]
     rows = _streamed(texts, blocks) if size <= broadcast_bytes else _sent(texts, blocks)
-    return rows.groupBy("lang", "source", "ord").agg(F.sum("n").alias("n"))
+    # each task has summed its rows already, so they are dealt out first and summed once
+    return rows.repartition("lang", "source", "ord").groupBy("lang", "source", "ord").agg(F.sum("n").alias("n"))
 
 
 def share(count: str, total: str, v: str):
