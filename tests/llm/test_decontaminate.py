@@ -34,6 +34,21 @@ def test_pieces_cover_and_one_survives():
             assert len(p) == k + 1 and sum(len(s) for _, s in p) == m and all(s for _, s in p)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("ab é😀", min_size=1, max_size=40), min_size=1, max_size=6), st.text("ab é😀", max_size=80),
+       st.sampled_from([0.0, 0.08, 0.3]), st.sampled_from([5, 1 << 18]))
+def test_hashed_pieces_give_the_hits_of_the_automaton(items, text, rate, strip):
+    items, kept = list(enumerate(items)), dc.STRIP
+    dc.STRIP = strip
+    try:
+        hashed = dc.HashedMatcher(items, rate, dc.piece_index(items, rate))
+        plain = dc.Matcher(items, rate)
+        assert sorted((e, *x) for e, at in hashed.hits(text) for x in at) == sorted((e, *x) for e, at in plain.hits(text) for x in at)
+        assert sorted(hashed.search(text)) == sorted(plain.search(text))
+    finally:
+        dc.STRIP = kept
+
+
 def test_leaks_equal_brute_force(spark):
     rng = random.Random(4)
     items = [(i, " ".join(words(100 + i, 12, 300))) for i in range(12)] + [(50, None), (51, ""), (52, "tiny"), (0, " ".join(words(100, 12, 300)))]
@@ -55,8 +70,8 @@ def test_leaks_equal_brute_force(spark):
             if b and (d := semi_global(b, x)) <= int(dc.ERROR_RATE * len(b)):
                 want[i, j] = d
     assert len(want) > 10 and set(want.values()) > {0, 1}
-    for block in (1 << 20, 150):
-        got = dc.leaks(documents(spark, rows), bench, block_chars=block).collect()
+    for block, small in ((1 << 20, 1 << 20), (150, 150), (1 << 20, 0), (700, 0)):
+        got = dc.leaks(documents(spark, rows), bench, block_chars=block, automaton_chars=small).collect()
         assert {(r["doc_id"], r["item_id"]): r["distance"] for r in got} == want and len(got) == len(want)
         for r in got:
             text, item = dc.normalise(rows[r["doc_id"]][1]), dc.normalise(dict(items)[r["item_id"]])
