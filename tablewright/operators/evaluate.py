@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.functions.scalar import is_nan, squared_error
+from tablewright.operators.distribution import box_summary, histogram
+from tablewright.operators.encode import label_inverse
+from tablewright.session import materialize
 
 
 def rmse(df: DataFrame, label: str, pred: str, group=None) -> DataFrame:
@@ -32,6 +36,33 @@ def extremes_by(df: DataFrame, c: str, n: int, key, largest: bool = True) -> Dat
     return df.orderBy(*nan, first, *[F.col(x).asc() for x in k]).limit(n)
 
 
+def error_analysis(predicted: DataFrame, label: str, pred: str, key, n: int = 100, mapping: DataFrame | None = None,
+                   coded: Sequence[str] = (), charts: Sequence[str] = (), bins: int = 10) -> dict[str, DataFrame]:
+    """The ``n`` worst and the ``n`` best predictions, and the numbers that compare them.
+
+    ``rows`` holds the columns of ``predicted`` with ``error`` (squared), ``side``
+    ('worst' or 'best') and ``position`` (from 1, the most extreme first, ties by
+    ``key``); the label codes in ``coded`` are values again, by ``mapping``.
+    ``box`` is the label's box summary per side, ``histogram`` the bins of the
+    label and of each column in ``charts``, common to both sides.
+
+    Rows without a label or a prediction (null or NaN) are on neither side;
+    where fewer than ``2 n`` rows are left, some are on both.  ``predicted`` is
+    written once; all that follows works on at most ``2 n`` rows.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    scored = with_error(predicted, label, pred)
+    scored = materialize(scored.where(F.col("error").isNotNull() & ~F.isnan("error")))
+    rows = reduce(DataFrame.unionByName, [extremes_by(scored, "error", n, keys, side == "worst").withColumn("side", F.lit(side))
+                                          for side in ("worst", "best")])
+    extreme = F.when(F.col("side") == "worst", -F.col("error")).otherwise(F.col("error"))
+    rows = rows.withColumn("position", F.row_number().over(Window.partitionBy("side").orderBy(extreme, *keys)).cast("bigint"))
+    rows = materialize(label_inverse(rows, mapping, coded) if coded else rows)
+    binned = [histogram(rows, c, bins, "side").select(F.lit(c).alias("column"), "side", "bin", "lower", "upper", "count")
+              for c in dict.fromkeys([label, *charts])]
+    return {"rows": rows, "box": box_summary(rows, label, "side"), "histogram": reduce(DataFrame.unionByName, binned)}
+
+
 def _sides(a: DataFrame, b: DataFrame, key: str, c: str, ca: str | None, cb: str | None):
     return (a.select(key, F.col(c if ca is None else ca).alias("a"), F.lit(True).alias("_in_a")),
             b.select(key, F.col(c if cb is None else cb).alias("b"), F.lit(True).alias("_in_b")))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import scalar as S
 from tablewright.operators import align, clean, encode, model, ordered, profile, split
 from tablewright.operators.deep_forest import fit_deep_forest
+from tablewright.operators.evaluate import error_analysis, rmse
 from tablewright.plans import standins as T
 from tablewright.session import materialize
 
@@ -47,7 +48,8 @@ def _engine(vectors: Sequence[str], max_depth: int | None) -> dict:
 
 
 def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: float = 0.9,
-               iqr_k: float = 1.5) -> tuple[DataFrame, list[str]]:
+               iqr_k: float = 1.5) -> tuple[DataFrame, list[str], DataFrame, list[str]]:
+    """Prepared rows, their features, the label mapping and the columns it codes."""
     u = align.tag_union({0: train, 1: test}, r.flag)
     u = clean.sentinels_to_null(u, r.sentinels)
     keep = [r.key, r.label, r.flag, r.ym]
@@ -66,20 +68,21 @@ def _prepare_a(train: DataFrame, test: DataFrame, r: Roles, max_null_ratio: floa
     m = encode.label_fit(u, cats)
     u = encode.label_transform(u, m, cats)
     feats = [*cats, *conts, "cont_year", "cont_month", "new_flag"]
-    return u, feats
+    return u, feats, m, cats
 
 
 def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed: int = 1,
              holdout: float = 0.2, split_seed: int = 2023, max_depth: int | None = None,
-             permutation_repeats: int = 3) -> dict[str, DataFrame]:
-    """Pipeline A.  Returns frames: predictions, rmse, importance, permutation."""
-    u, feats = _prepare_a(train, test, r)
+             permutation_repeats: int = 3, extremes: int = 0) -> dict[str, DataFrame]:
+    """Pipeline A.  Returns frames: predictions, rmse, importance, permutation, and
+    with ``extremes`` the decoded analysis of so many worst and best holdout rows
+    (error_rows, error_box, error_histogram)."""
+    u, feats, mapping, cats = _prepare_a(train, test, r)
     u = materialize(u)      # read by the fit, the scoring and the importances
     tr, te = align.split_tagged(u, r.flag, r.label, test_label=0.0)
     fit_part, valid = split.holdout_split(tr, holdout, split_seed, r.key, exact=True)
     m = fit_deep_forest(fit_part, feats, r.label, r.key, num_trees=trees, seed=seed, max_depth=max_depth)
     scored_valid = model.predict(m, valid)
-    from tablewright.operators.evaluate import rmse
     out = {
         "rmse": rmse(scored_valid, r.label, "prediction"),
         "importance": model.feature_importance(m, feats),
@@ -89,6 +92,9 @@ def baseline(train: DataFrame, test: DataFrame, r: Roles, trees: int = 100, seed
     if permutation_repeats:
         out["permutation"] = model.permutation_importance(
             m, valid, r.label, feats, permutation_repeats, 42, key=r.key)
+    if extremes:
+        found = error_analysis(scored_valid, r.label, "prediction", r.key, extremes, mapping, cats, r.continuous)
+        out.update({f"error_{name}": df for name, df in found.items()})
     return out
 
 

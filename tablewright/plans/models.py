@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tablewright.functions import scalar as S
 from tablewright.operators import deep_forest, encode, model
 from tablewright.operators import preparation as P2
-from tablewright.operators.evaluate import rmse
+from tablewright.operators.evaluate import error_analysis, rmse
 from tablewright.plans import jobs as P
 from tablewright.plans import standins as T
 from tablewright.plans.queries import TRAIN, query
@@ -119,6 +119,12 @@ def _pipe_a_outputs(spark, d):
                                                       F.col("importance_mean").alias("value")))
 
 
+@query("baseline_job_errors")
+def _pipe_a_errors(spark, d):
+    """The 100 worst and 100 best holdout predictions of the baseline job, decoded."""
+    return P.orders_baseline(spark, d, permutation_repeats=0, extremes=100)["error_rows"]
+
+
 @query("compact_job_predictions")
 def _pipe_b(spark, d):
     return P.orders_compact(spark, d)["predictions"]
@@ -277,3 +283,72 @@ def _deep_nearest(spark, d):
     tree = deep_forest.fit_deep_forest(o.where(before), ["o_orderkey"], "o_totalprice", "o_orderkey", num_trees=1, bootstrap=False,
                                        max_rows=TASK_ROWS)
     return tree.predict(o.where(~before)).select("o_orderkey", "prediction")
+
+
+# ==== error analysis: the forest of the coded column, judged against the price ====
+
+_ERRORS = f"""
+t AS (SELECT o_orderkey, o_orderpriority, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, month(o_orderdate) AS month,
+             CAST({_CODE} * 100 AS DOUBLE) AS prediction FROM orders WHERE NOT ({TRAIN})),
+e AS (SELECT *, (o_totalprice - prediction) * (o_totalprice - prediction) AS error FROM t WHERE o_totalprice IS NOT NULL),
+r AS (SELECT 'worst' AS side, row_number() OVER (ORDER BY error DESC, o_orderkey) AS position, * FROM e
+      UNION ALL SELECT 'best', row_number() OVER (ORDER BY error, o_orderkey), * FROM e),
+x AS (SELECT * FROM r WHERE position <= 100)"""
+_BOX = ["q1", "median", "q3", "whisker_low", "whisker_high", "n_outliers"]
+
+
+def _errors(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    o = T.table(spark, sf_dir, "orders")
+    mapping = encode.label_fit(o, CODED)
+    before = T.ts_before("o_orderdate", T.ORDERS_CUTOFF)
+    o = o.withColumns({"label": F.substring("o_orderpriority", 1, 1).cast("int") * 100.0, "month": F.month("o_orderdate")})
+    o = encode.label_transform(o, mapping, CODED)
+    columns = ["o_orderkey", *CODED, "month", "o_totalprice", "label"]
+    forest = model.fit_forest(o.where(before).select(columns), [*CODED, "month"], "label", num_trees=20, max_depth=30, seed=1, key="o_orderkey")
+    test = model.predict(forest, o.where(~before).select(columns)).withColumn("prediction", _rounded("prediction"))
+    return error_analysis(test, "o_totalprice", "prediction", "o_orderkey", 100, mapping, CODED, ["month"])
+
+
+@query("exact_error_rows", f"""
+WITH {_ERRORS} SELECT side, position, o_orderkey, o_orderpriority, o_orderstatus, month, o_totalprice, prediction FROM x
+""")
+def _exact_error_rows(spark, d):
+    """Worst and best test rows with decoded labels."""
+    return _errors(spark, d)["rows"].select("side", "position", "o_orderkey", *CODED, "month",
+                                            F.col("o_totalprice").cast("double").alias("o_totalprice"), "prediction")
+
+
+def _bins_sql(c: str) -> str:
+    """Counts in ten common bins per side, as `histogram` defines them."""
+    at = "CAST(trunc(((x - lo) / (hi - lo)) * 10.0) AS INTEGER)"
+    edge = "(CASE WHEN {0} = 10 THEN hi ELSE {0} * step + lo END)".format
+    return f"""
+SELECT 'histogram' AS chart, '{c}' AS "column", side, CAST(k AS VARCHAR) AS name, CAST(count(*) FILTER (WHERE bin = k) AS DOUBLE) AS value
+FROM (SELECT side, CASE WHEN x >= {edge("(i2 + 1)")} AND i2 <> 9 THEN i2 + 1 ELSE i2 END AS bin
+      FROM (SELECT *, CASE WHEN x < {edge("i1")} THEN i1 - 1 ELSE i1 END AS i2
+            FROM (SELECT *, (hi - lo) / 10 AS step, CASE WHEN {at} = 10 THEN 9 ELSE {at} END AS i1
+                  FROM (SELECT side, CAST({c} AS DOUBLE) AS x, min(CAST({c} AS DOUBLE)) OVER () AS lo,
+                               max(CAST({c} AS DOUBLE)) OVER () AS hi FROM x)))),
+     (SELECT unnest(range(10)) AS k)
+GROUP BY side, k"""
+
+
+@query("exact_error_charts", f"""
+WITH {_ERRORS},
+q AS (SELECT side, quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.5) AS median,
+             quantile_cont(o_totalprice, 0.75) AS q3 FROM x GROUP BY 1),
+w AS (SELECT side, q1, median, q3, o_totalprice AS v, v BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS inside FROM x JOIN q USING (side)),
+b AS (SELECT side, q1, median, q3, min(v) FILTER (WHERE inside) AS whisker_low, max(v) FILTER (WHERE inside) AS whisker_high,
+             count(*) FILTER (WHERE NOT inside) AS n_outliers FROM w GROUP BY side, q1, median, q3)
+""" + " UNION ALL ".join([
+    *[f"SELECT 'box' AS chart, 'o_totalprice' AS \"column\", side, '{c}' AS name, round_even(CAST({c} AS DOUBLE), 4) AS value FROM b" for c in _BOX],
+    _bins_sql("o_totalprice"), _bins_sql("month")]))
+def _exact_error_charts(spark, d):
+    """Box and bins of the worst and best rows."""
+    out = _errors(spark, d)
+    box = out["box"].select(F.lit("box").alias("chart"), F.lit("o_totalprice").alias("column"), "side",
+                            F.explode(F.array(*[F.struct(F.lit(c).alias("name"), S.round_half_even(F.col(c).cast("double"), 4).alias("value"))
+                                                for c in _BOX])).alias("v"))
+    bins = out["histogram"].select(F.lit("histogram").alias("chart"), "column", "side", F.col("bin").cast("string").alias("name"),
+                                   F.col("count").cast("double").alias("value"))
+    return box.select("chart", "column", "side", "v.name", "v.value").unionByName(bins)
