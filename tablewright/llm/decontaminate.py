@@ -16,7 +16,7 @@ the stated query set: they are read in blocks of at most ``block_chars``
 characters, each block is broadcast, and further blocks take further passes
 over the documents, staged one by one.  An automaton takes some hundred bytes a
 character, so a block above ``automaton_chars`` is held as sorted 64-bit hashes
-of its pieces instead (about four bytes a character, texts included): every
+of its pieces instead (three bytes a character, texts included): every
 stretch of a document as long as a piece is hashed, looked up behind a bitmap,
 and compared with the piece itself, which gives the same exact hits.
 

@@ -11,6 +11,12 @@ matches is used up, so a longer license is recognised before the shorter ones
 that share its sentences.  Known license sentences that no rule used are
 reported as unmatched.
 
+A machine-readable tag ("SPDX-License-Identifier: MIT") is a sentence of its own
+and names its license; of an expression every known member is reported, also
+where it leaves a choice (OR), and what follows WITH is not looked at.  The BSD
+licenses differ by one sentence on the use of names: with it the name is
+BSD-3-Clause, whoever the holder is, and else BSD.
+
 Scale: one pass of column expressions in the scan, no shuffle; the sentence and
 rule tables are fixed and small.
 
@@ -109,8 +115,30 @@ PUBLISHED = [
     ("MPL2-FORM", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+# The numbered clauses of the BSD licenses.
+PUBLISHED += [
+    ("BSD-SOURCE", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+                   "following disclaimer."),
+    ("BSD-BINARY", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+                   "following disclaimer in the documentation and/or other materials provided with the distribution."),
+    *[("BSD-NAMES", f"Neither the name of the copyright holder nor the names of {whose} contributors may be used to endorse or "
+                    "promote products derived from this software without specific prior written permission.") for whose in ("its", "the", "any")],
+]
+
+# License identifiers that a tag may name.
+TAGS = """0BSD AFL-3.0 AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-1-Clause BSD-2-Clause BSD-3-Clause
+BSD-4-Clause BSL-1.0 CC-BY-3.0 CC-BY-4.0 CC-BY-NC-4.0 CC-BY-NC-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-ND-4.0 CC-BY-SA-3.0 CC-BY-SA-4.0
+CC0-1.0 CDDL-1.0 ECL-2.0 EPL-1.0 EPL-2.0 EUPL-1.2 GPL-2.0-only GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC
+LGPL-2.0-only LGPL-2.0-or-later LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MIT-0 MPL-1.1 MPL-2.0
+MS-PL NCSA ODbL-1.0 OFL-1.1 OpenSSL PostgreSQL PSF-2.0 Python-2.0 Unlicense UPL-1.0 WTFPL X11 Zlib ZPL-2.1""".split()
+# Their older spelling, which names the version alone.
+OLDER_TAGS = ["AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0"]
+
 # Their rules, tried before ``RULES``.
 PUBLISHED_RULES = [
+    *[(name, [*first, "BSD-REDIST", *clauses, "BSD-AS-IS"]) for name, clauses in (
+        ("BSD-3-Clause", ["BSD-SOURCE", "BSD-BINARY", "BSD-NAMES"]), ("BSD", ["BSD-SOURCE", "BSD-BINARY"]))
+      for first in (["ALL-RIGHTS"], [])],
     ("BSD", ["ALL-RIGHTS", "BSD-REDIST", "BSD-AS-IS"]),
     *[(name, [i, *hope]) for hope in (["GPL-HOPE"], []) for name, i in (
         ("GPL-3.0-only", "GPL3-REDIST-ONLY"), ("GPL-2.0-or-later", "GPL2-REDIST"), ("GPL-2.0-only", "GPL2-REDIST-ONLY"),
@@ -134,22 +162,35 @@ def _words(sentence: str) -> str:
     return " ".join(re.sub(NOT_WORD, " ", sentence.lower()).split())
 
 
+def _any(sentences) -> str:
+    """Longer sentences first; a cut inside a sentence counts as a space, a blank line is two cuts."""
+    return "|".join("[ \\n]".join(map(re.escape, s.split())) for s in sorted(sentences, key=lambda s: (-len(s), s)))
+
+
 KNOWN = {_words(s): i for i, s in [*((i, s) for i, s in SENTENCES.items()), *PUBLISHED]}
-# longer sentences first; a cut inside a sentence counts as a space, a blank line is two cuts
-FIND = r"(?<=\n)(?:" + "|".join("[ \\n]".join(map(re.escape, s.split())) for s in sorted(KNOWN, key=lambda s: (-len(s), s))) + r")(?=\n)"
+TAG = "spdx license identifier"
+TAGGED = {**{_words(t): t for t in OLDER_TAGS}, **{_words(t): t for t in TAGS}}
+TAGGED = {name: t + "-only" if t in OLDER_TAGS else t for name, t in TAGGED.items()}
+FIND = rf"(?<=\n)(?:{_any([TAG])}[ \n](?:{_any(TAGGED)})|{_any(KNOWN)})(?=\n)"
+# one tag a member of an expression: (?! later) keeps "or later" together
+MEMBER = rf"(?<=\n{TAG}[ \n][^\n]{{0,400}}) (?:or|and|with) (?!later)"
+HOLDER = r"(?<=\n)neither[ \n]the[ \n]names?[ \n]of[ \n](?:[^ \n]++[ \n]){1,24}?nor[ \n]the[ \n]names?(?=[ \n]of[ \n])"
 
 
 def normal(text: Column) -> Column:
     """Words with one space between them, a line feed for each cut, and one at either end."""
-    t = F.replace(F.regexp_replace(F.lower(text), r"[ \t\r]++", " "), F.lit(" \n"), F.lit("\n"))
+    t = F.regexp_replace(F.lower(text), r"(gpl-[0-9.]++)\+", "$1-or-later")
+    t = F.replace(F.regexp_replace(t, r"[ \t\r]++", " "), F.lit(" \n"), F.lit("\n"))
     t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, CUT, "\n"), NOT_WORD, " "), " ++", " ")
     t = F.concat(F.lit("\n"), t, F.lit("\n"))
-    return F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    t = F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    return F.regexp_replace(F.regexp_replace(t, HOLDER, "neither the name of the copyright holder nor the names"), MEMBER, f"\n{TAG}\n")
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known license sentences of a text, in order."""
-    known = F.create_map(*[F.lit(x) for s, i in KNOWN.items() for x in (s, i)])
+    known = F.create_map(*[F.lit(x) for s, i in [*KNOWN.items(), *((f"{TAG} {s}", f"SPDX:{t}") for s, t in TAGGED.items())]
+                           for x in (s, i)])
     found = F.transform(F.regexp_extract_all(normal(text), F.lit(FIND), F.lit(0)),
                         lambda s: known[F.replace(s, F.lit("\n"), F.lit(" "))])
     return F.when(F.rlike(F.coalesce(text, F.lit("")), F.lit(HINT)), found).otherwise(
@@ -170,11 +211,13 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     left = F.concat(F.lit(","), F.array_join("ids", ",,"), F.lit(","))
     for n, (_, rule) in enumerate(rules):
         left = F.replace(left, F.lit("," + ",,".join(rule) + ","), F.lit(f"<{n}>"))
+    left = F.regexp_replace(left, r",SPDX:([^,]++),", "<=$1>")
     docs = docs.withColumn("left", left)
-    names = F.array_distinct(F.array_compact(F.array(*[
+    ruled = F.array_compact(F.array(*[
         F.when(reduce(lambda a, b: a | b, [F.contains("left", F.lit(f"<{n}>")) for n, r in enumerate(rules) if r[0] == name]),
-               F.lit(name)) for name in sorted({r[0] for r in rules})])))
-    rest = F.regexp_replace(F.col("left"), r"<[0-9]+>", "")
+               F.lit(name)) for name in sorted({r[0] for r in rules})]))
+    names = F.array_sort(F.array_distinct(F.concat(ruled, F.regexp_extract_all("left", F.lit(r"<=([^>]++)>"), F.lit(1)))))
+    rest = F.regexp_replace(F.col("left"), r"<=?[^>]++>", "")
     return docs.select("doc_id", F.array_join(names, " AND ").alias("licenses"),
                        F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ",").alias("sentence_ids"),
                        F.size(F.filter(F.split(rest, ","), lambda x: x != "")).cast("long").alias("unmatched"))

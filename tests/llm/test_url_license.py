@@ -157,3 +157,34 @@ def test_sentences_begin_and_end_at_cuts(spark):
             (5, "a line with no mark\nReleased under the MIT License\nanother line"), (6, "CC0 of old:\nreleased under CC0 1.0")]
     got = {r["doc_id"]: r["licenses"] for r in licenses.scan(documents(spark, rows)).collect()}
     assert got == {1: "", 2: "", 3: "", 4: "MIT", 5: "MIT", 6: "CC0-1.0"}
+
+
+# The end of the published notice, with the clause on names.
+BSD3_NAMES = """3. Neither the name of the {} nor the names of its
+   contributors may be used to endorse or promote products derived from this
+   software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED"""
+
+
+def test_bsd_clauses(spark):
+    holders = ["copyright holder", "University of California, Berkeley", "Example Org. Inc"]
+    texts = [BSD, *[BSD.replace("THIS SOFTWARE IS PROVIDED", BSD3_NAMES.format(h), 1) for h in holders]]
+    rows = [(10 * k + n, t) for k, text in enumerate(texts)
+            for n, t in enumerate((text, text.replace("All rights reserved\n", ""), "# " + text.replace("\n", "\n# ")))]
+    got = {r["doc_id"]: (r["licenses"], r["unmatched"]) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got == {10 * k + n: ("BSD-3-Clause" if k else "BSD", 0) for k in range(len(texts)) for n in range(3)}
+
+
+def test_tags(spark):
+    cases = {"// SPDX-License-Identifier: MIT\nint main();": "MIT", "/* SPDX-License-Identifier: GPL-2.0-or-later */": "GPL-2.0-or-later",
+             "# SPDX-License-Identifier: (MIT OR Apache-2.0)\nx = 1": "Apache-2.0 AND MIT",
+             "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0\n": "GPL-2.0-only",
+             "SPDX-License-Identifier: GPL-2.0+ AND BSD-3-Clause AND 0BSD": "0BSD AND BSD-3-Clause AND GPL-2.0-or-later",
+             "spdx-license-identifier:GPL-3.0": "GPL-3.0-only", "SPDX-License-Identifier: Unheard-of-1.0": "",
+             "The SPDX-License-Identifier: MIT": "", "SPDX-License-Identifier: MIT\nReleased under the MIT License.\nall rights reserved":
+             "LicenseRef-All-Rights-Reserved AND MIT", "no license, MIT": ""}
+    rows = list(enumerate(cases))
+    got = {r["doc_id"]: (r["licenses"], r["unmatched"]) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert got == {n: (cases[t], 0) for n, t in rows}
+    assert len(licenses.TAGGED) == len(licenses.TAGS) + len(licenses.OLDER_TAGS)
