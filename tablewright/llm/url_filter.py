@@ -12,7 +12,8 @@ Scale: captures shrink to distinct (host, day) pairs before anything is
 joined.  Intervals are cut at multiples of ``span`` days, so the join has the
 equal keys (domain, span) and a host with a long history meets only the
 entries of one span; it is an ordinary sorted join, in which Spark splits hot
-hosts.  The verdict goes back to the captures on (host, day).
+hosts.  The verdict goes back to the captures on (host, day); captures without
+a host are spread over keys of their own, so they never meet in one task.
 
 Edge cases: a URL without a host, or a null URL or day, is blocked by nothing;
 entries with a null pattern, day or action are ignored; captures that repeat
@@ -28,6 +29,7 @@ from .common import stage
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 FOREVER = 1 << 40
+SPREAD = 4096           # keys over which captures without a host are spread
 
 
 def host_of(url: Column) -> Column:
@@ -82,7 +84,10 @@ def evaluate(captures: DataFrame, entries: DataFrame, span: int = 64, url_col: s
         F.array_join(F.array_sort(F.collect_set("category")), ",").alias("categories"))
     verdict = verdict.select(F.col("host").alias("_host"), F.col("day").alias("_day"), F.col("m.pattern").alias("matched"), "categories")
     verdict = stage(verdict, "verdicts")
-    out = held.join(verdict, (held["host"] == F.col("_host")) & (held["day"] == F.col("_day")), "left")
+    # no host has a slash: rows without a host or day match nothing and are spread over many keys
+    spread = F.concat(F.lit("/"), (F.monotonically_increasing_id() % SPREAD).cast("string"))
+    held = held.withColumn("_key", F.when(F.col("day").isNotNull() & F.col("host").isNotNull(), F.col("host")).otherwise(spread))
+    out = held.join(verdict, (held["_key"] == F.col("_host")) & (F.coalesce(held["day"], F.lit(0)) == F.col("_day")), "left")
     found = {"host": F.col("host"), "blocked": F.col("matched").isNotNull(), "matched": F.col("matched"),
              "categories": F.col("categories")}
     others = [c for c in captures.columns if c not in found]

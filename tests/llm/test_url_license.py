@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tablewright.llm import licenses, url_filter
 
 from .data import documents, odd_rows
@@ -9,7 +11,6 @@ URLS = ["http://a.b.example.org/x", "https://user:pw@A.B.Example.org.:8080/y?z#f
 
 
 def captures(spark, rows):
-    from pyspark.sql import functions as F
     return spark.createDataFrame(rows, "page_id long, url string, fetch_day long").withColumns(
         {c: F.lit("extra") for c in ("pattern", "day", "part", "since", "until", "row", "_host", "categories")})
 
@@ -188,3 +189,20 @@ def test_tags(spark):
     got = {r["doc_id"]: (r["licenses"], r["unmatched"]) for r in licenses.scan(documents(spark, rows)).collect()}
     assert got == {n: (cases[t], 0) for n, t in rows}
     assert len(licenses.TAGGED) == len(licenses.TAGS) + len(licenses.OLDER_TAGS)
+
+
+def test_captures_without_a_host_are_spread(spark):
+    rows = [(i, None if i % 3 else "http://a.example.org/x", None if i % 5 == 0 else 3) for i in range(600)]
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetch_day int").repartition(4)
+    listed = spark.createDataFrame([("example.org", "spam", 1, True)], "pattern string, category string, day int, listed boolean")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = url_filter.evaluate(captures, listed)
+        sizes = [r["n"] for r in out.where("host is null").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        got = {r["page_id"]: r["matched"] for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {i: "example.org" if url and day else None for i, url, day in rows}
+    assert len(sizes) >= 6 and max(sizes) < 150 and sum(sizes) == 400
