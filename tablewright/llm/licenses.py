@@ -27,6 +27,7 @@ documents give repeated rows; an empty table gives no row.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -177,6 +178,11 @@ MEMBER = rf"(?<=\n{TAG}[ \n][^\n]{{0,400}}) (?:or|and|with) (?!later)"
 HOLDER = r"(?<=\n)neither[ \n]the[ \n]names?[ \n]of[ \n](?:[^ \n]++[ \n]){1,24}?nor[ \n]the[ \n]names?(?=[ \n]of[ \n])"
 
 
+def _where_found(text: Column, part: str, change: Callable[[Column], Column]) -> Column:
+    """``change`` of the texts that contain ``part``, which all that it changes contain; ``text`` is computed once."""
+    return F.transform(F.array(text), lambda x: F.when(F.contains(x, F.lit(part)), change(x)).otherwise(x))[0]
+
+
 def normal(text: Column) -> Column:
     """Words with one space between them, a line feed for each cut, and one at either end."""
     t = F.regexp_replace(F.lower(text), r"(gpl-[0-9.]++)\+", "$1-or-later")
@@ -184,7 +190,8 @@ def normal(text: Column) -> Column:
     t = F.regexp_replace(F.regexp_replace(F.regexp_replace(t, CUT, "\n"), NOT_WORD, " "), " ++", " ")
     t = F.concat(F.lit("\n"), t, F.lit("\n"))
     t = F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
-    return F.regexp_replace(F.regexp_replace(t, HOLDER, "neither the name of the copyright holder nor the names"), MEMBER, f"\n{TAG}\n")
+    t = _where_found(t, "neither", lambda x: F.regexp_replace(x, HOLDER, "neither the name of the copyright holder nor the names"))
+    return _where_found(t, TAG, lambda x: F.regexp_replace(x, MEMBER, f"\n{TAG}\n"))
 
 
 def sentence_ids(text: Column) -> Column:
