@@ -137,3 +137,29 @@ def test_whole_trees_do_not_depend_on_partitions(spark, planted, target):
         sums.add(tuple(r["prediction"] for r in rows))
         assert sum(abs(r["prediction"] - r["label"]) for r in rows) / len(rows) < 1.0
     assert len(sums) == 1
+
+
+@pytest.mark.parametrize("target", [None, "log1p"])
+def test_permuted_copies_are_not_shuffled(spark, planted, scratch, target, monkeypatch):
+    """A large forest is not sent a row for each copy: its parts are walked where they lie, block by block, with the same result."""
+    from tablewright.operators import deep_forest
+    df = planted.withColumns({"label": F.col("label") + 10, "x3": F.round("x3", 1), "level": F.when(F.col("row_id") % 5 > 0, F.col("row_id") % 3)})
+    feats = [*FEATS, "level"]
+    for i, max_rows in enumerate((200, 100_000)):
+        m = deep_forest.fit_deep_forest(df.where("row_id < 900"), feats, "label", "row_id", num_trees=4, max_rows=max_rows, bins=16, target_transform=target)
+        m.save(f"{scratch}/m{i}")
+        m = deep_forest.DeepForest.load(spark, f"{scratch}/m{i}")
+        va = df.where("row_id >= 800").withColumn("label", F.when(F.col("row_id") % 50 > 0, F.col("label")))
+        asked = ["level", "x1", "row_id", "x3"]         # in another order, one that the forest does not know
+        want = model.permutation_importance(m, va, "label", asked, 2, 7, key="row_id").collect()
+        with monkeypatch.context() as p:
+            p.setattr(deep_forest, "CHUNK", 64)
+            p.setattr(deep_forest, "WALKED", 100)
+            p.setattr(deep_forest, "BLOCK_BYTES", 1 << 16)
+            p.setattr(deep_forest.DeepForest, "predict", None)
+            got = model.permutation_importance(m, va, "label", asked, 2, 7, key="row_id", model_bytes=0).collect()
+        got, want = ({r["feature"]: r for r in rows} for rows in (got, want))
+        assert got.keys() == want.keys() == set(asked)
+        for f in asked:
+            for c in ("importance_mean", "importance_std", "baseline_mse"):
+                assert got[f][c] == pytest.approx(want[f][c], rel=1e-9, abs=1e-12)
